@@ -16,8 +16,8 @@ a huge mailbox spreads evenly.
 
 from __future__ import annotations
 
-import copy
 import hashlib
+import inspect
 import json
 import time
 from typing import Callable, Iterator
@@ -116,14 +116,23 @@ def blocked_col(error: Column) -> Column:
                       | F.lower(error).contains(text.BLOCKED_MARKER_LOWER), F.lit(False))
 
 
-def _attempt_rows(model: Callable[[str], str], prompt: str, max_attempts: int, wait_s: float):
+def accepts_attempt(model: Callable) -> bool:
+    """Whether ``model`` takes the attempt number as keyword ``attempt``."""
+    try:
+        return "attempt" in inspect.signature(model).parameters
+    except (TypeError, ValueError):
+        return False
+
+
+def _attempt_rows(model: Callable[..., str], prompt: str, max_attempts: int, wait_s: float,
+                  pass_attempt: bool = False):
     """Call ``model`` until a non-empty answer or a blocked error; at most
     ``max_attempts`` calls.  Yields (attempt_no, response, error)."""
     for n in range(1, max_attempts + 1):
         if n > 1 and wait_s > 0:
             time.sleep(wait_s)
         try:
-            out = model(prompt)
+            out = model(prompt, attempt=n) if pass_attempt else model(prompt)
             resp = out.strip() if isinstance(out, str) else ""
             yield n, resp, (None if resp else EMPTY_RESPONSE)
             if resp:
@@ -135,27 +144,30 @@ def _attempt_rows(model: Callable[[str], str], prompt: str, max_attempts: int, w
                 return
 
 
-def batch_extract(prompts: DataFrame, model: Callable[[str], str], max_attempts: int = MAX_ATTEMPTS,
+def batch_extract(prompts: DataFrame, model: Callable[..., str], max_attempts: int = MAX_ATTEMPTS,
                   wait_s: float = RETRY_WAIT_S, concurrency: int | None = None,
                   keys: list[str] = KEYS, prompt_col: str = "prompt") -> DataFrame:
     """Attempt log of calling ``model`` on every prompt (``attempts`` shape).
 
-    ``concurrency`` bounds the number of simultaneous callers (tasks).  The
-    result is not repeatable (a remote model is not deterministic): persist
-    it with :func:`mailweave.sources.tables.write_once` before deriving
-    anything, so that no recomputation calls the model again.
+    ``model(prompt) -> str`` answers or raises; a model that also takes a
+    keyword ``attempt`` is told the 1-based attempt number.  ``concurrency``
+    bounds the number of simultaneous callers (tasks).  The result is not
+    repeatable (a remote model is not deterministic): persist it with
+    :func:`mailweave.sources.tables.write_once` before deriving anything, so
+    that no recomputation calls the model again.
     """
     src = prompts.select(*keys, prompt_col)
     if concurrency:
         src = src.repartition(concurrency)
+    pass_attempt = accepts_attempt(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fn = copy.deepcopy(model)    # fresh per-task state for stateful callables
         for pdf in batches:
             rows = []
             for rec in pdf.itertuples(index=False):
                 k = tuple(getattr(rec, c) for c in keys)
-                for n, resp, err in _attempt_rows(fn, getattr(rec, prompt_col), max_attempts, wait_s):
+                for n, resp, err in _attempt_rows(model, getattr(rec, prompt_col), max_attempts, wait_s,
+                                                  pass_attempt):
                     rows.append((*k, n, resp, err))
             yield pd.DataFrame(rows, columns=[*keys, "attempt_no", "response", "error"])
 
@@ -167,16 +179,12 @@ def batch_extract(prompts: DataFrame, model: Callable[[str], str], max_attempts:
 class StubModel:
     """Deterministic stand-in for a remote model, for tests and checks.
 
-    Behaviour is a function of ``md5(prompt)`` and of how often this
-    instance has already seen the prompt: class ``int(md5[:8], 16) % 6`` -
-    0 answers at once, 1 answers empty then a list, 2 times out then is
-    blocked, 3 fails three times, 4 is blocked at once, 5 answers a fenced
-    list.
+    Behaviour is a function of ``md5(prompt)`` and the attempt number:
+    class ``int(md5[:8], 16) % 6`` - 0 answers at once, 1 answers empty then
+    a list, 2 times out then is blocked, 3 fails every time, 4 is blocked at
+    once, 5 answers a fenced list.
     """
 
-    def __init__(self):
-        self.calls: dict[str, int] = {}
-
     @staticmethod
     def digest(prompt: str) -> str:
         return hashlib.md5(prompt.encode("utf-8")).hexdigest()
@@ -187,21 +195,19 @@ class StubModel:
                 "date": "", "sender": ""}
         return json.dumps([item])
 
-    def __call__(self, prompt: str) -> str:
+    def __call__(self, prompt: str, attempt: int = 1) -> str:
         h = self.digest(prompt)
-        n = self.calls.get(h, 0) + 1
-        self.calls[h] = n
         cls = int(h[:8], 16) % 6
         if cls == 0:
             return self.answer(h)
         if cls == 1:
-            return "  " if n == 1 else self.answer(h)
+            return "  " if attempt == 1 else self.answer(h)
         if cls == 2:
-            if n == 1:
+            if attempt == 1:
                 raise TimeoutError("timeout")
             raise RuntimeError("data_inspection_failed: input blocked")
         if cls == 3:
-            raise RuntimeError(f"upstream error {n}")
+            raise RuntimeError(f"upstream error {attempt}")
         if cls == 4:
             raise RuntimeError("Inappropriate Content")
         return "```json\n" + self.answer(h) + "\n```"

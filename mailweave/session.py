@@ -25,6 +25,7 @@ def build_session(master: str | None = None, app: str = "mailweave",
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = (
         b.config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
