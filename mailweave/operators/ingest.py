@@ -121,6 +121,7 @@ def html_source(parts: Column) -> Column:
 
 
 def body_select(parts: Column, html_converter=text.html_to_text) -> Column:
+    # Column form (one projection); ``to_documents`` uses a two-step form.
     """text/plain parts joined by a blank line and stripped; only when there
     is no text/plain part at all, the HTML parts converted; else ``""``.
     An empty text/plain part still wins over HTML."""
@@ -144,10 +145,21 @@ def local_minute(date_iso: Column) -> Column:
                   F.concat(F.substring(date_iso, 1, 10), F.lit(" "), F.substring(date_iso, 12, 5)))
 
 
-def to_documents(parsed: DataFrame, keep_html: bool = False, html_converter=text.html_to_text) -> DataFrame:
-    """``documents_md`` rows from parsed messages (failed parses excluded)."""
+def to_documents(parsed: DataFrame, keep_html: bool = False, html_converter=None) -> DataFrame:
+    """``documents_md`` rows from parsed messages (failed parses excluded).
+
+    Two projections: the first computes every native column and the HTML
+    text with its tags removed; the second decodes entities and strips.  The
+    split keeps Spark from evaluating the regex chain twice around the
+    (rarely used) Python entity decoder.  A custom ``html_converter`` is
+    applied in one step instead.
+    """
     ok = parsed.where(F.col("parse_error").isNull())
-    cols = [
+    parts = F.col("parts")
+    plain = _text_parts(parts, "text/plain")
+    html = _text_parts(parts, "text/html")
+    html_joined = text.strip(_joined(html))
+    first = [
         "account", "mailbox", "uid",
         F.coalesce("message_id", F.lit("")).alias("message_id"),
         F.coalesce("subject", F.lit("")).alias("subject"),
@@ -157,12 +169,19 @@ def to_documents(parsed: DataFrame, keep_html: bool = False, html_converter=text
         text.format_addresses(F.col("to_list")).alias("to"),
         text.format_addresses(F.col("cc_list")).alias("cc"),
         "size", "labels", "thread_id",
-        body_select(F.col("parts"), html_converter).alias("body"),
-        attachment_names(F.col("parts")).alias("attachments"),
+        F.when(F.size(plain) > 0, text.strip(_joined(plain))).alias("_plain"),
+        F.when(F.size(html) > 0, html_joined if html_converter else text.html_tags_to_text(html_joined))
+        .alias("_html"),
+        attachment_names(parts).alias("attachments"),
     ]
     if keep_html:
-        cols.append(html_source(F.col("parts")).alias("html"))
-    return ok.select(*cols)
+        first.append(html_source(parts).alias("html"))
+    stage = ok.select(*first)
+    conv = html_converter(F.col("_html")) if html_converter else text.strip(text.unescape(F.col("_html")))
+    body = F.coalesce(F.col("_plain"), conv, F.lit(""))
+    cols = [c for c in stage.columns if c not in ("_plain", "_html")]
+    at = cols.index("attachments")
+    return stage.select(*cols[:at], body.alias("body"), *cols[at:])
 
 
 def parse_failures(parsed: DataFrame) -> DataFrame:
@@ -177,18 +196,31 @@ def parse_failures(parsed: DataFrame) -> DataFrame:
 LINK_RE = r'(?is)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'
 
 
-def rule_extract(docs: DataFrame) -> DataFrame:
-    """One news item per HTML link: title = link text, url = href, date and
-    sender from the message.  Needs ``html`` (``to_documents(keep_html=True)``)."""
+def rule_items(docs: DataFrame) -> DataFrame:
+    """One item per HTML link (title = link text, url = href) with the
+    message's own minute and sender address carried along as
+    ``_msg_date`` / ``_msg_sender``.  Needs ``html``
+    (``to_documents(keep_html=True)``)."""
     urls = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(LINK_RE), F.lit(1))
     titles = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(LINK_RE), F.lit(2))
-    return (docs.select("account", "mailbox", "uid", "date_iso", "from_addr",
+    return (docs.select(*KEYS, local_minute(F.col("date_iso")).alias("_msg_date"),
+                        text.address_of(F.col("from_addr")).alias("_msg_sender"),
                         F.posexplode(F.arrays_zip(urls.alias("url"), titles.alias("title"))))
-            .select("account", "mailbox", "uid", (F.col("pos") + 1).cast("int").alias("pos"),
+            .select(*KEYS, (F.col("pos") + 1).cast("int").alias("pos"),
                     F.col("col.title").alias("title"), F.col("col.url").alias("url"),
-                    F.lit("").alias("summary"),
-                    local_minute(F.col("date_iso")).alias("date"),
-                    text.address_of(F.col("from_addr")).alias("sender")))
+                    F.lit("").alias("summary"), F.lit(None).cast("string").alias("date"),
+                    F.lit(None).cast("string").alias("sender"), "_msg_date", "_msg_sender"))
+
+
+def rule_item_array(html: Column, date_iso: Column, from_addr: Column) -> Column:
+    """The rule extractor's items of one message as an array (defaults
+    applied): one element per link, in document order."""
+    src = F.coalesce(html, F.lit(""))
+    pairs = F.arrays_zip(F.regexp_extract_all(src, F.lit(LINK_RE), F.lit(1)).alias("url"),
+                         F.regexp_extract_all(src, F.lit(LINK_RE), F.lit(2)).alias("title"))
+    d, s = local_minute(date_iso), text.address_of(from_addr)
+    return F.transform(pairs, lambda x: F.struct(x["title"].alias("title"), x["url"].alias("url"),
+                                                 F.lit("").alias("summary"), d.alias("date"), s.alias("sender")))
 
 
 def normalize_item_date(c: Column) -> Column:
@@ -196,15 +228,28 @@ def normalize_item_date(c: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm")
 
 
-def item_defaults(items: DataFrame, docs: DataFrame) -> DataFrame:
-    """Item without a usable date takes the message's send time; without a
-    sender, the message's sender address.  Equi-join on the full key, so the
-    shuffle is balanced even when one mailbox is huge."""
-    d = docs.select(*KEYS, local_minute(F.col("date_iso")).alias("_msg_date"),
-                    text.address_of(F.col("from_addr")).alias("_msg_sender"))
-    j = items.join(d, KEYS, "left")
-    return j.select(
+def apply_item_defaults(items: DataFrame) -> DataFrame:
+    """Items with ``_msg_date`` / ``_msg_sender`` columns -> final items: a
+    missing or unusable date takes the message's send time, a missing sender
+    the message's sender address.  Native, no shuffle."""
+    return items.select(
         *KEYS, "pos", "title", "url", "summary",
         F.coalesce(normalize_item_date(F.col("date")), F.col("_msg_date")).alias("date"),
-        F.when(F.coalesce(F.col("sender"), F.lit("")) != "", F.col("sender")).otherwise(F.col("_msg_sender")).alias("sender"),
+        F.when(F.coalesce(F.col("sender"), F.lit("")) != "", F.col("sender"))
+        .otherwise(F.col("_msg_sender")).alias("sender"),
     )
+
+
+def rule_extract(docs: DataFrame) -> DataFrame:
+    """The deterministic default extractor: link items with date and sender
+    from the message."""
+    return apply_item_defaults(rule_items(docs))
+
+
+def item_defaults(items: DataFrame, docs: DataFrame) -> DataFrame:
+    """Defaults for items stored apart from their documents (model output):
+    equi-join on the full key, so the shuffle is balanced even when one
+    mailbox is huge; only the two message columns are read from ``docs``."""
+    d = docs.select(*KEYS, local_minute(F.col("date_iso")).alias("_msg_date"),
+                    text.address_of(F.col("from_addr")).alias("_msg_sender"))
+    return apply_item_defaults(items.join(d, KEYS, "left"))

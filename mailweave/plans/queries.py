@@ -361,7 +361,7 @@ def q_two_stage_stream(spark, sf):
 @query("run_once")
 def q_run_once(spark, sf):
     from ..streaming import rounds
-    out = rounds.run_fixture_stream(spark, sf, stages=("ingest",), pieces=1)
+    out = rounds.run_fixture_stream(spark, sf, stages=("ingest", "extract"), pieces=1)
     return (out["documents"].groupBy("account", "mailbox")
             .agg(F.count(F.lit(1)).cast("bigint").alias("n_docs"), F.max("uid").alias("max_uid")))
 

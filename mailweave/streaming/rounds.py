@@ -76,17 +76,18 @@ def ingest_round(batch: DataFrame, lay: Layout, strict_high_water: bool = False)
         valid = ig.high_water_filter(valid, state)
     existing = tb.read_table(spark, lay.documents, DOCS_SCHEMA)
     new = ig.insert_if_absent(valid, existing, state if strict_high_water else None)
-    parsed = ig.parse_messages(new).persist()
-    try:
-        docs = ig.to_documents(parsed, keep_html=True)
-        docs.write.mode("append").partitionBy(*tb.PARTITION_COLS).parquet(lay.documents)
-        fails = ig.invalid_records(rec).unionByName(ig.parse_failures(parsed))
-        fails.write.mode("append").parquet(lay.failures)
-        # state last: a crash before this line replays harmlessly
-        tb.append_state(st.advance(None, ig.valid_records(rec)), lay.state_log)
-        return parsed.count()
-    finally:
-        parsed.unpersist()
+    # Reliable checkpoint, not persist: appending to the documents folder
+    # makes Spark refresh every cached plan that reads it, which would
+    # recompute this round against the new listing.  The checkpoint also
+    # means a lost executor never re-runs the parse.
+    parsed = ig.parse_messages(new).checkpoint(eager=True)
+    docs = ig.to_documents(parsed, keep_html=True)
+    docs.write.mode("append").partitionBy(*tb.PARTITION_COLS).parquet(lay.documents)
+    fails = ig.invalid_records(rec).unionByName(ig.parse_failures(parsed))
+    fails.write.mode("append").parquet(lay.failures)
+    # state last: a crash before this line replays harmlessly
+    tb.append_state(st.advance(None, ig.valid_records(rec)), lay.state_log)
+    return parsed.count()
 
 
 def extract_round(spark: SparkSession, lay: Layout, rnd: int,
@@ -97,16 +98,17 @@ def extract_round(spark: SparkSession, lay: Layout, rnd: int,
     quarantine = tb.read_table(spark, lay.quarantine, QUARANTINE)
     pending = ex.pending_docs(docs, results, quarantine)
     if model is None:
-        items = ig.rule_extract(pending)
-        new_res = (items.groupBy(*KEYS).agg(F.to_json(F.collect_list(F.struct(
-            "title", "url", "summary", "date", "sender"))).alias("response"))
-            .select(*KEYS, "response", F.lit(False).alias("repaired"), F.lit(True).alias("valid_json")))
-        # documents without links still count as processed (an empty list)
-        empty = pending.join(items.select(*KEYS), KEYS, "left_anti").select(
-            *KEYS, F.lit("[]").alias("response"), F.lit(False).alias("repaired"), F.lit(True).alias("valid_json"))
-        new_res = new_res.unionByName(empty)
+        # one item array per pending document, computed once for both sinks;
+        # checkpointed because the results append refreshes plans reading it
+        per_doc = pending.select(*KEYS, ig.rule_item_array(F.col("html"), F.col("date_iso"), F.col("from_addr"))
+                                 .alias("items")).checkpoint(eager=True)
+        items = per_doc.select(*KEYS, F.posexplode("items").alias("pos", "it")).select(
+            *KEYS, (F.col("pos") + 1).cast("int").alias("pos"),
+            *[F.col(f"it.{c}").alias(c) for c in ("title", "url", "summary", "date", "sender")])
         items.write.mode("append").parquet(lay.news_items)
-        new_res.write.mode("append").parquet(lay.results)
+        # documents without links still count as processed (an empty list)
+        per_doc.select(*KEYS, F.to_json("items").alias("response"), F.lit(False).alias("repaired"),
+                       F.lit(True).alias("valid_json")).write.mode("append").parquet(lay.results)
         return -1
     att_path = f"{lay.attempts}/round={rnd}"
     if not _exists(spark, att_path):      # a replayed round reuses its attempt log
