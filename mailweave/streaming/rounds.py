@@ -116,12 +116,12 @@ def extract_round(spark: SparkSession, lay: Layout, rnd: int,
         ex.batch_extract(prompts, model, wait_s=wait_s).write.mode("overwrite").parquet(att_path)
     attempts = spark.read.parquet(att_path)
     outcomes = ex.attempt_outcome(attempts)
-    res = ex.new_results(ex.repair(outcomes), results)
+    # materialised once: the appends below must not change what this round wrote
+    res = ex.new_results(ex.repair(outcomes), results).checkpoint(eager=True)
     res.write.mode("append").parquet(lay.results)
-    ex.quarantine_rows(outcomes).write.mode("append").parquet(lay.quarantine)
-    ig.item_defaults(ex.news_items(spark.read.schema(RESULTS).parquet(lay.results)
-                                   .join(res.select(*KEYS), KEYS, "left_semi")), docs) \
-        .write.mode("append").parquet(lay.news_items)
+    ex.quarantine_rows(outcomes).join(quarantine.select(*KEYS), KEYS, "left_anti") \
+        .write.mode("append").parquet(lay.quarantine)
+    ig.item_defaults(ex.news_items(res), docs).write.mode("append").parquet(lay.news_items)
     return -1
 
 
