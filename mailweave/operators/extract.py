@@ -256,8 +256,11 @@ def _json_checks_py(resp: pd.Series, cand: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"whole": resp.map(ok).astype("boolean"), "slice": cand.map(ok).astype("boolean")})
 
 
+# Marked non-deterministic only so that Catalyst never inlines it into a
+# pushed-down filter (``valid_json`` is filtered on downstream), which would
+# run the Python check twice.
 _json_checks = F.pandas_udf(_json_checks_py, T.StructType([
-    T.StructField("whole", T.BooleanType()), T.StructField("slice", T.BooleanType())]))
+    T.StructField("whole", T.BooleanType()), T.StructField("slice", T.BooleanType())])).asNondeterministic()
 
 
 def repair(outcomes: DataFrame, keys: list[str] = KEYS) -> DataFrame:

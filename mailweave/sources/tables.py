@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ingest import normalize_records
-from ..operators.joins import anti_join
+from ..operators.joins import anti_join, bounded_broadcast
 from ..schemas import KEYS, RAW_MESSAGES
 from ..session import scratch_path
 
@@ -53,7 +53,7 @@ def doc_scan(spark: SparkSession, path: str, glob: str = "*.md") -> DataFrame:
     """
     schema = "id string, text string, mtime timestamp, path string"
     try:
-        df = spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(path)
+        df = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
     except Exception as e:  # missing folder
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return spark.createDataFrame([], schema)
@@ -105,7 +105,7 @@ def overwrite_keys(new: DataFrame, existing: DataFrame, path: str, keys: list[st
     touched partitions; the plan never reads the folder it overwrites.
     """
     spark = new.sparkSession
-    touched = new.select(*PARTITION_COLS).distinct()
+    touched = bounded_broadcast(new.select(*PARTITION_COLS).distinct())
     ex = existing.join(touched, PARTITION_COLS, "left_semi")
     merged = new.unionByName(anti_join(ex, new, keys), allowMissingColumns=True)
     staging = scratch_path(spark, "overwrite-staging")
