@@ -52,12 +52,9 @@ def doc_scan(spark: SparkSession, path: str, glob: str = "*.md") -> DataFrame:
     A missing folder is an empty listing, as is a folder with no match.
     """
     schema = "id string, text string, mtime timestamp, path string"
-    try:
-        df = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
-    except Exception as e:  # missing folder
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    df = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
     name = F.col("_metadata.file_name")
     return df.select(
         F.regexp_extract(name, r"^(.*)\.md$", 1).alias("id"), F.col("value").alias("text"),
@@ -75,14 +72,18 @@ def pick_doc_dir(candidates: list[str], override: str | None = None) -> str:
     return candidates[-1]
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, through the cluster's Hadoop file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A table folder, or an empty table with ``schema`` when it does not exist yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 # ---------------------------------------------------------------------------

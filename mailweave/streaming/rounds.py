@@ -54,12 +54,6 @@ class Layout:
         raise AttributeError(name)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def _log(spark, lay: Layout, rnd: int, stage: str, t0: float, code: int, rows: int) -> None:
     row = [(int(rnd), stage, None, int(code), float(time.time() - t0), int(rows))]
     df = spark.createDataFrame(row, ROUND_LOG).withColumn("started_at", F.timestamp_seconds(F.lit(t0)))
@@ -111,7 +105,7 @@ def extract_round(spark: SparkSession, lay: Layout, rnd: int,
                        F.lit(True).alias("valid_json")).write.mode("append").parquet(lay.results)
         return -1
     att_path = f"{lay.attempts}/round={rnd}"
-    if not _exists(spark, att_path):      # a replayed round reuses its attempt log
+    if not tb.path_exists(spark, att_path):      # a replayed round reuses its attempt log
         prompts = pending.select(*KEYS, ex.prompt_assemble(pending, "body").alias("prompt"))
         ex.batch_extract(prompts, model, wait_s=wait_s).write.mode("overwrite").parquet(att_path)
     attempts = spark.read.parquet(att_path)
