@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from ..functions import text
 from ..functions.prompt import PROMPT_TEXT
 from ..schemas import ATTEMPTS, KEYS, NEWS_ITEM
-from .joins import anti_join
+from .joins import anti_join, anti_join_recent, bounded_broadcast
 from .numbering import global_positions
 
 # Fixed values of the extraction stage.
@@ -43,12 +43,23 @@ EMPTY_RESPONSE = "empty response"
 # pending set and its order (#14, #23, #22, #37)
 # ---------------------------------------------------------------------------
 def pending_docs(docs: DataFrame, results: DataFrame, quarantine: DataFrame | None = None,
-                 keys: list[str] = KEYS) -> DataFrame:
-    """Documents with no stored result and not quarantined."""
-    p = anti_join(docs, results, keys)
-    if quarantine is not None:
-        p = anti_join(p, quarantine, keys)
-    return p
+                 keys: list[str] = KEYS, candidates: DataFrame | None = None) -> DataFrame:
+    """Documents with no stored result and not quarantined.
+
+    Without ``candidates`` this is the full reconciliation (two key-pruned
+    anti-joins over the archive).  With ``candidates`` (the keys a round can
+    have made pending: its new documents plus the retry set) only those
+    documents are considered and the result / quarantine tables are cut to
+    the candidates' key ranges first - the work follows the round, not the
+    archive.
+    """
+    if candidates is None:
+        p = anti_join(docs, results, keys)
+        return p if quarantine is None else anti_join(p, quarantine, keys)
+    cand = candidates.select(*keys).distinct()
+    p = docs.join(bounded_broadcast(cand), keys, "left_semi")
+    p = anti_join_recent(p, results, keys, cand)
+    return p if quarantine is None else anti_join_recent(p, quarantine, keys, cand)
 
 
 def order_keys(id_col: Column, mtime: Column) -> list[Column]:
@@ -299,9 +310,9 @@ def news_items(results: DataFrame, keys: list[str] = KEYS) -> DataFrame:
 
 def new_results(results: DataFrame, existing: DataFrame | None, keys: list[str] = KEYS) -> DataFrame:
     """Rows to append to ``results``: non-empty responses whose key has no
-    stored result (insert-if-absent)."""
+    stored result (insert-if-absent against the matching key ranges)."""
     r = results.where(F.length("response") > 0)
-    return r if existing is None else anti_join(r, existing, keys)
+    return r if existing is None else anti_join_recent(r, existing, keys)
 
 
 def quarantine_rows(outcomes: DataFrame, existing: DataFrame | None = None, keys: list[str] = KEYS) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import mime, text
 from ..schemas import KEYS, PARSED
-from .joins import anti_join, bounded_broadcast
+from .joins import anti_join, anti_join_recent, bounded_broadcast
 
 RAW_COLS = ["account", "mailbox", "uid", "raw", "size", "labels", "thread_id"]
 
@@ -72,18 +72,21 @@ def high_water_filter(df: DataFrame, state: DataFrame | None, reset: bool = Fals
             .drop("_mark"))
 
 
-def insert_if_absent(new: DataFrame, existing: DataFrame, state: DataFrame | None = None) -> DataFrame:
+def insert_if_absent(new: DataFrame, existing: DataFrame, state: DataFrame | None = None,
+                     probe: DataFrame | None = None) -> DataFrame:
     """New rows whose key is not stored yet (an existing key is skipped).
 
-    Only the key columns of ``existing`` are read.  When the high-water
-    ``state`` is given, ``existing`` is first cut to its tail above the mark
-    (the only part that can collide with rows that passed the filter), so the
-    anti-join shuffles the recent tail instead of the whole archive.
+    Only the key columns of ``existing`` are read, and only the rows inside
+    the per-mailbox uid range of the new rows (``probe``: any superset of
+    the new keys that is cheap to read, e.g. the batch's keys before the
+    validity filter; default ``new``).  When the high-water ``state`` is
+    given, ``existing`` is also cut to its tail above the mark.  The
+    anti-join therefore shuffles the recent tail, not the whole archive.
     """
     ex = existing.select(*KEYS)
     if state is not None:
         ex = high_water_filter(ex, state)
-    return anti_join(new, ex, KEYS)
+    return anti_join_recent(new, ex, KEYS, probe)
 
 
 def replace_all(new: DataFrame, existing: DataFrame) -> DataFrame:

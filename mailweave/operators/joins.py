@@ -25,3 +25,34 @@ def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> D
 def anti_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """``left`` rows whose keys are absent from ``right`` (right pruned to keys)."""
     return left.join(right.select(*keys), keys, "left_anti")
+
+
+GROUP = ["account", "mailbox"]
+
+
+def key_ranges(probe: DataFrame, group: list[str] = GROUP, key: str = "uid") -> DataFrame:
+    """[min, max] of ``key`` per group: one row per mailbox of ``probe``."""
+    return probe.groupBy(*group).agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
+
+
+def within_ranges(existing: DataFrame, probe: DataFrame, group: list[str] = GROUP, key: str = "uid") -> DataFrame:
+    """Rows of ``existing`` whose key lies inside the key range of their group
+    in ``probe`` - the only rows a keyed insert of ``probe`` can collide with.
+
+    The range table (one row per mailbox) is broadcast behind the row bound,
+    so the cut is map-side; with ``existing`` partitioned by mailbox the
+    broadcast also drives dynamic partition pruning of its scan.  A big
+    archive then meets only its recent tail in the shuffle that follows.
+    """
+    r = bounded_broadcast(key_ranges(probe, group, key))
+    cond = [existing[g] == r[g] for g in group] + [existing[key] >= r["_lo"], existing[key] <= r["_hi"]]
+    return existing.join(r, cond, "left_semi")
+
+
+def anti_join_recent(left: DataFrame, right: DataFrame, keys: list[str], probe: DataFrame | None = None,
+                     group: list[str] = GROUP, key: str = "uid") -> DataFrame:
+    """``anti_join(left, right)`` with ``right`` first cut to the key ranges of
+    ``probe`` (default: ``left``'s keys).  Same result, since a row of
+    ``right`` outside every range cannot match a row of ``left``."""
+    p = (probe if probe is not None else left).select(*keys)
+    return anti_join(left, within_ranges(right.select(*keys), p, group, key), keys)

@@ -87,7 +87,8 @@ def q_provider_meta(spark, sf):
 @query("doc_sink_append")
 def q_doc_sink_append(spark, sf):
     existing = fx.fixture_e_existing(spark, sf)
-    new = ig.insert_if_absent(ig.valid_records(raw(spark, sf)), existing)
+    r = raw(spark, sf)
+    new = ig.insert_if_absent(ig.valid_records(r), existing, probe=r.select(*KEYS))
     written = ig.to_documents(ig.parse_messages(new)).select(*KEYS, F.lit("new").alias("origin"), "subject")
     kept = existing.select(*KEYS, F.lit("existing").alias("origin"), F.lit(None).cast("string").alias("subject"))
     return kept.unionByName(written)
@@ -154,8 +155,9 @@ def q_high_water_filter(spark, sf):
 
 @query("full_rescan")
 def q_full_rescan(spark, sf):
-    new = ig.high_water_filter(ig.valid_records(raw(spark, sf)), fx.fixture_e_state(spark, sf), reset=True)
-    return ig.insert_if_absent(new, fx.fixture_e_existing(spark, sf)).select(*KEYS)
+    r = raw(spark, sf)
+    new = ig.high_water_filter(ig.valid_records(r), fx.fixture_e_state(spark, sf), reset=True)
+    return ig.insert_if_absent(new, fx.fixture_e_existing(spark, sf), probe=r.select(*KEYS)).select(*KEYS)
 
 
 @query("valid_records")
@@ -185,7 +187,8 @@ def reconciled(spark, sf) -> tuple[DataFrame, DataFrame]:
     existing = fx.fixture_e_existing(spark, sf)
     listed = ig.high_water_filter(raw(spark, sf), state)
     valid = ig.valid_records(listed)
-    written = ig.to_documents(ig.parse_messages(ig.insert_if_absent(valid, existing, state))).select(*KEYS)
+    written = ig.to_documents(ig.parse_messages(
+        ig.insert_if_absent(valid, existing, state, probe=listed.select(*KEYS)))).select(*KEYS)
     after = existing.unionByName(written)
     failures = ig.invalid_records(listed)
     return rp.run_reconcile(listed, existing, after), failures

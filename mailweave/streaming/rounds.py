@@ -39,6 +39,8 @@ from ..sources import tables as tb
 from ..session import scratch_path
 
 DEFAULT_INTERVAL_S = 901
+RECONCILE_EVERY = 96      # full pending reconciliation every N rounds (~daily at 901 s)
+KEY_SCHEMA = "account string, mailbox string, uid bigint"
 DOCS_SCHEMA = DOCUMENTS_MD + ", html string"
 
 
@@ -49,7 +51,7 @@ class Layout:
 
     def __getattr__(self, name):
         if name in ("documents", "state_log", "failures", "results", "news_items", "quarantine",
-                    "round_log", "attempts", "checkpoint", "landing"):
+                    "round_log", "attempts", "checkpoint", "landing", "retry"):
             return f"{self.base}/{name}"
         raise AttributeError(name)
 
@@ -60,8 +62,12 @@ def _log(spark, lay: Layout, rnd: int, stage: str, t0: float, code: int, rows: i
     df.write.mode("append").parquet(lay.round_log)
 
 
-def ingest_round(batch: DataFrame, lay: Layout, strict_high_water: bool = False) -> int:
-    """One ingest round over a micro-batch of raw messages; returns rows written."""
+def ingest_round(batch: DataFrame, lay: Layout, strict_high_water: bool = False) -> tuple[int, DataFrame]:
+    """One ingest round over a micro-batch of raw messages.
+
+    Returns (messages parsed, keys of the documents written) - the keys are
+    the extraction stage's candidates for this round.
+    """
     spark = batch.sparkSession
     rec = ig.normalize_records(batch)
     valid = ig.valid_records(rec).dropDuplicates(KEYS)
@@ -69,7 +75,8 @@ def ingest_round(batch: DataFrame, lay: Layout, strict_high_water: bool = False)
     if strict_high_water:
         valid = ig.high_water_filter(valid, state)
     existing = tb.read_table(spark, lay.documents, DOCS_SCHEMA)
-    new = ig.insert_if_absent(valid, existing, state if strict_high_water else None)
+    # the batch's keys (key columns only) bound the part of the archive to compare with
+    new = ig.insert_if_absent(valid, existing, state if strict_high_water else None, probe=rec.select(*KEYS))
     # Reliable checkpoint, not persist: appending to the documents folder
     # makes Spark refresh every cached plan that reads it, which would
     # recompute this round against the new listing.  The checkpoint also
@@ -81,16 +88,25 @@ def ingest_round(batch: DataFrame, lay: Layout, strict_high_water: bool = False)
     fails.write.mode("append").parquet(lay.failures)
     # state last: a crash before this line replays harmlessly
     tb.append_state(st.advance(None, ig.valid_records(rec)), lay.state_log)
-    return parsed.count()
+    written = parsed.where(F.col("parse_error").isNull()).select(*KEYS)
+    return parsed.count(), written
 
 
 def extract_round(spark: SparkSession, lay: Layout, rnd: int,
-                  model: Callable[[str], str] | None = None, wait_s: float = ex.RETRY_WAIT_S) -> int:
-    """One extraction round over all pending documents; returns results written."""
+                  model: Callable[[str], str] | None = None, wait_s: float = ex.RETRY_WAIT_S,
+                  candidates: DataFrame | None = None) -> int:
+    """One extraction round.
+
+    ``candidates`` = keys this round can have made pending (its new
+    documents); the retry set (earlier failures) is added to them.  Without
+    candidates the round reconciles the whole archive.
+    """
     docs = tb.read_table(spark, lay.documents, DOCS_SCHEMA)
     results = tb.read_table(spark, lay.results, RESULTS)
     quarantine = tb.read_table(spark, lay.quarantine, QUARANTINE)
-    pending = ex.pending_docs(docs, results, quarantine)
+    if candidates is not None:
+        candidates = candidates.select(*KEYS).unionByName(tb.read_table(spark, lay.retry, KEY_SCHEMA))
+    pending = ex.pending_docs(docs, results, quarantine, candidates=candidates)
     if model is None:
         # one item array per pending document, computed once for both sinks;
         # checkpointed because the results append refreshes plans reading it
@@ -116,24 +132,29 @@ def extract_round(spark: SparkSession, lay: Layout, rnd: int,
     ex.quarantine_rows(outcomes).join(quarantine.select(*KEYS), KEYS, "left_anti") \
         .write.mode("append").parquet(lay.quarantine)
     ig.item_defaults(ex.news_items(res), docs).write.mode("append").parquet(lay.news_items)
+    # failed documents are retried in later rounds (no result exists for them)
+    outcomes.where(F.col("outcome") == "failed").select(*KEYS).write.mode("append").parquet(lay.retry)
     return -1
 
 
 def make_round(lay: Layout, stages=("ingest", "extract"), model=None, strict_high_water=False,
-               wait_s: float = ex.RETRY_WAIT_S):
+               wait_s: float = ex.RETRY_WAIT_S, reconcile_every: int = RECONCILE_EVERY):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        written = None
         if "ingest" in stages:
             t0, code, n = time.time(), 0, 0
             try:
-                n = ingest_round(batch, lay, strict_high_water)
+                n, written = ingest_round(batch, lay, strict_high_water)
             except Exception:   # the second stage still runs, as in the reference loop
                 code = 1
             _log(spark, lay, batch_id, "ingest", t0, code, n)
         if "extract" in stages:
+            # incremental unless this is a reconciliation round or ingest failed
+            full = written is None or (reconcile_every and batch_id % reconcile_every == 0)
             t0, code = time.time(), 0
             try:
-                extract_round(spark, lay, batch_id, model, wait_s)
+                extract_round(spark, lay, batch_id, model, wait_s, None if full else written)
             except Exception:
                 code = 2
             _log(spark, lay, batch_id, "extract", t0, code, 0)
@@ -142,10 +163,11 @@ def make_round(lay: Layout, stages=("ingest", "extract"), model=None, strict_hig
 
 def start(spark: SparkSession, landing: str, lay: Layout, once: bool = False,
           interval_s: int = DEFAULT_INTERVAL_S, stages=("ingest", "extract"), model=None,
-          strict_high_water: bool = False, wait_s: float = ex.RETRY_WAIT_S):
+          strict_high_water: bool = False, wait_s: float = ex.RETRY_WAIT_S,
+          reconcile_every: int = RECONCILE_EVERY):
     """Start the two-stage stream; ``once`` = one round over what is landed."""
     w = (spark.readStream.schema(RAW_MESSAGES).parquet(landing)
-         .writeStream.foreachBatch(make_round(lay, stages, model, strict_high_water, wait_s))
+         .writeStream.foreachBatch(make_round(lay, stages, model, strict_high_water, wait_s, reconcile_every))
          .option("checkpointLocation", lay.checkpoint))
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime=f"{interval_s} seconds")
     return w.start()
