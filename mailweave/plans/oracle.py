@@ -234,6 +234,10 @@ SELECT doc_id, n_chars::BIGINT AS size,
        ELSE source || ' x|' || lang || '|Inbox|ab cd' END AS labels
 FROM documents"""
 
+ORACLE["doc_scan"] = """
+SELECT (doc_id + 1)::VARCHAR AS id, md5(CASE WHEN doc_id % 7 = 0 THEN '' ELSE text END) AS body_md5
+FROM documents"""
+
 ORACLE["doc_sink_append"] = f"""
 WITH {KEYS}, {DOCS}
 SELECT account, mailbox, uid, 'existing' AS origin, NULL::VARCHAR AS subject FROM keys WHERE uid % 3 = 0

@@ -84,6 +84,19 @@ def q_provider_meta(spark, sf):
                     joined(F.col("m.labels")).alias("labels"))
 
 
+@query("doc_scan")
+def q_doc_scan(spark, sf):
+    """Export the F-C documents as ``<uid>.md`` files, list them back, and
+    return each id with the md5 of the body after the front matter."""
+    from ..session import scratch_path
+    from ..sources import tables as tb
+    folder = scratch_path(spark, "md-export")
+    tb.export_markdown(docs_only(spark, sf), folder)
+    listing = tb.doc_scan(spark, folder)
+    body = F.regexp_extract(F.col("text"), r"(?s)^---\n.*?\n---\n(.*)$", 1)
+    return listing.select("id", F.md5(body).alias("body_md5"))
+
+
 @query("doc_sink_append")
 def q_doc_sink_append(spark, sf):
     existing = fx.fixture_e_existing(spark, sf)

@@ -129,3 +129,41 @@ def write_once(df: DataFrame, path: str) -> DataFrame:
 def append_state(state: DataFrame, path: str) -> None:
     """Append marks to the state log (folded with ``max`` on read)."""
     state.select("account", "mailbox", F.col("last_uid").cast("bigint")).write.mode("append").parquet(path)
+
+
+def _write_files(base: str):
+    """mapInPandas body: write each (name, text) row as ``base/name`` and
+    report (name, path, bytes).  Rewriting the same name is harmless, so a
+    retried task is idempotent."""
+    def run(batches):
+        import pandas as pd
+        from pyarrow import fs as pafs
+        filesystem, root = pafs.FileSystem.from_uri(base)
+        filesystem.create_dir(root, recursive=True)
+        for pdf in batches:
+            out = []
+            for name, txt in zip(pdf["name"], pdf["text"]):
+                data = (txt or "").encode("utf-8")
+                p = f"{root.rstrip('/')}/{name}"
+                with filesystem.open_output_stream(p) as f:
+                    f.write(data)
+                out.append((name, p, len(data)))
+            yield pd.DataFrame(out, columns=["name", "path", "bytes"])
+    return run
+
+
+def export_markdown(docs: DataFrame, path: str) -> DataFrame:
+    """Write one ``<uid>.md`` file per document (front matter + body) into
+    ``path`` - the one-file-per-message layout, for users moving between the
+    two stores.  One folder should hold one mailbox (uids are unique only per
+    mailbox).  Runs in the tasks through ``pyarrow.fs`` (local, HDFS, S3);
+    returns the written (name, path, bytes) rows, already materialised.
+    """
+    from ..functions.frontmatter import render_markdown
+    if "://" not in path:
+        import os
+        path = "file://" + os.path.abspath(path)
+    src = docs.select(F.concat(F.col("uid").cast("string"), F.lit(".md")).alias("name"),
+                      render_markdown().alias("text"))
+    written = src.mapInPandas(_write_files(path), "name string, path string, bytes bigint")
+    return written.checkpoint(eager=True)
