@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from ..operators import extract as ex
 from ..operators import ingest as ig
+from ..operators import numbering as nb
 from ..operators import state as st
 from ..operators.report import ROUND_LOG
 from ..schemas import DOCUMENTS_MD, FAILURES, KEYS, NEWS_ITEMS, QUARANTINE, RAW_MESSAGES, RESULTS
@@ -62,9 +63,12 @@ def _log(spark, lay: Layout, rnd: int, stage: str, t0: float, code: int, rows: i
     df.write.mode("append").parquet(lay.round_log)
 
 
-def ingest_round(batch: DataFrame, lay: Layout, strict_high_water: bool = False) -> tuple[int, DataFrame]:
+def ingest_round(batch: DataFrame, lay: Layout, strict_high_water: bool = False,
+                 limit: int | None = None) -> tuple[int, DataFrame]:
     """One ingest round over a micro-batch of raw messages.
 
+    ``limit`` keeps only the newest ``limit`` messages per mailbox (the mark
+    still advances past the others, so they are never fetched later).
     Returns (messages parsed, keys of the documents written) - the keys are
     the extraction stage's candidates for this round.
     """
@@ -74,6 +78,8 @@ def ingest_round(batch: DataFrame, lay: Layout, strict_high_water: bool = False)
     state = st.fold(tb.read_table(spark, lay.state_log, "account string, mailbox string, last_uid bigint"))
     if strict_high_water:
         valid = ig.high_water_filter(valid, state)
+    if limit:
+        valid = nb.newest_n(valid, limit, ["account", "mailbox"])
     existing = tb.read_table(spark, lay.documents, DOCS_SCHEMA)
     # the batch's keys (key columns only) bound the part of the archive to compare with
     new = ig.insert_if_absent(valid, existing, state if strict_high_water else None, probe=rec.select(*KEYS))
@@ -94,9 +100,12 @@ def ingest_round(batch: DataFrame, lay: Layout, strict_high_water: bool = False)
 
 def extract_round(spark: SparkSession, lay: Layout, rnd: int,
                   model: Callable[[str], str] | None = None, wait_s: float = ex.RETRY_WAIT_S,
-                  candidates: DataFrame | None = None) -> int:
+                  candidates: DataFrame | None = None, limit: int | None = None) -> int:
     """One extraction round.
 
+    ``limit`` processes only the last ``limit`` pending documents per
+    mailbox in processing (uid) order; the rest stay pending.
+
     ``candidates`` = keys this round can have made pending (its new
     documents); the retry set (earlier failures) is added to them.  Without
     candidates the round reconciles the whole archive.
@@ -107,6 +116,12 @@ def extract_round(spark: SparkSession, lay: Layout, rnd: int,
     if candidates is not None:
         candidates = candidates.select(*KEYS).unionByName(tb.read_table(spark, lay.retry, KEY_SCHEMA))
     pending = ex.pending_docs(docs, results, quarantine, candidates=candidates)
+    if limit:
+        # the deferred rest goes to the retry log so an incremental round sees it again
+        pending = pending.checkpoint(eager=True)
+        chosen = nb.newest_n(pending, limit, ["account", "mailbox"])
+        pending.select(*KEYS).join(chosen.select(*KEYS), KEYS, "left_anti").write.mode("append").parquet(lay.retry)
+        pending = chosen
     if model is None:
         # one item array per pending document, computed once for both sinks;
         # checkpointed because the results append refreshes plans reading it
@@ -138,14 +153,15 @@ def extract_round(spark: SparkSession, lay: Layout, rnd: int,
 
 
 def make_round(lay: Layout, stages=("ingest", "extract"), model=None, strict_high_water=False,
-               wait_s: float = ex.RETRY_WAIT_S, reconcile_every: int = RECONCILE_EVERY):
+               wait_s: float = ex.RETRY_WAIT_S, reconcile_every: int = RECONCILE_EVERY,
+               ingest_limit: int | None = None, extract_limit: int | None = None):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         written = None
         if "ingest" in stages:
             t0, code, n = time.time(), 0, 0
             try:
-                n, written = ingest_round(batch, lay, strict_high_water)
+                n, written = ingest_round(batch, lay, strict_high_water, ingest_limit)
             except Exception:   # the second stage still runs, as in the reference loop
                 code = 1
             _log(spark, lay, batch_id, "ingest", t0, code, n)
@@ -154,7 +170,7 @@ def make_round(lay: Layout, stages=("ingest", "extract"), model=None, strict_hig
             full = written is None or (reconcile_every and batch_id % reconcile_every == 0)
             t0, code = time.time(), 0
             try:
-                extract_round(spark, lay, batch_id, model, wait_s, None if full else written)
+                extract_round(spark, lay, batch_id, model, wait_s, None if full else written, extract_limit)
             except Exception:
                 code = 2
             _log(spark, lay, batch_id, "extract", t0, code, 0)
@@ -164,10 +180,12 @@ def make_round(lay: Layout, stages=("ingest", "extract"), model=None, strict_hig
 def start(spark: SparkSession, landing: str, lay: Layout, once: bool = False,
           interval_s: int = DEFAULT_INTERVAL_S, stages=("ingest", "extract"), model=None,
           strict_high_water: bool = False, wait_s: float = ex.RETRY_WAIT_S,
-          reconcile_every: int = RECONCILE_EVERY):
+          reconcile_every: int = RECONCILE_EVERY, ingest_limit: int | None = None,
+          extract_limit: int | None = None):
     """Start the two-stage stream; ``once`` = one round over what is landed."""
     w = (spark.readStream.schema(RAW_MESSAGES).parquet(landing)
-         .writeStream.foreachBatch(make_round(lay, stages, model, strict_high_water, wait_s, reconcile_every))
+         .writeStream.foreachBatch(make_round(lay, stages, model, strict_high_water, wait_s, reconcile_every,
+                                             ingest_limit, extract_limit))
          .option("checkpointLocation", lay.checkpoint))
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime=f"{interval_s} seconds")
     return w.start()

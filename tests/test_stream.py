@@ -94,3 +94,22 @@ def test_incremental_extract_equals_full_reconciliation(spark):
     failed0 = ex.attempt_outcome(spark.read.parquet(f"{inc.attempts}/round=0")).where("outcome = 'failed'")
     called1 = spark.read.parquet(f"{inc.attempts}/round=1").select("uid").distinct()
     assert called1.count() == halves[1].count() + failed0.count()
+
+
+def test_strict_high_water_and_limits(spark):
+    lay = rounds.Layout(scratch_path(spark, "limits"))
+    raw = fx.fixture_a(spark, SF)                       # mailbox INBOX, uids 0..49
+    spark.createDataFrame([("desk", "INBOX", 30)], "account string, mailbox string, last_uid bigint") \
+        .write.parquet(lay.state_log)
+    n, written = rounds.ingest_round(raw, lay, strict_high_water=True, limit=5)
+    uids = sorted(r.uid for r in written.collect())
+    assert uids == [45, 46, 47, 48, 49]                 # above the mark, newest five only
+    assert rounds.read_outputs(spark, lay)["state"].first().last_uid == 49
+    # extraction limited to 2 per round; the deferred rest is picked up incrementally
+    rounds.extract_round(spark, lay, 0, candidates=written, limit=2)
+    done = {r.uid for r in spark.read.parquet(lay.results).collect()}
+    assert done == {48, 49}
+    rounds.extract_round(spark, lay, 1, candidates=written.limit(0), limit=2)
+    rounds.extract_round(spark, lay, 2, candidates=written.limit(0), limit=2)
+    done = sorted(r.uid for r in spark.read.parquet(lay.results).collect())
+    assert done == uids
