@@ -51,7 +51,7 @@ def invalid_records(raw: DataFrame) -> DataFrame:
     """The complement of :func:`valid_records`, in ``failures`` shape."""
     return raw.where(~is_valid(raw)).select(
         "account", "mailbox", "uid", F.lit("ingest").alias("stage"),
-        F.lit("empty uid or raw message").alias("error"))
+        F.lit(mime.INVALID_RECORD).alias("error"))
 
 
 # ---------------------------------------------------------------------------
@@ -188,8 +188,12 @@ def to_documents(parsed: DataFrame, keep_html: bool = False, html_converter=None
 
 
 def parse_failures(parsed: DataFrame) -> DataFrame:
+    """Failure rows of the parse stage; records that were invalid on arrival
+    (uid 0, empty message) are reported as ingest failures."""
+    invalid = F.col("parse_error") == mime.INVALID_RECORD
     return parsed.where(F.col("parse_error").isNotNull()).select(
-        "account", "mailbox", "uid", F.lit("parse").alias("stage"), F.col("parse_error").alias("error"))
+        "account", "mailbox", "uid", F.when(invalid, F.lit("ingest")).otherwise(F.lit("parse")).alias("stage"),
+        F.col("parse_error").alias("error"))
 
 
 # ---------------------------------------------------------------------------

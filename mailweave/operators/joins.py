@@ -56,3 +56,18 @@ def anti_join_recent(left: DataFrame, right: DataFrame, keys: list[str], probe:
     ``right`` outside every range cannot match a row of ``left``."""
     p = (probe if probe is not None else left).select(*keys)
     return anti_join(left, within_ranges(right.select(*keys), p, group, key), keys)
+
+
+def dedupe_by_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key without shuffling the wide rows.
+
+    Duplicate keys (the same message landed twice) are rare.  Their set is
+    found from the key columns alone (a partial count) and, when within the
+    broadcast bound, rows with a unique key stay where they are; only the
+    duplicated rows are shuffled and reduced to one per key.
+    """
+    dups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(*keys)
+    d = bounded_broadcast(dups)
+    unique = df.join(d, keys, "left_anti")
+    repeated = df.join(d, keys, "left_semi").dropDuplicates(keys)
+    return unique.unionByName(repeated)

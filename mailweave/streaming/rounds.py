@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from ..operators import extract as ex
 from ..operators import ingest as ig
+from ..operators import joins
 from ..operators import numbering as nb
 from ..operators import state as st
 from ..operators.report import ROUND_LOG
@@ -74,15 +75,18 @@ def ingest_round(batch: DataFrame, lay: Layout, strict_high_water: bool = False,
     """
     spark = batch.sparkSession
     rec = ig.normalize_records(batch)
-    valid = ig.valid_records(rec).dropDuplicates(KEYS)
+    keys = rec.select(*KEYS)               # key columns only: never reads the raw bytes
+    cand = joins.dedupe_by_key(rec, KEYS)  # shuffles only duplicated landings
     state = st.fold(tb.read_table(spark, lay.state_log, "account string, mailbox string, last_uid bigint"))
     if strict_high_water:
-        valid = ig.high_water_filter(valid, state)
+        cand = ig.high_water_filter(cand, state)
     if limit:
-        valid = nb.newest_n(valid, limit, ["account", "mailbox"])
+        cand = nb.newest_n(cand, limit, ["account", "mailbox"])
     existing = tb.read_table(spark, lay.documents, DOCS_SCHEMA)
-    # the batch's keys (key columns only) bound the part of the archive to compare with
-    new = ig.insert_if_absent(valid, existing, state if strict_high_water else None, probe=rec.select(*KEYS))
+    # the batch's keys bound the part of the archive to compare with
+    new = ig.insert_if_absent(cand, existing, state if strict_high_water else None, probe=keys)
+    # Invalid records (uid 0, empty message) ride along and come out of the
+    # parse stage flagged, so the raw column is read exactly once.
     # Reliable checkpoint, not persist: appending to the documents folder
     # makes Spark refresh every cached plan that reads it, which would
     # recompute this round against the new listing.  The checkpoint also
@@ -90,12 +94,12 @@ def ingest_round(batch: DataFrame, lay: Layout, strict_high_water: bool = False,
     parsed = ig.parse_messages(new).checkpoint(eager=True)
     docs = ig.to_documents(parsed, keep_html=True)
     docs.write.mode("append").partitionBy(*tb.PARTITION_COLS).parquet(lay.documents)
-    fails = ig.invalid_records(rec).unionByName(ig.parse_failures(parsed))
-    fails.write.mode("append").parquet(lay.failures)
-    # state last: a crash before this line replays harmlessly
-    tb.append_state(st.advance(None, ig.valid_records(rec)), lay.state_log)
+    ig.parse_failures(parsed).write.mode("append").parquet(lay.failures)
+    # state last: a crash before this line replays harmlessly.  Every fetched
+    # record counts toward the mark, as in the reference.
+    tb.append_state(st.advance(None, keys.where(F.col("uid") > 0)), lay.state_log)
     written = parsed.where(F.col("parse_error").isNull()).select(*KEYS)
-    return parsed.count(), written
+    return parsed.where(F.col("parse_error").isNull()).count(), written
 
 
 def extract_round(spark: SparkSession, lay: Layout, rnd: int,

@@ -159,3 +159,12 @@ def test_html_to_text_matches_python_chain(spark):
     df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "id int, html string")
     got = {r.id: r.t for r in df.select("id", text.html_to_text(F.col("html")).alias("t")).collect()}
     assert got == {i: py(p) for i, p in enumerate(pages)}
+
+
+def test_dedupe_by_key_keeps_one_row_per_key(spark):
+    from mailweave.operators.joins import dedupe_by_key
+    rows = [("a", "m", u, f"body{u}") for u in range(50)] + [("a", "m", 7, "body7"), ("a", "m", 7, "body7"),
+                                                            ("b", "x", 1, "once")]
+    df = spark.createDataFrame(rows, "account string, mailbox string, uid bigint, raw string")
+    got = sorted(tuple(r) for r in dedupe_by_key(df, ["account", "mailbox", "uid"]).collect())
+    assert got == sorted(set(rows))
