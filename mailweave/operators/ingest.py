@@ -148,9 +148,14 @@ def local_minute(date_iso: Column) -> Column:
                   F.concat(F.substring(date_iso, 1, 10), F.lit(" "), F.substring(date_iso, 12, 5)))
 
 
-def to_documents(parsed: DataFrame, keep_html: bool = False, html_converter=None) -> DataFrame:
+def to_documents(parsed: DataFrame, keep_html: bool = False, html_converter=None,
+                 skip_empty_plain: bool = False) -> DataFrame:
     """``documents_md`` rows from parsed messages (failed parses excluded).
 
+    By default an empty text/plain part still wins over HTML (the reference
+    behaviour); ``skip_empty_plain=True`` lets HTML win when the joined
+    plain text is empty after stripping.
+
     Two projections: the first computes every native column and the HTML
     text with its tags removed; the second decodes entities and strips.  The
     split keeps Spark from evaluating the regex chain twice around the
@@ -172,7 +177,8 @@ def to_documents(parsed: DataFrame, keep_html: bool = False, html_converter=None
         text.format_addresses(F.col("to_list")).alias("to"),
         text.format_addresses(F.col("cc_list")).alias("cc"),
         "size", "labels", "thread_id",
-        F.when(F.size(plain) > 0, text.strip(_joined(plain))).alias("_plain"),
+        (F.when((F.size(plain) > 0) & (text.strip(_joined(plain)) != ""), text.strip(_joined(plain)))
+         if skip_empty_plain else F.when(F.size(plain) > 0, text.strip(_joined(plain)))).alias("_plain"),
         F.when(F.size(html) > 0, html_joined if html_converter else text.html_tags_to_text(html_joined))
         .alias("_html"),
         attachment_names(parts).alias("attachments"),

@@ -121,3 +121,14 @@ def test_single_part_skips_attachment_test(docs):
 
 def test_html_parts_joined_before_conversion(docs):
     assert docs[10].body == "only html\n\n\n\nsecond"
+
+
+def test_skip_empty_plain_option(spark):
+    raw = mp(["From: a@x.org"], ["Content-Type: text/plain; charset=utf-8\r\n\r\n  ",
+                                 "Content-Type: text/html; charset=utf-8\r\n\r\n<p>from html</p>"])
+    df = spark.createDataFrame([("acc", "INBOX", 1, raw, None, None, None)],
+                               "account string, mailbox string, uid bigint, raw binary, size bigint, "
+                               "labels array<string>, thread_id string")
+    parsed = ig.parse_messages(ig.normalize_records(df))
+    assert ig.to_documents(parsed).first().body == ""
+    assert ig.to_documents(parsed, skip_empty_plain=True).first().body == "from html"
