@@ -167,3 +167,37 @@ def export_markdown(docs: DataFrame, path: str) -> DataFrame:
                       render_markdown().alias("text"))
     written = src.mapInPandas(_write_files(path), "name string, path string, bytes bigint")
     return written.checkpoint(eager=True)
+
+
+COMPACT_RANGE_BITS = 20      # one output file per ~1M-uid range of a mailbox
+
+
+def compact_table(spark: SparkSession, path: str, schema: str, partition_cols: list[str] | None = None,
+                  fold=None, key: str = "uid") -> None:
+    """Rewrite a table folder into fewer, larger files (optionally folded).
+
+    Appends of many rounds leave many small files; this reads the table,
+    applies ``fold`` (e.g. the state log's ``max`` per mailbox), writes the
+    result to a staging folder in the shared scratch area and replaces the
+    table's partitions from there.  Rows are laid out by (partition, key
+    range), so a hot mailbox becomes several files written by several tasks.
+    Run it between rounds (inside ``foreachBatch``), never beside a writer.
+    """
+    if not path_exists(spark, path):
+        return
+    df = spark.read.schema(schema).parquet(path)
+    if fold is not None:
+        df = fold(df)
+    parts = partition_cols or []
+    spread = [*parts, F.shiftright(F.col(key), COMPACT_RANGE_BITS)] if key in df.columns else parts
+    staging = scratch_path(spark, "compact-staging")
+    w = (df.repartition(*spread) if spread else df.coalesce(1)).write.mode("overwrite")
+    (w.partitionBy(*parts) if parts else w).parquet(staging)
+    staged = spark.read.schema(schema).parquet(staging)
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if parts else "static")
+    try:
+        w2 = staged.write.mode("overwrite")
+        (w2.partitionBy(*parts) if parts else w2).parquet(path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)

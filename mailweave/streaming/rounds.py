@@ -158,9 +158,11 @@ def extract_round(spark: SparkSession, lay: Layout, rnd: int,
 
 def make_round(lay: Layout, stages=("ingest", "extract"), model=None, strict_high_water=False,
                wait_s: float = ex.RETRY_WAIT_S, reconcile_every: int = RECONCILE_EVERY,
-               ingest_limit: int | None = None, extract_limit: int | None = None):
+               ingest_limit: int | None = None, extract_limit: int | None = None, compact_every: int = 0):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            compact(spark, lay)
         written = None
         if "ingest" in stages:
             t0, code, n = time.time(), 0, 0
@@ -181,15 +183,24 @@ def make_round(lay: Layout, stages=("ingest", "extract"), model=None, strict_hig
     return run
 
 
+def compact(spark: SparkSession, lay: Layout) -> None:
+    """Compact the appended tables between two rounds (state log folded)."""
+    state_schema = "account string, mailbox string, last_uid bigint"
+    tb.compact_table(spark, lay.documents, DOCS_SCHEMA, tb.PARTITION_COLS)
+    tb.compact_table(spark, lay.results, RESULTS)
+    tb.compact_table(spark, lay.news_items, NEWS_ITEMS)
+    tb.compact_table(spark, lay.state_log, state_schema, fold=st.fold, key="last_uid")
+
+
 def start(spark: SparkSession, landing: str, lay: Layout, once: bool = False,
           interval_s: int = DEFAULT_INTERVAL_S, stages=("ingest", "extract"), model=None,
           strict_high_water: bool = False, wait_s: float = ex.RETRY_WAIT_S,
           reconcile_every: int = RECONCILE_EVERY, ingest_limit: int | None = None,
-          extract_limit: int | None = None):
+          extract_limit: int | None = None, compact_every: int = 0):
     """Start the two-stage stream; ``once`` = one round over what is landed."""
     w = (spark.readStream.schema(RAW_MESSAGES).parquet(landing)
          .writeStream.foreachBatch(make_round(lay, stages, model, strict_high_water, wait_s, reconcile_every,
-                                             ingest_limit, extract_limit))
+                                             ingest_limit, extract_limit, compact_every))
          .option("checkpointLocation", lay.checkpoint))
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime=f"{interval_s} seconds")
     return w.start()

@@ -113,3 +113,20 @@ def test_strict_high_water_and_limits(spark):
     rounds.extract_round(spark, lay, 2, candidates=written.limit(0), limit=2)
     done = sorted(r.uid for r in spark.read.parquet(lay.results).collect())
     assert done == uids
+
+
+def test_compaction_keeps_tables_equal(spark):
+    lay = rounds.Layout(scratch_path(spark, "compact"))
+    raw = fx.fixture_b(spark, SF)
+    for i in range(3):
+        _, written = rounds.ingest_round(raw.where(F.col("uid") % 3 == i), lay)
+        rounds.extract_round(spark, lay, i, candidates=None if i == 0 else written)
+    before = {k: sorted(map(tuple, v.collect())) for k, v in rounds.read_outputs(spark, lay).items()
+              if k in ("documents", "news_items", "results", "state")}
+    n_files = len(spark.read.parquet(lay.documents).inputFiles())
+    rounds.compact(spark, lay)
+    after = {k: sorted(map(tuple, v.collect())) for k, v in rounds.read_outputs(spark, lay).items()
+             if k in ("documents", "news_items", "results", "state")}
+    assert before == after
+    assert len(spark.read.parquet(lay.documents).inputFiles()) < n_files
+    assert spark.read.parquet(lay.state_log).count() == 1
