@@ -15,8 +15,9 @@ def build_session(master: str | None = None, app: str = "mailweave",
 
     AQE stays on (partition coalescing + skew-join splitting), the UI stays
     off, time zone is pinned to UTC so timestamp strings are reproducible and
-    Arrow batches are 200 records - the reference's fetch batch size, which
-    also bounds Python-side memory when a batch holds large raw messages.
+    Arrow batches are 200 records (the reference's fetch batch size) and at
+    most 64 MB, which bounds Python-side memory when a batch holds large raw
+    messages.
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -32,6 +33,9 @@ def build_session(master: str | None = None, app: str = "mailweave",
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "200")
+        # ...and never more than 64 MB per batch, so 200 large messages with
+        # attachments cannot exhaust a Python worker
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
         # model calls are not repeatable: never run a task twice on purpose
         .config("spark.speculation", "false")
         .getOrCreate()
