@@ -29,23 +29,25 @@ def read_raw_parquet(spark: SparkSession, path: str) -> DataFrame:
     return normalize_records(spark.read.schema(RAW_MESSAGES).parquet(path))
 
 
-def read_eml_files(spark: SparkSession, path: str, account: str, mailbox: str,
-                   glob: str = "*.eml") -> DataFrame:
-    """A folder of ``<uid>.eml`` files as raw messages of one mailbox.
-
-    ``binaryFile`` gives (path, modificationTime, length, content); the uid
-    is the file stem.  Files whose stem is not a number get uid 0, which the
-    validity filter rejects.
-    """
-    df = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+def eml_records(files: DataFrame, account: str, mailbox: str) -> DataFrame:
+    """``binaryFile`` rows (path, modificationTime, length, content) -> raw
+    messages of one mailbox; the uid is the file stem, a non-numeric stem
+    gives uid 0 (rejected as invalid downstream)."""
     stem = F.regexp_extract(F.col("path"), r"([^/]+)\.[^./]+$", 1)
-    return normalize_records(df.select(
+    return normalize_records(files.select(
         F.lit(account).alias("account"), F.lit(mailbox).alias("mailbox"),
         F.coalesce(F.when(stem.rlike(r"^[0-9]+$"), stem.cast("bigint")), F.lit(0)).alias("uid"),
         F.col("content").alias("raw"), F.col("length").alias("size"),
         F.lit(None).cast("array<string>").alias("labels"), F.lit(None).cast("string").alias("thread_id")))
 
 
+def read_eml_files(spark: SparkSession, path: str, account: str, mailbox: str,
+                   glob: str = "*.eml") -> DataFrame:
+    """A folder of ``<uid>.eml`` files as raw messages of one mailbox."""
+    return eml_records(spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path),
+                       account, mailbox)
+
+
 def doc_scan(spark: SparkSession, path: str, glob: str = "*.md") -> DataFrame:
     """Document files: id = file stem, whole text, modification time.
 

@@ -206,6 +206,20 @@ def start(spark: SparkSession, landing: str, lay: Layout, once: bool = False,
     return w.start()
 
 
+def start_eml(spark: SparkSession, landing: str, account: str, mailbox: str, lay: Layout,
+              once: bool = False, interval_s: int = DEFAULT_INTERVAL_S, **round_opts):
+    """The same rounds over a folder of landed ``<uid>.eml`` files (a
+    ``binaryFile`` file stream; each new file is one message)."""
+    files = (spark.readStream.format("binaryFile")
+             .schema("path string, modificationTime timestamp, length bigint, content binary")
+             .option("pathGlobFilter", "*.eml").load(landing))
+    raw = tb.eml_records(files, account, mailbox)
+    rnd = make_round(lay, **round_opts)
+    w = raw.writeStream.foreachBatch(rnd).option("checkpointLocation", lay.checkpoint)
+    w = w.trigger(availableNow=True) if once else w.trigger(processingTime=f"{interval_s} seconds")
+    return w.start()
+
+
 def read_outputs(spark: SparkSession, lay: Layout) -> dict[str, DataFrame]:
     return {
         "documents": tb.read_table(spark, lay.documents, DOCS_SCHEMA),

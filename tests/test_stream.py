@@ -130,3 +130,28 @@ def test_compaction_keeps_tables_equal(spark):
     assert before == after
     assert len(spark.read.parquet(lay.documents).inputFiles()) < n_files
     assert spark.read.parquet(lay.state_log).count() == 1
+
+
+def test_eml_folder_stream(spark):
+    import os
+    lay = rounds.Layout(scratch_path(spark, "eml-stream"))
+    land = scratch_path(spark, "eml-landing")
+    os.makedirs(land)
+
+    def eml(u, sender):
+        return (f"From: N <{sender}@x.org>\r\nSubject: s{u}\r\nContent-Type: text/html\r\n\r\n"
+                f'<p>hi</p><a href="https://x/{u}">t{u}</a>').encode()
+    for u in (3, 4, 5):
+        with open(os.path.join(land, f"{u}.eml"), "wb") as f:
+            f.write(eml(u, f"n{u}"))
+    rounds.start_eml(spark, land, "acc", "INBOX", lay, once=True, wait_s=0.0).awaitTermination()
+    with open(os.path.join(land, "6.eml"), "wb") as f:          # a later arrival
+        f.write(eml(6, "n3"))
+    rounds.start_eml(spark, land, "acc", "INBOX", lay, once=True, wait_s=0.0).awaitTermination()
+    out = rounds.read_outputs(spark, lay)
+    assert sorted((r.uid, r.subject) for r in out["documents"].collect()) == [
+        (3, "s3"), (4, "s4"), (5, "s5"), (6, "s6")]
+    items = sorted((r.uid, r.url, r.sender) for r in out["news_items"].collect())
+    assert items == [(3, "https://x/3", "n3@x.org"), (4, "https://x/4", "n4@x.org"),
+                     (5, "https://x/5", "n5@x.org"), (6, "https://x/6", "n3@x.org")]
+    assert out["state"].first().last_uid == 6
