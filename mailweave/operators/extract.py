@@ -54,8 +54,12 @@ def pending_docs(docs: DataFrame, results: DataFrame, quarantine: DataFrame | No
     archive.
     """
     if candidates is None:
-        p = anti_join(docs, results, keys)
-        return p if quarantine is None else anti_join(p, quarantine, keys)
+        # keys-only anti-joins, then the wide rows (body, html) by a semi-join:
+        # map-side whenever the pending set is within the broadcast bound
+        pk = anti_join(docs.select(*keys), results, keys)
+        if quarantine is not None:
+            pk = anti_join(pk, quarantine, keys)
+        return docs.join(bounded_broadcast(pk), keys, "left_semi")
     cand = candidates.select(*keys).distinct()
     p = docs.join(bounded_broadcast(cand), keys, "left_semi")
     p = anti_join_recent(p, results, keys, cand)
