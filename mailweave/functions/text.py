@@ -1,16 +1,15 @@
 """Native text expressions: HTML to text, strip, address formatting, JSON repair.
 
 Everything here returns a ``Column`` built from ``pyspark.sql.functions`` so
-it stays inside whole-stage codegen.  Python is used in two narrow places,
-both Arrow-batched and both fed ``NULL`` for the rows that do not need them:
-full HTML entity decoding (rows with an entity outside the native list) and
-strict JSON validity (``json.loads`` semantics differ from Spark's parser).
+it stays inside whole-stage codegen.  Python is used in one narrow place,
+Arrow-batched and fed ``NULL`` for the rows that do not need it: full HTML
+entity decoding (rows with an entity outside the native list).  JSON
+validity (``json.loads`` semantics) lives with the repair step.
 """
 
 from __future__ import annotations
 
 import html as _html
-import json as _json
 
 import pandas as pd
 from pyspark.sql import Column
@@ -98,22 +97,6 @@ def address_of(c: Column) -> Column:
 # ---------------------------------------------------------------------------
 # JSON: validity and fence repair
 # ---------------------------------------------------------------------------
-def _loads_ok(x) -> bool | None:
-    if x is None:
-        return None
-    try:
-        _json.loads(x)
-        return True
-    except ValueError:
-        return False
-
-
-@F.pandas_udf(T.BooleanType())
-def json_valid(s: pd.Series) -> pd.Series:
-    """``json.loads`` succeeds (Python semantics: NaN ok, trailing text not)."""
-    return s.map(_loads_ok).astype("boolean")
-
-
 def fence_slice(c: Column) -> Column:
     """From the first ``[`` to the last ``]``; NULL when there is none in order."""
     first = F.locate("[", c)                               # 1-based, 0 = absent

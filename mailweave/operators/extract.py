@@ -167,9 +167,9 @@ def batch_extract(prompts: DataFrame, model: Callable[..., str], max_attempts: i
     ``model(prompt) -> str`` answers or raises; a model that also takes a
     keyword ``attempt`` is told the 1-based attempt number.  ``concurrency``
     bounds the number of simultaneous callers (tasks).  The result is not
-    repeatable (a remote model is not deterministic): persist it with
-    :func:`mailweave.sources.tables.write_once` before deriving anything, so
-    that no recomputation calls the model again.
+    repeatable (a remote model is not deterministic): write it to storage
+    before deriving anything (the stream keeps one attempt log per round and
+    reuses it on replay), so that no recomputation calls the model again.
     """
     src = prompts.select(*keys, prompt_col)
     if concurrency:

@@ -123,18 +123,6 @@ def html_source(parts: Column) -> Column:
     return F.when(F.size(h) > 0, _joined(h))
 
 
-def body_select(parts: Column, html_converter=text.html_to_text) -> Column:
-    # Column form (one projection); ``to_documents`` uses a two-step form.
-    """text/plain parts joined by a blank line and stripped; only when there
-    is no text/plain part at all, the HTML parts converted; else ``""``.
-    An empty text/plain part still wins over HTML."""
-    plain = _text_parts(parts, "text/plain")
-    html = _text_parts(parts, "text/html")
-    return (F.when(F.size(plain) > 0, text.strip(_joined(plain)))
-            .when(F.size(html) > 0, html_converter(text.strip(_joined(html))))
-            .otherwise(F.lit("")))
-
-
 def attachment_names(parts: Column) -> Column:
     """Decoded file names of attachment parts in part order; unnamed ones are
     excluded from the body but not listed."""

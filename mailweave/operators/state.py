@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schemas import STATE
 
 
 def fold(state_log: DataFrame) -> DataFrame:
@@ -88,7 +87,3 @@ def to_json_by_account(state: DataFrame) -> DataFrame:
     entry = F.struct(state_key(F.col("account"), F.col("mailbox")).alias("k"), F.col("last_uid").alias("v"))
     return (state.groupBy("account")
             .agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(entry)))).alias("state_json")))
-
-
-def empty_state(spark) -> DataFrame:
-    return spark.createDataFrame([], STATE)

@@ -121,13 +121,6 @@ def overwrite_keys(new: DataFrame, existing: DataFrame, path: str, keys: list[st
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
-def write_once(df: DataFrame, path: str) -> DataFrame:
-    """Materialise a non-repeatable result (model attempts) and read it back;
-    everything downstream reads the stored copy, never the plan."""
-    df.write.mode("append").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def append_state(state: DataFrame, path: str) -> None:
     """Append marks to the state log (folded with ``max`` on read)."""
     state.select("account", "mailbox", F.col("last_uid").cast("bigint")).write.mode("append").parquet(path)

@@ -2,6 +2,8 @@
 
 import os
 
+from pyspark.sql import functions as F
+
 from mailweave.operators import ingest as ig
 from mailweave.session import scratch_path
 from mailweave.sources import tables as tb
@@ -56,3 +58,14 @@ def test_overwrite_keys_replaces_touched_rows(spark):
     tb.append_if_absent(new.union(spark.createDataFrame([("a", "n", 9, "x")], new.schema)),
                         spark.read.parquet(path), path)
     assert spark.read.parquet(path).count() == 5
+
+
+def test_read_raw_parquet_normalises(spark):
+    from mailweave.sources import fixtures as fx
+    path = scratch_path(spark, "landed")
+    fx.fixture_c(spark, "/root/testdata/sf0.001").write.parquet(path)
+    df = tb.read_raw_parquet(spark, path)
+    rows = df.select("uid", "size", F.octet_length("raw").alias("n"), "thread_id").collect()
+    assert len(rows) == 200
+    assert all(r.size == r.n for r in rows)          # NULL / 0 sizes fall back to the byte length
+    assert {r.thread_id for r in rows if r.uid % 4 == 1} == {None}
