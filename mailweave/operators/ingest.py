@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import mime, text
 from ..schemas import KEYS, PARSED
-from .joins import anti_join, anti_join_recent, bounded_broadcast
+from .joins import anti_join, anti_join_recent, bounded_broadcast, within_ranges
 
 RAW_COLS = ["account", "mailbox", "uid", "raw", "size", "labels", "thread_id"]
 
@@ -253,4 +253,5 @@ def item_defaults(items: DataFrame, docs: DataFrame) -> DataFrame:
     mailbox is huge; only the two message columns are read from ``docs``."""
     d = docs.select(*KEYS, local_minute(F.col("date_iso")).alias("_msg_date"),
                     text.address_of(F.col("from_addr")).alias("_msg_sender"))
+    d = within_ranges(d, items.select(*KEYS))      # only the documents the items can belong to
     return apply_item_defaults(items.join(d, KEYS, "left"))

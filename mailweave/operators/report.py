@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import KEYS
+from .joins import within_ranges
 
 
 def _flag(df: DataFrame, name: str) -> DataFrame:
@@ -15,10 +16,12 @@ def _flag(df: DataFrame, name: str) -> DataFrame:
 def run_reconcile(listed: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
     """Per listed uid: ``skipped`` if its document existed before the run,
     ``new`` if it exists only after, ``missing`` if it exists in neither.
-    Exact, by key sets - not by file times.  Joins on the full key."""
-    j = (listed.select(*KEYS)
-         .join(_flag(before, "_b"), KEYS, "left")
-         .join(_flag(after, "_a"), KEYS, "left"))
+    Exact, by key sets - not by file times.  Joins on the full key, with the
+    document key sets first cut to the listed uids' ranges per mailbox."""
+    keys = listed.select(*KEYS)
+    j = (keys
+         .join(_flag(within_ranges(before.select(*KEYS), keys), "_b"), KEYS, "left")
+         .join(_flag(within_ranges(after.select(*KEYS), keys), "_a"), KEYS, "left"))
     status = (F.when(F.col("_b"), F.lit("skipped"))
               .when(F.col("_a"), F.lit("new"))
               .otherwise(F.lit("missing")))
