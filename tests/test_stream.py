@@ -155,3 +155,18 @@ def test_eml_folder_stream(spark):
     assert items == [(3, "https://x/3", "n3@x.org"), (4, "https://x/4", "n4@x.org"),
                      (5, "https://x/5", "n5@x.org"), (6, "https://x/6", "n3@x.org")]
     assert out["state"].first().last_uid == 6
+
+
+def test_failed_ingest_does_not_stop_extraction(spark, monkeypatch):
+    lay = rounds.Layout(scratch_path(spark, "isolation"))
+    rounds.ingest_round(fx.fixture_a(spark, SF), lay)        # documents stored by an earlier round
+
+    def broken(*a, **k):
+        raise RuntimeError("mail source unreachable")
+    monkeypatch.setattr(rounds, "ingest_round", broken)
+    rnd = rounds.make_round(lay, wait_s=0.0)
+    rnd(fx.fixture_a(spark, SF), 7)
+    log = {r.stage: r.exit_code for r in spark.read.parquet(lay.round_log).collect()}
+    assert log == {"ingest": 1, "extract": 0}
+    # extraction ran as a full reconciliation over what was already stored
+    assert spark.read.parquet(lay.results).count() == fx.fixture_a(spark, SF).where("uid <> 0").count()
