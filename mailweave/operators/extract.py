@@ -59,6 +59,10 @@ def pending_docs(docs: DataFrame, results: DataFrame, quarantine: DataFrame | No
         pk = anti_join(docs.select(*keys), results, keys)
         if quarantine is not None:
             pk = anti_join(pk, quarantine, keys)
+        # materialised once (keys only): the size check and the join read it
+        from ..session import shared_dir
+        shared_dir(docs.sparkSession)
+        pk = pk.checkpoint(eager=True)
         return docs.join(bounded_broadcast(pk), keys, "left_semi")
     cand = candidates.select(*keys).distinct()
     p = docs.join(bounded_broadcast(cand), keys, "left_semi")
