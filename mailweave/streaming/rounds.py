@@ -148,7 +148,7 @@ def extract_round(spark: SparkSession, lay: Layout, rnd: int,
     # materialised once: the appends below must not change what this round wrote
     res = ex.new_results(ex.repair(outcomes), results).checkpoint(eager=True)
     res.write.mode("append").parquet(lay.results)
-    ex.quarantine_rows(outcomes).join(quarantine.select(*KEYS), KEYS, "left_anti") \
+    joins.anti_join_recent(ex.quarantine_rows(outcomes), quarantine, KEYS) \
         .write.mode("append").parquet(lay.quarantine)
     ig.item_defaults(ex.news_items(res), docs).write.mode("append").parquet(lay.news_items)
     # failed documents are retried in later rounds (no result exists for them)
