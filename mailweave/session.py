@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, app: str = "mailweave",
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, extra_conf: dict | None = None) -> SparkSession:
     """A session with the settings every job here relies on.
 
     AQE stays on (partition coalescing + skew-join splitting), the UI stays
@@ -24,6 +24,8 @@ def build_session(master: str | None = None, app: str = "mailweave",
         b = b.master(master)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (extra_conf or {}).items():
+        b = b.config(k, v)
     spark = (
         b.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
