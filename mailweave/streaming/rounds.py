@@ -65,11 +65,13 @@ def _log(spark, lay: Layout, rnd: int, stage: str, t0: float, code: int, rows: i
 
 
 def ingest_round(batch: DataFrame, lay: Layout, strict_high_water: bool = False,
-                 limit: int | None = None) -> tuple[int, DataFrame]:
+                 limit: int | None = None, redownload: bool = False) -> tuple[int, DataFrame]:
     """One ingest round over a micro-batch of raw messages.
 
     ``limit`` keeps only the newest ``limit`` messages per mailbox (the mark
     still advances past the others, so they are never fetched later).
+    ``redownload`` replaces stored documents of the same key instead of
+    skipping them (dynamic partition overwrite through a staging folder).
     Returns (messages parsed, keys of the documents written) - the keys are
     the extraction stage's candidates for this round.
     """
@@ -84,7 +86,8 @@ def ingest_round(batch: DataFrame, lay: Layout, strict_high_water: bool = False,
         cand = nb.newest_n(cand, limit, ["account", "mailbox"])
     existing = tb.read_table(spark, lay.documents, DOCS_SCHEMA)
     # the batch's keys bound the part of the archive to compare with
-    new = ig.insert_if_absent(cand, existing, state if strict_high_water else None, probe=keys)
+    new = cand if redownload else ig.insert_if_absent(cand, existing, state if strict_high_water else None,
+                                                      probe=keys)
     # Invalid records (uid 0, empty message) ride along and come out of the
     # parse stage flagged, so the raw column is read exactly once.
     # Reliable checkpoint, not persist: appending to the documents folder
@@ -93,7 +96,10 @@ def ingest_round(batch: DataFrame, lay: Layout, strict_high_water: bool = False,
     # means a lost executor never re-runs the parse.
     parsed = ig.parse_messages(new).checkpoint(eager=True)
     docs = ig.to_documents(parsed, keep_html=True)
-    docs.write.mode("append").partitionBy(*tb.PARTITION_COLS).parquet(lay.documents)
+    if redownload:
+        tb.overwrite_keys(docs, existing, lay.documents)
+    else:
+        docs.write.mode("append").partitionBy(*tb.PARTITION_COLS).parquet(lay.documents)
     ig.parse_failures(parsed).write.mode("append").parquet(lay.failures)
     # state last: a crash before this line replays harmlessly.  Every fetched
     # record counts toward the mark, as in the reference.

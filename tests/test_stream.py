@@ -170,3 +170,20 @@ def test_failed_ingest_does_not_stop_extraction(spark, monkeypatch):
     assert log == {"ingest": 1, "extract": 0}
     # extraction ran as a full reconciliation over what was already stored
     assert spark.read.parquet(lay.results).count() == fx.fixture_a(spark, SF).where("uid <> 0").count()
+
+
+def test_redownload_replaces_documents(spark):
+    lay = rounds.Layout(scratch_path(spark, "redownload"))
+    schema = ("account string, mailbox string, uid bigint, raw binary, size bigint, "
+              "labels array<string>, thread_id string")
+
+    def batch(tag, uids):
+        return spark.createDataFrame(
+            [("acc", "INBOX", u, f"From: a@x.org\r\nSubject: {tag}{u}\r\n\r\nbody".encode(), None, None, None)
+             for u in uids], schema)
+    rounds.ingest_round(batch("old", [1, 2, 3]), lay)
+    rounds.ingest_round(batch("new", [2, 3]), lay)                  # insert-if-absent: skipped
+    subj = lambda: sorted((r.uid, r.subject) for r in rounds.read_outputs(spark, lay)["documents"].collect())
+    assert subj() == [(1, "old1"), (2, "old2"), (3, "old3")]
+    rounds.ingest_round(batch("new", [2, 3]), lay, redownload=True)  # replaced by key
+    assert subj() == [(1, "old1"), (2, "new2"), (3, "new3")]
