@@ -5,19 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a "small" side may have before it is shipped to every executor.
-# State and key-set tables are one row per mailbox (or per id), so they are
+# Rows a "small" side may have before it is shipped to every executor.  The
+# small sides here are narrow key tables (two strings and one or two longs,
+# ~50 bytes a row), so 500k rows stay in the tens of MB per executor.  State
+# and key-set tables are one row per mailbox (or per key of one round) and are
 # usually far below this; beyond it the join stays a shuffle join and AQE
 # (skew-join splitting, runtime broadcast conversion) takes over.
-BROADCAST_MAX_ROWS = 2_000_000
+# Tunable per session: spark.mailweave.broadcastMaxRows.
+BROADCAST_MAX_ROWS = 500_000
+BROADCAST_MAX_ROWS_CONF = "spark.mailweave.broadcastMaxRows"
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def bounded_broadcast(small: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``broadcast(small)`` if it has at most ``max_rows`` rows, else ``small``.
 
     The check reads at most ``max_rows + 1`` rows (the limit stops the scan
     early), so it is cheap exactly when the broadcast is allowed.
     """
+    if max_rows is None:
+        max_rows = int(small.sparkSession.conf.get(BROADCAST_MAX_ROWS_CONF, str(BROADCAST_MAX_ROWS)))
     n = small.limit(max_rows + 1).count()
     return F.broadcast(small) if n <= max_rows else small
 

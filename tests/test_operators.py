@@ -168,3 +168,17 @@ def test_dedupe_by_key_keeps_one_row_per_key(spark):
     df = spark.createDataFrame(rows, "account string, mailbox string, uid bigint, raw string")
     got = sorted(tuple(r) for r in dedupe_by_key(df, ["account", "mailbox", "uid"]).collect())
     assert got == sorted(set(rows))
+
+
+def test_bounded_broadcast_falls_back_beyond_bound(spark):
+    from mailweave.operators.joins import BROADCAST_MAX_ROWS_CONF, anti_join_recent
+    big = spark.range(0, 50).selectExpr("'a' as account", "'m' as mailbox", "id as uid")
+    probe = spark.range(40, 60).selectExpr("'a' as account", "'m' as mailbox", "id as uid")
+    want = sorted(range(50, 60))
+    spark.conf.set(BROADCAST_MAX_ROWS_CONF, "0")          # nothing may be broadcast
+    try:
+        got = sorted(r.uid for r in anti_join_recent(probe, big, ["account", "mailbox", "uid"]).collect())
+    finally:
+        spark.conf.unset(BROADCAST_MAX_ROWS_CONF)
+    assert got == want
+    assert sorted(r.uid for r in anti_join_recent(probe, big, ["account", "mailbox", "uid"]).collect()) == want
