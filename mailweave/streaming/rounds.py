@@ -41,6 +41,9 @@ from ..sources import tables as tb
 from ..session import scratch_path
 
 DEFAULT_INTERVAL_S = 901
+# Files per micro-batch: a first start over a large landing folder drains it
+# in bounded rounds (availableNow honours it too) instead of one huge batch.
+MAX_FILES_PER_TRIGGER = 10_000
 RECONCILE_EVERY = 96      # full pending reconciliation every N rounds (~daily at 901 s)
 KEY_SCHEMA = "account string, mailbox string, uid bigint"
 DOCS_SCHEMA = DOCUMENTS_MD + ", html string"
@@ -202,9 +205,11 @@ def start(spark: SparkSession, landing: str, lay: Layout, once: bool = False,
           interval_s: int = DEFAULT_INTERVAL_S, stages=("ingest", "extract"), model=None,
           strict_high_water: bool = False, wait_s: float = ex.RETRY_WAIT_S,
           reconcile_every: int = RECONCILE_EVERY, ingest_limit: int | None = None,
-          extract_limit: int | None = None, compact_every: int = 0):
-    """Start the two-stage stream; ``once`` = one round over what is landed."""
-    w = (spark.readStream.schema(RAW_MESSAGES).parquet(landing)
+          extract_limit: int | None = None, compact_every: int = 0,
+          max_files_per_trigger: int = MAX_FILES_PER_TRIGGER):
+    """Start the two-stage stream; ``once`` = rounds over what is landed, then stop."""
+    w = (spark.readStream.schema(RAW_MESSAGES).option("maxFilesPerTrigger", max_files_per_trigger)
+         .parquet(landing)
          .writeStream.foreachBatch(make_round(lay, stages, model, strict_high_water, wait_s, reconcile_every,
                                              ingest_limit, extract_limit, compact_every))
          .option("checkpointLocation", lay.checkpoint))
@@ -213,12 +218,14 @@ def start(spark: SparkSession, landing: str, lay: Layout, once: bool = False,
 
 
 def start_eml(spark: SparkSession, landing: str, account: str, mailbox: str, lay: Layout,
-              once: bool = False, interval_s: int = DEFAULT_INTERVAL_S, **round_opts):
+              once: bool = False, interval_s: int = DEFAULT_INTERVAL_S,
+              max_files_per_trigger: int = MAX_FILES_PER_TRIGGER, **round_opts):
     """The same rounds over a folder of landed ``<uid>.eml`` files (a
     ``binaryFile`` file stream; each new file is one message)."""
     files = (spark.readStream.format("binaryFile")
              .schema("path string, modificationTime timestamp, length bigint, content binary")
-             .option("pathGlobFilter", "*.eml").load(landing))
+             .option("pathGlobFilter", "*.eml").option("maxFilesPerTrigger", max_files_per_trigger)
+             .load(landing))
     raw = tb.eml_records(files, account, mailbox)
     rnd = make_round(lay, **round_opts)
     w = raw.writeStream.foreachBatch(rnd).option("checkpointLocation", lay.checkpoint)

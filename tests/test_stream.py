@@ -187,3 +187,19 @@ def test_redownload_replaces_documents(spark):
     assert subj() == [(1, "old1"), (2, "old2"), (3, "old3")]
     rounds.ingest_round(batch("new", [2, 3]), lay, redownload=True)  # replaced by key
     assert subj() == [(1, "old1"), (2, "new2"), (3, "new3")]
+
+
+def test_bounded_micro_batches_drain_everything(spark):
+    import os
+    lay = rounds.Layout(scratch_path(spark, "bounded"))
+    land = scratch_path(spark, "bounded-landing")
+    os.makedirs(land)
+    for u in range(1, 8):
+        with open(os.path.join(land, f"{u}.eml"), "wb") as f:
+            f.write(f"From: a@x.org\r\nSubject: s{u}\r\n\r\nbody".encode())
+    q = rounds.start_eml(spark, land, "acc", "INBOX", lay, once=True, max_files_per_trigger=3,
+                         stages=("ingest",))
+    q.awaitTermination()
+    out = rounds.read_outputs(spark, lay)
+    assert out["documents"].count() == 7
+    assert out["round_log"].count() == 3                 # 3 + 3 + 1 files
