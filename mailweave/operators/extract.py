@@ -1,8 +1,10 @@
 """Extraction stage: pending documents -> model attempts -> results / items.
 
-Plan of one round (``plans.extract_round``)::
+Plan of one round (``streaming.rounds.extract_round``)::
 
-    documents --anti(results)--anti(quarantine)--> pending
+    candidates (new keys + retry log) or all keys
+      --anti(results)--anti(quarantine), both cut to the candidates' ranges-->
+      pending keys --semi-join--> pending documents
       --prompt_assemble (concat with a literal)-->
       --batch_extract (mapInPandas; the one non-repeatable step, written
         to storage before anything reads it)-->

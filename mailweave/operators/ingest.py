@@ -1,10 +1,12 @@
 """Ingest stage: raw messages -> documents, as DataFrame transformations.
 
-Plan shape of one round (``plans.ingest_round``)::
+Plan shape of one round (``streaming.rounds.ingest_round``)::
 
-    raw --valid_records--> --high_water_filter (broadcast state)-->
-        --insert_if_absent (anti-join on keys, existing cut to the tail)-->
-        --parse_messages (mapInArrow, map-only)--> to_documents (native)
+    raw --dedupe by key (keys-only count)--> [--high_water_filter (broadcast marks)-->]
+        --insert_if_absent (anti-join on keys; the archive cut to the batch's
+          uid ranges by a broadcast range semi-join)-->
+        --parse_messages (mapInArrow, map-only; invalid records flagged)-->
+        to_documents (native columns)
 
 The anti-join is placed *before* the Python stage on purpose: a Python
 stage is opaque to Catalyst, so filters on its output are never pushed
