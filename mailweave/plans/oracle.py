@@ -3,7 +3,7 @@
 Each statement computes the expected result directly from the source
 tables (``pages``, ``conversations``, ``documents``, ``events``), so no mail
 parser, JSON repair or model is involved on the oracle side.  Queries with
-no exact SQL form (Markdown rendering, YAML text, round log timings) are
+no exact SQL form (Markdown rendering, YAML text) are
 absent and get the driver's rows-only check.
 """
 
@@ -440,3 +440,12 @@ ORACLE["two_stage_stream"] = ORACLE["rule_extract"]
 
 ORACLE["run_once"] = f"""WITH {DOCS}
 SELECT account, mailbox, count(*)::BIGINT AS n_docs, max(uid)::BIGINT AS max_uid FROM docs GROUP BY account, mailbox"""
+
+# The fixture stream lands uid % 3 = 0, 1, 2 and then arrival 0 again: each
+# round logs the documents it parsed (valid messages only; the re-landing adds
+# none) and a successful extraction.
+ORACLE["round_log"] = f"""WITH {KEYS},
+c AS (SELECT uid % 3 AS r, count(*) AS n FROM keys WHERE uid <> 0 GROUP BY uid % 3)
+SELECT r::BIGINT AS round, 'ingest' AS stage, 0::INTEGER AS exit_code, n::BIGINT AS rows FROM c
+UNION ALL SELECT 3::BIGINT, 'ingest', 0::INTEGER, 0::BIGINT
+UNION ALL SELECT r::BIGINT, 'extract', 0::INTEGER, 0::BIGINT FROM range(4) t(r)"""

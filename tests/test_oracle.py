@@ -37,4 +37,4 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle_or_is_rows_only():
     rows_only = set(queries()) - set(oracle_sql())
-    assert rows_only == {"html_to_markdown", "front_matter_yaml", "round_log"}
+    assert rows_only == {"html_to_markdown", "front_matter_yaml"}
