@@ -143,7 +143,8 @@ def extract_round(spark: SparkSession, lay: Layout, rnd: int,
         items = per_doc.select(*KEYS, F.posexplode("items").alias("pos", "it")).select(
             *KEYS, (F.col("pos") + 1).cast("int").alias("pos"),
             *[F.col(f"it.{c}").alias(c) for c in ("title", "url", "summary", "date", "sender")])
-        items.write.mode("append").parquet(lay.news_items)
+        # idempotent: a replay after a crash before the results append skips stored items
+        _append_items(spark, lay, items)
         # documents without links still count as processed (an empty list)
         per_doc.select(*KEYS, F.to_json("items").alias("response"), F.lit(False).alias("repaired"),
                        F.lit(True).alias("valid_json")).write.mode("append").parquet(lay.results)
@@ -159,12 +160,23 @@ def extract_round(spark: SparkSession, lay: Layout, rnd: int,
     res.write.mode("append").parquet(lay.results)
     joins.anti_join_recent(ex.quarantine_rows(outcomes), quarantine, KEYS) \
         .write.mode("append").parquet(lay.quarantine)
-    ig.item_defaults(ex.news_items(res), docs).write.mode("append").parquet(lay.news_items)
+    # items from the *stored* results of this round's answered keys, so a replay
+    # after a crash between the two appends still writes them (once)
+    answered = outcomes.where(F.col("outcome") == "ok").select(*KEYS)
+    stored = tb.read_table(spark, lay.results, RESULTS).join(answered, KEYS, "left_semi")
+    _append_items(spark, lay, ig.item_defaults(ex.news_items(stored), docs))
     # failed documents are retried in later rounds (no result exists for them)
     outcomes.where(F.col("outcome") == "failed").select(*KEYS).write.mode("append").parquet(lay.retry)
     return -1
 
 
+def _append_items(spark: SparkSession, lay: Layout, items: DataFrame) -> None:
+    """Append news items of documents that have none stored yet (keyed insert;
+    the stored items are cut to the new items' uid ranges first)."""
+    stored = tb.read_table(spark, lay.news_items, NEWS_ITEMS)
+    joins.anti_join_recent(items, stored, KEYS).write.mode("append").parquet(lay.news_items)
+
+
 def make_round(lay: Layout, stages=("ingest", "extract"), model=None, strict_high_water=False,
                wait_s: float = ex.RETRY_WAIT_S, reconcile_every: int = RECONCILE_EVERY,
                ingest_limit: int | None = None, extract_limit: int | None = None, compact_every: int = 0):

@@ -203,3 +203,33 @@ def test_bounded_micro_batches_drain_everything(spark):
     out = rounds.read_outputs(spark, lay)
     assert out["documents"].count() == 7
     assert out["round_log"].count() == 3                 # 3 + 3 + 1 files
+
+
+def test_crash_between_items_and_results_replays_once(spark, monkeypatch):
+    lay = rounds.Layout(scratch_path(spark, "items-crash"))
+    rounds.ingest_round(fx.fixture_c(spark, SF), lay)
+    real = rounds._append_items
+    calls = {"n": 0}
+
+    def append_then_crash(spark_, lay_, items):          # model path: crash right after the items
+        real(spark_, lay_, items)
+        calls["n"] += 1
+        raise RuntimeError("lost before the retry log")
+    monkeypatch.setattr(rounds, "_append_items", append_then_crash)
+    with pytest.raises(RuntimeError):
+        rounds.extract_round(spark, lay, 0, model=ex.StubModel(), wait_s=0.0)
+    monkeypatch.undo()
+    n_items = spark.read.parquet(lay.news_items).count()
+    rounds.extract_round(spark, lay, 0, model=ex.StubModel(), wait_s=0.0)   # replay
+    assert spark.read.parquet(lay.news_items).count() == n_items > 0
+    # rule path: crash between items and results appends, then replay
+    lay2 = rounds.Layout(scratch_path(spark, "items-crash-rules"))
+    rounds.ingest_round(fx.fixture_a(spark, SF), lay2)
+    monkeypatch.setattr(rounds, "_append_items", append_then_crash)
+    with pytest.raises(RuntimeError):
+        rounds.extract_round(spark, lay2, 0)
+    monkeypatch.undo()
+    first = spark.read.parquet(lay2.news_items).count()
+    rounds.extract_round(spark, lay2, 0)
+    assert spark.read.parquet(lay2.news_items).count() == first > 0
+    assert spark.read.parquet(lay2.results).count() == fx.fixture_a(spark, SF).where("uid <> 0").count()
