@@ -1,27 +1,58 @@
 """Corpus pipeline over ``documents``: five stages, each written as Parquet and
-read again as the next one's input."""
+read again as the next one's input.
+
+Each stage takes ``(spark, docs, sf_dir)``, works on every row the one before
+it kept, and returns the columns of ``docs``; the last returns the token ids.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mailweave.llm import bpe, simhash
+from mailweave.llm import bpe, decontam, langid, pii, simhash
 from mailweave.llm.common import Scratch
 from mailweave.llm.queries import WORD_BPE
 
+#: A document is rejected when its language is undetermined or less likely than this.
+MIN_LANGUAGE_SCORE = 0.3
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told stay: not those whose text is null
+    or without a letter, nor those no learned language fits."""
+    found = langid.identify(docs, langid.fit(docs))
+    kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
+    return kept.select(*docs.columns)
+
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near-duplicates stays."""
     return simhash.one_per_group(docs, Scratch(spark, "stage-simhash"))
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak no benchmark item stay."""
+    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay, with the personal data of their texts replaced and
+    ``n_chars`` counted anew."""
+    clean = pii.redacted(docs)
+    if "n_chars" not in clean.columns:
+        return clean
+    return clean.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text: ``(doc_id, ids)``."""
     return bpe.encode_documents(docs, public_tokenizers.path(WORD_BPE))
 
 
-STAGES = [("simhash_near_dedup", near_dedup), ("bpe_encode", encode)]
+STAGES = [("language_id", language), ("simhash_near_dedup", near_dedup), ("benchmark_decontamination", decontaminate),
+          ("pii_redaction", redact), ("bpe_encoding", encode)]
 
 #: SQL cannot express the stages; they are tested against brute-force versions.
 ORACLE_SQL = None

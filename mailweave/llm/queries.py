@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash
-from .common import Scratch
+from . import bpe, decontam, embed, huffman, langid, pii, quality, simhash, urls, warc
+from .common import Scratch, crc_fold
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE, END_ID = "byte_bpe_50k.json", 2
 
 
 def query(fn):
@@ -35,3 +36,95 @@ def op2_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark, "op3"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op4_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), Scratch(spark, "op6"))
+
+
+def _fits(rule: str) -> str:
+    host, _, path = rule.partition("/")
+    return f"((host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{path}'))"
+
+
+_BY_LENGTH = sorted(urls.RULES, key=lambda r: (-len(r[1]), r[1]))
+ORACLE["op6_url_templates"] = f"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parsed AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{urls.UPPER}', '{urls.LOWER}') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+base AS (
+  SELECT *, CASE {" ".join(f"WHEN {_fits(r)} THEN '{r}'" for _, r in _BY_LENGTH)} END AS rule,
+         CASE {" ".join(f"WHEN {_fits(r)} THEN '{v}'" for v, r in _BY_LENGTH)} END AS label,
+         regexp_replace(regexp_replace(regexp_extract(path, '^/?([^/]*)', 1), '[0-9a-fA-F]{{16,}}', '*', 'g'), '[0-9]+', '*', 'g') AS head,
+         regexp_replace(regexp_replace(regexp_extract(path, '^/?[^/]*((?s).*)', 1), '[0-9a-fA-F]{{16,}}', '*', 'g'), '[0-9]+', '*', 'g') AS tail
+  FROM parsed),
+nodes AS (SELECT host, head, tail, count(*) AS n, count(*) FILTER (label = 'block') AS blocked FROM base GROUP BY ALL),
+heads0 AS (
+  SELECT host, head, CASE WHEN count(*) OVER w > {urls.MAX_CHILDREN} AND n < sum(n) OVER w * CAST({urls.MIN_SHARE} AS DOUBLE)
+                          THEN '*' ELSE head END AS head_g
+  FROM (SELECT host, head, sum(n) AS n FROM nodes GROUP BY ALL) WINDOW w AS (PARTITION BY host)),
+nodes1 AS (SELECT * FROM nodes JOIN heads0 USING (host, head)),
+tails0 AS (
+  SELECT host, head_g, tail, CASE WHEN count(*) OVER w > {urls.MAX_CHILDREN} AND n < sum(n) OVER w * CAST({urls.MIN_SHARE} AS DOUBLE)
+                                  THEN '*' ELSE tail END AS tail_g
+  FROM (SELECT host, head_g, tail, sum(n) AS n FROM nodes1 GROUP BY ALL) WINDOW w AS (PARTITION BY host, head_g)),
+nodes2 AS (SELECT * FROM nodes1 JOIN tails0 USING (host, head_g, tail)),
+leaves AS (SELECT host, head_g, tail_g, CAST(sum(n) AS DOUBLE) AS n, CAST(sum(blocked) AS DOUBLE) AS blocked FROM nodes2 GROUP BY ALL),
+pooled AS (SELECT *, sum(blocked) OVER h / sum(n) OVER h AS p FROM leaves WINDOW h AS (PARTITION BY host, head_g)),
+alike AS (SELECT *, abs(blocked / n - p) > {urls.Z} * sqrt(p * (1 - p) / n) + 1 / n AS own FROM pooled),
+merged AS (
+  SELECT *, sum(blocked) OVER m AS mb, sum(n) OVER m AS mn, sum(blocked) OVER (PARTITION BY host) AS hb,
+         sum(n) OVER (PARTITION BY host) AS hn, sum(blocked) OVER () AS ab, sum(n) OVER () AS an
+  FROM alike WINDOW m AS (PARTITION BY host, head_g, own, CASE WHEN own THEN tail_g ELSE '' END)),
+bad AS (
+  SELECT host, head_g, tail_g FROM merged
+  WHERE (mb + {urls.SMOOTHING} * ((hb + {urls.SMOOTHING} * ((ab + 1) / (an + 2))) / (hn + {urls.SMOOTHING}))) / (mn + {urls.SMOOTHING}) >= {urls.REJECT}),
+branches AS (SELECT DISTINCT host, head, tail FROM nodes2 JOIN bad USING (host, head_g, tail_g))
+SELECT page_id, host, path, rule,
+       coalesce(label, CASE WHEN b.tail IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM base LEFT JOIN branches b USING (host, head, tail)
+"""
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
+    return found.select("doc_id", (crc_fold() == 0).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (crc_fold() == 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op9_embedding_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed.near_duplicates(table(spark, sf_dir, "embeddings"), Scratch(spark, "op9"))
+
+
+@query
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.round_trip(table(spark, sf_dir, "pages"), Scratch(spark, "op1"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return huffman.round_trip(table(spark, sf_dir, "documents"), Scratch(spark, "op7"),
+                              public_tokenizers.path(BYTE_BPE), END_ID)
