@@ -71,26 +71,35 @@ class MergeAutomaton:
         for t, i in vocab.items():
             self.labels[i] = t
         self.width = len(self.labels)
-        # goto table over letters that names every token ending at a position, longest first
-        self.goto = ahocorasick.Automaton()
-        for t, i in vocab.items():
-            closing = end and t.endswith(end)
-            key = t[:-len(end)] + STOP if closing else t
-            self.goto.add_word(key, (i, len(key)))
-        self.goto.make_automaton()
         # gadget k: the token it adds, and the arc v it takes from the state of u
         self.born = {i: -1 for i in vocab.values()}      # gadget that added the token; -1 for letters
         self.head: dict[int, int] = {}                   # token uv -> u: uv can be read where u can
         self.tail: dict[int, int] = {}                   # token uv -> v: uv leads where v led
         self.cut: dict[tuple[int, int], int] = {}        # (u, v) -> gadget that took the arc away
+        unread: set[int] = set()                         # tokens without an arc
+        made = {u + v: k for k, (u, v) in enumerate(merges)}
         for k, (u, v) in enumerate(merges):
             a, b, ab = vocab[u], vocab[v], vocab[u + v]
             if (a, b) in self.cut or ab in self.head:
                 raise ValueError(f"merge {k} repeats an earlier one: {u!r} {v!r}")
-            if not (self.born[a] < k and self.born[b] < k):
+            if max(made.get(u, -1), made.get(v, -1)) >= k:
                 raise ValueError(f"merge {k} uses a token that no earlier merge makes: {u!r} {v!r}")
-            self.head[ab], self.tail[ab], self.born[ab], self.cut[(a, b)] = a, b, k, k
+            self.head[ab], self.tail[ab], self.born[ab] = a, b, k
+            # where "u then v" is no path, as after an earlier merge, there is nothing to put the gadget on
+            if a in unread or b in unread or not self._resolve(a, b):
+                unread.add(ab)
+            else:
+                self.cut[(a, b)] = k
         self.arcs: dict[int, bool] = {}
+        # goto table over letters that names every token ending at a position, longest first
+        self.goto = ahocorasick.Automaton()
+        for t, i in vocab.items():
+            if i in unread:
+                continue
+            closing = end and t.endswith(end)
+            key = t[:-len(end)] + STOP if closing else t
+            self.goto.add_word(key, (i, len(key)))
+        self.goto.make_automaton()
 
     def has_arc(self, state: int, token: int) -> bool:
         """Whether ``token`` can be read in the state that reading ``state`` leads to."""
@@ -105,7 +114,7 @@ class MergeAutomaton:
     def _resolve(self, a: int, b: int) -> bool:
         """Undo gadgets, latest first: the state of uv is that of v before the
         gadget, the arc uv existed where u's did with the gadget applied."""
-        until = 2 * len(self.cut) + 2  # only cuts before this moment count; gadget k acts at 2k
+        until = 1 << 60  # only cuts before this moment count; gadget k acts at 2k
         while True:
             at = self.cut.get((a, b))
             if at is not None and 2 * at < until:

@@ -1,0 +1,389 @@
+"""BPE, SimHash, PII, decontamination and language ID against brute force."""
+
+import hashlib
+import random
+import re
+import struct
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+
+from mailweave.llm import bpe, decontam, langid, pii, simhash
+
+from .conftest import ODD_TEXTS, SF
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+# --- BPE --------------------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def reference():
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(WORD_BPE)
+    t.no_truncation()
+    t.no_padding()
+    return t
+
+
+def random_texts(n, letters, length=60, seed=1):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(letters) for _ in range(rng.randint(0, length))) for _ in range(n)]
+
+
+def test_bpe_equals_the_library(reference, documents):
+    texts = [r.text for r in documents.select("text").collect()]
+    texts += random_texts(800, list("abcdeaaeeiotthnsrl  '\n\t.,!?09éß中Σσİ\U0001f600\u0301\x1c\x1f\x85\u00a0\u200b<|>/"))
+    texts += random_texts(500, "ab") + random_texts(500, ["aaa", "!!!", "a", "hah", "<|endoftext|>", "<|startoftext|>", " "], 30)
+    mine = bpe.tokenizer(WORD_BPE)
+    for t, e in zip(texts, reference.encode_batch(texts, add_special_tokens=False)):
+        ids = mine.encode(t)
+        assert list(ids) == e.ids, t[:80]
+        assert mine.decode(ids) == reference.decode(e.ids, skip_special_tokens=False)
+
+
+def test_automaton_on_small_merge_lists():
+    """Every word over a small alphabet, against merging in rank order."""
+    from itertools import product
+    rng = random.Random(5)
+
+    def merge(word, merges):
+        out = list(word)
+        for u, v in merges:
+            k = 0
+            while k + 1 < len(out):
+                if out[k] == u and out[k + 1] == v:
+                    out[k:k + 2] = [u + v]
+                k += 1
+        return out
+    for _ in range(30):
+        tokens, merges = ["a", "b"], []
+        while len(merges) < 6:
+            u, v = rng.choice(tokens), rng.choice(tokens)
+            if u + v not in tokens:
+                tokens.append(u + v)
+                merges.append((u, v))
+        auto = bpe.MergeAutomaton({t: k for k, t in enumerate(tokens)}, merges)
+        for n in range(1, 9):
+            for w in map("".join, product("ab", repeat=n)):
+                assert [auto.labels[i] for i in auto.encode(w)] == merge(w, merges), (merges, w)
+
+
+def test_automaton_rejects_broken_merges():
+    with pytest.raises(ValueError):
+        bpe.MergeAutomaton({"a": 0, "ab": 1, "b": 2, "aba": 3}, [("ab", "a"), ("a", "b")])
+    with pytest.raises(ValueError):
+        bpe.MergeAutomaton({"a": 0, "b": 1}, []).encode("c")
+
+
+def test_bpe_query(spark, reference, odd_documents):
+    got = {(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.digests(odd_documents, WORD_BPE).collect()}
+    want = set()
+    for r in odd_documents.collect():
+        ids = reference.encode(r.text or "", add_special_tokens=False).ids
+        want.add((r.doc_id, len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest(),
+                  hashlib.sha256(reference.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
+    assert got == want
+    assert bpe.encode_documents(odd_documents, WORD_BPE).count() == odd_documents.count()
+    assert bpe.digests(odd_documents.limit(0), WORD_BPE).count() == 0
+
+
+def test_chunk_cache_size_changes_nothing():
+    small = bpe.WordTokenizer(WORD_BPE)
+    small.cache, small.word_cache = bpe.Chunks(small._chunk, 2), bpe.Chunks(small._word, 2)
+    text = "the quick brown fox, the lazy dog's the quick fox."
+    assert small.encode(text) == bpe.tokenizer(WORD_BPE).encode(text)
+
+
+# --- SimHash ----------------------------------------------------------------
+
+def brute_fingerprint(text, k=4):
+    w = re.findall("[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    s = [" ".join(w[i:i + k]) for i in range(max(1, len(w) - k + 1))] if w else []
+    h = [xxhash.xxh64(x.encode(), seed=42).intdigest() for x in s]
+    return sum(1 << b for b in range(64) if 2 * sum((x >> b) & 1 for x in h) > len(h))
+
+
+def brute_components(nodes, linked):
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in linked:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def test_fingerprints(documents):
+    texts = [r.text for r in documents.select("text").limit(60).collect()] + ["", "A b", "a  b\tC\nd", "x y z w v", "É É a b c"]
+    for t in texts:
+        assert simhash.simhash(t.encode()) == brute_fingerprint(t)
+    assert simhash.simhash(ODD_TEXTS[4].encode()) == brute_fingerprint(ODD_TEXTS[4])
+
+
+def test_fingerprint_of_many_shingles_in_pieces():
+    rng = random.Random(2)
+    text = " ".join(rng.choice("abcdefgh") for _ in range(70_000))
+    h = np.array([xxhash.xxh64_intdigest(" ".join(text.split()[i:i + 4]), 42) for i in range(0)], dtype=np.uint64)
+    assert len(h) == 0 and simhash.simhash(text.encode()) == simhash.simhash((" " + text + "\n").encode())
+
+
+def clustered(n, seed, spread):
+    rng = np.random.default_rng(seed)
+    centres = rng.integers(0, 1 << 63, size=max(1, n // 20), dtype=np.uint64) * np.uint64(2)
+    v = centres[rng.integers(0, len(centres), n)]
+    for _ in range(spread):
+        v = v ^ np.where(rng.random(n) < 0.7, np.uint64(1) << rng.integers(0, 64, n).astype(np.uint64), np.uint64(0))
+    return np.unique(v)
+
+
+@pytest.mark.parametrize("seed,spread", [(1, 4), (2, 8), (3, 2)])
+def test_trie_join_finds_every_pair(seed, spread):
+    v = clustered(600, seed, spread)
+    root = [np.array([x]) for x in (0, len(v), 0, len(v))]
+    got = {(int(a), int(b)) for i, j in simhash.join_trie(v, root, 4) for a, b in zip(i, j)}
+    want = {(i, j) for i in range(len(v)) for j in range(i + 1, len(v)) if int(v[i] ^ v[j]).bit_count() <= 4}
+    assert got == want
+
+
+@pytest.mark.parametrize("subtree", [simhash.SUBTREE, 10])
+def test_links_span_all_components(spark, scratch, subtree):
+    v = np.concatenate([clustered(500, 7, 5), np.arange(300, dtype=np.uint64) + np.uint64(0xABC << 52)])
+    v = np.unique(v)
+    leaves = spark.createDataFrame([(int(x), k) for k, x in enumerate(v.astype(np.int64))], "fp bigint, node bigint")
+    from mailweave.llm.components import components
+    links = simhash.near_links(leaves, 4, subtree)
+    got = {r.node: r.component for r in components(links, scratch()).collect()}
+    pairs = [(i, j) for i in range(len(v)) for j in range(i + 1, len(v)) if int(v[i] ^ v[j]).bit_count() <= 4]
+    want = brute_components(range(len(v)), pairs)
+    assert {n: got.get(n, n) for n in range(len(v))} == want
+
+
+def test_near_duplicates_against_all_pairs(spark, scratch, documents, odd_documents):
+    for docs in (documents, odd_documents):
+        got = simhash.near_duplicates(docs, scratch()).collect()
+        fps = [(r.doc_id, brute_fingerprint(r.text)) for r in docs.select("doc_id", "text").collect()]
+        assert sorted(((r.doc_id, r.fp % (1 << 64)) for r in got), key=repr) == sorted(fps, key=repr)
+        leaf = {}
+        for d, f in fps:
+            if d is not None:
+                leaf[f] = min(d, leaf.get(f, d))
+        known = sorted(leaf)
+        comp = brute_components(known, [(a, b) for i, a in enumerate(known) for b in known[i + 1:] if (a ^ b).bit_count() <= 4])
+        smallest = {}
+        for f in known:
+            smallest[comp[f]] = min(leaf[f], smallest.get(comp[f], leaf[f]))
+        for r in got:
+            assert r.component_id == (None if r.doc_id is None else smallest[comp[r.fp % (1 << 64)]])
+    assert simhash.near_duplicates(documents.limit(0), scratch()).count() == 0
+
+
+def test_one_document_of_each_group_stays(spark, scratch):
+    docs = spark.createDataFrame([(5, "one two three four five"), (2, "ONE two three four five"), (2, "ONE two three four five"),
+                                  (9, "something else entirely is here"), (None, "one two three four five")], "doc_id bigint, text string")
+    got = simhash.one_per_group(docs, scratch())
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id is None, r.doc_id) for r in got.collect()) == [(False, 2), (False, 9), (True, None)]
+
+
+# --- PII --------------------------------------------------------------------
+
+PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+            r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
+
+
+def brute_luhn(digits):
+    total = 0
+    for k, c in enumerate(digits[::-1]):
+        x = int(c) * (2 if k % 2 else 1)
+        total += x - 9 if x > 9 else x
+    return total % 10 == 0
+
+
+def brute_spans(text):
+    out = []
+    for kind, p in enumerate(PATTERNS):
+        for m in re.finditer(p, text):
+            d = re.sub("[^0-9]", "", m.group())
+            ok = (True, all(len(x.lstrip("0")) <= 3 and int(x.lstrip("0") or 0) <= 255 for x in m.group().split("."))
+                  if kind == 1 else True, 12 <= len(d) <= 19 and brute_luhn(d), 9 <= len(d) <= 15)[kind]
+            if ok:
+                out.append((m.start(), kind, m.end()))
+    return sorted(out)
+
+
+def test_base_spans_equal_the_patterns(documents):
+    texts = [r.text for r in documents.select("text").collect()]
+    texts += random_texts(4000, "0123456789..@@+- ()abZ-_%,\n", 40) + random_texts(3000, "0123456789 -+.", 60)
+    texts += ["4111 1111 1111 1111", "x@y.z@a.b", "1.2.3.4.5.6.7.8", "999.1.1.1 1.1.1.1", "+1 (132) 555-1352 +", "0" * 5000 + ".1.1.1"]
+    for t in texts:
+        assert [s for s in pii.find(t) if s[1] < 4] == brute_spans(t), t[:100]
+
+
+@pytest.mark.parametrize("text,kind,value", [
+    ("see https://bob:pw123@host.example/x?a@b", "userinfo", "bob:pw123"),
+    ("Account: AB12-34567 is", "account", "AB12-34567"),
+    ('token = "269b1cea08469"', "account", "269b1cea08469"),
+    ("IBAN DE89370400440532013000.", "account", "DE89370400440532013000")])
+def test_anchored_spans(text, kind, value):
+    assert (text.index(value), pii.KINDS.index(kind), text.index(value) + len(value)) in pii.find(text)
+
+
+@pytest.mark.parametrize("text", ["on account of the weather", "accounting 123456789a", "http://host.example/a@b", "token ring 1234"])
+def test_clean_texts_have_no_span(text):
+    assert not [s for s in pii.find(text) if s[1] >= 4]
+
+
+def test_redaction_merges_overlaps():
+    t = "mail bob@x.org or http://u:me@h.example/ now"
+    assert pii.redact(t, pii.find(t)) == "mail [EMAIL] or http://[USERINFO]/ now"
+    assert pii.redact("plain", []) == "plain"
+
+
+def test_pii_frames(odd_documents):
+    got = pii.scan(odd_documents)
+    assert got.count() == odd_documents.count() and got.where("n_email IS NULL OR spans IS NULL").count() == 0
+    clean = pii.redacted(odd_documents)
+    assert clean.schema == odd_documents.schema and rows(clean) == rows(odd_documents)
+    assert pii.scan(odd_documents.limit(0)).count() == 0
+
+
+# --- decontamination --------------------------------------------------------
+
+def brute_leaks(docs, items):
+    out = set()
+    for i, item in items:
+        w, q = decontam.split_item(item or "")
+        if not w:
+            continue
+        s = decontam.shingles(w)
+        end = min(5, len(w))
+        parts = [set(s), {x for k, x in enumerate(s) if k + end <= q}, {x for k, x in enumerate(s) if k + end > q}]
+        for d, text in docs:
+            words = decontam.words(text or "")
+            own = {tuple(words[k:k + end]) for k in range(len(words) - end + 1)}
+            share = [len(p & own) / len(p) if p else 1.0 for p in parts]
+            if share[0] >= 0.8 and min(share[1:]) >= 0.5:
+                out.add((d, i))
+    return out
+
+
+def test_leaks_against_brute_force(spark, documents):
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(documents, items).collect()}
+    want = brute_leaks([tuple(r) for r in documents.select("doc_id", "text").collect()], [tuple(r) for r in items.collect()])
+    assert got == want and got
+
+
+def test_leaks_of_edited_items(spark):
+    """Every amount of cutting and of changed words, near the threshold from both sides."""
+    rng = random.Random(3)
+    vocabulary = [f"w{k}" for k in range(400)] + ["the", "of", "and"] * 30
+    items = [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 50))) + (".\nyes it is" if k % 3 else "")) for k in range(60)]
+    docs = []
+    for k in range(600):
+        w = rng.choice(items)[1].replace("\n", " ").split(" ")
+        for _ in range(rng.randint(0, 3)):
+            w[rng.randrange(len(w))] = rng.choice(vocabulary)
+        w = w[rng.randint(0, 3):len(w) - rng.randint(0, 3)]
+        noise = lambda: [rng.choice(vocabulary) for _ in range(rng.randint(0, 300))]
+        docs.append((k, " ".join(noise() + w + noise())))
+    index = decontam.Index(items)
+    got = {(docs[d][0], index.ids[k]) for d, k, *_ in index.search([t for _, t in docs])}
+    want = brute_leaks(docs, items)
+    assert got <= want
+    # an edited item lies in one window of twice the longest item, so no leak of contiguous words is missed;
+    # what only whole texts add are shingles that meet by chance far apart
+    longest = max(len(decontam.words(t)) for _, t in items)
+    spread = set()
+    for d, i in want - got:
+        words = decontam.words(docs[d][1])
+        own = decontam.words(items[i][1])
+        if not any(len(set(decontam.shingles(own)) & set(decontam.shingles(words[at:at + longest]))) >= 0.8 * len(set(decontam.shingles(own)))
+                   for at in range(len(words))):
+            spread.add((d, i))
+    assert want - got == spread
+
+
+def test_decontamination_frames(spark, odd_documents, documents):
+    items = spark.createDataFrame([(1, None), (2, ""), (None, "no id"), (3, "b"), (3, "b"), (4, "unlike anything that occurs here")],
+                                  "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(odd_documents, items).collect()}
+    assert got == {(None, None), (3, 3)}
+    clean = decontam.clean(odd_documents, items)
+    assert clean.schema == odd_documents.schema and clean.count() == odd_documents.count() - 2
+    assert decontam.clean(documents, items.limit(0)).count() == documents.count()
+    assert decontam.leaks(documents.limit(0), items).count() == 0
+
+
+def test_many_indexes_find_the_same(spark, documents, monkeypatch):
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    one = {(r.doc_id, r.item_id) for r in decontam.leaks(documents, items).collect()}
+    monkeypatch.setattr(decontam, "INDEX_BYTES", 2000)
+    assert len(decontam.indexes(items)) > 2
+    assert {(r.doc_id, r.item_id) for r in decontam.leaks(documents, items).collect()} == one
+
+
+# --- language ID ------------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return langid.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+
+
+def test_language_held_out_accuracy(spark, model):
+    from mailweave.llm.common import crc_fold
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where(crc_fold() == 0)
+    got = langid.identify(docs, model).where("text <> '' AND lang IS NOT NULL").collect()
+    assert len(got) > 100 and sum(r.lang == r.lang_pred for r in got) / len(got) > 0.97
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_gradients_by_differences():
+    rng = np.random.default_rng(0)
+    m = langid.ByteConvNet(["a", "b", "c"])
+    m.params = {k: v.astype(np.float64) for k, v in m.params.items()}
+    w = rng.integers(0, 256, (3, langid.WINDOW)).astype(np.uint8)
+    y, weight = np.array([0, 2, 1]), np.array([1.0, 2.0, 0.5])
+
+    def loss():
+        return float(-(np.log(m.probabilities(w)[np.arange(3), y]) * weight).sum() / weight.sum())
+    grad = m.gradients(w, y, weight)
+    for name, g in grad.items():
+        at = np.unravel_index(np.abs(g).argmax(), g.shape)
+        kept = m.params[name][at]
+        m.params[name][at] = kept + 1e-6
+        high = loss()
+        m.params[name][at] = kept - 1e-6
+        low = loss()
+        m.params[name][at] = kept
+        assert abs((high - low) / 2e-6 - g[at]) < 1e-4 * max(1, abs(g[at])), name
+
+
+def test_every_window_counts(model):
+    raw = ("und der die das nicht ist sich " * 60).encode()
+    parts = langid.windows_of(raw)
+    assert b"".join(p.tobytes() for p in parts).rstrip(b"\0") == raw
+    lang, score = langid.predict(model, [raw, b"", raw + raw])
+    assert lang[0] == lang[2] and lang[1] in model.langs and score[1] == 0.0
+
+
+def test_language_frames(spark, model, odd_documents):
+    got = langid.identify(odd_documents, model)
+    assert got.count() == odd_documents.count()
+    for r in got.collect():
+        if not r.text or not any(c.isalpha() for c in r.text):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+        else:
+            assert r.lang_pred in model.langs
+    empty = langid.fit(odd_documents.limit(0))
+    assert {r.lang_pred for r in langid.identify(odd_documents, empty).collect()} == {"und"}
