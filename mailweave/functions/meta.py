@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import shlex
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .text import strip
 
@@ -16,37 +12,34 @@ SIZE_RE = r"RFC822\.SIZE\s+(\d+)"
 THREAD_RE = r"X-GM-THRID\s+(\d+)"
 LABELS_RE = r"(?s)X-GM-LABELS\s+\((.*?)\)"
 
-
-def _shell_tokens(content: str | None):
-    if content is None:
-        return None
-    try:
-        return [t for t in shlex.split(content) if t]
-    except ValueError:
-        return [t.strip("\"'") for t in content.split() if t.strip()]
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def shell_tokens(s: pd.Series) -> pd.Series:
-    """Shell-style tokens (quotes, backslashes); whitespace split on error."""
-    return s.map(_shell_tokens)
+# A token of a label group is a run of pieces: plain characters, an escaped
+# character, a double-quoted or a single-quoted stretch.  All quantifiers are
+# possessive, so a group of any length is matched without recursion.
+PLAIN = r"[^ \t\r\n\"'\\]++"
+PIECE = rf"""(?:{PLAIN}|\\[\s\S]|"(?:[^"\\]++|\\[\s\S])*+"|'[^']*+')"""
+WELL_FORMED = rf"\A(?:[ \t\r\n]++|{PIECE})*+\z"
 
 
-def _quotes_balanced(c: Column) -> Column:
-    return ((F.length(c) - F.length(F.replace(c, F.lit('"'), F.lit("")))) % 2) == 0
+def _unquote(piece: Column) -> Column:
+    inner = piece.substr(F.lit(2), F.length(piece) - 2)
+    return (F.when(piece.startswith('"'), F.regexp_replace(inner, r'\\(["\\])', "$1"))
+            .when(piece.startswith("'"), inner)
+            .when(piece.startswith("\\"), piece.substr(F.lit(2), F.length(piece)))
+            .otherwise(piece))
 
 
 def label_tokens(content: Column) -> Column:
-    """Tokens of a label group.  Without backslashes, single quotes or an
-    odd number of double quotes, shell splitting is: runs of quoted or
-    non-space characters, quotes removed - done natively.  The remaining
-    rows go to ``shlex`` in one Arrow-batched call (NULL for the rest)."""
-    simple = ~content.rlike(r"[\\']") & _quotes_balanced(content)
-    native = F.filter(
-        F.transform(F.regexp_extract_all(content, F.lit(r'((?:"[^"]*"|[^\s"])+)'), F.lit(1)),
-                    lambda t: F.replace(t, F.lit('"'), F.lit(""))),
-        lambda t: t != "")
-    return F.coalesce(shell_tokens(F.when(~simple, content)), native)
+    """Tokens of a label group: white space separates, quotes group and are
+    removed, a backslash escapes (within double quotes only a quote or another
+    backslash); empty tokens are dropped.  A group with an open quote or a
+    trailing backslash is cut at white space, quotes at the ends of the pieces
+    removed."""
+    pieces = F.transform(
+        F.regexp_extract_all(content, F.lit(f"({PIECE}++)"), F.lit(1)),
+        lambda token: F.array_join(F.transform(F.regexp_extract_all(token, F.lit(f"({PIECE})"), F.lit(1)), _unquote), ""))
+    plain = F.transform(F.filter(F.split(content, r"(?U)\s+"), lambda t: t != ""),
+                        lambda t: F.regexp_replace(t, "^[\"']+|[\"']+$", ""))
+    return F.when(content.rlike(WELL_FORMED), F.filter(pieces, lambda t: t != "")).otherwise(plain)
 
 
 def provider_meta(meta: Column) -> Column:
@@ -58,7 +51,7 @@ def provider_meta(meta: Column) -> Column:
     content = strip(F.regexp_extract(meta, LABELS_RE, 1))
     labels = F.when(has & (content != ""), label_tokens(content))
     return F.struct(
-        F.when(size != "", size.cast("bigint")).alias("size"),
+        F.when(size != "", size.try_cast("bigint")).alias("size"),
         F.when(thr != "", thr).alias("thread_id"),
         labels.alias("labels"),
     )

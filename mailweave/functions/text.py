@@ -53,10 +53,40 @@ def _py_unescape(s: pd.Series) -> pd.Series:
 
 def unescape(c: Column) -> Column:
     """``html.unescape``: native replaces, Python only for rows that need it."""
-    native = c
+    return F.coalesce(_py_unescape(F.when(c.rlike(_NEEDS_FULL_UNESCAPE), c)), unescape_native(c))
+
+
+# An anchor with a quoted or bare target: groups 1-3 are the target, 4 the content.
+LINK_RE = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)</a\s*>"""
+
+
+def keep_links(c: Column) -> Column:
+    """Anchors as ``[content](target)``; the content's own tags go later."""
+    return F.regexp_replace(F.regexp_replace(c, HTML_SCRIPT_STYLE, ""), LINK_RE, r"[$4]($1$2$3)")
+
+
+@F.pandas_udf(T.StringType())
+def _py_fold_entities(s: pd.Series) -> pd.Series:
+    import re
+    native = {ch: ent for ent, ch in _NATIVE_ENTITIES if ch in "<>&\"'"}
+
+    def one(m):
+        ch = _html.unescape(m.group())
+        return m.group() if ch == m.group() else "".join(native.get(x, x) for x in ch)
+    return s.map(lambda x: None if x is None else re.sub(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);?", one, x))
+
+
+def fold_entities(c: Column) -> Column:
+    """Entities outside the native list as their characters, markup characters
+    as native entities: afterwards :func:`unescape_native` decodes all of them.
+    Python sees only the rows that hold such an entity."""
+    return F.coalesce(_py_fold_entities(F.when(c.rlike(_NEEDS_FULL_UNESCAPE), c)), c)
+
+
+def unescape_native(c: Column) -> Column:
     for ent, ch in _NATIVE_ENTITIES:
-        native = F.replace(native, F.lit(ent), F.lit(ch))
-    return F.coalesce(_py_unescape(F.when(c.rlike(_NEEDS_FULL_UNESCAPE), c)), native)
+        c = F.replace(c, F.lit(ent), F.lit(ch))
+    return c
 
 
 def html_tags_to_text(c: Column) -> Column:
@@ -108,3 +138,19 @@ def fence_slice(c: Column) -> Column:
 def is_fenced(c: Column) -> Column:
     """Left-stripped text starts with three backticks."""
     return F.regexp_replace(c, r"(?U)^\s+", "").startswith("```")
+
+
+# ---------------------------------------------------------------------------
+# dates
+# ---------------------------------------------------------------------------
+def iso_date(fields: Column) -> Column:
+    """[year, month, day, hour, minute, second, offset seconds] -> ISO 8601
+    with offset; NULL when they are no point in time."""
+    y, mo, d, h, mi, s, off = [F.get(fields, i) for i in range(7)]
+    local = F.format_string("%04d-%02d-%02dT%02d:%02d:%02d", y, mo, d, h, mi, s)
+    size = F.abs(off)
+    zone = F.concat(F.when(off < 0, F.lit("-")).otherwise(F.lit("+")),
+                    F.format_string("%02d:%02d", F.floor(size / 3600), F.floor(size / 60) % 60),
+                    F.when(size % 60 > 0, F.format_string(":%02d", size % 60)).otherwise(F.lit("")))
+    known = F.try_to_timestamp(local, F.lit("yyyy-MM-dd'T'HH:mm:ss")).isNotNull()
+    return F.when(fields.isNotNull() & known & (y > 0) & (size < 86400), F.concat(local, zone))

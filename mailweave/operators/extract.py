@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text
+from ..functions.frontmatter import front_matter_json
 from ..functions.prompt import PROMPT_TEXT
 from ..schemas import ATTEMPTS, KEYS, NEWS_ITEM
 from .joins import anti_join, anti_join_recent, bounded_broadcast
@@ -114,14 +115,20 @@ def dry_run(listing: DataFrame, limit: int | None = None, read_dir: str = "read"
 # ---------------------------------------------------------------------------
 # prompt (#16)
 # ---------------------------------------------------------------------------
-def prompt_assemble(docs: DataFrame, text_col: str = "text", style: str = "api",
+def document_text() -> Column:
+    """A stored document as the model reads it: front matter, then the body."""
+    return F.concat(F.lit("---\n"), front_matter_json(), F.lit("\n---\n"), F.col("body"))
+
+
+def prompt_assemble(docs: DataFrame, text_col: str | Column = "text", style: str = "api",
                     prompt: str = PROMPT_TEXT) -> Column:
     """``prompt + "\\n\\n" + text`` (api style) or ``prompt + "\\n" + text + "\\n"``
     (cli style).  A literal concatenation: no join, no shuffle."""
+    content = F.col(text_col) if isinstance(text_col, str) else text_col
     if style == "api":
-        return F.concat(F.lit(prompt + "\n\n"), F.col(text_col))
+        return F.concat(F.lit(prompt + "\n\n"), content)
     if style == "cli":
-        return F.concat(F.lit(prompt + "\n"), F.col(text_col), F.lit("\n"))
+        return F.concat(F.lit(prompt + "\n"), content, F.lit("\n"))
     raise ValueError(f"unknown prompt style {style!r}")
 
 
@@ -272,7 +279,7 @@ def _json_checks_py(resp: pd.Series, cand: pd.Series) -> pd.DataFrame:
         try:
             json.loads(x)
             return True
-        except ValueError:
+        except (ValueError, RecursionError):  # too deep a nesting is not valid either
             return False
     return pd.DataFrame({"whole": resp.map(ok).astype("boolean"), "slice": cand.map(ok).astype("boolean")})
 
@@ -306,16 +313,32 @@ def repair(outcomes: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     )
 
 
-def news_items(results: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """JSON lists -> one row per item with the five string fields.
-
-    Only valid responses that are lists are read (``from_json`` would wrap
-    a lone object into a one-element list)."""
+def _list_elements(results: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, pos, e): the elements of valid list responses as JSON texts, from
+    position 1.  A lone object is no list (``from_json`` would wrap it)."""
     lst = results.where(F.col("valid_json") & F.col("response").rlike(r"^\s*\["))
-    arr = F.from_json(F.col("response"), f"array<{NEWS_ITEM}>")
-    return (lst.select(*keys, F.posexplode(arr).alias("pos", "it"))
-            .select(*keys, (F.col("pos") + 1).cast("int").alias("pos"),
-                    *[F.col(f"it.{c}").alias(c) for c in ("title", "url", "summary", "date", "sender")]))
+    arr = F.from_json(F.col("response"), "array<string>")
+    return (lst.select(*keys, F.posexplode(arr).alias("pos", "e"))
+            .select(*keys, (F.col("pos") + 1).cast("int").alias("pos"), "e"))
+
+
+_OBJECT = r"^\s*\{"
+
+
+def news_items(results: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """JSON lists -> one row per item with the five string fields; elements
+    that are no objects are left out (:func:`unusable_items` has them), the
+    others keep their position."""
+    return (_list_elements(results, keys).where(F.col("e").rlike(_OBJECT))
+            .select(*keys, "pos", F.from_json("e", NEWS_ITEM).alias("it"))
+            .select(*keys, "pos", *[F.col(f"it.{c}").alias(c) for c in ("title", "url", "summary", "date", "sender")]))
+
+
+def unusable_items(results: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """The list elements that are no objects, in ``failures`` shape."""
+    return (_list_elements(results, keys).where(~F.coalesce(F.col("e").rlike(_OBJECT), F.lit(False)))
+            .select(*keys, F.lit("extract").alias("stage"),
+                    F.concat(F.lit("item "), F.col("pos").cast("string"), F.lit(" is no object")).alias("error")))
 
 
 def new_results(results: DataFrame, existing: DataFrame | None, keys: list[str] = KEYS) -> DataFrame:

@@ -99,9 +99,16 @@ def replace_all(new: DataFrame, existing: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # the Python stage (#25) and its native continuation (#26-#29, #13)
 # ---------------------------------------------------------------------------
-def parse_messages(raw: DataFrame) -> DataFrame:
-    """Raw bytes -> header columns + leaf ``parts``; map-only, errors per row."""
-    return raw.select(*RAW_COLS).mapInArrow(mime.parse_batches, PARSED)
+def _parse_headers(batches):
+    return mime.parse_batches(batches, with_payload=False)
+
+
+def parse_messages(raw: DataFrame, with_payload: bool = True) -> DataFrame:
+    """Raw bytes -> header columns + leaf ``parts``; map-only, errors per row.
+    ``with_payload=False`` for readers of headers and attachment names only:
+    no body is decoded or shipped back."""
+    parsed = raw.select(*RAW_COLS).mapInArrow(mime.parse_batches if with_payload else _parse_headers, PARSED)
+    return parsed.withColumn("date_fields", text.iso_date(F.col("date_fields"))).withColumnRenamed("date_fields", "date_iso")
 
 
 def is_attachment(p: Column) -> Column:
@@ -169,7 +176,7 @@ def to_documents(parsed: DataFrame, keep_html: bool = False, html_converter=None
         "size", "labels", "thread_id",
         (F.when((F.size(plain) > 0) & (text.strip(_joined(plain)) != ""), text.strip(_joined(plain)))
          if skip_empty_plain else F.when(F.size(plain) > 0, text.strip(_joined(plain)))).alias("_plain"),
-        F.when(F.size(html) > 0, html_joined if html_converter else text.html_tags_to_text(html_joined))
+        F.when(F.size(html) > 0, html_joined if html_converter else text.html_tags_to_text(text.keep_links(html_joined)))
         .alias("_html"),
         attachment_names(parts).alias("attachments"),
     ]
@@ -195,35 +202,28 @@ def parse_failures(parsed: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # default extractor (#36) and item defaults (#17)
 # ---------------------------------------------------------------------------
-# Fixed pattern of the rule extractor: an anchor with a double-quoted href.
-LINK_RE = r'(?is)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'
+def rule_item_array(html: Column, date_iso: Column, from_addr: Column) -> Column:
+    """The rule extractor's items of one message as an array: one element per
+    link, in document order; title = link text (tags removed, entities decoded,
+    stripped), url = decoded target, date and sender of the message."""
+    src = text.fold_entities(F.coalesce(html, F.lit("")))
+    found = F.arrays_zip(*[F.regexp_extract_all(src, F.lit(text.LINK_RE), F.lit(g)).alias(f"g{g}") for g in (1, 2, 3, 4)])
+    d, s = local_minute(date_iso), text.address_of(from_addr)
+
+    def item(x: Column) -> Column:
+        title = text.strip(text.unescape_native(text.html_tags_to_text(x["g4"])))
+        url = text.unescape_native(F.concat(x["g1"], x["g2"], x["g3"]))
+        return F.struct(title.alias("title"), url.alias("url"), F.lit("").alias("summary"), d.alias("date"), s.alias("sender"))
+    return F.transform(found, item)
 
 
 def rule_items(docs: DataFrame) -> DataFrame:
-    """One item per HTML link (title = link text, url = href) with the
-    message's own minute and sender address carried along as
-    ``_msg_date`` / ``_msg_sender``.  Needs ``html``
+    """:func:`rule_item_array` as rows, with ``pos`` from 1.  Needs ``html``
     (``to_documents(keep_html=True)``)."""
-    urls = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(LINK_RE), F.lit(1))
-    titles = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(LINK_RE), F.lit(2))
-    return (docs.select(*KEYS, local_minute(F.col("date_iso")).alias("_msg_date"),
-                        text.address_of(F.col("from_addr")).alias("_msg_sender"),
-                        F.posexplode(F.arrays_zip(urls.alias("url"), titles.alias("title"))))
+    items = rule_item_array(F.col("html"), F.col("date_iso"), F.col("from_addr"))
+    return (docs.select(*KEYS, F.posexplode(items).alias("pos", "it"))
             .select(*KEYS, (F.col("pos") + 1).cast("int").alias("pos"),
-                    F.col("col.title").alias("title"), F.col("col.url").alias("url"),
-                    F.lit("").alias("summary"), F.lit(None).cast("string").alias("date"),
-                    F.lit(None).cast("string").alias("sender"), "_msg_date", "_msg_sender"))
-
-
-def rule_item_array(html: Column, date_iso: Column, from_addr: Column) -> Column:
-    """The rule extractor's items of one message as an array (defaults
-    applied): one element per link, in document order."""
-    src = F.coalesce(html, F.lit(""))
-    pairs = F.arrays_zip(F.regexp_extract_all(src, F.lit(LINK_RE), F.lit(1)).alias("url"),
-                         F.regexp_extract_all(src, F.lit(LINK_RE), F.lit(2)).alias("title"))
-    d, s = local_minute(date_iso), text.address_of(from_addr)
-    return F.transform(pairs, lambda x: F.struct(x["title"].alias("title"), x["url"].alias("url"),
-                                                 F.lit("").alias("summary"), d.alias("date"), s.alias("sender")))
+                    *[F.col(f"it.{c}").alias(c) for c in ("title", "url", "summary", "date", "sender")]))
 
 
 def normalize_item_date(c: Column) -> Column:
@@ -246,7 +246,7 @@ def apply_item_defaults(items: DataFrame) -> DataFrame:
 def rule_extract(docs: DataFrame) -> DataFrame:
     """The deterministic default extractor: link items with date and sender
     from the message."""
-    return apply_item_defaults(rule_items(docs))
+    return rule_items(docs)
 
 
 def item_defaults(items: DataFrame, docs: DataFrame) -> DataFrame:

@@ -55,11 +55,11 @@ def _as_int(v: Column) -> Column:
     t = F.schema_of_variant(v)
     s = F.try_variant_get(v, "$", "string")
     return (F.when(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.try_variant_get(v, "$", "bigint"))
-            .when(t.startswith("DECIMAL"), F.try_variant_get(v, "$", "decimal(38,10)").cast("bigint"))
-            .when(t.isin("DOUBLE", "FLOAT"), F.try_variant_get(v, "$", "double").cast("bigint"))
+            .when(t.startswith("DECIMAL"), F.try_variant_get(v, "$", "decimal(38,10)").try_cast("bigint"))
+            .when(t.isin("DOUBLE", "FLOAT"), F.try_variant_get(v, "$", "double").try_cast("bigint"))
             .when(t == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("bigint"))
             .when((t == "STRING") & s.rlike(_INT_TEXT),
-                  F.regexp_replace(s, r"[_\s]", "").cast("bigint")))
+                  F.regexp_replace(s, r"[_\s]", "").try_cast("bigint")))
 
 
 def load_json(docs: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:

@@ -76,17 +76,33 @@ FB_DATE = f"""'2026-12-' || lpad((conv_id % 28 + 1)::VARCHAR, 2, '0') || 'T' ||
     lpad((conv_id % 24)::VARCHAR, 2, '0') || ':' || lpad(turn::VARCHAR, 2, '0') || ':00' ||
     CASE conv_id % 4 WHEN 1 THEN '+08:00' WHEN 2 THEN '-05:00' ELSE '+00:00' END"""
 
-HTML_TEXT = f"""regexp_replace(
-  replace(replace(replace(replace(replace(replace(replace(replace(replace(
-    regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
-      '<script.*?>.*?</script>', '', 'gis'),
-      '<style.*?>.*?</style>', '', 'gis'),
-      '<br\\s*/?>', {NL}, 'gis'),
-      '</p\\s*>', {NL} || {NL}, 'gis'),
-      '<.*?>', '', 'gis'),
-    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''),
-    '&nbsp;', chr(160)), '&middot;', chr(183)), '&copy;', chr(169)), '&amp;', '&'),
-  '^\\s+|\\s+$', '', 'g')"""
+def _decoded(x: str) -> str:
+    for entity, char in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "chr(39)"), ("&apos;", "chr(39)"),
+                         ("&nbsp;", "chr(160)"), ("&middot;", "chr(183)"), ("&copy;", "chr(169)"), ("&amp;", "'&'")):
+        x = f"replace({x}, '{entity}', {char})"
+    return x
+
+
+def _stripped(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def _without_scripts(x: str) -> str:
+    return (f"regexp_replace(regexp_replace({x}, '<script.*?>.*?</script>', '', 'gis'), "
+            f"'<style.*?>.*?</style>', '', 'gis')")
+
+
+def _tags_to_text(x: str) -> str:
+    x = f"regexp_replace({x}, '<br\\s*/?>', {NL}, 'gis')"
+    x = f"regexp_replace({x}, '</p\\s*>', {NL} || {NL}, 'gis')"
+    return f"regexp_replace({x}, '<.*?>', '', 'gis')"
+
+
+HTML_TEXT = _stripped(_decoded(_tags_to_text(_without_scripts("html"))))
+# the stored body keeps links as [text](target); every anchor of the test pages has a double-quoted target
+_ANCHOR = """'<a\\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'"""
+HTML_BODY = _stripped(_decoded(_tags_to_text(
+    f"regexp_replace({_without_scripts('html')}, {_ANCHOR}, '[\\2](\\1)', 'gis')")))
 
 # Expected documents of F-A..F-C (valid messages only).
 DOCS = f"""docs AS (
@@ -97,7 +113,7 @@ DOCS = f"""docs AS (
     '新闻 Desk <news@' || {HOST} || '>' AS from_addr,
     'a@x.org|B <b@x.org>' AS "to", '' AS cc,
     length(html)::BIGINT AS size, NULL::VARCHAR AS labels, NULL::VARCHAR AS thread_id,
-    {HTML_TEXT} AS body, '' AS attachments
+    {HTML_BODY} AS body, '' AS attachments
   FROM pages WHERE page_id <> 0
   UNION ALL
   SELECT 'desk', '[All]', (conv_id * 1000 + turn + 1)::BIGINT,
@@ -330,11 +346,25 @@ SELECT account, mailbox,
   count(*)::BIGINT AS processed
 FROM rec GROUP BY account, mailbox"""
 
-ORACLE["prompt_assemble"] = f"""
-SELECT 'desk' AS account, 'docs' AS mailbox, (doc_id + 1)::BIGINT AS uid,
-  length({_sql_str(PROMPT_TEXT)} || {NL} || {NL} || text)::BIGINT AS prompt_chars,
+_FRONT_MATTER = """'{"uid":' || uid || ',"message_id":' || to_json(message_id) || ',"subject":' || to_json(subject) ||
+  ',"date":' || to_json(date_iso) || ',"from":' || to_json(from_addr) || ',"size":' || size ||
+  ',"to":' || to_json(string_split("to", '|')) ||
+  CASE WHEN cc <> '' THEN ',"cc":' || to_json(string_split(cc, '|')) ELSE '' END ||
+  CASE WHEN labels IS NOT NULL THEN ',"labels":' || to_json(string_split(labels, '|')) ELSE '' END ||
+  CASE WHEN thread_id IS NOT NULL THEN ',"thread_id":' || to_json(thread_id) ELSE '' END ||
+  CASE WHEN attachments <> '' THEN ',"attachments":' || to_json(string_split(attachments, '|')) ELSE '' END ||
+  '}'"""
+
+# F-C texts alone, F-A newsletters with front matter and links.
+ORACLE["prompt_assemble"] = f"""WITH {DOCS},
+texts AS (
+  SELECT 'desk' AS account, 'docs' AS mailbox, (doc_id + 1)::BIGINT AS uid, text FROM documents
+  UNION ALL
+  SELECT account, mailbox, uid, '---' || {NL} || {_FRONT_MATTER} || {NL} || '---' || {NL} || body
+  FROM docs WHERE mailbox = 'INBOX')
+SELECT account, mailbox, uid, length({_sql_str(PROMPT_TEXT)} || {NL} || {NL} || text)::BIGINT AS prompt_chars,
   md5({_sql_str(PROMPT_TEXT)} || {NL} || {NL} || text) AS prompt_md5
-FROM documents WHERE (doc_id + 1) % 2 <> 0 AND (doc_id + 1) % 5 <> 0"""
+FROM texts WHERE uid % 2 <> 0 AND uid % 5 <> 0"""
 
 ORACLE["item_defaults"] = f"""WITH {FF_RESP}, {FF_REPAIRED}, {FF_ITEMS}
 SELECT account, mailbox, uid, pos, title, url, summary,
@@ -394,17 +424,7 @@ ORACLE["date_iso"] = f"WITH {DOCS} SELECT account, mailbox, uid, date_iso FROM d
 
 ORACLE["html_to_text"] = f"SELECT page_id, {HTML_TEXT} AS text FROM pages"
 
-ORACLE["front_matter"] = f"""WITH {DOCS}
-SELECT account, mailbox, uid,
-  '{{"uid":' || uid || ',"message_id":' || to_json(message_id) || ',"subject":' || to_json(subject) ||
-  ',"date":' || to_json(date_iso) || ',"from":' || to_json(from_addr) || ',"size":' || size ||
-  ',"to":' || to_json(string_split("to", '|')) ||
-  CASE WHEN cc <> '' THEN ',"cc":' || to_json(string_split(cc, '|')) ELSE '' END ||
-  CASE WHEN labels IS NOT NULL THEN ',"labels":' || to_json(string_split(labels, '|')) ELSE '' END ||
-  CASE WHEN thread_id IS NOT NULL THEN ',"thread_id":' || to_json(thread_id) ELSE '' END ||
-  CASE WHEN attachments <> '' THEN ',"attachments":' || to_json(string_split(attachments, '|')) ELSE '' END ||
-  '}}' AS front_matter
-FROM docs"""
+ORACLE["front_matter"] = f"WITH {DOCS} SELECT account, mailbox, uid, {_FRONT_MATTER} AS front_matter FROM docs"
 
 ORACLE["json_fence_repair"] = f"""WITH {FF_RESP}, {FF_REPAIRED}
 SELECT account, mailbox, uid, response, repaired, valid_json FROM results"""
@@ -419,16 +439,15 @@ SELECT account, mailbox, uid, s.attempt_no::BIGINT AS attempt_no,
   s.error
 FROM cls JOIN spat s ON cls.c = s.c"""
 
-_LINK = """'<a\\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'"""
-
 _RULE = f"""lk AS (
   SELECT 'desk' AS account, 'INBOX' AS mailbox, page_id::BIGINT AS uid,
-    regexp_extract_all(html, {_LINK}, 1, 'is') AS urls,
-    regexp_extract_all(html, {_LINK}, 2, 'is') AS titles,
+    regexp_extract_all(html, {_ANCHOR}, 1, 'is') AS urls,
+    regexp_extract_all(html, {_ANCHOR}, 2, 'is') AS titles,
     'news@' || {HOST} AS sender
   FROM pages WHERE page_id <> 0),
 rule AS (
-  SELECT account, mailbox, uid, i::BIGINT AS pos, titles[i] AS title, urls[i] AS url, '' AS summary,
+  SELECT account, mailbox, uid, i::BIGINT AS pos, {_stripped(_decoded(_tags_to_text('titles[i]')))} AS title,
+    {_decoded('urls[i]')} AS url, '' AS summary,
     '2026-12-01 17:02' AS date, sender
   FROM (SELECT *, generate_subscripts(urls, 1) AS i FROM lk))"""
 

@@ -50,9 +50,10 @@ def raw(spark, sf) -> DataFrame:
     return ig.normalize_records(fx.raw_messages(spark, sf))
 
 
-def documents(spark, sf, keep_html: bool = False) -> DataFrame:
-    """Valid F-A..F-C messages parsed into ``documents_md``."""
-    return ig.to_documents(ig.parse_messages(ig.valid_records(raw(spark, sf))), keep_html=keep_html)
+def documents(spark, sf, keep_html: bool = False, with_payload: bool = True) -> DataFrame:
+    """Valid F-A..F-C messages parsed into ``documents_md``; without payload
+    for queries of headers and attachment names."""
+    return ig.to_documents(ig.parse_messages(ig.valid_records(raw(spark, sf)), with_payload), keep_html=keep_html)
 
 
 def docs_only(spark, sf) -> DataFrame:
@@ -111,7 +112,7 @@ def q_doc_sink_append(spark, sf):
 def q_doc_sink_overwrite(spark, sf):
     existing = fx.fixture_e_existing(spark, sf).select(
         *KEYS, F.lit("existing").alias("origin"), F.lit(None).cast("string").alias("subject"))
-    new = documents(spark, sf).select(*KEYS, F.lit("new").alias("origin"), "subject")
+    new = documents(spark, sf, with_payload=False).select(*KEYS, F.lit("new").alias("origin"), "subject")
     return ig.replace_all(new, existing)
 
 
@@ -181,7 +182,7 @@ def q_valid_records(spark, sf):
 
 @query("attachment_filter")
 def q_attachment_filter(spark, sf):
-    p = ig.parse_messages(ig.valid_records(raw(spark, sf)))
+    p = ig.parse_messages(ig.valid_records(raw(spark, sf)), with_payload=False)
     a = p.select(*KEYS, F.explode(F.filter("parts", ig.is_attachment)).alias("p"))
     return a.select(*KEYS, F.col("p.part_no").cast("bigint").alias("part_no"), F.col("p.filename").alias("filename"))
 
@@ -214,9 +215,13 @@ def q_run_reconcile(spark, sf):
 
 @query("prompt_assemble")
 def q_prompt_assemble(spark, sf):
+    """Prompts over pending documents: the F-C texts, and the F-A newsletters
+    with front matter, sender, date and links as a model round sends them."""
     docs = fx.table(spark, sf, "documents").select(
         F.lit("desk").alias("account"), F.lit("docs").alias("mailbox"),
         (F.col("doc_id") + 1).cast("bigint").alias("uid"), "text")
+    pages = ig.to_documents(ig.parse_messages(ig.valid_records(ig.normalize_records(fx.fixture_a(spark, sf)))))
+    docs = docs.unionByName(pages.select(*KEYS, ex.document_text().alias("text")))
     pend = ex.pending_docs(docs, fx.fixture_e_results(spark, sf), fx.fixture_e_quarantine(spark, sf))
     p = ex.prompt_assemble(pend, "text")
     return pend.select(*KEYS, F.length(p).cast("bigint").alias("prompt_chars"), F.md5(p).alias("prompt_md5"))
@@ -275,7 +280,7 @@ def q_batch_assign(spark, sf):
 # ---------------------------------------------------------------------------
 @query("parse_messages")
 def q_parse_messages(spark, sf):
-    d = documents(spark, sf)
+    d = documents(spark, sf, with_payload=False)
     return d.select(*KEYS, "message_id", "subject", "date_iso", "from_addr",
                     joined(F.col("to")).alias("to"), joined(F.col("cc")).alias("cc"),
                     "size", joined(F.col("labels")).alias("labels"), "thread_id")
@@ -288,18 +293,18 @@ def q_body_select(spark, sf):
 
 @query("attachment_names")
 def q_attachment_names(spark, sf):
-    return documents(spark, sf).select(*KEYS, joined(F.col("attachments")).alias("attachments"))
+    return documents(spark, sf, with_payload=False).select(*KEYS, joined(F.col("attachments")).alias("attachments"))
 
 
 @query("address_format")
 def q_address_format(spark, sf):
-    return documents(spark, sf).select(*KEYS, "from_addr", joined(F.col("to")).alias("to"),
+    return documents(spark, sf, with_payload=False).select(*KEYS, "from_addr", joined(F.col("to")).alias("to"),
                                        joined(F.col("cc")).alias("cc"))
 
 
 @query("date_iso")
 def q_date_iso(spark, sf):
-    return documents(spark, sf).select(*KEYS, "date_iso")
+    return documents(spark, sf, with_payload=False).select(*KEYS, "date_iso")
 
 
 @query("html_to_text")
@@ -315,7 +320,7 @@ def q_html_to_markdown(spark, sf):
 @query("front_matter")
 def q_front_matter(spark, sf):
     from ..functions.frontmatter import front_matter_json
-    return documents(spark, sf).select(*KEYS, front_matter_json().alias("front_matter"))
+    return documents(spark, sf, with_payload=False).select(*KEYS, front_matter_json().alias("front_matter"))
 
 
 @query("front_matter_yaml")

@@ -15,7 +15,7 @@ RAW_MESSAGES = (
 PARSED = (
     "account string, mailbox string, uid bigint, size bigint, "
     "labels array<string>, thread_id string, message_id string, "
-    "subject string, date_iso string, "
+    "subject string, date_fields array<int>, "
     f"from_list array<{ADDRESS}>, to_list array<{ADDRESS}>, cc_list array<{ADDRESS}>, "
     f"parts array<{PART}>, parse_error string"
 )

@@ -36,7 +36,7 @@ def eml_records(files: DataFrame, account: str, mailbox: str) -> DataFrame:
     stem = F.regexp_extract(F.col("path"), r"([^/]+)\.[^./]+$", 1)
     return normalize_records(files.select(
         F.lit(account).alias("account"), F.lit(mailbox).alias("mailbox"),
-        F.coalesce(F.when(stem.rlike(r"^[0-9]+$"), stem.cast("bigint")), F.lit(0)).alias("uid"),
+        F.coalesce(F.when(stem.rlike(r"^[0-9]+$"), stem.try_cast("bigint")), F.lit(0)).alias("uid"),
         F.col("content").alias("raw"), F.col("length").alias("size"),
         F.lit(None).cast("array<string>").alias("labels"), F.lit(None).cast("string").alias("thread_id")))
 

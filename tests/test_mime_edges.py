@@ -132,3 +132,47 @@ def test_skip_empty_plain_option(spark):
     parsed = ig.parse_messages(ig.normalize_records(df))
     assert ig.to_documents(parsed).first().body == ""
     assert ig.to_documents(parsed, skip_empty_plain=True).first().body == "from html"
+
+
+def _parse(raw: bytes) -> dict:
+    from mailweave.functions import mime
+    return mime.parse_one(raw)
+
+
+def test_unknown_charset_keeps_the_message():
+    single = _parse(b"Subject: s\r\nContent-Type: text/plain; charset=x-unknown-8\r\n\r\nbody\xff")
+    assert single["subject"] == "s" and single["parts"][0]["payload"] is None
+    multi = _parse(b'Subject: m\r\nMIME-Version: 1.0\r\nContent-Type: multipart/mixed; boundary="b"\r\n\r\n--b\r\n'
+                   b"Content-Type: text/plain; charset=x-unknown-8\r\n\r\nlost\xff\r\n--b\r\n"
+                   b"Content-Type: text/plain; charset=utf-8\r\n\r\nkept\r\n--b--\r\n")
+    assert [p["payload"].strip() for p in multi["parts"]] == ["", "kept"]
+
+
+def test_encoded_word_rules():
+    from mailweave.functions.mime import decode_words
+    assert decode_words("=?utf-8?q?a_b?= =?utf-8?q?c?=") == "a bc"           # the gap disappears
+    assert decode_words("=?utf-8?b?5Lg=?= =?utf-8?b?rQ==?=") == "中"           # one character over two words
+    assert decode_words("x =?iso-8859-1?q?=E9?= y") == "x é y"
+    assert decode_words("=?nope-1?q?=C3=A9?=") == "é"
+    assert decode_words("plain") == "plain" and decode_words(None) == ""
+
+
+def test_headers_only_parse_equals_the_whole(spark):
+    from pyspark.sql import functions as F
+    from mailweave.operators import ingest as ig
+    from mailweave.sources import fixtures as fx
+    raw = ig.normalize_records(fx.raw_messages(spark, "/root/testdata/sf0.001"))
+    cols = ["uid", "mailbox", "subject", "date_iso", "from_addr", F.concat_ws("|", "attachments").alias("att")]
+    whole = ig.to_documents(ig.parse_messages(raw)).select(*cols)
+    light = ig.to_documents(ig.parse_messages(raw, with_payload=False)).select(*cols)
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, light.collect()))
+
+
+def test_dates_without_a_point_in_time(spark):
+    from pyspark.sql import functions as F
+    from mailweave.functions import mime, text
+    cases = {"Tue, 01 Dec 2026 17:02:00 +0800": "2026-12-01T17:02:00+08:00", "1 Dec 26 25:00:00 +0000": None,
+             "31 Feb 2026 10:00:00 -0330": None, "1 Dec 2026 10:00:00 -0330": "2026-12-01T10:00:00-03:30",
+             "1 Dec 2026 10:00": "2026-12-01T10:00:00+00:00", "": None, "never": None}
+    df = spark.createDataFrame([(k, mime.date_fields(k)) for k in cases], "h string, f array<int>")
+    assert {r.h: r.iso for r in df.select("h", text.iso_date(F.col("f")).alias("iso")).collect()} == cases

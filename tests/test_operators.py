@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from mailweave.functions import text
 from mailweave.operators import extract as ex
+from mailweave.operators import ingest as ig
 from mailweave.operators import numbering as nb
 from mailweave.operators import state as st
 
@@ -101,23 +102,6 @@ def test_attempt_fold_brute_force(spark):
     assert got == want
 
 
-def _repair_py(raw):
-    try:
-        json.loads(raw)
-        return raw, False, True
-    except ValueError:
-        pass
-    if raw.lstrip().startswith("```"):
-        a, b = raw.find("["), raw.rfind("]")
-        if a != -1 and b != -1 and a < b:
-            try:
-                json.loads(raw[a:b + 1])
-                return raw[a:b + 1], True, True
-            except ValueError:
-                pass
-    return raw, False, False
-
-
 def test_fence_repair_brute_force(spark):
     samples = ['[{"a": 1}]', '```json\n[{"a": 1}]\n```', '  ```\n[1, 2]```', '```\n] x [\n```',
                '```json\n{"a": [1]}\n```', 'prose [1]', '[1] trailing', 'NaN', '```[1,]```',
@@ -125,7 +109,10 @@ def test_fence_repair_brute_force(spark):
     df = spark.createDataFrame([("a", "m", i, s, "ok") for i, s in enumerate(samples)],
                                "account string, mailbox string, uid bigint, response string, outcome string")
     got = {r.uid: (r.response, r.repaired, r.valid_json) for r in ex.repair(df).collect()}
-    assert got == {i: _repair_py(s) for i, s in enumerate(samples)}
+    slices = {1: '[{"a": 1}]', 2: "[1, 2]", 4: "[1]", 9: '[{"t": "é"}]', 11: "[[1], [2]]\n``` and [3]"}
+    valid = {0, 1, 2, 4, 7, 9, 10}
+    slices.pop(11)                                   # from the first to the last bracket: no JSON
+    assert got == {i: (slices.get(i, s), i in slices, i in valid) for i, s in enumerate(samples)}
     items = ex.news_items(ex.repair(df)).collect()
     assert {r.uid for r in items} == {0, 1, 9}       # lists only; the lone object yields nothing
 
@@ -145,20 +132,13 @@ def test_stub_model_blocked_and_retry(spark):
 
 
 def test_html_to_text_matches_python_chain(spark):
-    import html as h
-    import re
     pages = ["<p>a &amp;amp; b</p><script>x</script>", "<STYLE>s</STYLE>t<br/>u", "&eacute;&#233;&#xe9;&hellip",
              "  <b>x</b>  ", "<p>1</p  ><p>2</p>"]
 
-    def py(s):
-        s = re.sub(r"(?is)<(script|style).*?>.*?</\1>", "", s)
-        s = re.sub(r"(?is)<br\s*/?>", "\n", s)
-        s = re.sub(r"(?is)</p\s*>", "\n\n", s)
-        s = re.sub(r"(?is)<.*?>", "", s)
-        return h.unescape(s).strip()
+    want = ["a &amp; b", "t\nu", "ééé&hellip", "x", "1\n\n2"]
     df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "id int, html string")
     got = {r.id: r.t for r in df.select("id", text.html_to_text(F.col("html")).alias("t")).collect()}
-    assert got == {i: py(p) for i, p in enumerate(pages)}
+    assert got == dict(enumerate(want))
 
 
 def test_dedupe_by_key_keeps_one_row_per_key(spark):
@@ -182,3 +162,62 @@ def test_bounded_broadcast_falls_back_beyond_bound(spark):
         spark.conf.unset(BROADCAST_MAX_ROWS_CONF)
     assert got == want
     assert sorted(r.uid for r in anti_join_recent(probe, big, ["account", "mailbox", "uid"]).collect()) == want
+
+
+KEYED = "account string, mailbox string, uid bigint"
+
+
+def _keyed(spark, values, col):
+    return spark.createDataFrame([("a", "m", i, v) for i, v in enumerate(values)], f"{KEYED}, {col} string")
+
+
+def test_deeply_nested_response_is_not_valid(spark):
+    df = _keyed(spark, ["[" * 200_000, "[1]"], "response").withColumn("outcome", F.lit("ok"))
+    assert {r.uid: r.valid_json for r in ex.repair(df).collect()} == {0: False, 1: True}
+
+
+def test_items_of_mixed_lists(spark):
+    df = _keyed(spark, ['[{"title":"t1"},"note",{"title":"t2","url":"u"},null,7]', "[]", '{"title":"lone"}'], "response")
+    df = df.withColumn("valid_json", F.lit(True))
+    assert sorted((r.uid, r.pos, r.title, r.url) for r in ex.news_items(df).collect()) == [(0, 1, "t1", None), (0, 3, "t2", "u")]
+    assert sorted((r.uid, r.error) for r in ex.unusable_items(df).collect()) == [
+        (0, "item 2 is no object"), (0, "item 4 is no object"), (0, "item 5 is no object")]
+
+
+def test_label_tokens(spark):
+    from mailweave.functions import meta
+    cases = ['"a b" c', "'it''s' x\\\\ y", '"\\\\Inbox" \\\\Sent', 'open "quote x', '"" z', 'a"b c"d', "t\\", "\\\"q", '"a\\\"b\\c"']
+    df = spark.createDataFrame([(k,) for k in cases], "c string")
+    import shlex
+    got = {r.c: r.t for r in df.select("c", meta.label_tokens(F.col("c")).alias("t")).collect()}
+    for c in cases:
+        try:
+            assert got[c] == [t for t in shlex.split(c) if t], c
+        except ValueError:
+            assert got[c] == [t.strip("\"'") for t in c.split()], c
+
+
+def test_label_group_of_a_megabyte(spark):
+    from mailweave.functions import meta
+    groups = ["x" * 1_000_000, '"a b" ' * 170_000, "\\a" * 300_000]
+    df = spark.createDataFrame([(i, f"RFC822.SIZE 99999999999999999999 X-GM-LABELS ({g})") for i, g in enumerate(groups)], "i int, m string")
+    got = df.select("i", meta.provider_meta(F.col("m")).alias("p")).select("i", "p.size", F.size("p.labels").alias("n")).collect()
+    assert {r.i: (r.size, r.n) for r in got} == {0: (None, 1), 1: (None, 170_000), 2: (None, 1)}
+
+
+def test_rule_items_of_odd_anchors(spark):
+    html = ('<a href="https://x/1?a=1&amp;b=2"><b>t1</b> &hellip;</a><A class=x HREF=\'y&#38;z\'>\n t2 </A>'
+            '<a href=bare>t&lt;3</a><a name="n">no target</a><abbr href="q">no anchor</abbr>')
+    df = spark.createDataFrame([("a", "m", 1, html, "2026-12-01T10:00:00+01:00", "N <n@x.org>")],
+                               f"{KEYED}, html string, date_iso string, from_addr string")
+    got = [(r.pos, r.title, r.url, r.date, r.sender) for r in ig.rule_extract(df).orderBy("pos").collect()]
+    assert got == [(1, "t1 …", "https://x/1?a=1&b=2", "2026-12-01 10:00", "n@x.org"), (2, "t2", "y&z", "2026-12-01 10:00", "n@x.org"),
+                   (3, "t<3", "bare", "2026-12-01 10:00", "n@x.org")]
+
+
+def test_overflowing_numbers_fall_back(spark):
+    from mailweave.sources import tables as tb
+    df = spark.createDataFrame([(1, '{"a:b": "99999999999999999999"}'), (2, '{"a:b": 1e30}'), (3, '{"a:b": 5}')], "id int, text string")
+    assert [(r.id, r.last_uid) for r in st.load_json(df, "id").collect()] == [(3, 5)]
+    files = spark.createDataFrame([("/x/99999999999999999999.eml", bytearray(b"x"), 1)], "path string, content binary, length bigint")
+    assert tb.eml_records(files, "a", "m").first().uid == 0
