@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import inspect
 import json
+import threading
 import time
 from typing import Callable, Iterator
 
@@ -152,15 +153,36 @@ def accepts_attempt(model: Callable) -> bool:
         return False
 
 
+def _within(timeout_s: float | None, call: Callable[[], str]) -> str:
+    """``call()``, or a TimeoutError when it takes longer than ``timeout_s``."""
+    if not timeout_s:
+        return call()
+    box: dict = {}
+
+    def work():
+        try:
+            box["out"] = call()
+        except Exception as e:
+            box["error"] = e
+    t = threading.Thread(target=work, daemon=True)
+    t.start()
+    t.join(timeout_s)
+    if t.is_alive():
+        raise TimeoutError(f"no answer within {timeout_s:g} s")
+    if "error" in box:
+        raise box["error"]
+    return box["out"]
+
+
 def _attempt_rows(model: Callable[..., str], prompt: str, max_attempts: int, wait_s: float,
-                  pass_attempt: bool = False):
+                  pass_attempt: bool = False, timeout_s: float | None = None):
     """Call ``model`` until a non-empty answer or a blocked error; at most
     ``max_attempts`` calls.  Yields (attempt_no, response, error)."""
     for n in range(1, max_attempts + 1):
         if n > 1 and wait_s > 0:
             time.sleep(wait_s)
         try:
-            out = model(prompt, attempt=n) if pass_attempt else model(prompt)
+            out = _within(timeout_s, lambda: model(prompt, attempt=n) if pass_attempt else model(prompt))
             resp = out.strip() if isinstance(out, str) else ""
             yield n, resp, (None if resp else EMPTY_RESPONSE)
             if resp:
@@ -174,12 +196,12 @@ def _attempt_rows(model: Callable[..., str], prompt: str, max_attempts: int, wai
 
 def batch_extract(prompts: DataFrame, model: Callable[..., str], max_attempts: int = MAX_ATTEMPTS,
                   wait_s: float = RETRY_WAIT_S, concurrency: int | None = None,
-                  keys: list[str] = KEYS, prompt_col: str = "prompt") -> DataFrame:
+                  keys: list[str] = KEYS, prompt_col: str = "prompt", timeout_s: float | None = None) -> DataFrame:
     """Attempt log of calling ``model`` on every prompt (``attempts`` shape).
 
     ``model(prompt) -> str`` answers or raises; a model that also takes a
     keyword ``attempt`` is told the 1-based attempt number.  ``concurrency``
-    bounds the number of simultaneous callers (tasks).  The result is not
+    bounds the number of simultaneous callers (tasks), ``timeout_s`` one call.  The result is not
     repeatable (a remote model is not deterministic): write it to storage
     before deriving anything (the stream keeps one attempt log per round and
     reuses it on replay), so that no recomputation calls the model again.
@@ -195,7 +217,7 @@ def batch_extract(prompts: DataFrame, model: Callable[..., str], max_attempts: i
             for rec in pdf.itertuples(index=False):
                 k = tuple(getattr(rec, c) for c in keys)
                 for n, resp, err in _attempt_rows(model, getattr(rec, prompt_col), max_attempts, wait_s,
-                                                  pass_attempt):
+                                                  pass_attempt, timeout_s):
                     rows.append((*k, n, resp, err))
             yield pd.DataFrame(rows, columns=[*keys, "attempt_no", "response", "error"])
 

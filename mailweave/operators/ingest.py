@@ -91,6 +91,13 @@ def insert_if_absent(new: DataFrame, existing: DataFrame, state: DataFrame | Non
     return anti_join_recent(new, ex, KEYS, probe)
 
 
+def insert_valid_if_absent(new: DataFrame, existing: DataFrame, probe: DataFrame) -> DataFrame:
+    """:func:`insert_if_absent` that lets invalid records through, whatever is
+    stored: each of them is a failure of its own."""
+    ex = within_ranges(existing.select(*KEYS), probe).withColumn("_valid", F.lit(True))
+    return new.withColumn("_valid", is_valid(new)).join(ex, [*KEYS, "_valid"], "left_anti").drop("_valid")
+
+
 def replace_all(new: DataFrame, existing: DataFrame) -> DataFrame:
     """``--redownload-all``: new rows win, untouched existing rows stay."""
     return new.unionByName(anti_join(existing, new, KEYS), allowMissingColumns=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows a "small" side may have before it is shipped to every executor.  The
@@ -17,15 +17,18 @@ BROADCAST_MAX_ROWS_CONF = "spark.mailweave.broadcastMaxRows"
 
 
 def bounded_broadcast(small: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(small)`` if it has at most ``max_rows`` rows, else ``small``.
+    """``small`` as a broadcast literal table if it has at most ``max_rows``
+    rows, else ``small`` as it is.
 
-    The check reads at most ``max_rows + 1`` rows (the limit stops the scan
-    early), so it is cheap exactly when the broadcast is allowed.
+    Up to ``max_rows + 1`` rows are computed once and kept; the join reads
+    them from memory instead of evaluating ``small`` again.
     """
     if max_rows is None:
         max_rows = int(small.sparkSession.conf.get(BROADCAST_MAX_ROWS_CONF, str(BROADCAST_MAX_ROWS)))
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+    rows = small.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
+        return small
+    return F.broadcast(small.sparkSession.createDataFrame(rows, small.schema))
 
 
 def anti_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -64,8 +67,9 @@ def anti_join_recent(left: DataFrame, right: DataFrame, keys: list[str], probe:
     return anti_join(left, within_ranges(right.select(*keys), p, group, key), keys)
 
 
-def dedupe_by_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key without shuffling the wide rows.
+def dedupe_by_key(df: DataFrame, keys: list[str], valid: Column | None = None, order: list[Column] = ()) -> DataFrame:
+    """One row per key without shuffling the wide rows: the largest by
+    ``order``.  Rows that are not ``valid`` are no rivals; all of them stay.
 
     Duplicate keys (the same message landed twice) are rare.  Their set is
     found from the key columns alone (a partial count) and, when within the
@@ -75,5 +79,14 @@ def dedupe_by_key(df: DataFrame, keys: list[str]) -> DataFrame:
     dups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(*keys)
     d = bounded_broadcast(dups)
     unique = df.join(d, keys, "left_anti")
-    repeated = df.join(d, keys, "left_semi").dropDuplicates(keys)
-    return unique.unionByName(repeated)
+    repeated = df.join(d, keys, "left_semi")
+    invalid = None if valid is None else repeated.where(~valid)
+    if valid is not None:
+        repeated = repeated.where(valid)
+    if order:
+        repeated = (repeated.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), F.struct(*order)).alias("_row"))
+                    .select("_row.*"))
+    else:
+        repeated = repeated.dropDuplicates(keys)
+    out = unique.unionByName(repeated)
+    return out if invalid is None else out.unionByName(invalid)

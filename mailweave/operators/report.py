@@ -47,4 +47,6 @@ def ingest_summary(reconciled: DataFrame, failures: DataFrame) -> DataFrame:
                       for c in ("new", "skipped", "failed", "processed")]))
 
 
-ROUND_LOG = "round bigint, stage string, started_at timestamp, exit_code int, duration_s double, rows bigint"
+# exit_code: 0 done, 1 ingest failed, 2 extraction failed for some document (or altogether)
+ROUND_LOG = ("round bigint, stage string, started_at timestamp, exit_code int, duration_s double, rows bigint, "
+             "failed bigint, blocked bigint, error string")

@@ -461,10 +461,19 @@ ORACLE["run_once"] = f"""WITH {DOCS}
 SELECT account, mailbox, count(*)::BIGINT AS n_docs, max(uid)::BIGINT AS max_uid FROM docs GROUP BY account, mailbox"""
 
 # The fixture stream lands uid % 3 = 0, 1, 2 and then arrival 0 again: each
-# round logs the documents it parsed (valid messages only; the re-landing adds
-# none) and a successful extraction.
+# round logs the documents it parsed and extracted (valid messages only; the
+# re-landing adds none); the rule extractor fails on none of them.
 ORACLE["round_log"] = f"""WITH {KEYS},
 c AS (SELECT uid % 3 AS r, count(*) AS n FROM keys WHERE uid <> 0 GROUP BY uid % 3)
-SELECT r::BIGINT AS round, 'ingest' AS stage, 0::INTEGER AS exit_code, n::BIGINT AS rows FROM c
-UNION ALL SELECT 3::BIGINT, 'ingest', 0::INTEGER, 0::BIGINT
-UNION ALL SELECT r::BIGINT, 'extract', 0::INTEGER, 0::BIGINT FROM range(4) t(r)"""
+SELECT r::BIGINT AS round, stage, 0::INTEGER AS exit_code, n::BIGINT AS rows
+FROM (SELECT * FROM c UNION ALL SELECT 3, 0) c, (VALUES ('ingest'), ('extract')) s(stage)"""
+
+# The stub answers prompt classes 0, 1 and 5; the prompt holds the whole document.
+ORACLE["model_stream"] = f"""WITH {DOCS},
+prompts AS (
+  SELECT account, mailbox, uid, md5({_sql_str(PROMPT_TEXT)} || {NL} || {NL} || '---' || {NL} || {_FRONT_MATTER} || {NL} ||
+    '---' || {NL} || body) AS h FROM docs),
+cls AS (SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % 6 AS c FROM prompts)
+SELECT account, mailbox, uid, '[{{"title": "item ' || substr(h, 1, 8) || '", "url": "https://n.example/' || substr(h, 9, 8) ||
+  '", "summary": "' || substr(h, 17, 8) || '", "date": "", "sender": ""}}]' AS response
+FROM cls WHERE c IN (0, 1, 5)"""

@@ -392,3 +392,11 @@ def q_round_log(spark, sf):
     from ..streaming import rounds
     out = rounds.run_fixture_stream(spark, sf, stages=("ingest", "extract"))
     return out["round_log"].select("round", "stage", "exit_code", "rows")
+
+
+@query("model_stream")
+def q_model_stream(spark, sf):
+    """Two-stage rounds with the stub model: the stored results."""
+    from ..streaming import rounds
+    out = rounds.run_fixture_stream(spark, sf, stages=("ingest", "extract"), pieces=2, model=ex.StubModel())
+    return out["results"].select(*KEYS, "response")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -38,6 +37,8 @@ def build_session(master: str | None = None, app: str = "mailweave",
         # ...and never more than 64 MB per batch, so 200 large messages with
         # attachments cannot exhaust a Python worker
         .config("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
+        # a checkpoint is deleted once no plan refers to it any more
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # model calls are not repeatable: never run a task twice on purpose
         .config("spark.speculation", "false")
         .getOrCreate()
@@ -49,12 +50,15 @@ def build_session(master: str | None = None, app: str = "mailweave",
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared scratch folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when it is unset (tests, local runs) a
-    folder under the system temp dir is created and registered.
+    Read from the session.  Only a local session without the setting gets a
+    folder of its own (tests); on a cluster a folder on the driver's disk
+    would be invisible to the executors, so a missing setting is an error.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="mailweave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:
@@ -62,12 +66,19 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of ``path`` in the cluster's Hadoop configuration."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(p)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path inside the shared folder."""
-    base = shared_dir(spark).rstrip("/")
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    p = f"{base}/mailweave/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in p:
-        os.makedirs(os.path.dirname(p), exist_ok=True)
-    return p
+    """A fresh, unique path inside the shared folder, with its scheme."""
+    _, p = hadoop_path(spark, f"{shared_dir(spark).rstrip('/')}/mailweave/{name}-{uuid.uuid4().hex[:12]}")
+    return p.toString()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = hadoop_path(spark, path)
+    fs.delete(p, True)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators.ingest import normalize_records
 from ..operators.joins import anti_join, bounded_broadcast
 from ..schemas import KEYS, RAW_MESSAGES
-from ..session import scratch_path
+from ..session import delete_path, hadoop_path, scratch_path
 
 PARTITION_COLS = ["account", "mailbox"]
 
@@ -63,40 +63,81 @@ def doc_scan(spark: SparkSession, path: str, glob: str = "*.md") -> DataFrame:
         F.col("_metadata.file_modification_time").alias("mtime"), F.col("_metadata.file_path").alias("path"))
 
 
-def pick_doc_dir(candidates: list[str], override: str | None = None) -> str:
+def pick_doc_dir(spark: SparkSession, candidates: list[str], override: str | None = None) -> str:
     """The document folder: an override wins, else the first that exists."""
     if override:
         return override
-    import os
-    for c in candidates:
-        if os.path.isdir(c):
-            return c
-    return candidates[-1]
+    return next((c for c in candidates if path_exists(spark, c)), candidates[-1])
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists, through the cluster's Hadoop file system."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the complete table folders (with a success mark) below ``path``."""
+    fs, p = hadoop_path(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    return sorted(n for n in names if path_exists(spark, f"{path}/{n}/_SUCCESS"))
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A table folder, or an empty table with ``schema`` when it does not exist yet."""
+    """A table folder, or an empty table with ``schema`` when it does not exist yet.
+    Where a compaction was cut off between its two renames, the old folder counts."""
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+        if not path_exists(spark, path + OLD):
+            return spark.createDataFrame([], schema)
+        path += OLD
+    names = spark.createDataFrame([], schema).columns
+    return spark.read.schema(schema).parquet(path).select(*names)
+
+
+OLD = ".before-compaction"
+
+
+def replace_folder(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a complete folder in the place of ``path`` by renames: at any moment
+    one complete folder is there, under ``path`` or its ``OLD`` name."""
+    fs, new = hadoop_path(spark, staged)
+    _, at = hadoop_path(spark, path)
+    _, old = hadoop_path(spark, path + OLD)
+    if fs.exists(at):
+        if fs.exists(old):
+            fs.delete(old, True)
+        fs.rename(at, old)
+    if not fs.rename(new, at):
+        raise OSError(f"{staged} could not be moved to {path}")
+    fs.delete(old, True)
+
+
+def write_version(df: DataFrame, path: str) -> None:
+    """``df`` as the next version of a small table that is replaced as a whole;
+    it may read the version before, which goes once the new one is complete."""
+    spark = df.sparkSession
+    done = folders(spark, path)
+    number = int(done[-1][2:]) + 1 if done else 0
+    df.write.mode("overwrite").parquet(f"{path}/v={number:012d}")
+    for name in done:
+        delete_path(spark, f"{path}/{name}")
+
+
+def read_version(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """The last complete version, None if there is none yet."""
+    done = folders(spark, path)
+    return spark.read.schema(schema).parquet(f"{path}/{done[-1]}") if done else None
 
 
 # ---------------------------------------------------------------------------
 # sinks
 # ---------------------------------------------------------------------------
-def append_if_absent(new: DataFrame, existing: DataFrame, path: str, keys: list[str] = KEYS) -> DataFrame:
+def append_if_absent(new: DataFrame, existing: DataFrame, path: str, keys: list[str] = KEYS) -> None:
     """Insert-if-absent: rows whose key is stored already are skipped (and
-    count as success).  Returns the appended rows (unevaluated plan)."""
-    rows = anti_join(new, existing, keys)
-    rows.write.mode("append").partitionBy(*PARTITION_COLS).parquet(path)
-    return rows
+    count as success)."""
+    anti_join(new, existing, keys).write.mode("append").partitionBy(*PARTITION_COLS).parquet(path)
 
 
 def overwrite_keys(new: DataFrame, existing: DataFrame, path: str, keys: list[str] = KEYS) -> None:
@@ -119,6 +160,7 @@ def overwrite_keys(new: DataFrame, existing: DataFrame, path: str, keys: list[st
         spark.read.parquet(staging).write.mode("overwrite").partitionBy(*PARTITION_COLS).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    delete_path(spark, staging)
 
 
 def append_state(state: DataFrame, path: str) -> None:
@@ -150,17 +192,20 @@ def _write_files(base: str):
 def export_markdown(docs: DataFrame, path: str) -> DataFrame:
     """Write one ``<uid>.md`` file per document (front matter + body) into
     ``path`` - the one-file-per-message layout, for users moving between the
-    two stores.  One folder should hold one mailbox (uids are unique only per
-    mailbox).  Runs in the tasks through ``pyarrow.fs`` (local, HDFS, S3);
-    returns the written (name, path, bytes) rows, already materialised.
+    two stores.  One folder holds one mailbox, since uids are unique only per
+    mailbox; documents of several mailboxes are refused.  Runs in the tasks
+    through ``pyarrow.fs`` (local, HDFS, S3); returns the written (name, path,
+    bytes) rows, already materialised.
     """
     from ..functions.frontmatter import render_markdown
-    if "://" not in path:
-        import os
-        path = "file://" + os.path.abspath(path)
+    if docs.select("account", "mailbox").distinct().limit(2).count() > 1:
+        raise ValueError("documents of several mailboxes do not fit one folder; export each mailbox by itself")
+    _, target = hadoop_path(docs.sparkSession, path)
     src = docs.select(F.concat(F.col("uid").cast("string"), F.lit(".md")).alias("name"),
                       render_markdown().alias("text"))
-    written = src.mapInPandas(_write_files(path), "name string, path string, bytes bigint")
+    uri = target.toUri()
+    base = f"{uri.getScheme()}://{uri.getAuthority() or ''}{uri.getPath()}"
+    written = src.mapInPandas(_write_files(base), "name string, path string, bytes bigint")
     return written.checkpoint(eager=True)
 
 
@@ -173,8 +218,7 @@ def compact_table(spark: SparkSession, path: str, schema: str, partition_cols: l
 
     Appends of many rounds leave many small files; this reads the table,
     applies ``fold`` (e.g. the state log's ``max`` per mailbox), writes the
-    result to a staging folder in the shared scratch area and replaces the
-    table's partitions from there.  Rows are laid out by (partition, key
+    result beside the table and puts that folder in its place by renames.  Rows are laid out by (partition, key
     range), so a hot mailbox becomes several files written by several tasks.
     Run it between rounds (inside ``foreachBatch``), never beside a writer.
     """
@@ -185,14 +229,7 @@ def compact_table(spark: SparkSession, path: str, schema: str, partition_cols: l
         df = fold(df)
     parts = partition_cols or []
     spread = [*parts, F.shiftright(F.col(key), COMPACT_RANGE_BITS)] if key in df.columns else parts
-    staging = scratch_path(spark, "compact-staging")
+    staging = path + ".compacted"
     w = (df.repartition(*spread) if spread else df.coalesce(1)).write.mode("overwrite")
     (w.partitionBy(*parts) if parts else w).parquet(staging)
-    staged = spark.read.schema(schema).parquet(staging)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if parts else "static")
-    try:
-        w2 = staged.write.mode("overwrite")
-        (w2.partitionBy(*parts) if parts else w2).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    replace_folder(spark, staging, path)

@@ -1,32 +1,35 @@
-"""Structured Streaming rounds: ingest, then extract (#38-#41).
+"""Streaming rounds: ingest, then extract (#38-#41).
 
 ``readStream`` over a landing folder of raw-message Parquet files ->
 ``foreachBatch`` running one round per micro-batch:
 
-1. ingest  - valid records -> dedupe by key -> insert-if-absent against the
-   document table -> parse -> append documents -> append state marks ->
-   append failures;
-2. extract - pending documents (anti results, anti quarantine) -> default
-   rule extractor, or a model callable with bounded retries whose attempt
-   log is written once per round and reused on replay -> results, items,
-   quarantine;
-3. a row per (round, stage) in ``round_log``.
-
-A failed ingest does not stop extraction of what is already stored.  Sinks
-are key-idempotent and the state is a ``max`` fold, so replaying a round
-after a crash (between any two writes) changes nothing; the checkpoint
-location makes the file source skip landed files it has already seen.
-``trigger(availableNow=True)`` is one round over everything landed;
-``processingTime`` repeats (the reference waits 901 s *after* each round,
-Spark's interval is start-to-start).
+1. ingest  - one row per key -> insert-if-absent against the document table ->
+   parse -> append documents -> failures -> state marks;
+2. note    - the batch's stored documents join the ``unresolved`` keys, a small
+   table that is replaced as a whole each round;
+3. extract - unresolved documents without a result and not quarantined ->
+   default rule extractor, or a model callable with bounded retries whose
+   completed attempts are never repeated -> results, items, quarantine -> what
+   is still open is the next version of ``unresolved``;
+4. a row per (round, stage) in ``round_log``.
+
+A failed ingest does not stop the extraction of what is stored, and then fails
+the batch, so that the stream reads its files again; every open document is
+looked at in every round.  Sinks are key-idempotent or written per round, and
+the state is a ``max`` fold, so replaying a round after a crash (between any
+two writes) changes nothing.  :func:`run_loop` repeats rounds with the pause
+counted from the end of a round, also when nothing new has landed.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
-from typing import Callable
+from typing import NamedTuple
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,17 +39,20 @@ from ..operators import joins
 from ..operators import numbering as nb
 from ..operators import state as st
 from ..operators.report import ROUND_LOG
-from ..schemas import DOCUMENTS_MD, FAILURES, KEYS, NEWS_ITEMS, QUARANTINE, RAW_MESSAGES, RESULTS
+from ..schemas import DOCUMENTS_MD, FAILURES, KEYS, NEWS_ITEMS, QUARANTINE, RAW_MESSAGES, RESULTS, STATE
+from ..session import scratch_path, shared_dir
 from ..sources import tables as tb
-from ..session import scratch_path
 
 DEFAULT_INTERVAL_S = 901
 # Files per micro-batch: a first start over a large landing folder drains it
 # in bounded rounds (availableNow honours it too) instead of one huge batch.
+# With a limit all landed files make one batch, since the newest N are chosen
+# among everything that is not processed yet.
 MAX_FILES_PER_TRIGGER = 10_000
-RECONCILE_EVERY = 96      # full pending reconciliation every N rounds (~daily at 901 s)
 KEY_SCHEMA = "account string, mailbox string, uid bigint"
 DOCS_SCHEMA = DOCUMENTS_MD + ", html string"
+TABLES = ("documents", "state_log", "failures", "results", "news_items", "quarantine", "round_log", "attempts",
+          "unresolved", "checkpoint", "landing")
 
 
 @dataclass
@@ -55,42 +61,59 @@ class Layout:
     base: str
 
     def __getattr__(self, name):
-        if name in ("documents", "state_log", "failures", "results", "news_items", "quarantine",
-                    "round_log", "attempts", "checkpoint", "landing", "retry"):
+        if name in TABLES:
             return f"{self.base}/{name}"
         raise AttributeError(name)
 
 
-def _log(spark, lay: Layout, rnd: int, stage: str, t0: float, code: int, rows: int) -> None:
-    row = [(int(rnd), stage, None, int(code), float(time.time() - t0), int(rows))]
+class Extracted(NamedTuple):
+    """Documents a round extracted, and of them those that failed or were blocked."""
+    rows: int
+    failed: int
+    blocked: int
+
+
+def _log(spark, lay: Layout, run: str, rnd: int, stage: str, t0: float, code: int, rows: int, failed: int = 0,
+         blocked: int = 0, error: str | None = None) -> None:
+    row = [(int(rnd), stage, None, int(code), float(time.time() - t0), int(rows), int(failed), int(blocked), error)]
     df = spark.createDataFrame(row, ROUND_LOG).withColumn("started_at", F.timestamp_seconds(F.lit(t0)))
-    df.write.mode("append").parquet(lay.round_log)
+    # one folder per round and stage: a replayed round replaces its row
+    df.write.mode("overwrite").parquet(f"{lay.round_log}/run={run}-{stage}")
+
 
+def _failures(rows: DataFrame, lay: Layout, run: str, stage: str) -> None:
+    rows.write.mode("overwrite").parquet(f"{lay.failures}/run={run}-{stage}")
 
-def ingest_round(batch: DataFrame, lay: Layout, strict_high_water: bool = False,
-                 limit: int | None = None, redownload: bool = False) -> tuple[int, DataFrame]:
+
+def ingest_round(batch: DataFrame, lay: Layout, strict_high_water: bool = False, limit: int | None = None,
+                 redownload: bool = False, full_rescan: bool = False, run: str | None = None) -> tuple[int, DataFrame]:
     """One ingest round over a micro-batch of raw messages.
 
     ``limit`` keeps only the newest ``limit`` messages per mailbox (the mark
     still advances past the others, so they are never fetched later).
-    ``redownload`` replaces stored documents of the same key instead of
-    skipping them (dynamic partition overwrite through a staging folder).
-    Returns (messages parsed, keys of the documents written) - the keys are
-    the extraction stage's candidates for this round.
+    ``full_rescan`` ignores the high-water marks; ``redownload`` does so too
+    and replaces stored documents of the same key instead of skipping them.
+    ``run`` names the round; a replay under the same name replaces the
+    failures it reported.  Returns (messages parsed, keys of the batch that
+    are stored now), the extraction stage's candidates.
     """
     spark = batch.sparkSession
+    shared_dir(spark)
+    run = run or uuid.uuid4().hex
     rec = ig.normalize_records(batch)
     keys = rec.select(*KEYS)               # key columns only: never reads the raw bytes
-    cand = joins.dedupe_by_key(rec, KEYS)  # shuffles only duplicated landings
-    state = st.fold(tb.read_table(spark, lay.state_log, "account string, mailbox string, last_uid bigint"))
-    if strict_high_water:
+    cand = joins.dedupe_by_key(rec, KEYS, ig.is_valid(rec), [F.col("size"), F.md5("raw")])
+    state = st.fold(tb.read_table(spark, lay.state_log, STATE))
+    chosen = keys.where(F.col("uid") != 0).distinct()
+    if strict_high_water and not (full_rescan or redownload):
+        chosen = ig.high_water_filter(chosen, state)
         cand = ig.high_water_filter(cand, state)
     if limit:
-        cand = nb.newest_n(cand, limit, ["account", "mailbox"])
+        # ranks are taken of keys; the wide rows follow by a semi-join
+        cand = cand.join(joins.bounded_broadcast(nb.newest_n(chosen, limit, ["account", "mailbox"])), KEYS, "left_semi")
     existing = tb.read_table(spark, lay.documents, DOCS_SCHEMA)
     # the batch's keys bound the part of the archive to compare with
-    new = cand if redownload else ig.insert_if_absent(cand, existing, state if strict_high_water else None,
-                                                      probe=keys)
+    new = cand if redownload else ig.insert_valid_if_absent(cand, existing, keys)
     # Invalid records (uid 0, empty message) ride along and come out of the
     # parse stage flagged, so the raw column is read exactly once.
     # Reliable checkpoint, not persist: appending to the documents folder
@@ -102,39 +125,66 @@ def ingest_round(batch: DataFrame, lay: Layout, strict_high_water: bool = False,
     if redownload:
         tb.overwrite_keys(docs, existing, lay.documents)
     else:
-        docs.write.mode("append").partitionBy(*tb.PARTITION_COLS).parquet(lay.documents)
-    ig.parse_failures(parsed).write.mode("append").parquet(lay.failures)
+        # few files of even size, a large mailbox in several of them
+        docs.hint("rebalance", *map(F.col, tb.PARTITION_COLS)).write.mode("append").partitionBy(*tb.PARTITION_COLS).parquet(lay.documents)
+    _failures(ig.parse_failures(parsed), lay, run, "ingest")
     # state last: a crash before this line replays harmlessly.  Every fetched
     # record counts toward the mark, as in the reference.
     tb.append_state(st.advance(None, keys.where(F.col("uid") > 0)), lay.state_log)
-    written = parsed.where(F.col("parse_error").isNull()).select(*KEYS)
-    return parsed.where(F.col("parse_error").isNull()).count(), written
-
-
-def extract_round(spark: SparkSession, lay: Layout, rnd: int,
+    stored = joins.within_ranges(tb.read_table(spark, lay.documents, DOCS_SCHEMA).select(*KEYS), keys)
+    return parsed.where(F.col("parse_error").isNull()).count(), keys.distinct().join(stored, KEYS, "left_semi")
+
+
+def note_candidates(spark: SparkSession, lay: Layout, candidates: DataFrame) -> None:
+    """Add keys to the unresolved ones before anything can fail on them.  The
+    first time, everything stored counts."""
+    known = tb.read_version(spark, lay.unresolved, KEY_SCHEMA)
+    if known is None:
+        known = tb.read_table(spark, lay.documents, DOCS_SCHEMA).select(*KEYS)
+    tb.write_version(known.unionByName(candidates.select(*KEYS)).distinct(), lay.unresolved)
+
+
+def _attempts(spark: SparkSession, lay: Layout, rnd: str, pending: DataFrame, model, wait_s: float,
+              concurrency: int | None, style: str, timeout_s: float | None) -> DataFrame:
+    """All attempts of the round; the model is called only for pending
+    documents without a completed attempt in it."""
+    folder = f"{lay.attempts}/round={rnd}"
+    tries = [spark.read.schema(ex.ATTEMPTS).parquet(f"{folder}/{name}") for name in tb.folders(spark, folder)]
+    for t in tries:
+        pending = joins.anti_join_recent(pending, t, KEYS)
+    prompts = pending.select(*KEYS, ex.prompt_assemble(pending, ex.document_text(), style).alias("prompt"))
+    path = f"{folder}/try={uuid.uuid4().hex[:12]}"
+    ex.batch_extract(prompts, model, wait_s=wait_s, concurrency=concurrency, timeout_s=timeout_s).write.parquet(path)
+    out = spark.read.schema(ex.ATTEMPTS).parquet(path)
+    for t in tries:
+        out = out.unionByName(t)
+    return out
+
+
+def extract_round(spark: SparkSession, lay: Layout, rnd: int | str,
                   model: Callable[[str], str] | None = None, wait_s: float = ex.RETRY_WAIT_S,
-                  candidates: DataFrame | None = None, limit: int | None = None) -> int:
+                  candidates: DataFrame | None = None, limit: int | None = None, concurrency: int | None = None,
+                  style: str = "api", timeout_s: float | None = None) -> Extracted:
     """One extraction round.
 
-    ``limit`` processes only the last ``limit`` pending documents per
-    mailbox in processing (uid) order; the rest stay pending.
-
-    ``candidates`` = keys this round can have made pending (its new
-    documents); the retry set (earlier failures) is added to them.  Without
-    candidates the round reconciles the whole archive.
+    It looks at the unresolved keys, with ``candidates`` added to them;
+    without candidates at every stored document.  ``limit`` processes only the
+    last ``limit`` pending documents per mailbox in processing (uid) order;
+    the rest stay unresolved.  ``concurrency`` bounds the simultaneous model
+    calls, ``style`` chooses the prompt form, ``timeout_s`` bounds one call.
     """
+    shared_dir(spark)
     docs = tb.read_table(spark, lay.documents, DOCS_SCHEMA)
     results = tb.read_table(spark, lay.results, RESULTS)
     quarantine = tb.read_table(spark, lay.quarantine, QUARANTINE)
+    keys = docs.select(*KEYS)
     if candidates is not None:
-        candidates = candidates.select(*KEYS).unionByName(tb.read_table(spark, lay.retry, KEY_SCHEMA))
-    pending = ex.pending_docs(docs, results, quarantine, candidates=candidates)
-    if limit:
-        # the deferred rest goes to the retry log so an incremental round sees it again
-        pending = pending.checkpoint(eager=True)
-        chosen = nb.newest_n(pending, limit, ["account", "mailbox"])
-        pending.select(*KEYS).join(chosen.select(*KEYS), KEYS, "left_anti").write.mode("append").parquet(lay.retry)
-        pending = chosen
+        note_candidates(spark, lay, candidates)
+        open_ = tb.read_version(spark, lay.unresolved, KEY_SCHEMA)
+        keys = joins.within_ranges(keys, open_).join(open_, KEYS, "left_semi")
+    keys = joins.anti_join_recent(joins.anti_join_recent(keys, results, KEYS), quarantine, KEYS).checkpoint(eager=True)
+    chosen = nb.newest_n(keys, limit, ["account", "mailbox"]) if limit else keys
+    pending = docs.join(joins.bounded_broadcast(chosen), KEYS, "left_semi")
     if model is None:
         # one item array per pending document, computed once for both sinks;
         # checkpointed because the results append refreshes plans reading it
@@ -148,26 +198,27 @@ def extract_round(spark: SparkSession, lay: Layout, rnd: int,
         # documents without links still count as processed (an empty list)
         per_doc.select(*KEYS, F.to_json("items").alias("response"), F.lit(False).alias("repaired"),
                        F.lit(True).alias("valid_json")).write.mode("append").parquet(lay.results)
-        return -1
-    att_path = f"{lay.attempts}/round={rnd}"
-    if not tb.path_exists(spark, att_path):      # a replayed round reuses its attempt log
-        prompts = pending.select(*KEYS, ex.prompt_assemble(pending, "body").alias("prompt"))
-        ex.batch_extract(prompts, model, wait_s=wait_s).write.mode("overwrite").parquet(att_path)
-    attempts = spark.read.parquet(att_path)
-    outcomes = ex.attempt_outcome(attempts)
-    # materialised once: the appends below must not change what this round wrote
-    res = ex.new_results(ex.repair(outcomes), results).checkpoint(eager=True)
-    res.write.mode("append").parquet(lay.results)
-    joins.anti_join_recent(ex.quarantine_rows(outcomes), quarantine, KEYS) \
-        .write.mode("append").parquet(lay.quarantine)
-    # items from the *stored* results of this round's answered keys, so a replay
-    # after a crash between the two appends still writes them (once)
-    answered = outcomes.where(F.col("outcome") == "ok").select(*KEYS)
-    stored = tb.read_table(spark, lay.results, RESULTS).join(answered, KEYS, "left_semi")
-    _append_items(spark, lay, ig.item_defaults(ex.news_items(stored), docs))
-    # failed documents are retried in later rounds (no result exists for them)
-    outcomes.where(F.col("outcome") == "failed").select(*KEYS).write.mode("append").parquet(lay.retry)
-    return -1
+        resolved, done = per_doc.select(*KEYS), Extracted(per_doc.count(), 0, 0)
+    else:
+        outcomes = ex.attempt_outcome(_attempts(spark, lay, str(rnd), pending, model, wait_s, concurrency, style, timeout_s))
+        outcomes = outcomes.checkpoint(eager=True)
+        # materialised once: the appends below must not change what this round wrote
+        res = ex.new_results(ex.repair(outcomes), results).checkpoint(eager=True)
+        res.write.mode("append").parquet(lay.results)
+        joins.anti_join_recent(ex.quarantine_rows(outcomes), quarantine, KEYS) \
+            .write.mode("append").parquet(lay.quarantine)
+        # items from the *stored* results of this round's answered keys, so a replay
+        # after a crash between the two appends still writes them (once)
+        answered = outcomes.where(F.col("outcome") == "ok").select(*KEYS)
+        stored = tb.read_table(spark, lay.results, RESULTS).join(answered, KEYS, "left_semi")
+        _append_items(spark, lay, ig.item_defaults(ex.news_items(stored), docs))
+        _failures(ex.unusable_items(stored), lay, str(rnd), "extract")
+        total = ex.extract_summary(outcomes, []).first()
+        done = Extracted(total.ok + total.failed + total.blocked, total.failed, total.blocked)
+        # a document that failed has no result and stays unresolved
+        resolved = outcomes.where(F.col("outcome") != "failed").select(*KEYS)
+    tb.write_version(joins.anti_join(keys, resolved, KEYS), lay.unresolved)
+    return done
 
 
 def _append_items(spark: SparkSession, lay: Layout, items: DataFrame) -> None:
@@ -177,72 +228,105 @@ def _append_items(spark: SparkSession, lay: Layout, items: DataFrame) -> None:
     joins.anti_join_recent(items, stored, KEYS).write.mode("append").parquet(lay.news_items)
 
 
-def make_round(lay: Layout, stages=("ingest", "extract"), model=None, strict_high_water=False,
-               wait_s: float = ex.RETRY_WAIT_S, reconcile_every: int = RECONCILE_EVERY,
-               ingest_limit: int | None = None, extract_limit: int | None = None, compact_every: int = 0):
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+def make_round(lay: Layout, stages=("ingest", "extract"), model=None, strict_high_water: bool = False,
+               wait_s: float = ex.RETRY_WAIT_S, ingest_limit: int | None = None, extract_limit: int | None = None,
+               compact_every: int = 0, full_rescan: bool = False, redownload: bool = False,
+               concurrency: int | None = None, style: str = "api", timeout_s: float | None = None):
+    """The function of one round: ``run(batch, batch_id)``, or ``run(None,
+    number, spark)`` for a round without new files."""
+    def run(batch: DataFrame | None, batch_id: int, spark: SparkSession | None = None) -> None:
+        spark = spark or batch.sparkSession
+        # batch numbers begin anew with a fresh checkpoint, the query's id does not repeat
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") if batch is not None else None
+        name = f"{query or 'round'}-{batch_id}"
         if compact_every and batch_id > 0 and batch_id % compact_every == 0:
             compact(spark, lay)
-        written = None
-        if "ingest" in stages:
-            t0, code, n = time.time(), 0, 0
+        stored, broken = None, None
+        if "ingest" in stages and batch is not None:
+            t0, n = time.time(), 0
             try:
-                n, written = ingest_round(batch, lay, strict_high_water, ingest_limit)
-            except Exception:   # the second stage still runs, as in the reference loop
-                code = 1
-            _log(spark, lay, batch_id, "ingest", t0, code, n)
+                n, stored = ingest_round(batch, lay, strict_high_water, ingest_limit, redownload, full_rescan, name)
+                note_candidates(spark, lay, stored)
+            except Exception as e:   # the second stage still runs, as in the reference loop
+                broken = e
+            _log(spark, lay, name, batch_id, "ingest", t0, 1 if broken else 0, n, error=broken and str(broken)[:2000])
         if "extract" in stages:
-            # incremental unless this is a reconciliation round or ingest failed
-            full = written is None or (reconcile_every and batch_id % reconcile_every == 0)
-            t0, code = time.time(), 0
+            t0, done, error = time.time(), Extracted(0, 0, 0), None
             try:
-                extract_round(spark, lay, batch_id, model, wait_s, None if full else written, extract_limit)
-            except Exception:
-                code = 2
-            _log(spark, lay, batch_id, "extract", t0, code, 0)
+                done = extract_round(spark, lay, name, model, wait_s, spark.createDataFrame([], KEY_SCHEMA), extract_limit,
+                                     concurrency, style, timeout_s)
+            except Exception as e:   # its documents stay unresolved and are looked at in the next round
+                error = str(e)[:2000]
+            _log(spark, lay, name, batch_id, "extract", t0, 2 if error or done.failed else 0, *done, error=error)
+        if broken:
+            raise broken             # the batch is not done: the stream reads its files again
     return run
 
 
 def compact(spark: SparkSession, lay: Layout) -> None:
     """Compact the appended tables between two rounds (state log folded)."""
-    state_schema = "account string, mailbox string, last_uid bigint"
     tb.compact_table(spark, lay.documents, DOCS_SCHEMA, tb.PARTITION_COLS)
-    tb.compact_table(spark, lay.results, RESULTS)
-    tb.compact_table(spark, lay.news_items, NEWS_ITEMS)
-    tb.compact_table(spark, lay.state_log, state_schema, fold=st.fold, key="last_uid")
+    for path, schema in ((lay.results, RESULTS), (lay.news_items, NEWS_ITEMS), (lay.quarantine, QUARANTINE)):
+        tb.compact_table(spark, path, schema)
+    tb.compact_table(spark, lay.state_log, STATE, fold=st.fold, key="last_uid")
 
 
-def start(spark: SparkSession, landing: str, lay: Layout, once: bool = False,
-          interval_s: int = DEFAULT_INTERVAL_S, stages=("ingest", "extract"), model=None,
-          strict_high_water: bool = False, wait_s: float = ex.RETRY_WAIT_S,
-          reconcile_every: int = RECONCILE_EVERY, ingest_limit: int | None = None,
-          extract_limit: int | None = None, compact_every: int = 0,
-          max_files_per_trigger: int = MAX_FILES_PER_TRIGGER):
-    """Start the two-stage stream; ``once`` = rounds over what is landed, then stop."""
-    w = (spark.readStream.schema(RAW_MESSAGES).option("maxFilesPerTrigger", max_files_per_trigger)
-         .parquet(landing)
-         .writeStream.foreachBatch(make_round(lay, stages, model, strict_high_water, wait_s, reconcile_every,
-                                             ingest_limit, extract_limit, compact_every))
-         .option("checkpointLocation", lay.checkpoint))
+def _started(stream: DataFrame, lay: Layout, rnd, once: bool, interval_s: int):
+    w = stream.writeStream.foreachBatch(rnd).option("checkpointLocation", lay.checkpoint)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime=f"{interval_s} seconds")
     return w.start()
 
 
+def _with_files_bound(reader, max_files: int, round_opts: dict):
+    limited = round_opts.get("ingest_limit") or round_opts.get("extract_limit")
+    return reader if limited else reader.option("maxFilesPerTrigger", max_files)
+
+
+def start(spark: SparkSession, landing: str, lay: Layout, once: bool = False,
+          interval_s: int = DEFAULT_INTERVAL_S, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER, rnd=None, **round_opts):
+    """Start the two-stage stream; ``once`` = rounds over what is landed, then
+    stop.  ``round_opts`` are those of :func:`make_round`."""
+    reader = _with_files_bound(spark.readStream.schema(RAW_MESSAGES), max_files_per_trigger, round_opts)
+    return _started(reader.parquet(landing), lay, rnd or make_round(lay, **round_opts), once, interval_s)
+
+
 def start_eml(spark: SparkSession, landing: str, account: str, mailbox: str, lay: Layout,
               once: bool = False, interval_s: int = DEFAULT_INTERVAL_S,
               max_files_per_trigger: int = MAX_FILES_PER_TRIGGER, **round_opts):
     """The same rounds over a folder of landed ``<uid>.eml`` files (a
     ``binaryFile`` file stream; each new file is one message)."""
-    files = (spark.readStream.format("binaryFile")
-             .schema("path string, modificationTime timestamp, length bigint, content binary")
-             .option("pathGlobFilter", "*.eml").option("maxFilesPerTrigger", max_files_per_trigger)
-             .load(landing))
-    raw = tb.eml_records(files, account, mailbox)
-    rnd = make_round(lay, **round_opts)
-    w = raw.writeStream.foreachBatch(rnd).option("checkpointLocation", lay.checkpoint)
-    w = w.trigger(availableNow=True) if once else w.trigger(processingTime=f"{interval_s} seconds")
-    return w.start()
+    reader = (spark.readStream.format("binaryFile")
+              .schema("path string, modificationTime timestamp, length bigint, content binary")
+              .option("pathGlobFilter", "*.eml"))
+    files = _with_files_bound(reader, max_files_per_trigger, round_opts).load(landing)
+    return _started(tb.eml_records(files, account, mailbox), lay, make_round(lay, **round_opts), once, interval_s)
+
+
+def run_loop(spark: SparkSession, landing: str, lay: Layout, gap_s: float = DEFAULT_INTERVAL_S,
+             max_rounds: int | None = None, **round_opts) -> None:
+    """Rounds over what has landed, ``gap_s`` after the end of the one before.
+
+    A round runs also when nothing new has landed: open documents are tried
+    again.  A failed batch is read again in the next round.
+    """
+    number = 0
+    while max_rounds is None or number < max_rounds:
+        if number:
+            time.sleep(gap_s)
+        ran = []
+        inner = make_round(lay, **round_opts)
+
+        def rnd(batch, batch_id):
+            ran.append(batch_id)
+            inner(batch, batch_id)
+        try:
+            start(spark, landing, lay, once=True, rnd=rnd, **round_opts).awaitTermination()
+        except StreamingQueryException:
+            pass                     # logged by the round; the checkpoint still holds the batch
+        if not ran:
+            rounds_so_far = tb.read_table(spark, lay.round_log, ROUND_LOG).agg(F.max("round")).first()[0]
+            inner(None, (rounds_so_far if rounds_so_far is not None else -1) + 1, spark)
+        number += 1
 
 
 def read_outputs(spark: SparkSession, lay: Layout) -> dict[str, DataFrame]:
@@ -250,13 +334,14 @@ def read_outputs(spark: SparkSession, lay: Layout) -> dict[str, DataFrame]:
         "documents": tb.read_table(spark, lay.documents, DOCS_SCHEMA),
         "news_items": tb.read_table(spark, lay.news_items, NEWS_ITEMS),
         "results": tb.read_table(spark, lay.results, RESULTS),
+        "quarantine": tb.read_table(spark, lay.quarantine, QUARANTINE),
         "failures": tb.read_table(spark, lay.failures, FAILURES),
         "round_log": tb.read_table(spark, lay.round_log, ROUND_LOG),
-        "state": st.fold(tb.read_table(spark, lay.state_log, "account string, mailbox string, last_uid bigint")),
+        "state": st.fold(tb.read_table(spark, lay.state_log, STATE)),
     }
 
 
-def run_fixture_stream(spark: SparkSession, sf_dir: str, stages=("ingest",), pieces: int = 3) -> dict[str, DataFrame]:
+def run_fixture_stream(spark: SparkSession, sf_dir: str, stages=("ingest",), pieces: int = 3, model=None) -> dict[str, DataFrame]:
     """Land the F-A..F-C messages in ``pieces`` arrivals (plus a duplicate
     re-landing of the first), run one availableNow round after each, and
     return the stored tables."""
@@ -268,6 +353,6 @@ def run_fixture_stream(spark: SparkSession, sf_dir: str, stages=("ingest",), pie
         arrivals.append(arrivals[0])
     for i, part in enumerate(arrivals):
         part.write.mode("append").parquet(f"{lay.landing}/arrival={i}")
-        q = start(spark, lay.landing + "/*", lay, once=True, stages=stages, wait_s=0.0)
+        q = start(spark, lay.landing + "/*", lay, once=True, stages=stages, wait_s=0.0, model=model)
         q.awaitTermination()
     return read_outputs(spark, lay)

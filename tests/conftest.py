@@ -10,6 +10,11 @@ sys.path.insert(0, ROOT)
 SF_SMALL = "/root/testdata/sf0.001"
 
 
+def local(path: str) -> str:
+    """A scratch path of a local session for Python's own file functions."""
+    return path.removeprefix("file:")
+
+
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession

@@ -8,12 +8,14 @@ from mailweave.operators import ingest as ig
 from mailweave.session import scratch_path
 from mailweave.sources import tables as tb
 
+from .conftest import local
+
 
 def test_doc_scan_stems_text_and_mtime(spark):
     base = scratch_path(spark, "docs")
-    os.makedirs(base)
+    os.makedirs(local(base))
     for name, body in [("12.md", "---\nuid: 12\n---\nbody one"), ("abc.md", "x\ny\n"), ("skip.txt", "no")]:
-        with open(os.path.join(base, name), "w", encoding="utf-8") as f:
+        with open(os.path.join(local(base), name), "w", encoding="utf-8") as f:
             f.write(body)
     rows = {r.id: r for r in tb.doc_scan(spark, base).collect()}
     assert set(rows) == {"12", "abc"}
@@ -23,20 +25,20 @@ def test_doc_scan_stems_text_and_mtime(spark):
     assert tb.doc_scan(spark, base + "-missing").count() == 0
 
 
-def test_pick_doc_dir(tmp_path):
+def test_pick_doc_dir(spark, tmp_path):
     a, b = str(tmp_path / "mails"), str(tmp_path / "mail")
-    assert tb.pick_doc_dir([a, b]) == b
+    assert tb.pick_doc_dir(spark, [a, b]) == b
     os.makedirs(a)
-    assert tb.pick_doc_dir([a, b]) == a
-    assert tb.pick_doc_dir([a, b], override="/x") == "/x"
+    assert tb.pick_doc_dir(spark, [a, b]) == a
+    assert tb.pick_doc_dir(spark, [a, b], override="/x") == "/x"
 
 
 def test_eml_files_parse(spark):
     base = scratch_path(spark, "eml")
-    os.makedirs(base)
+    os.makedirs(local(base))
     raw = b"From: A <a@x.org>\r\nSubject: hi\r\nContent-Type: text/plain\r\n\r\nhello there\r\n"
     for name in ("5.eml", "7.eml", "bad.eml"):
-        with open(os.path.join(base, name), "wb") as f:
+        with open(os.path.join(local(base), name), "wb") as f:
             f.write(raw)
     df = tb.read_eml_files(spark, base, "acc", "INBOX")
     assert sorted(r.uid for r in df.collect()) == [0, 5, 7]

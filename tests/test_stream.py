@@ -9,6 +9,8 @@ from mailweave.sources import fixtures as fx
 from mailweave.sources import tables as tb
 from mailweave.streaming import rounds
 
+from .conftest import local
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -136,16 +138,16 @@ def test_eml_folder_stream(spark):
     import os
     lay = rounds.Layout(scratch_path(spark, "eml-stream"))
     land = scratch_path(spark, "eml-landing")
-    os.makedirs(land)
+    os.makedirs(local(land))
 
     def eml(u, sender):
         return (f"From: N <{sender}@x.org>\r\nSubject: s{u}\r\nContent-Type: text/html\r\n\r\n"
                 f'<p>hi</p><a href="https://x/{u}">t{u}</a>').encode()
     for u in (3, 4, 5):
-        with open(os.path.join(land, f"{u}.eml"), "wb") as f:
+        with open(os.path.join(local(land), f"{u}.eml"), "wb") as f:
             f.write(eml(u, f"n{u}"))
     rounds.start_eml(spark, land, "acc", "INBOX", lay, once=True, wait_s=0.0).awaitTermination()
-    with open(os.path.join(land, "6.eml"), "wb") as f:          # a later arrival
+    with open(os.path.join(local(land), "6.eml"), "wb") as f:          # a later arrival
         f.write(eml(6, "n3"))
     rounds.start_eml(spark, land, "acc", "INBOX", lay, once=True, wait_s=0.0).awaitTermination()
     out = rounds.read_outputs(spark, lay)
@@ -165,7 +167,8 @@ def test_failed_ingest_does_not_stop_extraction(spark, monkeypatch):
         raise RuntimeError("mail source unreachable")
     monkeypatch.setattr(rounds, "ingest_round", broken)
     rnd = rounds.make_round(lay, wait_s=0.0)
-    rnd(fx.fixture_a(spark, SF), 7)
+    with pytest.raises(RuntimeError):                        # the batch has to come again
+        rnd(fx.fixture_a(spark, SF), 7)
     log = {r.stage: r.exit_code for r in spark.read.parquet(lay.round_log).collect()}
     assert log == {"ingest": 1, "extract": 0}
     # extraction ran as a full reconciliation over what was already stored
@@ -193,9 +196,9 @@ def test_bounded_micro_batches_drain_everything(spark):
     import os
     lay = rounds.Layout(scratch_path(spark, "bounded"))
     land = scratch_path(spark, "bounded-landing")
-    os.makedirs(land)
+    os.makedirs(local(land))
     for u in range(1, 8):
-        with open(os.path.join(land, f"{u}.eml"), "wb") as f:
+        with open(os.path.join(local(land), f"{u}.eml"), "wb") as f:
             f.write(f"From: a@x.org\r\nSubject: s{u}\r\n\r\nbody".encode())
     q = rounds.start_eml(spark, land, "acc", "INBOX", lay, once=True, max_files_per_trigger=3,
                          stages=("ingest",))
