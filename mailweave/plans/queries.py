@@ -56,8 +56,8 @@ def documents(spark, sf, keep_html: bool = False, with_payload: bool = True) ->
     return ig.to_documents(ig.parse_messages(ig.valid_records(raw(spark, sf)), with_payload), keep_html=keep_html)
 
 
-def docs_only(spark, sf) -> DataFrame:
-    return ig.to_documents(ig.parse_messages(ig.valid_records(ig.normalize_records(fx.fixture_c(spark, sf)))))
+def docs_only(spark, sf, with_payload: bool = True) -> DataFrame:
+    return ig.to_documents(ig.parse_messages(ig.valid_records(ig.normalize_records(fx.fixture_c(spark, sf))), with_payload))
 
 
 def f_outcomes(spark, sf) -> DataFrame:
@@ -103,7 +103,7 @@ def q_doc_sink_append(spark, sf):
     existing = fx.fixture_e_existing(spark, sf)
     r = raw(spark, sf)
     new = ig.insert_if_absent(ig.valid_records(r), existing, probe=r.select(*KEYS))
-    written = ig.to_documents(ig.parse_messages(new)).select(*KEYS, F.lit("new").alias("origin"), "subject")
+    written = ig.to_documents(ig.parse_messages(new, with_payload=False)).select(*KEYS, F.lit("new").alias("origin"), "subject")
     kept = existing.select(*KEYS, F.lit("existing").alias("origin"), F.lit(None).cast("string").alias("subject"))
     return kept.unionByName(written)
 
@@ -202,7 +202,7 @@ def reconciled(spark, sf) -> tuple[DataFrame, DataFrame]:
     listed = ig.high_water_filter(raw(spark, sf), state)
     valid = ig.valid_records(listed)
     written = ig.to_documents(ig.parse_messages(
-        ig.insert_if_absent(valid, existing, state, probe=listed.select(*KEYS)))).select(*KEYS)
+        ig.insert_if_absent(valid, existing, state, probe=listed.select(*KEYS)), with_payload=False)).select(*KEYS)
     after = existing.unionByName(written)
     failures = ig.invalid_records(listed)
     return rp.run_reconcile(listed, existing, after), failures
@@ -230,7 +230,7 @@ def q_prompt_assemble(spark, sf):
 @query("item_defaults")
 def q_item_defaults(spark, sf):
     items = ex.news_items(f_results(spark, sf))
-    return ig.item_defaults(items, docs_only(spark, sf)).withColumn("pos", F.col("pos").cast("bigint"))
+    return ig.item_defaults(items, docs_only(spark, sf, with_payload=False)).withColumn("pos", F.col("pos").cast("bigint"))
 
 
 # ---------------------------------------------------------------------------

@@ -6,8 +6,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 from scripts.check_oracle import digest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from mailweave.plans.queries import REGISTRY
 
-NAMES = sorted(queries())
+NAMES = sorted(REGISTRY)
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -36,5 +37,19 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    rows_only = set(queries()) - set(oracle_sql())
-    assert rows_only == {"html_to_markdown", "front_matter_yaml"}
+    assert set(REGISTRY) <= set(queries())
+    assert set(REGISTRY) - set(oracle_sql()) == {"html_to_markdown", "front_matter_yaml"}
+
+
+def test_entry_without_the_training_data_operators(tmp_path):
+    """The rest of the library and its queries do not need that subpackage."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+    root = Path(__file__).resolve().parent.parent
+    shutil.copytree(root / "mailweave", tmp_path / "mailweave", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(*sorted(e.queries()))"], cwd=tmp_path,
+                         env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, check=True)
+    assert out.stdout.split() == NAMES
