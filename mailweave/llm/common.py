@@ -42,9 +42,9 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.dir}/{name}"
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
+    def table(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         """``df`` written as Parquet and read again."""
-        df.write.mode("overwrite").parquet(self.path(name))
+        df.write.mode("overwrite").option("compression", compression).parquet(self.path(name))
         return self.read(name, df)
 
     def read(self, name: str, like: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ are decoded side by side through one lookup table.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -21,61 +22,87 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import files
+from .bpe import Chunks, byte_letters
 from .common import Scratch, slices, texts
 
 MAGIC = b"MWHUFF01"
 LIMIT = 16                  # longest code in bits, more only if the ids need it
 BLOCK, STEP = 1 << 18, 256  # ids of a block, ids between checkpoints
 FILE_IDS = 1 << 26          # ids of a file, on average
-CACHE = 400_000
+#: entries of each cache per generation; two generations are held
+CACHE = 200_000
 
 
 # --- tokens ---------------------------------------------------------------
 
-class CachedTokenizer:
-    """The tokenizers library, called once per distinct space-separated piece.
+class OddSpacing(Exception):
+    """A text has other white space than single spaces between its pieces."""
+
 
-    A boundary before a single space between two visible characters is one the
-    vocabulary's pre-tokenizer always makes, so pieces encode independently.
-    Texts with other spacing are cut at such boundaries only; texts with a
-    special token's string go to the library whole.
+class CachedTokenizer:
+    """The tokenizers library, called once per distinct word.
+
+    With a byte-level pre-tokenizer a boundary before a single space between
+    two visible characters is always made, so the pieces between spaces encode
+    independently, and a piece of letters and a tail of punctuation is two
+    words for the library's model.  Other pieces go through the whole library;
+    texts with other spacing are cut at such boundaries only; texts with a
+    special token's string, and vocabularies with another pre-tokenizer, go to
+    the library whole.
     """
 
+    TAILED = re.compile(r"([^\W\d_]+)([^\w\s]+)")
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
+        spec = json.loads(self.tok.to_str())
+        split = spec.get("pre_tokenizer") or {}
+        self.by_piece = (split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+                         and not spec.get("normalizer"))
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.size = max([*self.tok.get_vocab(True).values(), 0]) + 1
         self.kind = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
-        self.seen: dict[str, bytes] = {}
-
-    def _ids(self, batch: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.tok.encode_batch(batch, add_special_tokens=False)]
+        self.letters = byte_letters()
+        self.pieces, self.words = Chunks(self._piece, CACHE), Chunks(self._word, CACHE)
+
+    def _pack(self, ids: list[int]) -> bytes:
+        return np.array(ids, dtype=self.kind).tobytes()
+
+    def _library(self, text: str) -> bytes:
+        return self._pack(self.tok.encode(text, add_special_tokens=False).ids)
+
+    def _word(self, word: str) -> bytes:
+        return self._pack([t.id for t in self.tok.model.tokenize("".join([self.letters[b] for b in word.encode()]))])
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece with the space before it."""
+        if piece.isalpha():
+            return self.words[" " + piece]
+        m = self.TAILED.fullmatch(piece)
+        if m and m[1].isalpha():
+            return self.words[" " + m[1]] + self.words[m[2]]
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            raise OddSpacing
+        return self._library(" " + piece)
+
+    def _text(self, text: str) -> bytes:
+        if not self.by_piece or any(s in text for s in self.special):
+            return self._library(text)
+        head, *pieces = text.split(" ")
+        try:
+            if not head or head[-1].isspace():
+                raise OddSpacing
+            return self._library(head) + b"".join(map(self.pieces.__getitem__, pieces))
+        except OddSpacing:
+            return b"".join(map(self._library, re.split(r"(?<=\S)(?= \S)", text)))
 
     def encode(self, batch: list[str]) -> list[bytes]:
         """Ids of each text, packed as ``kind``."""
-        pieces, out = [], [b""] * len(batch)
-        for k, t in enumerate(batch):
-            if any(s in t for s in self.special):
-                out[k] = self._ids([t])[0]
-                pieces.append(None)
-                continue
-            own = t.split(" ")
-            if "" in own or any(p[0].isspace() or p[-1].isspace() for p in own):
-                own = [p[1:] if n else p for n, p in enumerate(re.split(r"(?<=\S)(?= \S)", t))]
-            pieces.append(own)
-        if len(self.seen) > CACHE:
-            self.seen.clear()
-        new = list(set().union(*(p[1:] for p in pieces if p)) - self.seen.keys())
-        self.seen.update(zip(new, self._ids([" " + p for p in new])))
-        first = [k for k, p in enumerate(pieces) if p]
-        found = self.seen.__getitem__
-        for k, head in zip(first, self._ids([pieces[k][0] for k in first])):
-            out[k] = head + b"".join(map(found, pieces[k][1:]))
-        return out
+        return list(map(self._text, batch))
 
 
 _LOADED: dict[str, CachedTokenizer] = {}
@@ -338,7 +365,7 @@ def round_trip(docs: DataFrame, scratch: Scratch, path: str, end_id: int) -> Dat
     their ids; other columns are ignored; an empty table writes no file.
     """
     tok = tokenizer(path)
-    tokens = scratch.table(encode_documents(docs, path, end_id), "tokens")
+    tokens = scratch.table(encode_documents(docs, path, end_id), "tokens", compression="zstd")
     counts = count_ids(tokens, max(tok.size, end_id + 1), tok.kind)
     # one row per file
     rows = sorted(tuple(r) for r in write_files(tokens, counts, tok.kind, scratch.path("files")).collect())
