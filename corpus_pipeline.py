@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailweave.llm import bpe, decontam, langid, pii, simhash
-from mailweave.llm.common import Scratch
+from mailweave.llm.common import Scratch, unused
 from mailweave.llm.queries import WORD_BPE
 
 #: A document is rejected when its language is undetermined or less likely than this.
@@ -22,9 +22,9 @@ MIN_LANGUAGE_SCORE = 0.3
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told stay: not those whose text is null
     or without a letter, nor those no learned language fits."""
-    found = langid.identify(docs, langid.fit(docs))
-    kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
-    return kept.select(*docs.columns)
+    lang, score = unused("lang_pred", docs.columns), unused("score", docs.columns)
+    found = langid.identify(docs, langid.fit(docs), (lang, score))
+    return found.where((F.col(lang) != langid.UNKNOWN) & (F.col(score) >= MIN_LANGUAGE_SCORE)).drop(lang, score)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

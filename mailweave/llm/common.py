@@ -65,6 +65,14 @@ def crc_fold(key: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % HELD_OUT_FOLDS
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with underscores in front until no column has it (case ignored)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def utf8(array) -> list[bytes]:
     """The texts of an Arrow string column as UTF-8; null counts as empty."""
     return [b"" if v is None else v for v in array.cast(pa.binary()).to_pylist()]

@@ -16,6 +16,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import crc_fold, slices, texts, utf8
 
@@ -183,12 +184,12 @@ def fit(docs: DataFrame) -> ByteConvNet:
     return model.train(windows, target) if len(windows) else model
 
 
-def identify(docs: DataFrame, model: ByteConvNet) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``: the language of the whole
-    text, ``und`` and 0 where the text is null or has no letter (or nothing
-    was learned).  One row per row; columns of these names are replaced."""
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    docs = docs.select(*keep)
+def identify(docs: DataFrame, model: ByteConvNet, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with two more columns, called ``names``: the language of the
+    whole text and its probability; ``und`` and 0 where the text is null or has
+    no letter (or nothing was learned).  One row per row; columns that already
+    have these names are replaced."""
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in {n.lower() for n in names}])
 
     def run(batches):
         for batch in batches:
@@ -199,6 +200,6 @@ def identify(docs: DataFrame, model: ByteConvNet) -> DataFrame:
                     if not LETTER.search(t):
                         langs[k], scores[k] = UNKNOWN, 0.0
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                                                 names=[*b.schema.names, "lang_pred", "score"])
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema], "lang_pred string", "score double"])
+                                                 names=[*b.schema.names, *names])
+    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
     return docs.mapInArrow(run, schema)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, min_labels, utf8, whole_groups
+from .common import Scratch, min_labels, unused, utf8, whole_groups
 from .components import components
 
 SHINGLE = 4
@@ -226,9 +226,9 @@ def one_per_group(docs: DataFrame, scratch: Scratch, shingle: int = SHINGLE, bud
     """``docs`` with one document of each group: the one with the smallest
     doc_id (one row of it if the row is repeated).  Rows without a doc_id
     stay, as nothing can stand for them."""
+    kept_id = unused("kept_id", docs.columns)
     keep = (near_duplicates(docs, scratch, shingle, budget).where("doc_id = component_id")
-            .select(F.col("doc_id").alias("kept_id")).distinct())
-    cols = docs.columns
-    kept = (docs.where("doc_id IS NOT NULL").join(keep, F.col("doc_id") == F.col("kept_id"), "left_semi")
+            .select(F.col("doc_id").alias(kept_id)).distinct())
+    kept = (docs.where("doc_id IS NOT NULL").join(keep, F.col("doc_id") == F.col(kept_id), "left_semi")
             .dropDuplicates(["doc_id"]))
-    return kept.select(*cols).unionByName(docs.where("doc_id IS NULL"))
+    return kept.unionByName(docs.where("doc_id IS NULL"))

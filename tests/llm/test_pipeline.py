@@ -1,8 +1,6 @@
 """The registered queries and the corpus pipeline."""
 
-import numpy as np
 import public_tokenizers
-import pytest
 
 import corpus_pipeline
 from mailweave.llm import decontam, langid, pii, queries
@@ -74,3 +72,19 @@ def test_pipeline_on_an_empty_table(spark):
         out = stage(spark, docs, SF)
         assert out.count() == 0
         docs = out if "text" in out.columns else docs
+
+
+def test_pipeline_on_odd_documents(spark, odd_documents, tmp_path):
+    """Nulls, repeated rows, long texts and clashing columns pass every stage;
+    only what a stage is meant to drop goes."""
+    docs = odd_documents
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, SF)
+        if k == len(corpus_pipeline.STAGES) - 1:
+            assert out.count() == docs.count() > 0
+            break
+        assert out.columns == docs.columns
+        assert out.where("lang_pred <> 'clash' OR score <> 'clash' OR kept_id <> 'clash'").count() == 0
+        out.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+    assert {r.doc_id for r in docs.collect()} <= {r.doc_id for r in odd_documents.collect()}
