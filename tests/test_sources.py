@@ -71,3 +71,35 @@ def test_read_raw_parquet_normalises(spark):
     assert len(rows) == 200
     assert all(r.size == r.n for r in rows)          # NULL / 0 sizes fall back to the byte length
     assert {r.thread_id for r in rows if r.uid % 4 == 1} == {None}
+
+
+def test_export_refuses_several_mailboxes(spark):
+    import pytest
+    from mailweave.sources import fixtures as fx
+    raw = ig.normalize_records(fx.raw_messages(spark, "/root/testdata/sf0.001"))
+    docs = ig.to_documents(ig.parse_messages(ig.valid_records(raw.where("uid < 5"))))
+    with pytest.raises(ValueError):
+        tb.export_markdown(docs, scratch_path(spark, "export"))
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    import pytest
+    from mailweave import session
+    conf = SimpleNamespace(get=lambda *a: None, set=lambda *a: None)
+    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="yarn", getConf=lambda: conf))
+    with pytest.raises(ValueError):
+        session.shared_dir(cluster)
+
+
+def test_versions_replace_each_other(spark):
+    path = scratch_path(spark, "versions")
+    assert tb.read_version(spark, path, "x int") is None
+    for n in (3, 2, 1):
+        tb.write_version(spark.range(n).selectExpr("cast(id AS int) AS x"), path)
+    assert tb.read_version(spark, path, "x int").count() == 1
+    assert len(tb.folders(spark, path)) == 1
+    # a version may be made from the one before
+    tb.write_version(tb.read_version(spark, path, "x int").selectExpr("x + 7 AS x"), path)
+    assert [r.x for r in tb.read_version(spark, path, "x int").collect()] == [7]
