@@ -25,9 +25,9 @@ from .components import components
 
 THRESHOLD = 0.9
 #: vectors the centroids are fitted on, vectors per cell aimed at, most cells, rounds
-SAMPLE, PER_CELL, MAX_CELLS, ROUNDS = 20_000, 1_500, 1_024, 10
+SAMPLE, PER_CELL, MAX_CELLS, ROUNDS = 20_000, 4_000, 1_024, 10
 #: vectors of one side of a block
-BLOCK = 2_048
+BLOCK = 4_096
 
 
 def comparable(vectors: DataFrame) -> DataFrame:
