@@ -119,11 +119,14 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int = 50_000
         yield pa.Table.from_batches(held)
 
 
-def min_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Component label (smallest member) of nodes 0..n-1 under links a[i]-b[i]."""
-    label = np.arange(n)
+def min_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Component labels after the links a[i]-b[i] join those of ``label``
+    (``np.arange(n)`` to begin with); a label is the smallest member."""
+    open_ = label[a] != label[b]
+    a, b = a[open_], b[open_]
     while len(a):
         low = np.minimum(label[a], label[b])
+        label = label.copy()
         np.minimum.at(label, label[a], low)
         np.minimum.at(label, label[b], low)
         while True:
@@ -134,3 +137,11 @@ def min_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         open_ = label[a] != label[b]
         a, b = a[open_], b[open_]
     return label
+
+
+def forest(label: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A link from every member of a component to its smallest ``node``."""
+    smallest = np.full(len(node), np.iinfo(np.int64).max)
+    np.minimum.at(smallest, label, node)
+    child = np.flatnonzero(smallest[label] != node)
+    return node[child], smallest[label][child]

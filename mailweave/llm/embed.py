@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, min_labels, whole_groups
+from .common import Scratch, forest, min_labels, whole_groups
 from .components import components
 
 THRESHOLD = 0.9
@@ -28,6 +28,8 @@ THRESHOLD = 0.9
 SAMPLE, PER_CELL, MAX_CELLS, ROUNDS = 20_000, 4_000, 1_024, 10
 #: vectors of one side of a block
 BLOCK = 4_096
+#: rows of a block compared at once; how far a single-precision product may be off, at least
+SLAB, MARGIN = 256, 1e-4
 
 
 def comparable(vectors: DataFrame) -> DataFrame:
@@ -120,51 +122,45 @@ def assign(reps: DataFrame, centroids: np.ndarray, threshold: float) -> DataFram
 
 
 def _compare(cells: int, threshold: float):
-    """Blocks -> ``(a, b, n)``: rows with b null add n links to node a, the others are links."""
+    """Blocks -> ``(a, b, n)``: rows with b null add n links to node a, the others
+    are links that span the components.  No list of all pairs is ever made."""
     def block(t: pa.Table):
         node, copies, home, side = (t[c].to_numpy() for c in ("node", "copies", "home", "side"))
         cell = int(t["cell"][0].as_py())
         x = matrix(t["v"].combine_chunks())
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)  # side 2: a block with itself
         with_itself = bool((side == 2).any())
-        ia, ib = [], []
-        single = x.astype(np.float32)
-        for at in range(0, len(left), 512):
-            rows = left[at:at + 512]
-            i, j = np.nonzero(single[rows] @ single[right].T >= threshold - 1e-4)
-            i, j = rows[i], right[j]
-            if with_itself:
-                i, j = i[i < j], j[i < j]
-            if len(i):
-                exact = np.einsum("ij,ij->i", x[i], x[j]) >= threshold
-                ia.append(i[exact])
-                ib.append(j[exact])
-        if not ia:
-            return None
-        i, j = np.concatenate(ia), np.concatenate(ib)
         # a pair whose partners are guests in each other's home cells is met twice; it counts in the lower cell
-        far = np.flatnonzero((home[j] != cell) & (home[j] < cell))
-        if len(far):
-            visits = np.zeros((len(node), cells), dtype=bool)
-            lists = t["visits"].combine_chunks()
-            visits[np.repeat(np.arange(len(node)), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()] = True
-            mutual = visits[i[far], home[j[far]]]
-            keep = np.ones(len(i), dtype=bool)
-            keep[far[mutual]] = False
-            i, j = i[keep], j[keep]
-        if not len(i):
-            return None
-        links = np.bincount(i, copies[j], len(node)) + np.bincount(j, copies[i], len(node))
-        label = min_labels(len(node), i, j)
-        smallest = np.full(len(node), np.iinfo(np.int64).max)
-        np.minimum.at(smallest, label, node)
+        visits = np.zeros((len(node), cells), dtype=bool)
+        lists = t["visits"].combine_chunks()
+        visits[np.repeat(np.arange(len(node)), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()] = True
+        elsewhere = np.flatnonzero(home[right] < cell)
+        margin = max(MARGIN, 1.2e-7 * x.shape[1])
+        single, links, label = x.astype(np.float32), np.zeros(len(node), dtype=np.int64), np.arange(len(node))
+        for at in range(0, len(left), SLAB):
+            rows = left[at:at + SLAB]
+            rough = single[rows] @ single[right].T
+            hit = rough >= threshold + margin
+            i, j = np.nonzero((rough >= threshold - margin) & ~hit)
+            for k in range(0, len(i), 1 << 14):
+                some_i, some_j = i[k:k + (1 << 14)], j[k:k + (1 << 14)]
+                hit[some_i, some_j] = np.einsum("ij,ij->i", x[rows[some_i]], x[right[some_j]]) >= threshold
+            if with_itself:
+                hit &= rows[:, None] < right[None, :]
+            hit[:, elsewhere] &= ~visits[rows][:, home[right[elsewhere]]]
+            if not hit.any():
+                continue
+            links[rows] += hit @ copies[right]
+            links[right] += copies[rows] @ hit
+            i, j = np.nonzero(hit & (label[rows][:, None] != label[right][None, :]))
+            label = min_labels(label, rows[i], right[j])
         counted = np.flatnonzero(links)
-        child = np.flatnonzero(smallest[label] != node)
-        child = child[np.isin(child, counted)]
+        if not len(counted):
+            return None
+        child, root = forest(label, node)
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([node[counted], node[child]])),
-             pa.array([None] * len(counted) + smallest[label][child].tolist(), pa.int64()),
-             pa.array(np.concatenate([links[counted], np.zeros(len(child))]).astype(np.int64))], names=["a", "b", "n"])
+            [pa.array(np.concatenate([node[counted], child])), pa.array([None] * len(counted) + root.tolist(), pa.int64()),
+             pa.array(np.concatenate([links[counted], np.zeros(len(child), dtype=np.int64)]))], names=["a", "b", "n"])
 
     def run(batches):
         for t in whole_groups(batches, "key", rows=4 * BLOCK):

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, min_labels, unused, utf8, whole_groups
+from .common import Scratch, forest, min_labels, unused, utf8, whole_groups
 from .components import components
 
 SHINGLE = 4
@@ -154,19 +154,12 @@ def _links(budget: int):
             roots = [lo, np.where(is_cross, mid, hi), np.where(is_cross, mid, lo), hi]
             # a cross join with an empty side has nothing to do
             live = is_cross | (t["sides"].to_numpy()[order][lo] == 1)
-            ends_a, ends_b = [], []
+            label = np.arange(len(node))
             for i, j in join_trie(turned, [r[live] for r in roots], budget):
-                ends_a.append(i)
-                ends_b.append(j)
-            if not ends_a:
-                continue
-            a, b = np.concatenate(ends_a), np.concatenate(ends_b)
-            label = min_labels(len(node), a, b)
-            smallest = np.full(len(node), np.iinfo(np.int64).max)
-            np.minimum.at(smallest, label, node)
-            out = np.flatnonzero(smallest[label] != node)
-            out = out[np.isin(out, np.concatenate([a, b]))]
-            yield pa.RecordBatch.from_arrays([pa.array(node[out]), pa.array(smallest[label][out])], names=["a", "b"])
+                label = min_labels(label, i, j)
+            child, root = forest(label, node)
+            if len(child):
+                yield pa.RecordBatch.from_arrays([pa.array(child), pa.array(root)], names=["a", "b"])
     return run
 
 
