@@ -13,24 +13,28 @@ import json
 import os
 import re
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import files
-from .bpe import Chunks, byte_letters
+from .bpe import byte_letters
 from .common import Scratch, slices, texts
 
 MAGIC = b"MWHUFF01"
-LIMIT = 16                  # longest code in bits, more only if the ids need it
-BLOCK, STEP = 1 << 18, 256  # ids of a block, ids between checkpoints
+LIMIT = 16                  # longest code in bits, more (24 at most) only if the ids need it
+BLOCK, STEP = 1 << 17, 128  # ids of a block, ids between checkpoints
 FILE_IDS = 1 << 26          # ids of a file, on average
-#: entries of each cache per generation; two generations are held
-CACHE = 200_000
+#: words, and pieces, remembered before the memory is emptied
+CACHE = 600_000
 
 
 # --- tokens ---------------------------------------------------------------
@@ -44,14 +48,16 @@ class CachedTokenizer:
 
     With a byte-level pre-tokenizer a boundary before a single space between
     two visible characters is always made, so the pieces between spaces encode
-    independently, and a piece of letters and a tail of punctuation is two
-    words for the library's model.  Other pieces go through the whole library;
-    texts with other spacing are cut at such boundaries only; texts with a
-    special token's string, and vocabularies with another pre-tokenizer, go to
-    the library whole.
+    independently, and so do the words the pre-tokenizer finds in a piece; the
+    library's model gets each word once.  Texts with other spacing are cut at
+    such boundaries only; texts with a special token's string, and vocabularies
+    with another pre-tokenizer, go to the library whole.
     """
 
     TAILED = re.compile(r"([^\W\d_]+)([^\w\s]+)")
+    # fixed pattern of the byte-level pre-tokenizer
+    WORDS = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+    SEPARATORS = re.compile("[\x1c-\x1f]")  # white space for one side of the two only
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -67,42 +73,74 @@ class CachedTokenizer:
         self.size = max([*self.tok.get_vocab(True).values(), 0]) + 1
         self.kind = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         self.letters = byte_letters()
-        self.pieces, self.words = Chunks(self._piece, CACHE), Chunks(self._word, CACHE)
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=self.kind).tobytes()
+        packed = array("H" if self.kind.itemsize == 2 else "I", ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _library(self, text: str) -> bytes:
         return self._pack(self.tok.encode(text, add_special_tokens=False).ids)
 
     def _word(self, word: str) -> bytes:
-        return self._pack([t.id for t in self.tok.model.tokenize("".join([self.letters[b] for b in word.encode()]))])
+        """Ids of one word of the pre-tokenizer."""
+        found = self.words.get(word)
+        if found is None:
+            # visible ASCII stands for itself among the letters of the bytes
+            letters = (word.replace(" ", self.letters[32]) if word.isascii() and word.isprintable() else
+                       "".join([self.letters[b] for b in word.encode()]))
+            found = self.words[word] = self._pack([t.id for t in self.tok.model.tokenize(letters)])
+        return found
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a piece with the space before it."""
-        if piece.isalpha():
-            return self.words[" " + piece]
         m = self.TAILED.fullmatch(piece)
         if m and m[1].isalpha():
-            return self.words[" " + m[1]] + self.words[m[2]]
+            return self._word(" " + m[1]) + self._word(m[2])
         if not piece or piece[0].isspace() or piece[-1].isspace():
             raise OddSpacing
-        return self._library(" " + piece)
-
-    def _text(self, text: str) -> bytes:
-        if not self.by_piece or any(s in text for s in self.special):
-            return self._library(text)
-        head, *pieces = text.split(" ")
-        try:
-            if not head or head[-1].isspace():
-                raise OddSpacing
-            return self._library(head) + b"".join(map(self.pieces.__getitem__, pieces))
-        except OddSpacing:
-            return b"".join(map(self._library, re.split(r"(?<=\S)(?= \S)", text)))
+        if self.SEPARATORS.search(piece):
+            return self._library(" " + piece)
+        return b"".join(map(self._word, self.WORDS.findall(" " + piece)))
+
+    def _cut(self, text: str) -> bytes:
+        """A text with other spacing, cut where the pre-tokenizer cuts for certain."""
+        return b"".join(map(self._library, re.split(r"(?<=\S)(?= \S)", text)))
 
     def encode(self, batch: list[str]) -> list[bytes]:
         """Ids of each text, packed as ``kind``."""
-        return list(map(self._text, batch))
+        plain = [k for k, t in enumerate(batch) if self.by_piece and t and not any(s in t for s in self.special)]
+        out = dict(zip(plain, self._plain([batch[k] for k in plain]))) if plain else {}
+        return [out[k] if k in out else self._library(t) for k, t in enumerate(batch)]
+
+    def _plain(self, batch: list[str]) -> list[bytes]:
+        """Every distinct piece of the batch is looked up once; the texts are
+        then put together by the codes of their pieces."""
+        cut = pc.split_pattern(pa.array(batch, pa.string()), " ")
+        coded, edge = cut.flatten().dictionary_encode(), cut.offsets.to_numpy()
+        codes, odd = coded.indices.to_numpy(), []
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        for memory in (self.words, self.pieces):
+            if len(memory) > CACHE:
+                memory.clear()
+        ids = list(map(self.pieces.get, distinct))
+        for k in [k for k, x in enumerate(ids) if x is None]:
+            piece = distinct[k]
+            try:
+                ids[k] = self.pieces[piece] = self._word(" " + piece) if piece.isalpha() else self._piece(piece)
+            except OddSpacing:
+                ids[k] = b""
+                odd.append(k)
+        owner = np.searchsorted(edge, np.flatnonzero(np.isin(codes, odd)), side="right") - 1 if odd else ()
+        # the first piece of a text has no space before it
+        heads = cut.flatten().take(pa.array(edge[:-1])).to_pylist()
+        again = set(owner) | {k for k, h in enumerate(heads) if not h or h[-1].isspace()}
+        found = ids.__getitem__
+        return [self._cut(t) if k in again else self._library(heads[k]) + b"".join(map(found, codes[a + 1:b].tolist()))
+                for k, (t, a, b) in enumerate(zip(batch, edge[:-1].tolist(), edge[1:].tolist()))]
 
 
 _LOADED: dict[str, CachedTokenizer] = {}
@@ -203,29 +241,30 @@ def pack(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes
 
 
 class Table:
-    """Lookup of the next id and its code length by the next ``bits`` bits."""
+    """Lookup of the next id and its code length by the next ``bits`` bits; an
+    entry holds both, so that the whole table stays in a processor's cache."""
 
     def __init__(self, lengths: np.ndarray):
         self.bits = int(lengths.max()) if len(lengths) else 0
+        if self.bits > 24:
+            raise ValueError("codes of more than 24 bits")
         used = np.flatnonzero(lengths)
         used = used[np.argsort(lengths[used], kind="stable")]
         span = np.left_shift(1, self.bits - lengths[used].astype(np.int64))
-        self.id, self.length = np.repeat(used, span), np.repeat(lengths[used].astype(np.int64), span)
-        missing = (1 << self.bits) - len(self.id)  # a code of one id leaves half of the table open
-        self.id, self.length = np.pad(self.id, (0, missing)), np.pad(self.length, (0, missing), constant_values=1)
+        entry = np.repeat((used << 5 | lengths[used]).astype(np.uint32), span)
+        # a code of one id leaves half of the table open
+        self.entry = np.pad(entry, (0, (1 << self.bits) - len(entry)), constant_values=1)
 
     def unpack(self, data: bytes, checkpoints: np.ndarray, n: int) -> np.ndarray:
-        raw = np.frombuffer(data + bytes(8 + STEP * self.bits // 8 + 8), dtype=np.uint8).astype(np.uint64)
-        window = (raw[:-4] << np.uint64(32)) | (raw[1:-3] << np.uint64(24)) | (raw[2:-2] << np.uint64(16)) \
-            | (raw[3:-1] << np.uint64(8)) | raw[4:]  # 40 bits from each byte on
-        window = window.astype(np.int64)
-        at, mask = checkpoints.astype(np.int64), (1 << self.bits) - 1
-        out = np.empty((STEP, len(at)), dtype=np.int64)
+        raw = np.frombuffer(data + bytes(STEP * self.bits // 8 + 16), dtype=np.uint8).astype(np.uint32)
+        window = (raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:]  # 32 bits from each byte on
+        at, mask, room = checkpoints.astype(np.uint32), np.uint32((1 << self.bits) - 1), np.uint32(32 - self.bits)
+        out = np.empty((STEP, len(at)), dtype=np.uint32)
         for k in range(STEP):
-            peek = (window[at >> 3] >> (40 - self.bits - (at & 7))) & mask
-            out[k] = self.id[peek]
-            at = at + self.length[peek]
-        return out.T.ravel()[:n] if len(checkpoints) else np.zeros(0, dtype=np.int64)
+            entry = self.entry[(window[at >> 3] >> (room - (at & 7))) & mask]
+            np.right_shift(entry, 5, out=out[k])
+            at += entry & 31
+        return out.T.ravel()[:n] if len(checkpoints) else np.zeros(0, dtype=np.uint32)
 
 
 # --- files ----------------------------------------------------------------
@@ -298,7 +337,7 @@ class Reader:
         count, points, size = struct.unpack("<III", self._read(at, 12))
         body = self._read(at + 12, 4 * points + size + 4)
         ids = self.table.unpack(body[4 * points:4 * points + size], np.frombuffer(body[:4 * points], "<u4"), count)
-        if count != n or zlib.crc32(ids.astype("<u4").tobytes()) != struct.unpack("<I", body[-4:])[0]:
+        if count != n or zlib.crc32(ids.astype("<u4", copy=False).tobytes()) != struct.unpack("<I", body[-4:])[0]:
             raise ValueError("the check sum of a block does not fit")
         return ids
 
@@ -309,9 +348,9 @@ class Reader:
             crc, rest = 0, n
             while rest:
                 if not len(left):
-                    left = self.block(k).astype("<u4")
+                    left = self.block(k).astype("<u4", copy=False)
                     k += 1
-                crc = zlib.crc32(left[:rest].tobytes(), crc)
+                crc = zlib.crc32(left[:rest], crc)
                 used = min(rest, len(left))
                 left, rest = left[used:], rest - used
             yield doc_id, n, crc
