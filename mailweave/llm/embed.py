@@ -140,6 +140,8 @@ def _compare(cells: int, threshold: float):
         for at in range(0, len(left), SLAB):
             rows = left[at:at + SLAB]
             rough = single[rows] @ single[right].T
+            if rough.max() < threshold - margin:
+                continue
             hit = rough >= threshold + margin
             i, j = np.nonzero((rough >= threshold - margin) & ~hit)
             for k in range(0, len(i), 1 << 14):
