@@ -1,19 +1,20 @@
 """Benchmark decontamination: BM25 inverted index of the test items, searched
-with every passage of every document.
+with the words of every document.
 
 Items lie in blocks; the index keeps the impact of each term on each item and
-its maximum over each block.  A passage passes a block when the block maxima
+its maximum over each block.  A document passes a block when the block maxima
 of its terms reach the block's need (block-max WAND); very frequent terms are
 left out of that bound, their whole weight is granted to every item.  In the
 blocks that pass, each item's BM25 score is computed, and items at or above
-their threshold are verified on the passage's words.  The threshold of an item
-is the least score that a passage holding ``SIMILARITY`` of its shingles can
-have, so no leak is missed.
-
-A document leaks an item when one passage holds ``SIMILARITY`` or more of the
-item's five-word shingles, and at least ``PART`` of those of its question and
-of its answer.  The answer is the last line, or the last sentence of a
-one-line item; its shingles are those that end in it.
+their threshold are verified on the document's words.  The threshold of an
+item is the least score that a text holding ``SIMILARITY`` of its shingles can
+have, so no leak is missed, wherever in the text the shingles stand and
+whichever index holds the item.
+
+A document leaks an item when it holds ``SIMILARITY`` or more of the item's
+five-word shingles, and at least ``PART`` of those of its question and of its
+answer.  The answer is the last line, or the last sentence of a one-line item;
+its shingles are those that end in it.
 """
 
 from __future__ import annotations
@@ -56,6 +57,15 @@ def shingles(w: list[str]) -> list[tuple[str, ...]]:
     return [tuple(w[i:i + SHINGLE]) for i in range(max(1, len(w) - SHINGLE + 1))] if w else []
 
 
+def mixed(terms: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit hash of each row of ``width`` term numbers."""
+    h = np.zeros(len(terms), dtype=np.uint64)
+    for k in range(width):
+        h = (h ^ (terms[:, k].astype(np.uint64) + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return h
+
+
 class Index:
     """Inverted index of ``(item_id, text)`` rows; items without a word are left out."""
 
@@ -107,16 +117,19 @@ class Index:
         self.block_of = np.array([b for r in rows for b in r], dtype=np.int64)
         self.bound = np.array([x for r in rows for x in r.values()])
         self.blocks = -(-n // BLOCK)
-        self.longest = max(map(len, self.words), default=0)
-
-    def passages(self, n: int) -> list[tuple[int, int]]:
-        """Overlapping windows: every run of ``longest`` words lies within one."""
-        step = max(1, self.longest)
-        return [(at, min(n, at + 2 * step)) for at in range(0, max(1, n - step), step)]
+        # postings of all terms, for the scores; hashes of all shingles by their width
+        posted = sorted((t, k, x) for k, weights in enumerate(self.impact) for t, x in weights.items())
+        self.post_start = np.searchsorted([t for t, _, _ in posted], np.arange(len(self.terms) + 1))
+        self.post_item = np.array([k for _, k, _ in posted], dtype=np.int64)
+        self.post_impact = np.array([x for _, _, x in posted])
+        by_width: dict[int, list[list[int]]] = {}
+        for x in {x for parts in self.parts for x in parts[0]}:
+            by_width.setdefault(len(x), []).append([self.terms[t] for t in x])
+        self.hashes = {width: np.unique(mixed(np.array(x, dtype=np.int64), width)) for width, x in by_width.items()}
 
     def candidates(self, owner: np.ndarray, term: np.ndarray) -> np.ndarray:
-        """(passage, block) pairs that reach the block's need, from (passage, term) hits."""
-        pair = np.unique(owner * len(self.terms) + term)  # a passage counts a term once
+        """(text, block) pairs that reach the block's need, from (text, term) hits."""
+        pair = np.unique(owner * len(self.terms) + term)  # a text counts a term once
         owner, term = pair // len(self.terms), pair % len(self.terms)
         count = self.row_start[term + 1] - self.row_start[term]
         at = np.repeat(self.row_start[term], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
@@ -124,52 +137,58 @@ class Index:
         reached = np.bincount(where, self.bound[at], len(key)) >= 1 - 1e-9
         return key[reached]
 
-    def verify(self, w: list[str], k: int) -> tuple[float, float, float, float] | None:
-        """BM25 score and overlaps of item ``k`` and a passage, or None if it does not leak."""
-        present = {self.terms[t] for t in set(w) if t in self.terms}
-        score = sum(x for t, x in self.impact[k].items() if t in present)
-        if score < self.threshold[k]:
-            return None
-        width = min(SHINGLE, len(self.words[k]))
-        own = {tuple(w[i:i + width]) for i in range(len(w) - width + 1)}
+    def scores(self, t: np.ndarray) -> np.ndarray:
+        """BM25 score of every item for a text with the terms ``t``."""
+        present = np.unique(t[t >= 0])
+        lo, hi = self.post_start[present], self.post_start[present + 1]
+        at = np.repeat(lo - np.cumsum(hi - lo) + (hi - lo), hi - lo) + np.arange((hi - lo).sum())
+        return np.bincount(self.post_item[at], self.post_impact[at], len(self.ids))
+
+    def held(self, w: list[str], t: np.ndarray, width: int) -> set[tuple[str, ...]]:
+        """The shingles of ``width`` words that a text shares with the items
+        (hashes only pick the places; the words themselves are returned)."""
+        if len(t) < width or width not in self.hashes:
+            return set()
+        windows = np.lib.stride_tricks.sliding_window_view(t, width)
+        known = np.flatnonzero((windows >= 0).all(axis=1))
+        hit = known[np.isin(mixed(windows[known], width), self.hashes[width])]
+        return {tuple(w[i:i + width]) for i in hit.tolist()}
+
+    def verify(self, own: set[tuple[str, ...]], k: int) -> tuple[float, float, float] | None:
+        """Overlaps of item ``k`` with a text's shingles, or None if it does not leak."""
         whole, question, answer = ((len(own & s) / len(s) if s else 1.0) for s in self.parts[k])
-        return (score, whole, question, answer) if whole >= SIMILARITY and min(question, answer) >= PART else None
+        return (whole, question, answer) if whole >= SIMILARITY and min(question, answer) >= PART else None
 
     def search(self, batch: list[str]) -> list[tuple[int, int, float, float, float, float]]:
-        """(text number, item number, score, overlaps) of every leak, best passage of each."""
+        """(text number, item number, score, overlaps) of every leak."""
         if not self.ids:
             return []
-        all_words, spans, owner, term, get = [], [], [], [], self.terms.get
+        all_words, all_terms, owner, term, get = [], [], [], [], self.terms.get
         for doc, text in enumerate(batch):
             w = words(text)
-            all_words.append(w)
             t = np.fromiter((get(x, -1) for x in w), dtype=np.int64, count=len(w))
-            hits = np.flatnonzero((t >= 0))
-            hits = hits[self.row_start[t[hits] + 1] > self.row_start[t[hits]]]
-            if not len(hits):
-                continue
-            own = self.passages(len(w))
-            # the window that starts in the word's stretch, and the one before
-            last = np.minimum(hits // max(1, self.longest), len(own) - 1)
-            base = len(spans)
-            spans += [(doc, lo, hi) for lo, hi in own]
-            for back in (0, 1):
-                at = last - back
-                ok = (at >= 0) & (hits < np.array([hi for _, hi in own])[np.maximum(at, 0)])
-                owner.append(base + at[ok])
-                term.append(t[hits[ok]])
-        if not owner:
-            return []
-        best: dict[tuple[int, int], tuple] = {}
-        for key in self.candidates(np.concatenate(owner), np.concatenate(term)).tolist():
-            passage, block = divmod(key, self.blocks)
-            doc, lo, hi = spans[passage]
-            w = all_words[doc][lo:hi]
-            for k in range(block * BLOCK, min(len(self.ids), (block + 1) * BLOCK)):
-                found = self.verify(w, k)
-                if found and found[1:] > best.get((doc, k), (0.0, 0.0, 0.0, 0.0))[1:]:
-                    best[(doc, k)] = found
-        return [(doc, k, *found) for (doc, k), found in sorted(best.items())]
+            all_words.append(w)
+            all_terms.append(t)
+            distinct = np.unique(t[t >= 0])
+            distinct = distinct[self.row_start[distinct + 1] > self.row_start[distinct]]
+            owner.append(np.full(len(distinct), doc))
+            term.append(distinct)
+        blocks: dict[int, list[int]] = {}
+        for key in self.candidates(np.concatenate(owner), np.concatenate(term)).tolist() if owner else []:
+            blocks.setdefault(key // self.blocks, []).append(key % self.blocks)
+        out = []
+        for doc, passed in sorted(blocks.items()):
+            score, own = self.scores(all_terms[doc]), {}
+            items = (np.array(passed)[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            items = items[items < len(self.ids)]
+            for k in items[score[items] >= self.threshold[items]].tolist():
+                width = min(SHINGLE, len(self.words[k]))
+                if width not in own:
+                    own[width] = self.held(all_words[doc], all_terms[doc], width)
+                found = self.verify(own[width], k) if own[width] else None
+                if found:
+                    out.append((doc, k, float(score[k]), *found))
+        return out
 
 
 def indexes(benchmark: DataFrame) -> list[Index]:
@@ -184,8 +203,8 @@ def indexes(benchmark: DataFrame) -> list[Index]:
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``(doc_id, item_id, bm25, overlap, question_overlap, answer_overlap)``
-    for every document row and item that it leaks, from the passage with the
-    largest overlaps.  Null and empty texts leak nothing, null and empty items
+    for every document row and item that it leaks, counted over the whole
+    text.  Null and empty texts leak nothing, null and empty items
     are not leaked; null ids are carried; repeated rows each return; other
     columns are ignored; an empty table gives an empty table."""
     schema = "doc_id bigint, item_id bigint, bm25 double, overlap double, question_overlap double, answer_overlap double"

@@ -314,6 +314,37 @@ def test_leaks_of_edited_items(spark):
     assert want - got == spread
 
 
+def test_leaks_do_not_depend_on_the_offset():
+    """An item with words inserted in its middle is found at every offset, by any index."""
+    item = " ".join(f"w{k}" for k in range(59))
+    others = [(k, f"another item number {k} of few words") for k in range(20)]
+    w = item.split()
+    spread = w[:30] + [f"x{k}" for k in range(30)] + w[30:]
+    docs = [(at, " ".join([f"y{k}" for k in range(at)] + spread + ["z"] * 200)) for at in range(118)]
+    want = brute_leaks(docs, [(99, item)])
+    assert len(want) == 118
+    for items in ([(99, item)], [(99, item), *others], [(99, item), (98, "long " * 300)]):
+        index = decontam.Index(items)
+        assert {(d, index.ids[k]) for d, k, *_ in index.search([t for _, t in docs])} == want
+    assert decontam.Index([(99, item)]).search(["", "w1 w2", "nothing here"]) == []
+
+
+def test_edited_items_all_found():
+    """Whole texts of all lengths equal the brute force, with nothing excepted."""
+    rng = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(60)] + ["the", "of", "and"] * 10
+    pick = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [(k, " ".join(pick(rng.randint(1, 40))) + rng.choice(["", ".\nyes it is", ".\nno"])) for k in range(60)]
+    docs = []
+    for k in range(400):
+        w = rng.choice(items)[1].split()
+        at = rng.randint(0, len(w))
+        docs.append((k, " ".join(pick(rng.randint(0, 300)) + w[:at] + pick(rng.choice([0, 1, 80])) + w[at:] + pick(rng.randint(0, 300)))))
+    index = decontam.Index(items)
+    got = {(docs[d][0], index.ids[k]) for d, k, *_ in index.search([t for _, t in docs])}
+    assert got == brute_leaks(docs, items) and got
+
+
 def test_decontamination_frames(spark, odd_documents, documents):
     items = spark.createDataFrame([(1, None), (2, ""), (None, "no id"), (3, "b"), (3, "b"), (4, "unlike anything that occurs here")],
                                   "item_id bigint, text string")
