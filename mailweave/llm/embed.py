@@ -1,5 +1,6 @@
 """Embedding near-duplicates: spherical k-means cells, blocked cosine products.
 
+Only vectors of one length can be compared; each length has cells of its own.
 Equal vectors are grouped first; one of each group (the smallest vec_id) goes
 on with the number of its copies.  Spherical k-means gives every vector a home
 cell.  A vector is also a guest of each cell whose border is so close that a
@@ -34,15 +35,12 @@ SLAB, MARGIN = 256, 1e-4
 
 def comparable(vectors: DataFrame) -> DataFrame:
     """``(vec_id, v)``: v is the vector in double precision, null where it
-    cannot link: without an id, null, zero, with a null or non-finite
-    component, or not as long as the most common usable vector."""
+    cannot link: without an id, null, zero, or with a null or non-finite
+    component."""
     v = F.col("embedding").cast("array<double>")
     fine = (F.col("vec_id").isNotNull() & v.isNotNull()
             & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0))
-    rows = vectors.select("vec_id", F.when(fine, v).alias("v"))
-    sizes = (rows.where("v IS NOT NULL").groupBy(F.size("v").alias("n")).count()
-             .orderBy(F.desc("count"), "n").limit(1).collect())
-    return rows.select("vec_id", F.when(F.size("v") == (sizes[0]["n"] if sizes else 0), F.col("v")).alias("v"))
+    return vectors.select("vec_id", F.when(fine, v).alias("v"))
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -69,10 +67,8 @@ def matrix(column) -> np.ndarray:
 
 
 def fit_cells(reps: DataFrame, n: int) -> np.ndarray:
-    """Centroids fitted on at most about SAMPLE distinct vectors, picked by a hash."""
-    if n == 0:
-        return np.zeros((0, 0))
-    few = reps.where(F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / n)))
+    """Centroids fitted on at most about SAMPLE distinct vectors of one length, picked by a hash."""
+    few = reps.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / n)))
     rows = few.select("node", "v").limit(2 * SAMPLE).toArrow()
     if not rows.num_rows:
         rows = reps.select("node", "v").limit(1).toArrow()
@@ -81,6 +77,17 @@ def fit_cells(reps: DataFrame, n: int) -> np.ndarray:
     return spherical_kmeans(x, max(1, min(MAX_CELLS, n // PER_CELL, len(x))))
 
 
+def fit_lengths(reps: DataFrame) -> dict[int, tuple[int, np.ndarray | None]]:
+    """Vector length -> its first cell and its centroids, None where one cell
+    is enough.  Cells of different lengths have different numbers."""
+    out, first = {}, 0
+    for size, n in sorted(tuple(r) for r in reps.groupBy(F.size("v")).count().collect()):
+        centroids = fit_cells(reps.where(F.size("v") == size), n) if n >= 2 * PER_CELL else None
+        out[size] = (first, centroids)
+        first += 1 if centroids is None else len(centroids)
+    return out
+
+
 def distances(centroids: np.ndarray) -> np.ndarray:
     """Distance of every two centroids."""
     return np.stack([np.linalg.norm(centroids - c, axis=1) for c in centroids])
@@ -96,32 +103,40 @@ def guest_of(x: np.ndarray, home: np.ndarray, centroids: np.ndarray, apart: np.n
     return out
 
 
-def assign(reps: DataFrame, centroids: np.ndarray, threshold: float) -> DataFrame:
+def assign(reps: DataFrame, lengths: dict[int, tuple[int, np.ndarray | None]], threshold: float) -> DataFrame:
     """``(cell, home, guests, node, copies, v)`` for the home and every guest
     cell; visits lists the latter (home rows only), v is of unit length."""
     def run(batches):
-        apart = distances(centroids)
+        apart: dict[int, np.ndarray] = {}
         for batch in batches:
             for at in range(0, batch.num_rows, 2_000):
-                b = batch.slice(at, 2_000)
-                x = unit(matrix(b.column("v")))
-                home = (x @ centroids.T).argmax(axis=1)
-                row, cell = np.nonzero(guest_of(x, home, centroids, apart, threshold))
-                upto = np.concatenate([np.cumsum(np.bincount(row, minlength=len(x))), np.full(len(row), len(row))])
-                guests = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], upto]).astype(np.int32)),
-                                                  pa.array(cell.astype(np.int32)))
-                row, cell = np.concatenate([np.arange(len(x)), row]), np.concatenate([home, cell])
-                values = pa.array(np.ascontiguousarray(x[row]).ravel())
-                ends = pa.array(np.arange(0, len(row) * x.shape[1] + 1, x.shape[1], dtype=np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell.astype(np.int32)), pa.array(home[row].astype(np.int32)), guests,
-                     b.column("node").take(pa.array(row)), b.column("copies").take(pa.array(row)),
-                     pa.ListArray.from_arrays(ends, values)], names=["cell", "home", "visits", "node", "copies", "v"])
+                mixed = batch.slice(at, 2_000)
+                sizes = pa.compute.list_value_length(mixed.column("v")).to_numpy()
+                for size in np.unique(sizes).tolist():
+                    b = mixed.take(pa.array(np.flatnonzero(sizes == size)))
+                    first, centroids = lengths[size]
+                    if centroids is None:
+                        centroids = np.zeros((1, size))
+                    if size not in apart:
+                        apart[size] = distances(centroids)
+                    x = unit(matrix(b.column("v")))
+                    home = (x @ centroids.T).argmax(axis=1)
+                    row, cell = np.nonzero(guest_of(x, home, centroids, apart[size], threshold))
+                    upto = np.concatenate([np.cumsum(np.bincount(row, minlength=len(x))), np.full(len(row), len(row))])
+                    guests = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], upto]).astype(np.int32)),
+                                                      pa.array((first + cell).astype(np.int32)))
+                    row, cell = np.concatenate([np.arange(len(x)), row]), np.concatenate([home, cell])
+                    values = pa.array(np.ascontiguousarray(x[row]).ravel())
+                    ends = pa.array(np.arange(0, len(row) * x.shape[1] + 1, x.shape[1], dtype=np.int32))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array((first + cell).astype(np.int32)), pa.array((first + home[row]).astype(np.int32)), guests,
+                         b.column("node").take(pa.array(row)), b.column("copies").take(pa.array(row)),
+                         pa.ListArray.from_arrays(ends, values)], names=["cell", "home", "visits", "node", "copies", "v"])
     return reps.select("node", "copies", "v").mapInArrow(
         run, "cell int, home int, visits array<int>, node bigint, copies bigint, v array<double>")
 
 
-def _compare(cells: int, threshold: float):
+def _compare(threshold: float):
     """Blocks -> ``(a, b, n)``: rows with b null add n links to node a, the others
     are links that span the components.  No list of all pairs is ever made."""
     def block(t: pa.Table):
@@ -131,9 +146,12 @@ def _compare(cells: int, threshold: float):
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)  # side 2: a block with itself
         with_itself = bool((side == 2).any())
         # a pair whose partners are guests in each other's home cells is met twice; it counts in the lower cell
-        visits = np.zeros((len(node), cells), dtype=bool)
+        # all of them are cells of one length; they are numbered from the lowest met here
         lists = t["visits"].combine_chunks()
-        visits[np.repeat(np.arange(len(node)), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()] = True
+        visited = lists.flatten().to_numpy()
+        low = min(int(home.min()), int(visited.min(initial=cell)))
+        visits = np.zeros((len(node), max(int(home.max()), int(visited.max(initial=cell))) - low + 1), dtype=bool)
+        visits[np.repeat(np.arange(len(node)), np.diff(lists.offsets.to_numpy())), visited - low] = True
         elsewhere = np.flatnonzero(home[right] < cell)
         margin = max(MARGIN, 1.2e-7 * x.shape[1])
         single, links, label = x.astype(np.float32), np.zeros(len(node), dtype=np.int64), np.arange(len(node))
@@ -149,7 +167,7 @@ def _compare(cells: int, threshold: float):
                 hit[some_i, some_j] = np.einsum("ij,ij->i", x[rows[some_i]], x[right[some_j]]) >= threshold
             if with_itself:
                 hit &= rows[:, None] < right[None, :]
-            hit[:, elsewhere] &= ~visits[rows][:, home[right[elsewhere]]]
+            hit[:, elsewhere] &= ~visits[rows][:, home[right[elsewhere]] - low]
             if not hit.any():
                 continue
             links[rows] += hit @ copies[right]
@@ -179,7 +197,7 @@ def _blocks(members: DataFrame) -> DataFrame:
     """Deal the members of each cell out to pairs of blocks: homes with homes
     (each unordered pair of blocks once), homes with guests."""
     is_home = F.col("cell") == F.col("home")
-    # one row per cell: at most MAX_CELLS rows
+    # one row per cell: at most MAX_CELLS rows of each length
     sizes = members.groupBy("cell").agg(F.ceil(F.count_if(is_home) / BLOCK).cast("int").alias("homes"),
                                         F.ceil(F.count_if(~is_home) / BLOCK).cast("int").alias("guests"))
     m = members.join(F.broadcast(sizes), "cell")
@@ -194,7 +212,7 @@ def _blocks(members: DataFrame) -> DataFrame:
                "ELSE array() END"))
     m = m.select("cell", "home", "visits", "node", "copies", "v", F.explode(pairs).alias("p"))
     return m.select("cell", "home", "visits", "node", "copies", "v", F.col("p.side").alias("side"),
-                    F.expr("shiftleft(cast(cell AS bigint), 48) | shiftleft(cast(p.a AS bigint), 24) | p.b").alias("key"))
+                    F.expr("shiftleft(cast(cell AS bigint), 40) | shiftleft(cast(p.a AS bigint), 20) | p.b").alias("key"))
 
 
 def near_duplicates(vectors: DataFrame, scratch: Scratch, threshold: float = THRESHOLD) -> DataFrame:
@@ -202,35 +220,37 @@ def near_duplicates(vectors: DataFrame, scratch: Scratch, threshold: float = THR
     kept)``, one row per distinct (vec_id, embedding).
 
     n_links counts the other vectors with a cosine of ``threshold`` or more,
-    copies included.  Vectors that cannot be compared (null, zero, a null or
-    non-finite component, another length than the most common one) have no
-    link.  A null vec_id has no link, a null component and is not kept.  Other
+    copies included; vectors of different lengths have no cosine and no link,
+    also where they share an id.  Vectors that cannot be compared (null, zero,
+    a null or non-finite component) have no link.  A null vec_id has no link, a null component and is not kept.  Other
     columns are ignored; an empty table gives an empty table.
     """
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
     rows = scratch.table(rows.distinct(), "vectors")
     rows = scratch.table(comparable(rows), "comparable")
     able = rows.where("v IS NOT NULL")
-    reps = scratch.table(able.groupBy("v").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")), "reps")
-    n = reps.count()
-    centroids = fit_cells(reps, n)
-    if n:
-        members = scratch.table(assign(reps, centroids, threshold), "members")
+    groups = scratch.table(able.groupBy("v").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")), "groups")
+    # an id may stand at several vectors, a node is one vector; nodes are in the order of the ids
+    reps = scratch.table(groups.orderBy("id").withColumn("node", F.monotonically_increasing_id()), "reps")
+    lengths = fit_lengths(reps)
+    if lengths:
+        members = scratch.table(assign(reps, lengths, threshold), "members")
         parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         found = (_blocks(members).repartition(parts, "key").sortWithinPartitions("key")
-                 .mapInArrow(_compare(len(centroids), threshold), "a bigint, b bigint, n bigint"))
+                 .mapInArrow(_compare(threshold), "a bigint, b bigint, n bigint"))
         found = scratch.table(found, "found")
     else:
         found = rows.sparkSession.createDataFrame([], "a bigint, b bigint, n bigint")
     comp = components(found.where("b IS NOT NULL").select("a", "b"), scratch)
+    comp = comp.join(reps.select(F.col("node").alias("component"), F.col("id").alias("component_id")), "component").drop("component")
     links = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     classes = scratch.table(
         reps.join(links, "node", "left").join(comp, "node", "left")
-        .select("v", F.col("copies"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("component", "node").alias("component_id")),
+        .select("v", F.col("copies"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("component_id", "id").alias("component_id")),
         "classes")
     # both sides are tables, so AQE can split the copies of a common vector
     linked = able.join(classes, "v").select(
         "vec_id", (F.col("copies") - 1 + F.col("n")).alias("n_links"), "component_id")
     alone = rows.where("v IS NULL").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
-    scratch.drop("vectors", "members", "found")
+    scratch.drop("vectors", "groups", "members", "found")
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

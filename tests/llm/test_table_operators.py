@@ -328,6 +328,19 @@ def test_vectors_against_all_pairs(spark, scratch, monkeypatch, per_cell, block)
     check_vectors(spark, scratch, rows)
 
 
+@pytest.mark.parametrize("per_cell", [1500, 20])
+def test_vectors_of_several_lengths(spark, scratch, monkeypatch, per_cell):
+    """Every length is compared within itself; an id may stand at vectors of two lengths."""
+    monkeypatch.setattr(embed, "PER_CELL", per_cell)
+    by_length = [dense(300, 3), [(k + 150, v) for k, v in dense(280, 4, dim=9)], [(5, [1.0]), (6, [2.0]), (7, [-3.0])]]
+    by_length[1] += [(1000 + k, by_length[1][7][1]) for k in range(10)]
+    df = spark.createDataFrame([(i, v, 0) for rows in by_length for i, v in rows], VECTORS)
+    want = sorted((r for rows in by_length for r in brute_vectors(rows)), key=repr)
+    got = embed.near_duplicates(df, scratch()).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=repr) == want
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got)
+
+
 def test_odd_vectors(spark, scratch):
     one = [1.0] + [0.0] * 15
     rows = [(1, one), (2, one), (2, one), (None, one), (3, None), (4, []), (5, [0.0] * 16), (6, [float("nan")] + one[1:]), (7, [None] + one[1:]),
