@@ -14,13 +14,18 @@ whichever index holds the item.
 A document leaks an item when it holds ``SIMILARITY`` or more of the item's
 five-word shingles, and at least ``PART`` of those of its question and of its
 answer.  The answer is the last line, or the last sentence of a one-line item;
-its shingles are those that end in it.
+its shingles are those that end in it.  A text may have words between the two
+("Answer:"): where the question's last shingle and the answer's first (all its
+words, if fewer than five) both stand in it, the shingles that run over the
+border count as held.  Their words do stand there, so the thresholds hold.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -74,13 +79,15 @@ class Index:
                       key=lambda x: (len(x[1]), x[0] is None, x[0] or 0, x[1]))
         self.ids = [i for i, _, _ in kept]
         self.words = [w for _, w, _ in kept]
-        self.parts = []
+        self.parts, self.border = [], []
         for _, w, q in kept:
             s = shingles(w)
             first_end = min(SHINGLE, len(w))
             question = {x for k, x in enumerate(s) if k + first_end <= q}
             answer = {x for k, x in enumerate(s) if k + first_end > q}
             self.parts.append((set(s), question, answer))
+            # question's last shingle, answer's first, and those between; a shorter question has no shingle of its own
+            self.border.append((s[q - SHINGLE], tuple(w[q:q + SHINGLE]), set(s[q - SHINGLE + 1:q])) if SHINGLE <= q < len(w) else None)
         n, df = len(kept), Counter(t for w in self.words for t in set(w))
         mean = sum(map(len, self.words)) / max(1, n)
         self.terms = {t: k for k, t in enumerate(sorted(df))}
@@ -123,7 +130,7 @@ class Index:
         self.post_item = np.array([k for _, k, _ in posted], dtype=np.int64)
         self.post_impact = np.array([x for _, _, x in posted])
         by_width: dict[int, list[list[int]]] = {}
-        for x in {x for parts in self.parts for x in parts[0]}:
+        for x in {x for parts in self.parts for x in parts[0]} | {b[1] for b in self.border if b}:
             by_width.setdefault(len(x), []).append([self.terms[t] for t in x])
         self.hashes = {width: np.unique(mixed(np.array(x, dtype=np.int64), width)) for width, x in by_width.items()}
 
@@ -154,8 +161,13 @@ class Index:
         hit = known[np.isin(mixed(windows[known], width), self.hashes[width])]
         return {tuple(w[i:i + width]) for i in hit.tolist()}
 
-    def verify(self, own: set[tuple[str, ...]], k: int) -> tuple[float, float, float] | None:
-        """Overlaps of item ``k`` with a text's shingles, or None if it does not leak."""
+    def verify(self, held: Callable[[int], set], k: int) -> tuple[float, float, float] | None:
+        """Overlaps of item ``k`` with a text's shingles of each width, or None if it does not leak."""
+        own = held(min(SHINGLE, len(self.words[k])))
+        if self.border[k]:
+            last, first, between = self.border[k]
+            if last in own and first in held(len(first)):
+                own = own | between
         whole, question, answer = ((len(own & s) / len(s) if s else 1.0) for s in self.parts[k])
         return (whole, question, answer) if whole >= SIMILARITY and min(question, answer) >= PART else None
 
@@ -178,14 +190,12 @@ class Index:
             blocks.setdefault(key // self.blocks, []).append(key % self.blocks)
         out = []
         for doc, passed in sorted(blocks.items()):
-            score, own = self.scores(all_terms[doc]), {}
+            score = self.scores(all_terms[doc])
+            held = cache(partial(self.held, all_words[doc], all_terms[doc]))
             items = (np.array(passed)[:, None] * BLOCK + np.arange(BLOCK)).ravel()
             items = items[items < len(self.ids)]
             for k in items[score[items] >= self.threshold[items]].tolist():
-                width = min(SHINGLE, len(self.words[k]))
-                if width not in own:
-                    own[width] = self.held(all_words[doc], all_terms[doc], width)
-                found = self.verify(own[width], k) if own[width] else None
+                found = self.verify(held, k)
                 if found:
                     out.append((doc, k, float(score[k]), *found))
         return out
