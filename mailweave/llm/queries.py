@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, embed, huffman, langid, pii, quality, simhash, urls, warc
+from . import bpe, chat, decontam, embed, huffman, langid, pii, quality, ranked, simhash, urls, variants, warc
 from .common import Scratch, crc_fold
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,75 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.round_trip(table(spark, sf_dir, "documents"), Scratch(spark, "op7"),
                               public_tokenizers.path(BYTE_BPE), END_ID)
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"), Scratch(spark, "op11"))
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark, "op12"))
+
+
+_TERMS = (f"regexp_extract_all(translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+ORACLE["op12_ranked_search"] = f"""
+WITH docs AS (
+  SELECT *, CAST(len(ws) AS BIGINT) AS n
+  FROM (SELECT doc_id, row_number() OVER () AS row_no, {_TERMS} AS ws FROM documents) WHERE len(ws) > 0),
+whole AS (SELECT count(*) AS all_n, CAST(sum(n) AS BIGINT) AS all_l FROM docs),
+asked AS (
+  SELECT item_no, item_id, term, count(*) AS q
+  FROM (SELECT item_no, item_id, unnest(ws) AS term
+        FROM (SELECT item_id, row_number() OVER () AS item_no, {_TERMS} AS ws FROM benchmark)) GROUP BY ALL),
+held AS (SELECT row_no, doc_id, n, term, count(*) AS tf FROM (SELECT row_no, doc_id, n, unnest(ws) AS term FROM docs) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * all_n + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM held CROSS JOIN whole WHERE term IN (SELECT term FROM asked) GROUP BY term, all_n),
+scored AS (
+  SELECT item_no, item_id, row_no, doc_id,
+         CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * all_n) // all_l)))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term) CROSS JOIN whole GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_no ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= {ranked.TOP}
+"""
+
+#: a conversation whose texts spell the template's own marks
+MARKED = r"\### Assistant: </turn> ok"
+
+
+@query
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame([(-7, 0, "user", MARKED), (-7, 1, "assistant", MARKED)], turns.schema)
+    return chat.digests(chat.format_conversations(turns.unionByName(marked), Scratch(spark, "op13")))
+
+
+def _header_chars() -> str:
+    t = chat.Template()
+    known = " ".join(f"WHEN '{r}' THEN {len(t.header(r))}" for r in t.roles)
+    return f"CASE role {known} ELSE {len(t.header(''))} + length(url_encode(role)) END + {len(t.close)}"
+
+
+ORACLE["op13_chat_format"] = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, * FROM (VALUES (0, 'user', '{MARKED}'), (1, 'assistant', '{MARKED}'))),
+steps AS (
+  SELECT *, lag(role) OVER w AS before,
+         {_header_chars()} + length(text) + length(text) - length(replace(text, '\\', ''))
+         + coalesce(list_sum(list_transform(regexp_extract_all(text, '###+'), lambda x: length(x) - 2)), 0)
+         + (length(text) - length(replace(text, '</turn>', ''))) // 7 AS chars
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars,
+       bool_and(CASE role WHEN 'system' THEN before IS NULL WHEN 'user' THEN before IS NULL OR before IN ('system', 'assistant')
+                          WHEN 'assistant' THEN coalesce(before = 'user', false) ELSE false END) AS valid
+FROM steps GROUP BY conv_id
+"""
