@@ -7,10 +7,12 @@ prefix bigram.  Two bigrams of the prefix that do not overlap are its pivots,
 chosen by dynamic programming for the least total frequency; one edit leaves
 one of them whole.  Hence of two near words the one whose prefix ends at the
 rarer rank has a pivot in the prefix of the other, and only such pairs meet.
-They meet on (bigram, position, length): an edit moves a bigram by at most one
-place, and only together with the length, so a pivot asks five such keys.
-The pairs that meet are verified inside the join by their edit distance; a
-failing pair is never written anywhere.
+They meet on (bigram, position, length, a hash of what is left or of what is
+right of the bigram): the edit lies on one side of the pivot and leaves the
+other as it is, and it moves the bigram by at most one place, and only together
+with the length.  So a pivot asks six such keys, and a bigram that many words
+share makes no large group.  The pairs that meet are verified inside the join
+by their edit distance; a failing pair is never written anywhere.
 
 Words are letters ``a-z`` and U+00C0 to U+00FF, so there are at most 90 x 90
 bigrams: the only table that goes through the driver.
@@ -36,9 +38,12 @@ from .common import Scratch, slices, utf8
 
 RUN = re.compile("[a-zÀ-ÿ]+")
 MIN_LENGTH, MIN_COUNT, RATIO, EVERY = 6, 5, 5, 199
-#: letters of the words, and what (moved by, length by) one edit can do to a bigram it leaves whole
 LETTERS = 26 + 64
-MOVES = [(0, 0), (0, 1), (0, -1), (1, 1), (-1, -1)]
+#: what one edit can do to a bigram it leaves whole: moved by, length by, and the side that stays as it is
+LEFT, RIGHT = 0, 1
+MOVES = [(0, 0, LEFT), (0, 0, RIGHT), (0, 1, LEFT), (0, -1, LEFT), (1, 1, RIGHT), (-1, -1, RIGHT)]
+#: base of the polynomial hash of a word's sides (modulo 2^64; equal hashes are verified)
+BASE = 0x9E3779B97F4A7C15
 PREFIX = 3
 #: counts a task holds before it hands them on; texts above LONG characters are not listed run by run
 HELD, LONG = 200_000, 1 << 23
@@ -85,16 +90,25 @@ def words(docs: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT)
 
 
-def grams(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All bigrams of a batch of words: (row, position, bigram number)."""
+def grams(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """All bigrams of a batch of words: (row, position, bigram number, hash of
+    the letters before it, hash of those after it)."""
     spelt = batch.column("word").to_pylist()
     points = np.frombuffer("".join(spelt).encode("utf-32-le"), dtype="<u4").astype(np.int64)
     letter = np.where(points < 128, points - ord("a"), points - 0xC0 + 26)
     size = np.fromiter(map(len, spelt), np.int64, len(spelt))
+    end = np.cumsum(size)
     row = np.repeat(np.arange(len(spelt)), size)
-    pos = np.arange(len(points)) - np.repeat(np.cumsum(size) - size, size)
-    first = np.flatnonzero(row[:-1] == row[1:]) if len(row) else np.empty(0, np.int64)
-    return row[first], pos[first], letter[first] * LETTERS + letter[first + 1]
+    first = np.flatnonzero(row[:-1] == row[1:])
+    row = row[first]
+    start = (end - size)[row]
+    # sums of (letter + 1) * BASE^place over the whole batch; a difference, moved to place 0, is a side's hash
+    power, back = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(points), b, np.uint64)]))
+                   for b in (BASE, pow(BASE, -1, 1 << 64)))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((letter + 1).astype(np.uint64) * power[:-1])])
+    left = (sums[first] - sums[start]) * back[start]
+    right = (sums[end[row]] - sums[first + 2]) * back[first + 2]
+    return row, first - start, letter[first] * LETTERS + letter[first + 1], left.view(np.int64), right.view(np.int64)
 
 
 def frequencies(vocabulary: DataFrame) -> np.ndarray:
@@ -102,7 +116,8 @@ def frequencies(vocabulary: DataFrame) -> np.ndarray:
     def count(batches):
         total = np.zeros(LETTERS * LETTERS, dtype=np.int64)
         for b in batches:
-            total += np.bincount(grams(b)[2], minlength=len(total))
+            for part in slices(b, "word", 1 << 20):
+                total += np.bincount(grams(part)[2], minlength=len(total))
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total[found])], names=["gram", "n"])
     rows = vocabulary.select("word").mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).collect()
@@ -133,8 +148,8 @@ def pivots(prefix: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     return list(pair)
 
 
-SIGNATURE = ("word string, n bigint, len int, last int, prefix array<struct<gram:int,pos:int>>, "
-             "pivots array<struct<gram:int,pos:int>>")
+_GRAMS = "array<struct<gram:int,pos:int,left:bigint,right:bigint>>"
+SIGNATURE = f"word string, n bigint, len int, last int, prefix {_GRAMS}, pivots {_GRAMS}"
 
 
 def signatures(vocabulary: DataFrame, frequency: np.ndarray) -> DataFrame:
@@ -142,25 +157,28 @@ def signatures(vocabulary: DataFrame, frequency: np.ndarray) -> DataFrame:
     rank = np.empty(len(frequency), dtype=np.int64)
     rank[np.lexsort((np.arange(len(frequency)), frequency))] = np.arange(len(frequency))
 
+    def lists(rows, gram, pos, left, right, count):
+        """The bigrams as one list per word."""
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=count))])
+        grams_ = pa.StructArray.from_arrays([pa.array(gram, pa.int32()), pa.array(pos, pa.int32()), pa.array(left), pa.array(right)],
+                                            names=["gram", "pos", "left", "right"])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), grams_)
+
     def sign(batches):
-        pairs = pa.list_(pa.struct([("gram", pa.int32()), ("pos", pa.int32())]))
         for batch in batches:
             for b in slices(batch, "word", 1 << 20):
-                row, pos, gram = grams(b)
+                row, pos, gram, left, right = grams(b)
                 r = rank[gram]
                 order = np.lexsort((r, row))
-                start = np.searchsorted(row, np.arange(b.num_rows))
-                last = r[order[start + PREFIX - 1]]
+                last = r[order[np.searchsorted(row, np.arange(b.num_rows)) + PREFIX - 1]]
                 inside = np.flatnonzero(r <= last[row])
-                chosen: list[list] = [[] for _ in range(b.num_rows)]
-                for i, p, g, f in zip(row[inside].tolist(), pos[inside].tolist(), r[inside].tolist(),
-                                      frequency[gram[inside]].tolist()):
-                    chosen[i].append((p, g, f))
-                sizes = np.bincount(row, minlength=b.num_rows) + 1
+                held: list[list] = [[] for _ in range(b.num_rows)]
+                for i, p, at, f in zip(row[inside].tolist(), pos[inside].tolist(), inside.tolist(), frequency[gram[inside]].tolist()):
+                    held[i].append((p, at, f))
+                chosen = np.array([at for h in held for _, at, _ in pivots(h)], dtype=np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("word"), b.column("n"), pa.array(sizes, pa.int32()), pa.array(last, pa.int32()),
-                     pa.array([[{"gram": g, "pos": p} for p, g, _ in c] for c in chosen], pairs),
-                     pa.array([[{"gram": g, "pos": p} for p, g, _ in pivots(c)] for c in chosen], pairs)],
+                    [b.column("word"), b.column("n"), pa.array(np.bincount(row, minlength=b.num_rows) + 1, pa.int32()), pa.array(last, pa.int32()),
+                     *(lists(row[k], r[k], pos[k], left[k], right[k], b.num_rows) for k in (inside, chosen))],
                     names=["word", "n", "len", "last", "prefix", "pivots"])
     return vocabulary.mapInArrow(sign, SIGNATURE)
 
@@ -168,15 +186,13 @@ def signatures(vocabulary: DataFrame, frequency: np.ndarray) -> DataFrame:
 def near_words(signed: DataFrame) -> DataFrame:
     """``(a, na, b, nb)``: every two words that one inserted, deleted or
     replaced code point makes equal, once, ``a`` before ``b``."""
-    index = signed.select(F.col("word").alias("r"), F.col("n").alias("rn"), F.col("last").alias("rlast"), "len",
-                          F.inline("prefix"))
-    move = F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.lit(d).alias("d")) for m, d in MOVES]))
+    def key(moved: int, longer: int, side: int):
+        return F.xxhash64("gram", F.col("pos") + F.lit(moved), F.col("len") + F.lit(longer), F.lit(side), "left" if side == LEFT else "right")
+    index = (signed.select(F.col("word").alias("r"), F.col("n").alias("rn"), F.col("last").alias("rlast"), "len", F.inline("prefix"))
+             .select("r", "rn", "rlast", F.explode(F.array(key(0, 0, LEFT), key(0, 0, RIGHT))).alias("key")))
     probe = (signed.select(F.col("word").alias("p"), F.col("n").alias("pn"), F.col("last").alias("plast"), "len", F.inline("pivots"))
-             .select("p", "pn", "plast", "len", "gram", "pos", move.alias("x"))
-             .select("p", "pn", "plast", "gram", (F.col("pos") + F.col("x.m")).alias("pos"), (F.col("len") + F.col("x.d")).alias("len"))
-             .where("pos >= 0"))
-    met = (probe.join(index, ["gram", "pos", "len"])
-           .where((F.col("plast") <= F.col("rlast")) & (F.col("p") != F.col("r")))
+             .select("p", "pn", "plast", F.explode(F.array(*[key(*m) for m in MOVES])).alias("key")))
+    met = (probe.join(index, "key").where((F.col("plast") <= F.col("rlast")) & (F.col("p") != F.col("r")))
            .where(F.levenshtein("p", "r", 1) == 1))
     first = F.col("p") < F.col("r")
     return met.select(F.when(first, F.col("p")).otherwise(F.col("r")).alias("a"), F.when(first, F.col("pn")).otherwise(F.col("rn")).alias("na"),

@@ -297,3 +297,15 @@ def test_templates_that_cannot_be_read_back_are_refused():
     for kw in ({"close": "</t></t>"}, {"open": "#"}, {"close": " \\x"}, {"roles": {"a": chat.Role("x: y", True, (None,))}}):
         with pytest.raises(ValueError):
             chat.Template(**kw)
+
+
+def test_sides_hash_alike_wherever_a_word_stands():
+    import pyarrow as pa
+    rng = random.Random(8)
+    spelt = ["".join(rng.choice("abéÿ") for _ in range(rng.randrange(6, 90))) for _ in range(400)]
+    row, pos, _, left, right = variants.grams(pa.record_batch({"word": pa.array(spelt)}))
+    sides = {}
+    for r, p, a, b in zip(row.tolist(), pos.tolist(), left.tolist(), right.tolist()):
+        for side, h in ((spelt[r][:p], a), (spelt[r][p + 2:], b)):
+            assert sides.setdefault(side, h) == h
+    assert len(set(sides.values())) == len(sides)
