@@ -2,7 +2,7 @@
 
 Plan of one round (``streaming.rounds.extract_round``)::
 
-    candidates (new keys + retry log) or all keys
+    candidates (new and unresolved keys) or all keys
       --anti(results)--anti(quarantine), both cut to the candidates' ranges-->
       pending keys --semi-join--> pending documents
       --prompt_assemble (concat with a literal)-->
@@ -34,7 +34,7 @@ from ..functions import text
 from ..functions.frontmatter import front_matter_json
 from ..functions.prompt import PROMPT_TEXT
 from ..schemas import ATTEMPTS, KEYS, NEWS_ITEM
-from .joins import anti_join, anti_join_recent, bounded_broadcast
+from .joins import anti_join, anti_join_recent
 from .numbering import global_positions
 
 # Fixed values of the extraction stage.
@@ -58,18 +58,14 @@ def pending_docs(docs: DataFrame, results: DataFrame, quarantine: DataFrame | No
     archive.
     """
     if candidates is None:
-        # keys-only anti-joins, then the wide rows (body, html) by a semi-join:
-        # map-side whenever the pending set is within the broadcast bound
+        # keys-only anti-joins on one partitioning, then the wide rows (body, html) by a semi-join that
+        # adaptive execution turns map-side where the pending keys turn out to be few; no job runs here
         pk = anti_join(docs.select(*keys), results, keys)
         if quarantine is not None:
             pk = anti_join(pk, quarantine, keys)
-        # materialised once (keys only): the size check and the join read it
-        from ..session import shared_dir
-        shared_dir(docs.sparkSession)
-        pk = pk.checkpoint(eager=True)
-        return docs.join(bounded_broadcast(pk), keys, "left_semi")
+        return docs.join(pk, keys, "left_semi")
     cand = candidates.select(*keys).distinct()
-    p = docs.join(bounded_broadcast(cand), keys, "left_semi")
+    p = docs.join(cand, keys, "left_semi")
     p = anti_join_recent(p, results, keys, cand)
     return p if quarantine is None else anti_join_recent(p, quarantine, keys, cand)
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import mime, text
 from ..schemas import KEYS, PARSED
-from .joins import anti_join, anti_join_recent, bounded_broadcast, within_ranges
+from .joins import anti_join, anti_join_recent, within_ranges
 
 RAW_COLS = ["account", "mailbox", "uid", "raw", "size", "labels", "thread_id"]
 
@@ -59,16 +59,37 @@ def invalid_records(raw: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # incremental selection (#10, #11, #4, #5)
 # ---------------------------------------------------------------------------
-def high_water_filter(df: DataFrame, state: DataFrame | None, reset: bool = False) -> DataFrame:
+#: mailboxes whose marks are written into the scan's filter; more are joined
+MAX_LITERAL_MARKS = 200
+
+
+def above_marks(marks: dict[tuple[str, str], int]) -> Column:
+    """``uid > mark`` per mailbox as one predicate of literals, which Parquet
+    scans evaluate on their statistics; unknown mailboxes have the mark 0."""
+    uid, least = F.col("uid"), min(marks.values(), default=0)
+    here = [((F.col("account").eqNullSafe(F.lit(a))) & (F.col("mailbox").eqNullSafe(F.lit(m))), mark) for (a, m), mark in marks.items()]
+    other = uid > 0
+    above = F.lit(False)
+    for same, mark in here:
+        other = other & ~same
+        above = above | (same & (uid > mark))
+    # the first part holds for every row that the second lets through, and prunes by itself
+    return (uid > min(least, 0)) & (above | other)
+
+
+def high_water_filter(df: DataFrame, state: DataFrame | dict[tuple[str, str], int] | None, reset: bool = False) -> DataFrame:
     """Rows with ``uid > last_uid`` of their mailbox; unknown mailbox -> 0.
 
-    ``state`` has one row per mailbox; it is broadcast when its row count is
-    within the bound, so the filter is map-side and the (possibly skewed)
-    message table is never shuffled for it.
+    Marks given as a dict become literal ranges inside the scan
+    (``PushedFilters``), so files and row groups below the marks are not read.
+    A state table has one row per mailbox and is joined; the planner chooses
+    how, and no job runs while the plan is built.
     """
     if reset or state is None:
         return df.where(F.col("uid") > 0)
-    marks = bounded_broadcast(state.select("account", "mailbox", F.col("last_uid").cast("bigint").alias("_mark")))
+    if isinstance(state, dict):
+        return df.where(above_marks(state))
+    marks = state.select("account", "mailbox", F.col("last_uid").cast("bigint").alias("_mark"))
     return (df.join(marks, ["account", "mailbox"], "left")
             .where(F.col("uid") > F.coalesce(F.col("_mark"), F.lit(0)))
             .drop("_mark"))

@@ -37,24 +37,31 @@ def anti_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 
 GROUP = ["account", "mailbox"]
+#: rows of a range table, at most: what is broadcast has this bound whatever the number of mailboxes
+SLOTS = 4096
+
+
+def _slot(df: DataFrame, group: list[str]) -> Column:
+    return F.pmod(F.hash(*[df[g] for g in group]), F.lit(SLOTS))
 
 
 def key_ranges(probe: DataFrame, group: list[str] = GROUP, key: str = "uid") -> DataFrame:
-    """[min, max] of ``key`` per group: one row per mailbox of ``probe``."""
-    return probe.groupBy(*group).agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
+    """[min, max] of ``key`` over the groups of a slot (mailboxes dealt to
+    ``SLOTS`` slots by hash): at most ``SLOTS`` rows."""
+    return probe.groupBy(_slot(probe, group).alias("_slot")).agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
 
 
 def within_ranges(existing: DataFrame, probe: DataFrame, group: list[str] = GROUP, key: str = "uid") -> DataFrame:
-    """Rows of ``existing`` whose key lies inside the key range of their group
-    in ``probe`` - the only rows a keyed insert of ``probe`` can collide with.
+    """A part of ``existing`` that holds every row whose (group, key) is among
+    those of ``probe``: the rows inside the key range of their group's slot.
 
-    The range table (one row per mailbox) is broadcast behind the row bound,
-    so the cut is map-side; with ``existing`` partitioned by mailbox the
-    broadcast also drives dynamic partition pruning of its scan.  A big
-    archive then meets only its recent tail in the shuffle that follows.
+    A cut, not a join: what passes still has to be matched by key.  The range
+    table has ``SLOTS`` rows at most, so it is broadcast as it is, and the cut
+    is map-side; no job runs while the plan is built.  A big archive then meets
+    only its recent tail in the shuffle that follows.
     """
-    r = bounded_broadcast(key_ranges(probe, group, key))
-    cond = [existing[g] == r[g] for g in group] + [existing[key] >= r["_lo"], existing[key] <= r["_hi"]]
+    r = F.broadcast(key_ranges(probe, group, key))
+    cond = [_slot(existing, group) == r["_slot"], existing[key] >= r["_lo"], existing[key] <= r["_hi"]]
     return existing.join(r, cond, "left_semi")
 
 

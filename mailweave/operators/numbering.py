@@ -18,15 +18,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast
-
 RANGE_BITS = 17      # at most 131,072 rows per (group, range) window partition
 
 
 def rank_in_group(df: DataFrame, group_cols: list[str], key: str, bits: int = RANGE_BITS,
-                  descending: bool = False, rank_col: str = "rank") -> DataFrame:
+                  descending: bool = False, rank_col: str = "rank", newest: int | None = None) -> DataFrame:
     """Exact 1-based rank of ``key`` within ``group_cols`` (key unique per group).
 
+    With ``newest`` only the ranges that can hold the last ``newest`` rows of a
+    group are ranked: those with fewer rows than that in the ranges after them.
+    At most ``newest`` rows and one range per group enter the windows then.
+
     Shuffles: one partial-aggregated count, one small window over the count
     table, one join + window that share the same hash partitioning
     ``(group, range)`` - a hot group is spread over many ranges.
@@ -38,8 +40,11 @@ def rank_in_group(df: DataFrame, group_cols: list[str], key: str, bits: int = RA
         *group_cols, "_r",
         F.coalesce(F.sum("_n").over(g.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         .alias("_off"),
-        F.sum("_n").over(g).alias("_total"),
+        F.sum("_n").over(g).alias("_total"), "_n",
     )
+    if newest is not None:
+        offsets = offsets.where(F.col("_total") - F.col("_off") - F.col("_n") < newest)
+    offsets = offsets.drop("_n")
     j = df.withColumn("_r", rng).join(offsets, [*group_cols, "_r"])
     local = F.row_number().over(Window.partitionBy(*group_cols, "_r").orderBy(F.col(key)))
     asc = F.col("_off") + local
@@ -55,7 +60,7 @@ def newest_n(df: DataFrame, n: int | None, group_cols: list[str] | None = None,
     if not group_cols:
         # global top-n: TakeOrderedAndProject keeps n rows per task, then n
         return df.orderBy(F.col(key).desc()).limit(n)
-    return rank_in_group(df, group_cols, key, descending=True, rank_col="_rk").where(F.col("_rk") <= n).drop("_rk")
+    return rank_in_group(df, group_cols, key, descending=True, rank_col="_rk", newest=n).where(F.col("_rk") <= n).drop("_rk")
 
 
 def batch_assign(df: DataFrame, size: int, group_cols: list[str], key: str = "uid") -> DataFrame:
@@ -87,6 +92,6 @@ def global_positions(df: DataFrame, order: list[Column], num_partitions: int | N
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offs = counts.select("_pid", F.coalesce(
         F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    out = tagged.join(bounded_broadcast(offs), "_pid")
+    out = tagged.join(F.broadcast(offs), "_pid")          # one row per partition
     return out.withColumn(pos_col, (F.col("_off") + F.col("_idx") + 1).cast("bigint")).drop(
         "_pid", "_idx", "_off", *knames)

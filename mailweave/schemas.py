@@ -37,3 +37,4 @@ NEWS_ITEMS = (
 )
 QUARANTINE = "account string, mailbox string, uid bigint, error string"
 FAILURES = "account string, mailbox string, uid bigint, stage string, error string"
+LEDGER = "file string, attempts int, error string"

@@ -1,11 +1,9 @@
-"""Table sources and sinks: landed raw messages, document files, the
-document / result / state tables (#1, #3, #4, #5, #6, #9).
-
-Tables are Parquet folders partitioned by ``(account, mailbox)`` so that a
-per-mailbox filter prunes whole folders.  Writers never overwrite a path that
-the same plan reads: appends are keyed inserts (anti-join first), state is an
-append-only log folded with ``max`` on read, and full replacement goes through
-dynamic partition overwrite of the touched partitions only.
+"""Sources, and sinks over plain folders: landed raw messages, document files,
+keyed inserts and replacements (#1, #3, #4, #5, #6, #9).
+
+Plain tables are Parquet folders partitioned by ``(account, mailbox)`` so that
+a per-mailbox filter prunes whole folders.  Writers never overwrite a path that
+the same plan reads.  The tables of the rounds are snapshots (``snapshots``).
 """
 
 from __future__ import annotations
@@ -14,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ingest import normalize_records
-from ..operators.joins import anti_join, bounded_broadcast
+from ..operators.joins import anti_join
 from ..schemas import KEYS, RAW_MESSAGES
 from ..session import delete_path, hadoop_path, scratch_path
 
@@ -85,35 +83,6 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if path_exists(spark, f"{path}/{n}/_SUCCESS"))
 
 
-def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A table folder, or an empty table with ``schema`` when it does not exist yet.
-    Where a compaction was cut off between its two renames, the old folder counts."""
-    if not path_exists(spark, path):
-        if not path_exists(spark, path + OLD):
-            return spark.createDataFrame([], schema)
-        path += OLD
-    names = spark.createDataFrame([], schema).columns
-    return spark.read.schema(schema).parquet(path).select(*names)
-
-
-OLD = ".before-compaction"
-
-
-def replace_folder(spark: SparkSession, staged: str, path: str) -> None:
-    """Put a complete folder in the place of ``path`` by renames: at any moment
-    one complete folder is there, under ``path`` or its ``OLD`` name."""
-    fs, new = hadoop_path(spark, staged)
-    _, at = hadoop_path(spark, path)
-    _, old = hadoop_path(spark, path + OLD)
-    if fs.exists(at):
-        if fs.exists(old):
-            fs.delete(old, True)
-        fs.rename(at, old)
-    if not fs.rename(new, at):
-        raise OSError(f"{staged} could not be moved to {path}")
-    fs.delete(old, True)
-
-
 def write_version(df: DataFrame, path: str) -> None:
     """``df`` as the next version of a small table that is replaced as a whole;
     it may read the version before, which goes once the new one is complete."""
@@ -149,17 +118,13 @@ def overwrite_keys(new: DataFrame, existing: DataFrame, path: str, keys: list[st
     touched partitions; the plan never reads the folder it overwrites.
     """
     spark = new.sparkSession
-    touched = bounded_broadcast(new.select(*PARTITION_COLS).distinct())
+    touched = new.select(*PARTITION_COLS).distinct()
     ex = existing.join(touched, PARTITION_COLS, "left_semi")
     merged = new.unionByName(anti_join(ex, new, keys), allowMissingColumns=True)
     staging = scratch_path(spark, "overwrite-staging")
     merged.write.mode("overwrite").partitionBy(*PARTITION_COLS).parquet(staging)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        spark.read.parquet(staging).write.mode("overwrite").partitionBy(*PARTITION_COLS).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*PARTITION_COLS).parquet(path))
     delete_path(spark, staging)
 
 
@@ -207,29 +172,3 @@ def export_markdown(docs: DataFrame, path: str) -> DataFrame:
     base = f"{uri.getScheme()}://{uri.getAuthority() or ''}{uri.getPath()}"
     written = src.mapInPandas(_write_files(base), "name string, path string, bytes bigint")
     return written.checkpoint(eager=True)
-
-
-COMPACT_RANGE_BITS = 20      # one output file per ~1M-uid range of a mailbox
-
-
-def compact_table(spark: SparkSession, path: str, schema: str, partition_cols: list[str] | None = None,
-                  fold=None, key: str = "uid") -> None:
-    """Rewrite a table folder into fewer, larger files (optionally folded).
-
-    Appends of many rounds leave many small files; this reads the table,
-    applies ``fold`` (e.g. the state log's ``max`` per mailbox), writes the
-    result beside the table and puts that folder in its place by renames.  Rows are laid out by (partition, key
-    range), so a hot mailbox becomes several files written by several tasks.
-    Run it between rounds (inside ``foreachBatch``), never beside a writer.
-    """
-    if not path_exists(spark, path):
-        return
-    df = spark.read.schema(schema).parquet(path)
-    if fold is not None:
-        df = fold(df)
-    parts = partition_cols or []
-    spread = [*parts, F.shiftright(F.col(key), COMPACT_RANGE_BITS)] if key in df.columns else parts
-    staging = path + ".compacted"
-    w = (df.repartition(*spread) if spread else df.coalesce(1)).write.mode("overwrite")
-    (w.partitionBy(*parts) if parts else w).parquet(staging)
-    replace_folder(spark, staging, path)

@@ -1,28 +1,33 @@
 """Streaming rounds: ingest, then extract (#38-#41).
 
-``readStream`` over a landing folder of raw-message Parquet files ->
-``foreachBatch`` running one round per micro-batch:
+A file stream over the landing folder finds new files without opening them;
+``foreachBatch`` runs one round per micro-batch, which reads those files as a
+batch plan, so that column pruning and pushed filters reach them:
 
 1. ingest  - one row per key -> insert-if-absent against the document table ->
-   parse -> append documents -> failures -> state marks;
-2. note    - the batch's stored documents join the ``unresolved`` keys, a small
-   table that is replaced as a whole each round;
-3. extract - unresolved documents without a result and not quarantined ->
+   parse -> documents, failures, state marks and the keys still to extract;
+2. extract - unresolved documents without a result and not quarantined ->
    default rule extractor, or a model callable with bounded retries whose
-   completed attempts are never repeated -> results, items, quarantine -> what
-   is still open is the next version of ``unresolved``;
-4. a row per (round, stage) in ``round_log``.
-
-A failed ingest does not stop the extraction of what is stored, and then fails
-the batch, so that the stream reads its files again; every open document is
-looked at in every round.  Sinks are key-idempotent or written per round, and
-the state is a ``max`` fold, so replaying a round after a crash (between any
-two writes) changes nothing.  :func:`run_loop` repeats rounds with the pause
-counted from the end of a round, also when nothing new has landed.
+   completed attempts are never repeated -> results, items, quarantine;
+3. a row per (round, stage) in ``round_log``.
+
+Tables live in a :class:`~mailweave.sources.snapshots.Store`: everything a
+stage writes becomes visible with one commit, or not at all, so a stage that
+is cut off anywhere is simply run again.
+
+A file that cannot be ingested stops nothing: a failed batch is halved until
+the bad files stand alone, the rest is stored, and the bad ones go to
+``ledger``, to be tried again in the rounds that follow; after ``GIVE_UP``
+failures a file becomes a row of ``failures``.  A failed ingest does not stop
+the extraction of what is stored, and every open document is looked at in every
+round.  :func:`run_loop` repeats rounds with the pause counted from the end of
+a round, also when nothing new has landed.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
 import time
 import uuid
 from collections.abc import Callable
@@ -37,11 +42,12 @@ from ..operators import extract as ex
 from ..operators import ingest as ig
 from ..operators import joins
 from ..operators import numbering as nb
+from ..operators import report as rp
 from ..operators import state as st
-from ..operators.report import ROUND_LOG
-from ..schemas import DOCUMENTS_MD, FAILURES, KEYS, NEWS_ITEMS, QUARANTINE, RAW_MESSAGES, RESULTS, STATE
+from ..schemas import DOCUMENTS_MD, FAILURES, KEYS, LEDGER, NEWS_ITEMS, QUARANTINE, RAW_MESSAGES, RESULTS, STATE
 from ..session import scratch_path, shared_dir
 from ..sources import tables as tb
+from ..sources.snapshots import Entry, Store
 
 DEFAULT_INTERVAL_S = 901
 # Files per micro-batch: a first start over a large landing folder drains it
@@ -49,10 +55,20 @@ DEFAULT_INTERVAL_S = 901
 # With a limit all landed files make one batch, since the newest N are chosen
 # among everything that is not processed yet.
 MAX_FILES_PER_TRIGGER = 10_000
+#: failures of a file by itself after which it is given up: first try + 3 retries
+GIVE_UP = 4
+#: tries to split a failed batch in one round; files not told apart by then wait for the next round
+MAX_TRIES = 200
+#: rounds between two compactions
+COMPACT_EVERY = 50
 KEY_SCHEMA = "account string, mailbox string, uid bigint"
 DOCS_SCHEMA = DOCUMENTS_MD + ", html string"
-TABLES = ("documents", "state_log", "failures", "results", "news_items", "quarantine", "round_log", "attempts",
-          "unresolved", "checkpoint", "landing")
+#: stored documents also carry their bucket, a range of uids: what a keyed replacement rewrites
+BUCKET_BITS = 16
+DOCS_STORED, DOCS_PARTITION = DOCS_SCHEMA + ", bucket bigint", ("account", "mailbox", "bucket")
+SCHEMAS = {"documents": DOCS_SCHEMA, "state_log": STATE, "failures": FAILURES, "results": RESULTS, "news_items": NEWS_ITEMS,
+           "quarantine": QUARANTINE, "round_log": rp.ROUND_LOG, "unresolved": KEY_SCHEMA, "ledger": LEDGER}
+FOLDERS = (*SCHEMAS, "attempts", "checkpoint", "landing")
 
 
 @dataclass
@@ -61,7 +77,7 @@ class Layout:
     base: str
 
     def __getattr__(self, name):
-        if name in TABLES:
+        if name in FOLDERS:
             return f"{self.base}/{name}"
         raise AttributeError(name)
 
@@ -73,21 +89,42 @@ class Extracted(NamedTuple):
     blocked: int
 
 
-def _log(spark, lay: Layout, run: str, rnd: int, stage: str, t0: float, code: int, rows: int, failed: int = 0,
-         blocked: int = 0, error: str | None = None) -> None:
-    row = [(int(rnd), stage, None, int(code), float(time.time() - t0), int(rows), int(failed), int(blocked), error)]
-    df = spark.createDataFrame(row, ROUND_LOG).withColumn("started_at", F.timestamp_seconds(F.lit(t0)))
-    # one folder per round and stage: a replayed round replaces its row
-    df.write.mode("overwrite").parquet(f"{lay.round_log}/run={run}-{stage}")
+class Ingested(tuple):
+    """(messages parsed, keys of the batch that are stored now), and the run's
+    ``counts``: new, skipped, failed, processed."""
 
+    def __new__(cls, rows: int, stored: DataFrame, counts: dict[str, int]):
+        self = super().__new__(cls, (rows, stored))
+        self.counts = counts
+        return self
 
-def _failures(rows: DataFrame, lay: Layout, run: str, stage: str) -> None:
-    rows.write.mode("overwrite").parquet(f"{lay.failures}/run={run}-{stage}")
+
+def store(spark: SparkSession, lay: Layout) -> Store:
+    return Store(spark, lay.base)
+
+
+def read(spark: SparkSession, lay: Layout, table: str) -> DataFrame:
+    """A stored table, as of its last commit."""
+    if table == "documents":
+        return store(spark, lay).read(table, DOCS_STORED, DOCS_PARTITION).drop("bucket")
+    return store(spark, lay).read(table, SCHEMAS[table])
+
+
+def _bucketed(docs: DataFrame) -> DataFrame:
+    """Documents as they are stored: few files of even size, a large mailbox in several of them."""
+    return docs.withColumn("bucket", F.shiftright(F.col("uid"), BUCKET_BITS)).hint("rebalance", *map(F.col, DOCS_PARTITION))
+
+
+def _marks(state: DataFrame):
+    """The state for :func:`~mailweave.operators.ingest.high_water_filter`:
+    literal marks while they are few, else the table."""
+    rows = state.select("account", "mailbox", "last_uid").limit(ig.MAX_LITERAL_MARKS + 1).collect()
+    return state if len(rows) > ig.MAX_LITERAL_MARKS else {(r.account, r.mailbox): r.last_uid for r in rows}
 
 
 def ingest_round(batch: DataFrame, lay: Layout, strict_high_water: bool = False, limit: int | None = None,
-                 redownload: bool = False, full_rescan: bool = False, run: str | None = None) -> tuple[int, DataFrame]:
-    """One ingest round over a micro-batch of raw messages.
+                 redownload: bool = False, full_rescan: bool = False, run: str | None = None) -> Ingested:
+    """One ingest round over raw messages, visible with its one commit.
 
     ``limit`` keeps only the newest ``limit`` messages per mailbox (the mark
     still advances past the others, so they are never fetched later).
@@ -99,49 +136,55 @@ def ingest_round(batch: DataFrame, lay: Layout, strict_high_water: bool = False,
     """
     spark = batch.sparkSession
     shared_dir(spark)
-    run = run or uuid.uuid4().hex
+    tables, run = store(spark, lay), run or uuid.uuid4().hex
     rec = ig.normalize_records(batch)
     keys = rec.select(*KEYS)               # key columns only: never reads the raw bytes
-    cand = joins.dedupe_by_key(rec, KEYS, ig.is_valid(rec), [F.col("size"), F.md5("raw")])
-    state = st.fold(tb.read_table(spark, lay.state_log, STATE))
+    old_state = st.fold(tables.read("state_log", STATE))
     chosen = keys.where(F.col("uid") != 0).distinct()
     if strict_high_water and not (full_rescan or redownload):
-        chosen = ig.high_water_filter(chosen, state)
-        cand = ig.high_water_filter(cand, state)
+        marks = _marks(old_state)
+        chosen, rec = ig.high_water_filter(chosen, marks), ig.high_water_filter(rec, marks)
+    cand = joins.dedupe_by_key(rec, KEYS, ig.is_valid(rec), [F.col("size"), F.md5("raw")])
     if limit:
         # ranks are taken of keys; the wide rows follow by a semi-join
         cand = cand.join(joins.bounded_broadcast(nb.newest_n(chosen, limit, ["account", "mailbox"])), KEYS, "left_semi")
-    existing = tb.read_table(spark, lay.documents, DOCS_SCHEMA)
+    existing = read(spark, lay, "documents")
     # the batch's keys bound the part of the archive to compare with
     new = cand if redownload else ig.insert_valid_if_absent(cand, existing, keys)
     # Invalid records (uid 0, empty message) ride along and come out of the
-    # parse stage flagged, so the raw column is read exactly once.
-    # Reliable checkpoint, not persist: appending to the documents folder
-    # makes Spark refresh every cached plan that reads it, which would
-    # recompute this round against the new listing.  The checkpoint also
-    # means a lost executor never re-runs the parse.
+    # parse stage flagged, so the raw column is read exactly once.  Reliable
+    # checkpoint, not persist: a lost executor never re-runs the parse.
     parsed = ig.parse_messages(new).checkpoint(eager=True)
-    docs = ig.to_documents(parsed, keep_html=True)
+    docs = _bucketed(ig.to_documents(parsed, keep_html=True))
+    failures = ig.parse_failures(parsed)
+    # what became of every listed message
+    before = joins.within_ranges(existing.select(*KEYS), keys)
+    written = parsed.where(F.col("parse_error").isNull()).select(*KEYS)
+    status = rp.run_reconcile(keys.where(F.col("uid") != 0), before, before.unionByName(written)).checkpoint(eager=True)
+    total = rp.ingest_summary(status, failures).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in rp.COUNTS]).first()
+    stored = status.where("status <> 'missing'").select(*KEYS)
+
+    add: dict[str, list[Entry]] = {"failures": [tables.stage("failures", failures, tag=f"{run}-ingest")]} if total.failed else {}
+    replace: dict[str, list[Entry]] = {}
     if redownload:
-        tb.overwrite_keys(docs, existing, lay.documents)
+        replace["documents"] = tables.stage_merge("documents", docs, DOCS_STORED, KEYS, DOCS_PARTITION)
     else:
-        # few files of even size, a large mailbox in several of them
-        docs.hint("rebalance", *map(F.col, tb.PARTITION_COLS)).write.mode("append").partitionBy(*tb.PARTITION_COLS).parquet(lay.documents)
-    _failures(ig.parse_failures(parsed), lay, run, "ingest")
-    # state last: a crash before this line replays harmlessly.  Every fetched
-    # record counts toward the mark, as in the reference.
-    tb.append_state(st.advance(None, keys.where(F.col("uid") > 0)), lay.state_log)
-    stored = joins.within_ranges(tb.read_table(spark, lay.documents, DOCS_SCHEMA).select(*KEYS), keys)
-    return parsed.where(F.col("parse_error").isNull()).count(), keys.distinct().join(stored, KEYS, "left_semi")
+        add["documents"] = [tables.stage("documents", docs, DOCS_PARTITION)]
+    # every fetched record counts toward the mark, as in the reference
+    replace["state_log"] = [tables.stage("state_log", st.advance(old_state, keys.where(F.col("uid") > 0)).coalesce(1))]
+    replace["unresolved"] = [tables.stage("unresolved", _unresolved(spark, lay).unionByName(stored).distinct())]
+    tables.commit(add, replace)
+    counts = {c: total[c] for c in rp.COUNTS}
+    return Ingested(written.count(), stored, counts)
 
 
-def note_candidates(spark: SparkSession, lay: Layout, candidates: DataFrame) -> None:
-    """Add keys to the unresolved ones before anything can fail on them.  The
-    first time, everything stored counts."""
-    known = tb.read_version(spark, lay.unresolved, KEY_SCHEMA)
-    if known is None:
-        known = tb.read_table(spark, lay.documents, DOCS_SCHEMA).select(*KEYS)
-    tb.write_version(known.unionByName(candidates.select(*KEYS)).distinct(), lay.unresolved)
+def _unresolved(spark: SparkSession, lay: Layout) -> DataFrame:
+    """Keys of stored documents that have neither a result nor a quarantine
+    row; where no round has noted them yet, everything stored counts."""
+    tables = store(spark, lay)
+    if "unresolved" in tables.manifest().tables:
+        return tables.read("unresolved", KEY_SCHEMA)
+    return read(spark, lay, "documents").select(*KEYS)
 
 
 def _attempts(spark: SparkSession, lay: Layout, rnd: str, pending: DataFrame, model, wait_s: float,
@@ -150,106 +193,191 @@ def _attempts(spark: SparkSession, lay: Layout, rnd: str, pending: DataFrame, mo
     documents without a completed attempt in it."""
     folder = f"{lay.attempts}/round={rnd}"
     tries = [spark.read.schema(ex.ATTEMPTS).parquet(f"{folder}/{name}") for name in tb.folders(spark, folder)]
+    todo = pending
     for t in tries:
-        pending = joins.anti_join_recent(pending, t, KEYS)
-    prompts = pending.select(*KEYS, ex.prompt_assemble(pending, ex.document_text(), style).alias("prompt"))
+        todo = joins.anti_join_recent(todo, t, KEYS)
+    prompts = todo.select(*KEYS, ex.prompt_assemble(todo, ex.document_text(), style).alias("prompt"))
     path = f"{folder}/try={uuid.uuid4().hex[:12]}"
     ex.batch_extract(prompts, model, wait_s=wait_s, concurrency=concurrency, timeout_s=timeout_s).write.parquet(path)
     out = spark.read.schema(ex.ATTEMPTS).parquet(path)
     for t in tries:
         out = out.unionByName(t)
-    return out
+    return out.join(pending.select(*KEYS), KEYS, "left_semi") if tries else out
 
 
-def extract_round(spark: SparkSession, lay: Layout, rnd: int | str,
+def extract_round(spark: SparkSession, lay: Layout, rnd: int | str | None = None,
                   model: Callable[[str], str] | None = None, wait_s: float = ex.RETRY_WAIT_S,
                   candidates: DataFrame | None = None, limit: int | None = None, concurrency: int | None = None,
                   style: str = "api", timeout_s: float | None = None) -> Extracted:
-    """One extraction round.
+    """One extraction round, visible with its one commit.
 
     It looks at the unresolved keys, with ``candidates`` added to them;
-    without candidates at every stored document.  ``limit`` processes only the
-    last ``limit`` pending documents per mailbox in processing (uid) order;
-    the rest stay unresolved.  ``concurrency`` bounds the simultaneous model
-    calls, ``style`` chooses the prompt form, ``timeout_s`` bounds one call.
+    without candidates at every stored document.  ``rnd`` names the round:
+    under the same name completed attempts are not repeated (by default every
+    call is a round of its own).  ``limit`` processes only the last ``limit``
+    pending documents per mailbox in processing (uid) order; the rest stay
+    unresolved.  ``concurrency`` bounds the simultaneous model calls, ``style``
+    chooses the prompt form, ``timeout_s`` bounds one call.
     """
     shared_dir(spark)
-    docs = tb.read_table(spark, lay.documents, DOCS_SCHEMA)
-    results = tb.read_table(spark, lay.results, RESULTS)
-    quarantine = tb.read_table(spark, lay.quarantine, QUARANTINE)
+    tables, rnd = store(spark, lay), uuid.uuid4().hex if rnd is None else str(rnd)
+    docs, results, quarantine = (read(spark, lay, t) for t in ("documents", "results", "quarantine"))
     keys = docs.select(*KEYS)
     if candidates is not None:
-        note_candidates(spark, lay, candidates)
-        open_ = tb.read_version(spark, lay.unresolved, KEY_SCHEMA)
+        open_ = _unresolved(spark, lay).unionByName(candidates.select(*KEYS)).distinct()
         keys = joins.within_ranges(keys, open_).join(open_, KEYS, "left_semi")
     keys = joins.anti_join_recent(joins.anti_join_recent(keys, results, KEYS), quarantine, KEYS).checkpoint(eager=True)
     chosen = nb.newest_n(keys, limit, ["account", "mailbox"]) if limit else keys
     pending = docs.join(joins.bounded_broadcast(chosen), KEYS, "left_semi")
+    add: dict[str, list[Entry]] = {}
     if model is None:
-        # one item array per pending document, computed once for both sinks;
-        # checkpointed because the results append refreshes plans reading it
+        # one item array per pending document, computed once for both sinks
         per_doc = pending.select(*KEYS, ig.rule_item_array(F.col("html"), F.col("date_iso"), F.col("from_addr"))
                                  .alias("items")).checkpoint(eager=True)
         items = per_doc.select(*KEYS, F.posexplode("items").alias("pos", "it")).select(
             *KEYS, (F.col("pos") + 1).cast("int").alias("pos"),
             *[F.col(f"it.{c}").alias(c) for c in ("title", "url", "summary", "date", "sender")])
-        # idempotent: a replay after a crash before the results append skips stored items
-        _append_items(spark, lay, items)
         # documents without links still count as processed (an empty list)
-        per_doc.select(*KEYS, F.to_json("items").alias("response"), F.lit(False).alias("repaired"),
-                       F.lit(True).alias("valid_json")).write.mode("append").parquet(lay.results)
+        found = per_doc.select(*KEYS, F.to_json("items").alias("response"), F.lit(False).alias("repaired"),
+                               F.lit(True).alias("valid_json"))
         resolved, done = per_doc.select(*KEYS), Extracted(per_doc.count(), 0, 0)
     else:
-        outcomes = ex.attempt_outcome(_attempts(spark, lay, str(rnd), pending, model, wait_s, concurrency, style, timeout_s))
+        outcomes = ex.attempt_outcome(_attempts(spark, lay, rnd, pending, model, wait_s, concurrency, style, timeout_s))
         outcomes = outcomes.checkpoint(eager=True)
-        # materialised once: the appends below must not change what this round wrote
-        res = ex.new_results(ex.repair(outcomes), results).checkpoint(eager=True)
-        res.write.mode("append").parquet(lay.results)
-        joins.anti_join_recent(ex.quarantine_rows(outcomes), quarantine, KEYS) \
-            .write.mode("append").parquet(lay.quarantine)
-        # items from the *stored* results of this round's answered keys, so a replay
-        # after a crash between the two appends still writes them (once)
-        answered = outcomes.where(F.col("outcome") == "ok").select(*KEYS)
-        stored = tb.read_table(spark, lay.results, RESULTS).join(answered, KEYS, "left_semi")
-        _append_items(spark, lay, ig.item_defaults(ex.news_items(stored), docs))
-        _failures(ex.unusable_items(stored), lay, str(rnd), "extract")
+        found = ex.new_results(ex.repair(outcomes), None).checkpoint(eager=True)
+        items = ig.item_defaults(ex.news_items(found), docs)
+        add["failures"] = [tables.stage("failures", ex.unusable_items(found), tag=f"{rnd}-extract")]
         total = ex.extract_summary(outcomes, []).first()
         done = Extracted(total.ok + total.failed + total.blocked, total.failed, total.blocked)
+        if done.blocked:
+            add["quarantine"] = [tables.stage("quarantine", ex.quarantine_rows(outcomes))]
         # a document that failed has no result and stays unresolved
         resolved = outcomes.where(F.col("outcome") != "failed").select(*KEYS)
-    tb.write_version(joins.anti_join(keys, resolved, KEYS), lay.unresolved)
+    if done.rows:
+        add["results"], add["news_items"] = [tables.stage("results", found)], [tables.stage("news_items", items)]
+    left = tables.stage("unresolved", joins.anti_join(keys, resolved, KEYS))
+    tables.commit(add, {"unresolved": [left]})
     return done
 
 
-def _append_items(spark: SparkSession, lay: Layout, items: DataFrame) -> None:
-    """Append news items of documents that have none stored yet (keyed insert;
-    the stored items are cut to the new items' uid ranges first)."""
-    stored = tb.read_table(spark, lay.news_items, NEWS_ITEMS)
-    joins.anti_join_recent(items, stored, KEYS).write.mode("append").parquet(lay.news_items)
+# ---------------------------------------------------------------------------
+# bad files
+# ---------------------------------------------------------------------------
+def isolate(files: list[str], work: Callable[[list[str]], None], max_tries: int = MAX_TRIES
+            ) -> tuple[dict[str, str], dict[str, str]]:
+    """Run ``work`` over the files, halving what fails: (files that fail by
+    themselves, files that were not told apart after ``max_tries``), each with
+    the error.  All others are done."""
+    bad, untold, tries = {}, {}, 0
+    stack = [files] if files else []
+    while stack:
+        group = stack.pop()
+        tries += 1
+        try:
+            work(group)
+        except Exception as e:
+            error = (str(e) or type(e).__name__)[:2000]
+            if len(group) == 1:
+                bad[group[0]] = error
+            elif tries >= max_tries:
+                untold |= {f: error for f in group}
+            else:
+                half = len(group) // 2
+                stack += [group[half:], group[:half]]
+    return bad, untold
+
+
+def _note_files(spark: SparkSession, lay: Layout, known: dict[str, int], bad: dict[str, str], untold: dict[str, str]) -> None:
+    """The ledger after a round; files given up become failures."""
+    tables = store(spark, lay)
+    if not (known or bad or untold):
+        return
+    tries = {f: known.get(f, 0) + 1 for f in bad}
+    rows = [(f, n, bad[f]) for f, n in tries.items() if n < GIVE_UP] + [(f, known.get(f, 0), e) for f, e in untold.items()]
+    given_up = [f for f, n in tries.items() if n >= GIVE_UP]
+    add = {"failures": [tables.stage("failures", spark.createDataFrame(
+        [(None, None, None, "ingest", f"{f}: {bad[f]}")], FAILURES).coalesce(1), tag=f"file-{hashlib.md5(f.encode()).hexdigest()}")
+        for f in given_up]}
+    ledger = [tables.stage("ledger", spark.createDataFrame(rows, LEDGER).coalesce(1))] if rows else []
+    tables.commit(add, {"ledger": ledger})
+
+
+def _ingest_files(spark: SparkSession, lay: Layout, reader, files: list[str], run: str, limit: int | None, **opts):
+    """Ingest new files and those of the ledger; (rows, counts, error)."""
+    tables = store(spark, lay)
+    known = {r.file: r.attempts for r in read(spark, lay, "ledger").collect()}
+    # a replay reports its failures anew
+    reported = tables.manifest().tables.get("failures", [])
+    kept = [e for e in reported if not (e.tag or "").startswith(f"{run}/")]
+    if len(kept) < len(reported):
+        tables.commit(replace={"failures": kept})
+    done: list[Ingested] = []
+
+    def ingest(group):
+        done.append(ingest_round(reader(spark, group), lay, limit=limit, run=f"{run}/{len(done)}", **opts))
+
+    def probe(group):
+        ig.parse_messages(ig.normalize_records(reader(spark, group))).write.format("noop").mode("overwrite").save()
+    todo = sorted({*files, *known})
+    if limit and todo:
+        # the newest N are chosen among all good files, so the bad ones are found first
+        try:
+            ingest(todo)
+            bad, untold = {}, {}
+        except Exception:
+            bad, untold = isolate(todo, probe)
+            good = [f for f in todo if f not in bad and f not in untold]
+            if len(good) == len(todo):
+                raise
+            if good:
+                ingest(good)
+    else:
+        bad, untold = isolate(todo, ingest)
+    _note_files(spark, lay, known, bad, untold)
+    counts = {c: sum(d.counts[c] for d in done) for c in rp.COUNTS}
+    return sum(d[0] for d in done), counts, next(iter({**bad, **untold}.values()), None)
 
 
+# ---------------------------------------------------------------------------
+# a round
+# ---------------------------------------------------------------------------
 def make_round(lay: Layout, stages=("ingest", "extract"), model=None, strict_high_water: bool = False,
                wait_s: float = ex.RETRY_WAIT_S, ingest_limit: int | None = None, extract_limit: int | None = None,
-               compact_every: int = 0, full_rescan: bool = False, redownload: bool = False,
-               concurrency: int | None = None, style: str = "api", timeout_s: float | None = None):
+               compact_every: int = COMPACT_EVERY, full_rescan: bool = False, redownload: bool = False,
+               concurrency: int | None = None, style: str = "api", timeout_s: float | None = None, reader=None):
     """The function of one round: ``run(batch, batch_id)``, or ``run(None,
-    number, spark)`` for a round without new files."""
+    batch_id, spark)`` for a round without new files.
+
+    ``batch`` holds raw messages, or with ``reader(spark, files)`` the ``path``
+    of files that it reads.  A failed batch of messages is raised again after
+    the second stage has run; bad files are isolated instead.
+    """
+    ingest = {"strict_high_water": strict_high_water, "redownload": redownload, "full_rescan": full_rescan}
+
     def run(batch: DataFrame | None, batch_id: int, spark: SparkSession | None = None) -> None:
         spark = spark or batch.sparkSession
+        shared_dir(spark)
+        tables = store(spark, lay)
         # batch numbers begin anew with a fresh checkpoint, the query's id does not repeat
         query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") if batch is not None else None
-        name = f"{query or 'round'}-{batch_id}"
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+        name = f"{query or 'round'}-{batch_id}" if batch is not None else f"idle-{uuid.uuid4().hex[:12]}"
+        number, log, broken = tables.round_of(name), [], None
+        if compact_every and number > 0 and number % compact_every == 0:
             compact(spark, lay)
-        stored, broken = None, None
-        if "ingest" in stages and batch is not None:
-            t0, n = time.time(), 0
+        if "ingest" in stages and (batch is not None or reader):
+            t0, rows, counts, error = time.time(), 0, dict.fromkeys(rp.COUNTS, 0), None
             try:
-                n, stored = ingest_round(batch, lay, strict_high_water, ingest_limit, redownload, full_rescan, name)
-                note_candidates(spark, lay, stored)
+                if reader:
+                    # paths of one micro-batch, which the stream's own log holds on the driver too
+                    files = [r.path for r in batch.select("path").collect()] if batch is not None else []
+                    rows, counts, error = _ingest_files(spark, lay, reader, files, name, ingest_limit, **ingest)
+                else:
+                    done = ingest_round(batch, lay, limit=ingest_limit, run=name, **ingest)
+                    rows, counts = done[0], done.counts
             except Exception as e:   # the second stage still runs, as in the reference loop
-                broken = e
-            _log(spark, lay, name, batch_id, "ingest", t0, 1 if broken else 0, n, error=broken and str(broken)[:2000])
+                broken, error = e, str(e)[:2000]
+            if batch is not None or rows or error:
+                log.append(_log_row(number, "ingest", t0, 1 if error else 0, rows, counts["failed"], 0, error, counts))
         if "extract" in stages:
             t0, done, error = time.time(), Extracted(0, 0, 0), None
             try:
@@ -257,18 +385,76 @@ def make_round(lay: Layout, stages=("ingest", "extract"), model=None, strict_hig
                                      concurrency, style, timeout_s)
             except Exception as e:   # its documents stay unresolved and are looked at in the next round
                 error = str(e)[:2000]
-            _log(spark, lay, name, batch_id, "extract", t0, 2 if error or done.failed else 0, *done, error=error)
+            log.append(_log_row(number, "extract", t0, 2 if error or done.failed else 0, *done, error))
+        if log:
+            rows = spark.createDataFrame(log, rp.ROUND_LOG).coalesce(1)
+            tables.commit({"round_log": [tables.stage("round_log", rows, tag=name)]}, facts=tables.begun(name))
         if broken:
             raise broken             # the batch is not done: the stream reads its files again
     return run
 
 
+def _log_row(number: int, stage: str, t0: float, code: int, rows: int, failed: int, blocked: int, error: str | None,
+             counts: dict[str, int] | None = None) -> tuple:
+    from datetime import datetime, timezone
+    began = datetime.fromtimestamp(t0, timezone.utc)
+    some = counts or {}
+    return (number, stage, began, code, time.time() - t0, rows, failed, blocked, error,
+            *[some.get(c) for c in ("new", "skipped", "processed")])
+
+
 def compact(spark: SparkSession, lay: Layout) -> None:
-    """Compact the appended tables between two rounds (state log folded)."""
-    tb.compact_table(spark, lay.documents, DOCS_SCHEMA, tb.PARTITION_COLS)
-    for path, schema in ((lay.results, RESULTS), (lay.news_items, NEWS_ITEMS), (lay.quarantine, QUARANTINE)):
-        tb.compact_table(spark, path, schema)
-    tb.compact_table(spark, lay.state_log, STATE, fold=st.fold, key="last_uid")
+    """Join the small data folders of the tables that grow by appends, in one
+    commit, and delete what no kept manifest names."""
+    tables = store(spark, lay)
+    spread = [F.col("account"), F.col("mailbox"), F.shiftright(F.col("uid"), 20)]
+    done = {"documents": tables.stage_compacted("documents", DOCS_STORED, DOCS_PARTITION, [F.col(c) for c in DOCS_PARTITION])}
+    for t in ("results", "news_items", "quarantine", "failures"):
+        done[t] = tables.stage_compacted(t, SCHEMAS[t], (), spread)
+    done["round_log"] = tables.stage_compacted("round_log", rp.ROUND_LOG)
+    found = {t: entries for t, entries in done.items() if entries is not None}
+    if found:
+        tables.commit(replace=found)
+    tables.vacuum()
+
+
+# ---------------------------------------------------------------------------
+# streams of rounds
+# ---------------------------------------------------------------------------
+def _escaped(path: str) -> str:
+    """A path that is not taken for a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def parquet_reader(landing: str):
+    """``reader(spark, files)`` of landed raw-message Parquet files.  Account and
+    mailbox may also stand in the folder names below ``landing``."""
+    root = re.split(r"/[^/]*[\[{*?]", landing)[0]
+
+    def reader(spark: SparkSession, files: list[str]) -> DataFrame:
+        r = spark.read.schema(RAW_MESSAGES)
+        if any("/account=" in f or "/mailbox=" in f for f in files):
+            r = r.option("basePath", root)
+        return r.parquet(*map(_escaped, files))
+    return reader
+
+
+def eml_reader(account: str, mailbox: str):
+    """``reader(spark, files)`` of ``<uid>.eml`` files of one mailbox."""
+    def reader(spark: SparkSession, files: list[str]) -> DataFrame:
+        return tb.eml_records(spark.read.format("binaryFile").load([_escaped(f) for f in files]), account, mailbox)
+    return reader
+
+
+def _files(spark: SparkSession, landing: str, max_files: int, round_opts: dict, glob: str | None = None) -> DataFrame:
+    """The landing folder as a stream of file names; no file is opened."""
+    reader = (spark.readStream.format("binaryFile")
+              .schema("path string, modificationTime timestamp, length bigint, content binary"))
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    if not (round_opts.get("ingest_limit") or round_opts.get("extract_limit")):
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.load(landing).select("path")
 
 
 def _started(stream: DataFrame, lay: Layout, rnd, once: bool, interval_s: int):
@@ -277,68 +463,53 @@ def _started(stream: DataFrame, lay: Layout, rnd, once: bool, interval_s: int):
     return w.start()
 
 
-def _with_files_bound(reader, max_files: int, round_opts: dict):
-    limited = round_opts.get("ingest_limit") or round_opts.get("extract_limit")
-    return reader if limited else reader.option("maxFilesPerTrigger", max_files)
-
-
 def start(spark: SparkSession, landing: str, lay: Layout, once: bool = False,
           interval_s: int = DEFAULT_INTERVAL_S, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER, rnd=None, **round_opts):
     """Start the two-stage stream; ``once`` = rounds over what is landed, then
     stop.  ``round_opts`` are those of :func:`make_round`."""
-    reader = _with_files_bound(spark.readStream.schema(RAW_MESSAGES), max_files_per_trigger, round_opts)
-    return _started(reader.parquet(landing), lay, rnd or make_round(lay, **round_opts), once, interval_s)
+    rnd = rnd or make_round(lay, reader=parquet_reader(landing), **round_opts)
+    return _started(_files(spark, landing, max_files_per_trigger, round_opts), lay, rnd, once, interval_s)
 
 
 def start_eml(spark: SparkSession, landing: str, account: str, mailbox: str, lay: Layout,
               once: bool = False, interval_s: int = DEFAULT_INTERVAL_S,
               max_files_per_trigger: int = MAX_FILES_PER_TRIGGER, **round_opts):
-    """The same rounds over a folder of landed ``<uid>.eml`` files (a
-    ``binaryFile`` file stream; each new file is one message)."""
-    reader = (spark.readStream.format("binaryFile")
-              .schema("path string, modificationTime timestamp, length bigint, content binary")
-              .option("pathGlobFilter", "*.eml"))
-    files = _with_files_bound(reader, max_files_per_trigger, round_opts).load(landing)
-    return _started(tb.eml_records(files, account, mailbox), lay, make_round(lay, **round_opts), once, interval_s)
+    """The same rounds over a folder of landed ``<uid>.eml`` files (each new
+    file is one message)."""
+    rnd = make_round(lay, reader=eml_reader(account, mailbox), **round_opts)
+    return _started(_files(spark, landing, max_files_per_trigger, round_opts, "*.eml"), lay, rnd, once, interval_s)
 
 
 def run_loop(spark: SparkSession, landing: str, lay: Layout, gap_s: float = DEFAULT_INTERVAL_S,
-             max_rounds: int | None = None, **round_opts) -> None:
+             max_rounds: int | None = None, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER, **round_opts) -> None:
     """Rounds over what has landed, ``gap_s`` after the end of the one before.
 
-    A round runs also when nothing new has landed: open documents are tried
-    again.  A failed batch is read again in the next round.
+    A round runs also when nothing new has landed: open documents and the
+    files of the ledger are tried again.
     """
     number = 0
     while max_rounds is None or number < max_rounds:
         if number:
             time.sleep(gap_s)
         ran = []
-        inner = make_round(lay, **round_opts)
+        inner = make_round(lay, reader=parquet_reader(landing), **round_opts)
 
         def rnd(batch, batch_id):
             ran.append(batch_id)
             inner(batch, batch_id)
         try:
-            start(spark, landing, lay, once=True, rnd=rnd, **round_opts).awaitTermination()
+            start(spark, landing, lay, once=True, rnd=rnd, max_files_per_trigger=max_files_per_trigger, **round_opts).awaitTermination()
         except StreamingQueryException:
             pass                     # logged by the round; the checkpoint still holds the batch
         if not ran:
-            rounds_so_far = tb.read_table(spark, lay.round_log, ROUND_LOG).agg(F.max("round")).first()[0]
-            inner(None, (rounds_so_far if rounds_so_far is not None else -1) + 1, spark)
+            inner(None, 0, spark)
         number += 1
 
 
 def read_outputs(spark: SparkSession, lay: Layout) -> dict[str, DataFrame]:
-    return {
-        "documents": tb.read_table(spark, lay.documents, DOCS_SCHEMA),
-        "news_items": tb.read_table(spark, lay.news_items, NEWS_ITEMS),
-        "results": tb.read_table(spark, lay.results, RESULTS),
-        "quarantine": tb.read_table(spark, lay.quarantine, QUARANTINE),
-        "failures": tb.read_table(spark, lay.failures, FAILURES),
-        "round_log": tb.read_table(spark, lay.round_log, ROUND_LOG),
-        "state": st.fold(tb.read_table(spark, lay.state_log, STATE)),
-    }
+    out = {t: read(spark, lay, t) for t in SCHEMAS if t != "state_log"}
+    out["state"] = st.fold(read(spark, lay, "state_log"))
+    return out
 
 
 def run_fixture_stream(spark: SparkSession, sf_dir: str, stages=("ingest",), pieces: int = 3, model=None) -> dict[str, DataFrame]:
@@ -356,3 +527,17 @@ def run_fixture_stream(spark: SparkSession, sf_dir: str, stages=("ingest",), pie
         q = start(spark, lay.landing + "/*", lay, once=True, stages=stages, wait_s=0.0, model=model)
         q.awaitTermination()
     return read_outputs(spark, lay)
+
+
+def run_poisoned_loop(spark: SparkSession, sf_dir: str, pieces: int = 5) -> dict[str, DataFrame]:
+    """Land the F-A..F-C messages in ``pieces`` arrivals, one of them with an
+    unreadable file beside its messages, and repeat rounds until that file is
+    given up; the stored tables."""
+    from ..sources import fixtures as fx
+    lay = Layout(scratch_path(spark, "poison"))
+    raw = fx.raw_messages(spark, sf_dir)
+    for i in range(pieces):
+        raw.where((F.col("uid") % pieces) == i).write.parquet(f"{lay.landing}/arrival={i}")
+    store(spark, lay).files.create(f"{lay.landing}/arrival=2/part-unreadable.parquet", b"no Parquet file")
+    run_loop(spark, lay.landing + "/*", lay, gap_s=0.0, max_rounds=GIVE_UP + 1, stages=("ingest",))
+    return read_outputs(spark, lay)

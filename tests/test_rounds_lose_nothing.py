@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from mailweave.operators import extract as ex
 from mailweave.operators import ingest as ig
 from mailweave.session import scratch_path
-from mailweave.sources import tables as tb
+from mailweave.sources.snapshots import Store
 from mailweave.streaming import rounds
 
 RAW = "account string, mailbox string, uid bigint, raw binary, size bigint, labels array<string>, thread_id string"
@@ -34,8 +34,11 @@ def stored(spark, lay, table, col="uid"):
 class Once:
     """Fails the first time it is called."""
 
-    def __init__(self, real):
-        self.real, self.calls = real, 0
+    def __init__(self, real, method=False):
+        self.real, self.calls, self.method = real, 0, method
+
+    def __get__(self, obj, kind=None):
+        return (lambda *a, **k: self(obj, *a, **k)) if self.method else self
 
     def __call__(self, *a, **k):
         self.calls += 1
@@ -66,12 +69,12 @@ def test_failed_ingest_is_read_again(spark, lay, monkeypatch):
     assert stored(spark, lay, "documents") == stored(spark, lay, "results") == [1, 2, 3]
 
 
-def test_crash_between_the_stages(spark, lay, monkeypatch):
+def test_crash_in_a_commit(spark, lay, monkeypatch):
     land(spark, lay, [1, 2], 0)
-    monkeypatch.setattr(rounds, "note_candidates", Once(rounds.note_candidates))
-    loop(spark, lay)                                  # documents stored, the batch fails
-    assert stored(spark, lay, "documents") == [1, 2]
-    loop(spark, lay)                                  # read again: nothing new to store, all to extract
+    monkeypatch.setattr(Store, "commit", Once(Store.commit, method=True))
+    loop(spark, lay)                                  # nothing of the ingest is visible, its file is noted
+    assert stored(spark, lay, "documents") == []
+    loop(spark, lay)                                  # ingested again: all is stored and extracted
     assert stored(spark, lay, "documents") == stored(spark, lay, "results") == [1, 2]
 
 
@@ -83,7 +86,7 @@ def test_failed_extraction_is_taken_up_without_new_files(spark, lay, monkeypatch
     assert {r.exit_code for r in rounds.read_outputs(spark, lay)["round_log"].where("stage = 'extract'").collect()} == {2}
     loop(spark, lay, 2, model=lambda prompt: "[]")    # nothing new has landed
     assert stored(spark, lay, "results") == [1, 2]
-    assert tb.read_version(spark, lay.unresolved, rounds.KEY_SCHEMA).count() == 0
+    assert rounds.read(spark, lay, "unresolved").count() == 0
 
 
 def test_fresh_checkpoint_calls_the_model(spark, lay):
@@ -124,7 +127,7 @@ def test_exit_code_and_counts_of_failing_documents(spark, lay):
     loop(spark, lay, 3, model=model)
     log = rounds.read_outputs(spark, lay)["round_log"].where("stage = 'extract'").orderBy("round").collect()
     assert [(r.exit_code, r.rows, r.failed, r.blocked) for r in log] == [(2, 3, 1, 1), (2, 1, 1, 0), (2, 1, 1, 0)]
-    assert [r.uid for r in tb.read_version(spark, lay.unresolved, rounds.KEY_SCHEMA).collect()] == [1]
+    assert [r.uid for r in rounds.read(spark, lay, "unresolved").collect()] == [1]
     assert stored(spark, lay, "quarantine") == [2]
 
 
@@ -203,20 +206,6 @@ def test_full_rescan_and_redownload_as_round_options(spark, lay):
     assert {(r.uid, r.body) for r in docs.collect()} == {(1, "body"), (3, "new")}
 
 
-def test_compaction_cut_off_keeps_the_table(spark, lay, monkeypatch):
-    rounds.ingest_round(batch(spark, [1, 2]), lay)
-    rounds.extract_round(spark, lay, 0)
-    fs = spark._jvm.org.apache.hadoop.fs.Path(lay.base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs.rename(path(lay.results), path(lay.results + tb.OLD))      # cut off between the two renames
-    assert stored(spark, lay, "results") == [1, 2]
-    tb.replace_folder(spark, lay.results + tb.OLD, lay.results)
-    rounds.compact(spark, lay)
-    assert stored(spark, lay, "results") == stored(spark, lay, "documents") == [1, 2]
-    left = [s.getPath().getName() for s in fs.listStatus(path(lay.base))]
-    assert not [n for n in left if "compact" in n]
-
-
 def test_gap_follows_the_end_of_a_round(spark, lay, monkeypatch):
     pauses = []
     monkeypatch.setattr(rounds, "time", SimpleNamespace(sleep=pauses.append, time=time.time))

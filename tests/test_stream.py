@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from mailweave.operators import extract as ex
 from mailweave.session import scratch_path
 from mailweave.sources import fixtures as fx
-from mailweave.sources import tables as tb
+from mailweave.sources.snapshots import Store
 from mailweave.streaming import rounds
 
 from .conftest import local
@@ -14,22 +14,22 @@ from .conftest import local
 SF = "/root/testdata/sf0.001"
 
 
-def test_crash_between_sink_and_state_replays_harmlessly(spark, monkeypatch):
+def test_crash_before_the_commit_replays_harmlessly(spark, monkeypatch):
     lay = rounds.Layout(scratch_path(spark, "crash"))
     batch = fx.raw_messages(spark, SF)
     n_valid = batch.where("uid <> 0").count()
 
     def boom(*a, **k):
-        raise RuntimeError("executor lost before the state write")
-    monkeypatch.setattr(tb, "append_state", boom)
+        raise RuntimeError("driver lost before the commit")
+    monkeypatch.setattr(Store, "commit", boom)
     with pytest.raises(RuntimeError):
         rounds.ingest_round(batch, lay)
     monkeypatch.undo()
     out = rounds.read_outputs(spark, lay)
-    assert out["documents"].count() == n_valid
-    assert out["state"].count() == 0
+    assert out["documents"].count() == out["state"].count() == 0    # staged, not visible
 
     rounds.ingest_round(batch, lay)             # the replay
+    rounds.ingest_round(batch, lay)             # and one after the commit
     out = rounds.read_outputs(spark, lay)
     docs = out["documents"]
     assert docs.count() == n_valid
@@ -52,32 +52,32 @@ def test_model_round_reuses_attempt_log(spark):
     rounds.extract_round(spark, lay, 0, model=Counting(), wait_s=0.0)
     first = calls.value
     assert first > 0
-    res1 = spark.read.parquet(lay.results).count()
-    q1 = spark.read.parquet(lay.quarantine).count()
-    items1 = spark.read.parquet(lay.news_items).count()
+    res1 = rounds.read(spark, lay, "results").count()
+    q1 = rounds.read(spark, lay, "quarantine").count()
+    items1 = rounds.read(spark, lay, "news_items").count()
     rounds.extract_round(spark, lay, 0, model=Counting(), wait_s=0.0)   # replay of round 0
     assert calls.value == first                      # no second call of the model
-    assert spark.read.parquet(lay.quarantine).count() == q1
-    assert spark.read.parquet(lay.news_items).count() == items1
-    assert spark.read.parquet(lay.results).count() == res1
-    assert spark.read.parquet(lay.results).select("account", "mailbox", "uid").distinct().count() == res1
+    assert rounds.read(spark, lay, "quarantine").count() == q1
+    assert rounds.read(spark, lay, "news_items").count() == items1
+    assert rounds.read(spark, lay, "results").count() == res1
+    assert rounds.read(spark, lay, "results").select("account", "mailbox", "uid").distinct().count() == res1
     out = rounds.read_outputs(spark, lay)
     assert out["news_items"].count() > 0
     assert out["news_items"].where("date is null or sender is null").count() == 0
     assert q1 > 0
     # next round: only failed documents are pending again
     docs = out["documents"]
-    pend = ex.pending_docs(docs, spark.read.parquet(lay.results), spark.read.parquet(lay.quarantine))
+    pend = ex.pending_docs(docs, rounds.read(spark, lay, "results"), rounds.read(spark, lay, "quarantine"))
     failed = ex.attempt_outcome(spark.read.parquet(f"{lay.attempts}/round=0")).where("outcome = 'failed'")
     assert pend.count() == failed.count()
 
 
 def _tables(spark, lay):
     def keyset(path, cols):
-        return sorted(tuple(r) for r in spark.read.parquet(path).select(*cols).collect())
-    return (keyset(lay.results, ["account", "mailbox", "uid", "response"]),
-            keyset(lay.quarantine, ["account", "mailbox", "uid", "error"]),
-            keyset(lay.news_items, ["uid", "pos", "title", "date", "sender"]))
+        return sorted(tuple(r) for r in rounds.read(spark, lay, path).select(*cols).collect())
+    return (keyset("results", ["account", "mailbox", "uid", "response"]),
+            keyset("quarantine", ["account", "mailbox", "uid", "error"]),
+            keyset("news_items", ["uid", "pos", "title", "date", "sender"]))
 
 
 def test_incremental_extract_equals_full_reconciliation(spark):
@@ -101,19 +101,20 @@ def test_incremental_extract_equals_full_reconciliation(spark):
 def test_strict_high_water_and_limits(spark):
     lay = rounds.Layout(scratch_path(spark, "limits"))
     raw = fx.fixture_a(spark, SF)                       # mailbox INBOX, uids 0..49
-    spark.createDataFrame([("desk", "INBOX", 30)], "account string, mailbox string, last_uid bigint") \
-        .write.parquet(lay.state_log)
+    tables = rounds.store(spark, lay)
+    tables.commit({"state_log": [tables.stage("state_log", spark.createDataFrame(
+        [("desk", "INBOX", 30)], "account string, mailbox string, last_uid bigint"))]})
     n, written = rounds.ingest_round(raw, lay, strict_high_water=True, limit=5)
     uids = sorted(r.uid for r in written.collect())
     assert uids == [45, 46, 47, 48, 49]                 # above the mark, newest five only
     assert rounds.read_outputs(spark, lay)["state"].first().last_uid == 49
     # extraction limited to 2 per round; the deferred rest is picked up incrementally
     rounds.extract_round(spark, lay, 0, candidates=written, limit=2)
-    done = {r.uid for r in spark.read.parquet(lay.results).collect()}
+    done = {r.uid for r in rounds.read(spark, lay, "results").collect()}
     assert done == {48, 49}
     rounds.extract_round(spark, lay, 1, candidates=written.limit(0), limit=2)
     rounds.extract_round(spark, lay, 2, candidates=written.limit(0), limit=2)
-    done = sorted(r.uid for r in spark.read.parquet(lay.results).collect())
+    done = sorted(r.uid for r in rounds.read(spark, lay, "results").collect())
     assert done == uids
 
 
@@ -125,13 +126,13 @@ def test_compaction_keeps_tables_equal(spark):
         rounds.extract_round(spark, lay, i, candidates=None if i == 0 else written)
     before = {k: sorted(map(tuple, v.collect())) for k, v in rounds.read_outputs(spark, lay).items()
               if k in ("documents", "news_items", "results", "state")}
-    n_files = len(spark.read.parquet(lay.documents).inputFiles())
+    n_files = len(rounds.read(spark, lay, "documents").inputFiles())
     rounds.compact(spark, lay)
     after = {k: sorted(map(tuple, v.collect())) for k, v in rounds.read_outputs(spark, lay).items()
              if k in ("documents", "news_items", "results", "state")}
     assert before == after
-    assert len(spark.read.parquet(lay.documents).inputFiles()) < n_files
-    assert spark.read.parquet(lay.state_log).count() == 1
+    assert len(rounds.read(spark, lay, "documents").inputFiles()) < n_files
+    assert rounds.read(spark, lay, "state_log").count() == 1
 
 
 def test_eml_folder_stream(spark):
@@ -169,10 +170,10 @@ def test_failed_ingest_does_not_stop_extraction(spark, monkeypatch):
     rnd = rounds.make_round(lay, wait_s=0.0)
     with pytest.raises(RuntimeError):                        # the batch has to come again
         rnd(fx.fixture_a(spark, SF), 7)
-    log = {r.stage: r.exit_code for r in spark.read.parquet(lay.round_log).collect()}
+    log = {r.stage: r.exit_code for r in rounds.read(spark, lay, "round_log").collect()}
     assert log == {"ingest": 1, "extract": 0}
     # extraction ran as a full reconciliation over what was already stored
-    assert spark.read.parquet(lay.results).count() == fx.fixture_a(spark, SF).where("uid <> 0").count()
+    assert rounds.read(spark, lay, "results").count() == fx.fixture_a(spark, SF).where("uid <> 0").count()
 
 
 def test_redownload_replaces_documents(spark):
@@ -208,31 +209,26 @@ def test_bounded_micro_batches_drain_everything(spark):
     assert out["round_log"].count() == 3                 # 3 + 3 + 1 files
 
 
-def test_crash_between_items_and_results_replays_once(spark, monkeypatch):
+@pytest.mark.parametrize("model", [None, ex.StubModel()])
+def test_crash_while_results_are_staged_replays_once(spark, monkeypatch, model):
     lay = rounds.Layout(scratch_path(spark, "items-crash"))
-    rounds.ingest_round(fx.fixture_c(spark, SF), lay)
-    real = rounds._append_items
-    calls = {"n": 0}
-
-    def append_then_crash(spark_, lay_, items):          # model path: crash right after the items
-        real(spark_, lay_, items)
-        calls["n"] += 1
-        raise RuntimeError("lost before the retry log")
-    monkeypatch.setattr(rounds, "_append_items", append_then_crash)
-    with pytest.raises(RuntimeError):
-        rounds.extract_round(spark, lay, 0, model=ex.StubModel(), wait_s=0.0)
-    monkeypatch.undo()
-    n_items = spark.read.parquet(lay.news_items).count()
-    rounds.extract_round(spark, lay, 0, model=ex.StubModel(), wait_s=0.0)   # replay
-    assert spark.read.parquet(lay.news_items).count() == n_items > 0
-    # rule path: crash between items and results appends, then replay
-    lay2 = rounds.Layout(scratch_path(spark, "items-crash-rules"))
-    rounds.ingest_round(fx.fixture_a(spark, SF), lay2)
-    monkeypatch.setattr(rounds, "_append_items", append_then_crash)
+    rounds.ingest_round(fx.fixture_c(spark, SF) if model else fx.fixture_a(spark, SF), lay)
+    real = Store.stage
+
+    def stage_then_crash(self, table, *a, **k):          # the items are written, nothing after them
+        out = real(self, table, *a, **k)
+        if table == "news_items":
+            raise RuntimeError("lost")
+        return out
+    monkeypatch.setattr(Store, "stage", stage_then_crash)
     with pytest.raises(RuntimeError):
-        rounds.extract_round(spark, lay2, 0)
+        rounds.extract_round(spark, lay, 0, model=model, wait_s=0.0)
     monkeypatch.undo()
-    first = spark.read.parquet(lay2.news_items).count()
-    rounds.extract_round(spark, lay2, 0)
-    assert spark.read.parquet(lay2.news_items).count() == first > 0
-    assert spark.read.parquet(lay2.results).count() == fx.fixture_a(spark, SF).where("uid <> 0").count()
+    assert rounds.read(spark, lay, "news_items").count() == rounds.read(spark, lay, "results").count() == 0
+    rounds.extract_round(spark, lay, 0, model=model, wait_s=0.0)            # the replay
+    n_items, n_results = (rounds.read(spark, lay, t).count() for t in ("news_items", "results"))
+    assert n_items > 0 and n_results > 0
+    rounds.extract_round(spark, lay, 0, model=model, wait_s=0.0)            # and another
+    assert (n_items, n_results) == tuple(rounds.read(spark, lay, t).count() for t in ("news_items", "results"))
+    if model is None:
+        assert n_results == fx.fixture_a(spark, SF).where("uid <> 0").count()
