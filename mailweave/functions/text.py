@@ -60,6 +60,39 @@ def unescape(c: Column) -> Column:
 LINK_RE = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)</a\s*>"""
 
 
+# Pieces of a page: comments and raw-text elements whole, tags, text, a stray "<".
+HTML_TOKEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style|textarea|noscript)\b.*?(?:</\1\s*>|\z)|</?[a-z](?:\"[^\"]*\"|'[^']*'|[^\"'>])*+>|<[/!?][^>]*>|[^<]++|<"
+_NO_CONTENT = r"(?is)^<(?:!--|script\b|style\b|textarea\b|noscript\b)"
+_ANCHOR_START, _ANCHOR_END = r"(?is)^<a(?=[\s>/])", r"(?is)^</a\s*>"
+_HREF = r"""(?is)^<a\s(?:(?:"[^"]*"|'[^']*'|[^"'>])*?\s)??href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+ANCHORS = "array<struct<url:string,content:string>>"
+
+
+def anchors(c: Column) -> Column:
+    """The links of a page in order: target, and content with its own tags.
+
+    The page is cut into tokens and folded: comments, scripts and the like hold
+    no links; an anchor ends at its end tag, where the next anchor starts, or
+    with the page, so one that is not closed swallows no other.
+    """
+    tokens = F.filter(F.regexp_extract_all(c, F.lit(HTML_TOKEN), F.lit(0)), lambda t: ~t.rlike(_NO_CONTENT))
+    none = F.lit(None).cast("string")
+    start = F.struct(none.alias("url"), F.lit("").alias("content"), F.array().cast(ANCHORS).alias("found"))
+
+    def closed(s: Column) -> Column:
+        return F.when(s["url"].isNull(), s["found"]).otherwise(
+            F.concat(s["found"], F.array(F.struct(s["url"].alias("url"), s["content"].alias("content")))))
+
+    def step(s: Column, t: Column) -> Column:
+        target = F.concat(*[F.regexp_extract(t, _HREF, g) for g in (1, 2, 3)])
+        begins, ends = t.rlike(_ANCHOR_START), t.rlike(_ANCHOR_END)
+        return (F.when(begins, F.struct(F.when(t.rlike(_HREF), target).alias("url"), F.lit("").alias("content"), closed(s).alias("found")))
+                .when(ends, F.struct(none.alias("url"), F.lit("").alias("content"), closed(s).alias("found")))
+                .when(s["url"].isNull(), s)
+                .otherwise(F.struct(s["url"].alias("url"), F.concat(s["content"], t).alias("content"), s["found"].alias("found"))))
+    return F.aggregate(tokens, start, step, closed)
+
+
 def keep_links(c: Column) -> Column:
     """Anchors as ``[content](target)``; the content's own tags go later."""
     return F.regexp_replace(F.regexp_replace(c, HTML_SCRIPT_STYLE, ""), LINK_RE, r"[$4]($1$2$3)")

@@ -232,15 +232,14 @@ def parse_failures(parsed: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 def rule_item_array(html: Column, date_iso: Column, from_addr: Column) -> Column:
     """The rule extractor's items of one message as an array: one element per
-    link, in document order; title = link text (tags removed, entities decoded,
+    link (not those in comments or scripts), in document order; title = link text (tags removed, entities decoded,
     stripped), url = decoded target, date and sender of the message."""
-    src = text.fold_entities(F.coalesce(html, F.lit("")))
-    found = F.arrays_zip(*[F.regexp_extract_all(src, F.lit(text.LINK_RE), F.lit(g)).alias(f"g{g}") for g in (1, 2, 3, 4)])
+    found = text.anchors(text.fold_entities(F.coalesce(html, F.lit(""))))
     d, s = local_minute(date_iso), text.address_of(from_addr)
 
     def item(x: Column) -> Column:
-        title = text.strip(text.unescape_native(text.html_tags_to_text(x["g4"])))
-        url = text.unescape_native(F.concat(x["g1"], x["g2"], x["g3"]))
+        title = text.strip(text.unescape_native(text.html_tags_to_text(x["content"])))
+        url = text.unescape_native(x["url"])
         return F.struct(title.alias("title"), url.alias("url"), F.lit("").alias("summary"), d.alias("date"), s.alias("sender"))
     return F.transform(found, item)
 
