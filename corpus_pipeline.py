@@ -15,25 +15,28 @@ from mailweave.llm import bpe, decontam, langid, pii, simhash
 from mailweave.llm.common import Scratch, unused
 from mailweave.llm.queries import WORD_BPE
 
-#: A document is rejected when its language is undetermined or less likely than this.
-MIN_LANGUAGE_SCORE = 0.3
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told stay: not those whose text is null
-    or without a letter, nor those no learned language fits."""
+    """Documents stay unless the operator tells no language: those whose text
+    is null or without a letter go.  Where no document has a ``lang`` nothing is
+    learned, and every text with a letter stays."""
+    model = langid.fit(docs)
+    if not model.langs:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     lang, score = unused("lang_pred", docs.columns), unused("score", docs.columns)
-    found = langid.identify(docs, langid.fit(docs), (lang, score))
-    return found.where((F.col(lang) != langid.UNKNOWN) & (F.col(score) >= MIN_LANGUAGE_SCORE)).drop(lang, score)
+    return langid.identify(docs, model, (lang, score)).where(F.col(lang) != langid.UNKNOWN).drop(lang, score)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of SimHash near-duplicates stays."""
+    """One document of each group of SimHash near-duplicates stays, the one with
+    the smallest doc_id; a null or empty text is a group of its fingerprint like
+    any other, rows without a doc_id stay, an empty table stays empty."""
     return simhash.one_per_group(docs, Scratch(spark, "stage-simhash"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that leak no benchmark item stay."""
+    """Documents that leak no benchmark item stay, null and empty texts among
+    them; repeated rows go or stay together; an empty table stays empty."""
     return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -47,7 +50,8 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text: ``(doc_id, ids)``."""
+    """Token ids of every text: ``(doc_id, ids)``, a row per row; a null or
+    empty text has none, an empty table gives an empty result."""
     return bpe.encode_documents(docs, public_tokenizers.path(WORD_BPE))
 
 
