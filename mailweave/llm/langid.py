@@ -24,8 +24,9 @@ WINDOW = 128
 WIDTHS = (2, 3, 4)
 FILTERS = 8           # of each width
 EMBEDDING = 6
-#: bounds of the training sample: languages, documents of each, windows of each document
-MAX_LANGS, MAX_DOCS, MAX_WINDOWS = 200, 800, 5
+#: bounds of the training sample: documents of a language, of all languages together (but LEAST_DOCS
+#: of each in any case), windows of a document.  Every language is learned.
+MAX_DOCS, ALL_DOCS, LEAST_DOCS, MAX_WINDOWS = 800, 6400, 20, 5
 EPOCHS, BATCH, RATE = 8, 128, 0.01
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -149,15 +150,16 @@ def predict(model: ByteConvNet, batch: list[bytes]) -> tuple[list[str], list[flo
 
 def _training_windows(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
     """At most MAX_WINDOWS windows of at most about MAX_DOCS documents of each
-    of the MAX_LANGS commonest languages, picked by a hash of the doc_id."""
+    language (fewer where there are many languages), picked by a hash of the
+    doc_id."""
     fit = docs.select("doc_id", "text", "lang").where(
         "doc_id IS NOT NULL AND text IS NOT NULL AND text <> '' AND lang IS NOT NULL").where(crc_fold() != 0)
-    counts = sorted(((r["count"], r["lang"]) for r in fit.groupBy("lang").count()
-                     .orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()), key=lambda x: (-x[0], x[1]))
-    langs = sorted(lang for _, lang in counts)
+    counts = {r["lang"]: r["count"] for r in fit.groupBy("lang").count().collect()}
+    langs = sorted(counts)
     if not langs:
         return [], np.zeros((0, WINDOW), np.uint8), np.zeros(0, int)
-    share = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(min(1.0, MAX_DOCS / n))) for n, lang in counts])
+    wanted = min(MAX_DOCS, max(LEAST_DOCS, ALL_DOCS // len(langs)))
+    share = F.element_at(F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(1.0, wanted / counts[lang]))]), F.col("lang"))
     picked = fit.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30))
 
     def run(batches):
@@ -169,8 +171,11 @@ def _training_windows(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarra
                 out += [(w[i].tobytes(), lang) for i in at]
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.binary()),
                                               pa.array([x for _, x in out], pa.string())], names=["window", "lang"])
+    bound = 2 * len(langs) * (wanted + 100) * MAX_WINDOWS
     rows = (picked.select(F.col("text").cast("string"), "lang").mapInArrow(run, "window binary, lang string")
-            .limit(2 * len(langs) * MAX_DOCS * MAX_WINDOWS).collect())
+            .limit(bound + 1).collect())
+    if len(rows) > bound:
+        raise ValueError(f"more than {bound} training windows: one doc_id seems to repeat without end")
     rows.sort()  # the order of rows must not depend on the order of tasks
     place = {lang: k for k, lang in enumerate(langs)}
     windows = np.frombuffer(b"".join(bytes(r["window"]) for r in rows), np.uint8).reshape(-1, WINDOW)

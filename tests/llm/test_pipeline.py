@@ -12,7 +12,7 @@ from .test_text_operators import brute_components, brute_fingerprint, brute_leak
 def test_every_operator_has_one_query():
     import __spark_entry__
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries() and set(queries.ORACLE) <= set(names)
 
 
@@ -41,11 +41,8 @@ def test_pipeline_stages(spark, tmp_path):
         out.write.parquet(str(tmp_path / name))
         frames.append(spark.read.parquet(str(tmp_path / name)))
     kept = [{r.doc_id: r.text for r in f.select("doc_id", "text").collect()} for f in frames[:-1]]
-    # language: exactly the documents that the operator cannot place are gone
-    model = langid.fit(docs)
-    lang, score = langid.predict(model, [t.encode() for t in plain.values()])
-    placed = {d for d, s in zip(plain, score) if s >= corpus_pipeline.MIN_LANGUAGE_SCORE and langid.LETTER.search(plain[d])}
-    assert set(kept[1]) == placed
+    # language: exactly the documents without a letter are gone
+    assert set(kept[1]) == {d for d, t in plain.items() if t and langid.LETTER.search(t)}
     # SimHash: the smallest doc_id of every component
     fp = {d: brute_fingerprint(t) for d, t in kept[1].items()}
     comp = brute_components(sorted(fp), [(a, b) for a in fp for b in fp if a < b and (fp[a] ^ fp[b]).bit_count() <= 4])
@@ -88,3 +85,27 @@ def test_pipeline_on_odd_documents(spark, odd_documents, tmp_path):
         out.write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
     assert {r.doc_id for r in docs.collect()} <= {r.doc_id for r in odd_documents.collect()}
+
+
+def test_no_label_drops_no_document(spark):
+    """Without any ``lang`` nothing can be learned; texts with a letter stay."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang", "source", "n_chars")
+    odd = spark.createDataFrame([(-1, None, None, "s", 0), (-2, "12 !", None, "s", 4), (-3, "", None, "s", 0), (-4, "中", None, "s", 1)], docs.schema)
+    out = corpus_pipeline.language(spark, docs.unionByName(odd), SF)
+    assert out.columns == docs.columns
+    assert out.count() == docs.count() + 1 and out.where("doc_id = -4").count() == 1
+
+
+def test_every_language_is_learned(spark):
+    """250 languages of a few documents each: none is left out, and each can be told."""
+    import random
+    rng = random.Random(9)
+    rows = []
+    for k in range(250):
+        alphabet = [chr(0x100 + 8 * k + j) for j in range(8)]
+        for d in range(8):
+            rows.append((len(rows), "".join(rng.choice(alphabet) for _ in range(300)), f"l{k:03d}"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    langs, windows, target = langid._training_windows(docs)
+    assert len(langs) == 250 and set(target) == set(range(250))
+    assert corpus_pipeline.language(spark, docs.where("doc_id < 80"), SF).count() == 80
