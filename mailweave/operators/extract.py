@@ -21,8 +21,9 @@ from __future__ import annotations
 import hashlib
 import inspect
 import json
-import threading
+import multiprocessing
 import time
+from concurrent.futures import ThreadPoolExecutor
 from typing import Callable, Iterator
 
 import pandas as pd
@@ -149,25 +150,38 @@ def accepts_attempt(model: Callable) -> bool:
         return False
 
 
+def _call_in_child(call: Callable[[], str], out) -> None:
+    try:
+        out.send((True, call()))
+    except Exception as e:
+        out.send((False, str(e) or type(e).__name__))
+
+
 def _within(timeout_s: float | None, call: Callable[[], str]) -> str:
-    """``call()``, or a TimeoutError when it takes longer than ``timeout_s``."""
+    """``call()``; with a limit in a process of its own, which is ended when
+    the limit is over, so that no call goes on behind its attempt's back."""
     if not timeout_s:
         return call()
-    box: dict = {}
-
-    def work():
+    context = multiprocessing.get_context("fork")
+    here, there = context.Pipe(duplex=False)
+    child = context.Process(target=_call_in_child, args=(call, there), daemon=True)
+    child.start()
+    there.close()
+    try:
+        if not here.poll(timeout_s):
+            raise TimeoutError(f"no answer within {timeout_s:g} s")
         try:
-            box["out"] = call()
-        except Exception as e:
-            box["error"] = e
-    t = threading.Thread(target=work, daemon=True)
-    t.start()
-    t.join(timeout_s)
-    if t.is_alive():
-        raise TimeoutError(f"no answer within {timeout_s:g} s")
-    if "error" in box:
-        raise box["error"]
-    return box["out"]
+            good, answer = here.recv()
+        except EOFError:
+            raise RuntimeError("the model's process ended without an answer") from None
+    finally:
+        if child.is_alive():
+            child.kill()
+        child.join()
+        here.close()
+    if not good:
+        raise RuntimeError(answer)
+    return answer
 
 
 def _attempt_rows(model: Callable[..., str], prompt: str, max_attempts: int, wait_s: float,
@@ -192,30 +206,38 @@ def _attempt_rows(model: Callable[..., str], prompt: str, max_attempts: int, wai
 
 def batch_extract(prompts: DataFrame, model: Callable[..., str], max_attempts: int = MAX_ATTEMPTS,
                   wait_s: float = RETRY_WAIT_S, concurrency: int | None = None,
-                  keys: list[str] = KEYS, prompt_col: str = "prompt", timeout_s: float | None = None) -> DataFrame:
+                  keys: list[str] = KEYS, prompt_col: str = "prompt", timeout_s: float | None = None,
+                  calls_per_task: int = 1) -> DataFrame:
     """Attempt log of calling ``model`` on every prompt (``attempts`` shape).
 
     ``model(prompt) -> str`` answers or raises; a model that also takes a
     keyword ``attempt`` is told the 1-based attempt number.  ``concurrency``
-    bounds the number of simultaneous callers (tasks), ``timeout_s`` one call.  The result is not
+    bounds the calls in flight, over all tasks: it is the number of tasks times
+    ``calls_per_task``, the calls a task keeps in flight at once (its attempts
+    of one prompt follow each other; rows come out in the prompts' order).
+    ``timeout_s`` bounds one call and ends it.  The result is not
     repeatable (a remote model is not deterministic): write it to storage
     before deriving anything (the stream keeps one attempt log per round and
     reuses it on replay), so that no recomputation calls the model again.
     """
     src = prompts.select(*keys, prompt_col)
     if concurrency:
-        src = src.repartition(concurrency)
+        calls_per_task = max(1, min(calls_per_task, concurrency))
+        src = src.repartition(max(1, concurrency // calls_per_task))
     pass_attempt = accepts_attempt(model)
 
+    def attempts(rec) -> list[tuple]:
+        k = tuple(getattr(rec, c) for c in keys)
+        return [(*k, n, resp, err) for n, resp, err in
+                _attempt_rows(model, getattr(rec, prompt_col), max_attempts, wait_s, pass_attempt, timeout_s)]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for rec in pdf.itertuples(index=False):
-                k = tuple(getattr(rec, c) for c in keys)
-                for n, resp, err in _attempt_rows(model, getattr(rec, prompt_col), max_attempts, wait_s,
-                                                  pass_attempt, timeout_s):
-                    rows.append((*k, n, resp, err))
-            yield pd.DataFrame(rows, columns=[*keys, "attempt_no", "response", "error"])
+        with ThreadPoolExecutor(calls_per_task) as pool:
+            for pdf in batches:
+                recs = pdf.itertuples(index=False)
+                # map keeps the order; a batch's prompts are what is held at once
+                done = pool.map(attempts, recs) if calls_per_task > 1 else map(attempts, recs)
+                yield pd.DataFrame([row for rows in done for row in rows], columns=[*keys, "attempt_no", "response", "error"])
 
     schema = ATTEMPTS if keys == KEYS else ", ".join(
         [f"{k} {dict(src.dtypes)[k]}" for k in keys] + ["attempt_no int", "response string", "error string"])

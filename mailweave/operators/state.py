@@ -1,4 +1,4 @@
-"""High-water state: load, advance, save (#8, #9, #18).
+"""High-water state: load, advance, save, state files (#8, #9, #18).
 
 State is one row per mailbox.  It is stored append-only (``state_log``) and
 folded with ``max`` on read, so a replayed round can never move a mark down
@@ -7,10 +7,13 @@ and no job ever overwrites a path it is reading.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+import uuid
+from urllib.parse import quote
 
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from ..session import hadoop_path, shared_dir
 
 def fold(state_log: DataFrame) -> DataFrame:
     """Current state from an append-only log: the largest mark per mailbox."""
@@ -87,3 +90,54 @@ def to_json_by_account(state: DataFrame) -> DataFrame:
     entry = F.struct(state_key(F.col("account"), F.col("mailbox")).alias("k"), F.col("last_uid").alias("v"))
     return (state.groupBy("account")
             .agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(entry)))).alias("state_json")))
+
+
+# ---------------------------------------------------------------------------
+# state files
+# ---------------------------------------------------------------------------
+STATE_ROWS = "key string, account string, mailbox string, last_uid bigint"
+
+
+def read_state_files(spark: SparkSession, path: str) -> DataFrame:
+    """The marks of a state file, or of a folder of them, read in the tasks:
+    ``(key, account, mailbox, last_uid)``.
+
+    A missing path, a file that is no JSON object and a file with a value that
+    is no integer each count as empty state.  Of a mailbox in several files the
+    largest mark counts."""
+    fs, p = hadoop_path(spark, path)
+    if not fs.exists(p):
+        return spark.createDataFrame([], STATE_ROWS)
+    files = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True) if fs.getFileStatus(p).isDirectory() \
+        else spark.read.text(path, wholetext=True)
+    rows = load_json(files.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text")), "file")
+    return rows.groupBy("key", "account", "mailbox").agg(F.max("last_uid").alias("last_uid"))
+
+
+def _write_state(base: str):
+    def run(batches):
+        import pyarrow as pa
+        from pyarrow import fs as pafs
+        filesystem, root = pafs.FileSystem.from_uri(base)
+        filesystem.create_dir(root, recursive=True)
+        for b in batches:
+            names = []
+            for account, text in zip(b.column("account").to_pylist(), b.column("state_json").to_pylist()):
+                name = f"{root.rstrip('/')}/{quote(account or '', safe='')}.json"
+                part = f"{name}.{uuid.uuid4().hex}.part"
+                with filesystem.open_output_stream(part, compression=None) as f:
+                    f.write(text.encode())
+                filesystem.move(part, name)      # readers see the old file or the new one
+                names.append(name)
+            yield pa.RecordBatch.from_arrays([b.column("account"), pa.array(names, pa.string())], names=["account", "path"])
+    return run
+
+
+def write_state_files(state: DataFrame, path: str) -> DataFrame:
+    """One ``<account>.json`` per account, written by the tasks and put in
+    place whole; (account, path) of the files.  A retried task writes the same."""
+    spark = state.sparkSession
+    shared_dir(spark)
+    uri = hadoop_path(spark, path)[1].toUri()
+    base = f"{uri.getScheme()}://{uri.getAuthority() or ''}{uri.getPath()}"
+    return to_json_by_account(state).mapInArrow(_write_state(base), "account string, path string").checkpoint(eager=True)

@@ -463,6 +463,9 @@ SELECT account, mailbox, count(*)::BIGINT AS n_docs, max(uid)::BIGINT AS max_uid
 # The fixture stream lands uid % 3 = 0, 1, 2 and then arrival 0 again: each
 # round logs the documents it parsed and extracted (valid messages only; the
 # re-landing adds none); the rule extractor fails on none of them.
+ORACLE["bad_file_isolation"] = f"""WITH {DOCS}
+SELECT 'document' AS kind, account, mailbox, uid, subject FROM docs
+UNION ALL SELECT 'failure', NULL, NULL, NULL, 'part-unreadable.parquet'"""
 ORACLE["round_log"] = f"""WITH {KEYS},
 c AS (SELECT uid % 3 AS r, count(*) AS n FROM keys WHERE uid <> 0 GROUP BY uid % 3)
 SELECT r::BIGINT AS round, stage, 0::INTEGER AS exit_code, n::BIGINT AS rows

@@ -110,10 +110,20 @@ def q_doc_sink_append(spark, sf):
 
 @query("doc_sink_overwrite")
 def q_doc_sink_overwrite(spark, sf):
+    """Stored documents with the re-downloaded ones put in by key: the buckets
+    that hold a replaced key are written anew, in one commit."""
+    from ..session import scratch_path
+    from ..sources.snapshots import Store
+    from ..streaming import rounds
+    stored = "account string, mailbox string, uid bigint, origin string, subject string, bucket bigint"
+    bucket = F.shiftright(F.col("uid"), rounds.BUCKET_BITS).alias("bucket")
     existing = fx.fixture_e_existing(spark, sf).select(
-        *KEYS, F.lit("existing").alias("origin"), F.lit(None).cast("string").alias("subject"))
-    new = documents(spark, sf, with_payload=False).select(*KEYS, F.lit("new").alias("origin"), "subject")
-    return ig.replace_all(new, existing)
+        *KEYS, F.lit("existing").alias("origin"), F.lit(None).cast("string").alias("subject"), bucket)
+    new = documents(spark, sf, with_payload=False).select(*KEYS, F.lit("new").alias("origin"), "subject", bucket)
+    tables = Store(spark, scratch_path(spark, "overwrite"))
+    tables.commit({"documents": [tables.stage("documents", existing, rounds.DOCS_PARTITION)]})
+    tables.commit(replace={"documents": tables.stage_merge("documents", new, stored, KEYS, rounds.DOCS_PARTITION)})
+    return tables.read("documents", stored, rounds.DOCS_PARTITION).drop("bucket")
 
 
 @query("result_sink")
@@ -230,7 +240,10 @@ def q_prompt_assemble(spark, sf):
 @query("item_defaults")
 def q_item_defaults(spark, sf):
     items = ex.news_items(f_results(spark, sf))
-    return ig.item_defaults(items, docs_only(spark, sf, with_payload=False)).withColumn("pos", F.col("pos").cast("bigint"))
+    # only messages that have items are parsed: the cut by key is taken before the parse
+    raw_docs = ig.normalize_records(fx.fixture_c(spark, sf)).join(items.select(*KEYS).distinct(), KEYS, "left_semi")
+    docs = ig.to_documents(ig.parse_messages(ig.valid_records(raw_docs), with_payload=False))
+    return ig.item_defaults(items, docs).withColumn("pos", F.col("pos").cast("bigint"))
 
 
 # ---------------------------------------------------------------------------
@@ -400,3 +413,15 @@ def q_model_stream(spark, sf):
     from ..streaming import rounds
     out = rounds.run_fixture_stream(spark, sf, stages=("ingest", "extract"), pieces=2, model=ex.StubModel())
     return out["results"].select(*KEYS, "response")
+
+
+@query("bad_file_isolation")
+def q_bad_file_isolation(spark, sf):
+    """Rounds over five arrivals, one of which also holds a file that cannot be
+    read: every other message is stored, and the file is one failure."""
+    from ..streaming import rounds
+    out = rounds.run_poisoned_loop(spark, sf)
+    docs = out["documents"].select(F.lit("document").alias("kind"), *KEYS, "subject")
+    bad = out["failures"].where("account IS NULL").select(
+        F.lit("failure").alias("kind"), *KEYS, F.regexp_extract("error", "([^/]+[.]parquet): ", 1).alias("subject"))
+    return docs.unionByName(bad)

@@ -537,7 +537,7 @@ def run_poisoned_loop(spark: SparkSession, sf_dir: str, pieces: int = 5) -> dict
     lay = Layout(scratch_path(spark, "poison"))
     raw = fx.raw_messages(spark, sf_dir)
     for i in range(pieces):
-        raw.where((F.col("uid") % pieces) == i).write.parquet(f"{lay.landing}/arrival={i}")
+        raw.where((F.col("uid") % pieces) == i).coalesce(1).write.parquet(f"{lay.landing}/arrival={i}")
     store(spark, lay).files.create(f"{lay.landing}/arrival=2/part-unreadable.parquet", b"no Parquet file")
     run_loop(spark, lay.landing + "/*", lay, gap_s=0.0, max_rounds=GIVE_UP + 1, stages=("ingest",))
     return read_outputs(spark, lay)

@@ -221,3 +221,91 @@ def test_overflowing_numbers_fall_back(spark):
     assert [(r.id, r.last_uid) for r in st.load_json(df, "id").collect()] == [(3, 5)]
     files = spark.createDataFrame([("/x/99999999999999999999.eml", bytearray(b"x"), 1)], "path string, content binary, length bigint")
     assert tb.eml_records(files, "a", "m").first().uid == 0
+
+
+def test_links_follow_the_structure_of_the_page(spark):
+    """Expected links written from the pages' structure, not from a pattern."""
+    pages = [
+        ("""<script>var a = "<a href='s'>no</a>";</script><!-- <a href="c">no</a> --><a href="x">one</a>""", [("x", "one")]),
+        ("""<p><a href="u1">first <a href='u2'>se<b>con</b>d</a> tail <a name=n>none</a> <a\nclass="q>" href=u3 >t3</a>""",
+         [("u1", "first"), ("u2", "second"), ("u3", "t3")]),
+        ("""a < b <a href="e?a=1&amp;b=2">&lt;x&gt;</a> <abbr href="no">z</abbr></a><a href=""></a>""", [("e?a=1&b=2", "<x>"), ("", "")]),
+        ("""<a href="last">open <!-- x --> end""", [("last", "open  end")]),
+        ("""<style>a{content:"<a href=q>"}</style><A HREF="U">up</A >""", [("U", "up")]),
+        ("""<!-- unclosed <a href="x">y</a>""", []), ("", []), (None, [])]
+    df = spark.createDataFrame([(k, p, "2026-12-01T17:02:00+08:00", "n <n@x.org>") for k, (p, _) in enumerate(pages)],
+                               "k int, html string, date_iso string, from_addr string")
+    from pyspark.sql import functions as F
+
+    from mailweave.operators import ingest as ig
+    got = df.select("k", ig.rule_item_array(F.col("html"), F.col("date_iso"), F.col("from_addr")).alias("items")).collect()
+    assert {r.k: [(i.url, i.title) for i in r["items"]] for r in got} == {k: want for k, (_, want) in enumerate(pages)}
+
+
+def test_calls_in_flight_are_bounded_and_ended(spark, tmp_path):
+    """Never more than ``concurrency`` calls at once, also after calls that ran
+    into the limit; those are really ended; rows keep the prompts' order."""
+    import os
+    import time
+
+    from mailweave.operators import extract as ex
+    folder = str(tmp_path)
+
+    def model(prompt):
+        me = f"{folder}/{prompt}-{time.time()}"
+        open(me + ".on", "w").close()
+        now = len([f for f in os.listdir(folder) if f.endswith(".on")])
+        open(f"{folder}/seen-{now}", "w").close()
+        if int(prompt) % 4 == 0:
+            time.sleep(30)
+            open(f"{folder}/late", "w").close()
+        time.sleep(0.05)
+        os.rename(me + ".on", me + ".off")
+        return "[]"
+    prompts = spark.createDataFrame([("a", "m", k, str(k)) for k in range(12)], "account string, mailbox string, uid bigint, prompt string")
+    t0 = time.time()
+    rows = ex.batch_extract(prompts.coalesce(1), model, max_attempts=2, wait_s=0.0, concurrency=4, calls_per_task=4, timeout_s=0.6).collect()
+    assert time.time() - t0 < 25
+    assert {r.uid: r.response for r in rows if r.attempt_no == 1} == {k: None if k % 4 == 0 else "[]" for k in range(12)}
+    assert {r.error for r in rows if r.uid % 4 == 0} == {"no answer within 0.6 s"} and len(rows) == 15
+    # marks of ended calls stay: at most the calls in flight and those left by the six that were ended
+    ended = len([f for f in os.listdir(folder) if f.endswith(".on")])
+    assert ended == 6 and not os.path.exists(f"{folder}/late")
+    assert max(int(f[5:]) for f in os.listdir(folder) if f.startswith("seen-")) <= 4 + ended
+    order = [r.uid for r in rows]
+    assert order == sorted(order)
+
+
+def test_a_model_that_dies_is_an_error(spark):
+    import os
+
+    from mailweave.operators import extract as ex
+    prompts = spark.createDataFrame([("a", "m", 1, "p")], "account string, mailbox string, uid bigint, prompt string")
+    rows = ex.batch_extract(prompts, lambda p: os._exit(3), max_attempts=1, timeout_s=5.0).collect()
+    assert [(r.response, r.error) for r in rows] == [(None, "the model's process ended without an answer")]
+
+
+def test_state_files(spark):
+    import json
+    import os
+
+    from mailweave.operators import state as st
+    from mailweave.session import scratch_path
+
+    from .conftest import local
+    folder = scratch_path(spark, "state")
+    marks = lambda path: sorted((r.account, r.mailbox, r.last_uid) for r in st.read_state_files(spark, path).collect())
+    assert marks(folder) == marks(folder + "/none.json") == []
+    state = spark.createDataFrame([("a", "m", 5), ("a", "n:x", 7), ("b/c", "m", 9)], "account string, mailbox string, last_uid bigint")
+    assert st.write_state_files(state, folder).count() == 2
+    assert marks(folder) == [("a", "m", 5), ("a", "n:x", 7), ("b/c", "m", 9)]
+    st.write_state_files(state.withColumn("last_uid", state.last_uid + 1), folder)            # replaced as a whole
+    assert marks(folder) == [("a", "m", 6), ("a", "n:x", 8), ("b/c", "m", 10)]
+    for name, content in (("list", "[1]"), ("word", "no JSON"), ("bad", json.dumps({"x:y": 1, "z:z": "one"})), ("empty", ""), ("nil", "null")):
+        with open(f"{local(folder)}/{name}.json", "w") as f:
+            f.write(content)
+        assert marks(f"{folder}/{name}.json") == []
+    with open(f"{local(folder)}/old.json", "w") as f:
+        f.write(json.dumps({"a:m": "4", "d:e": 2.9, "f:g": True}))
+    assert marks(folder) == [("a", "m", 6), ("a", "n:x", 8), ("b/c", "m", 10), ("d", "e", 2), ("f", "g", 1)]
+    assert not [n for n in os.listdir(local(folder)) if n.endswith(".part")]
