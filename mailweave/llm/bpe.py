@@ -21,8 +21,10 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import sys
 import unicodedata
 from array import array
+from functools import cache
 from itertools import chain
 
 import ahocorasick
@@ -30,6 +32,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .common import slices, texts
 
@@ -176,6 +179,7 @@ class WordTokenizer:
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.words = regex.compile(WORD)
         self.letters = byte_letters()
+        self.path, self.library = path, None
         self.cache, self.word_cache = Chunks(self._chunk), Chunks(self._word)
 
     def _word(self, word: str) -> tuple[int, ...]:
@@ -201,14 +205,41 @@ class WordTokenizer:
                 ids.append(self.special[part])
                 continue
             if not part.isascii():
+                if not part.replace("\n", " ").isprintable() and unassigned().search(part):
+                    for word in self._library_words(part):
+                        ids.extend(self.auto.encode(word))
+                    continue
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
             ids.extend(chain.from_iterable(map(cached, self._chunks(part.lower()))))
         return ids
 
+    def _library_words(self, part: str) -> list[str]:
+        """The words of a text as the library's own normaliser and splitter cut
+        them: what a character is depends on the Unicode tables one has."""
+        if self.library is None:
+            self.library = Tokenizer.from_file(self.path)
+        clean = self.library.normalizer.normalize_str(part)
+        return [word for word, _ in self.library.pre_tokenizer.pre_tokenize_str(clean)]
+
     def decode(self, ids) -> str:
         return self.auto.decode(ids)
 
 
+@cache
+def unassigned() -> re.Pattern:
+    """Any code point that this Python's Unicode tables do not assign; other
+    tables may know it as a letter or a number."""
+    spans, first = [], None
+    for c in range(sys.maxunicode + 2):
+        new = c <= sys.maxunicode and unicodedata.category(chr(c)) == "Cn"
+        if new and first is None:
+            first = c
+        elif not new and first is not None:
+            spans.append(f"\\U{first:08x}-\\U{c - 1:08x}")
+            first = None
+    return re.compile("[" + "".join(spans) + "]")
+
+
 #: U+001C..1F moved to unassigned places while splitting at white space
 GUARD = {c: c + 0x10FF00 for c in range(0x1C, 0x20)}
 UNGUARD = {v: k for k, v in GUARD.items()}
@@ -269,22 +300,21 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     decoded_sha256)``; the hashes are of the ids as little-endian unsigned
     32-bit integers and of the decoded text in UTF-8.  A null text counts as
     empty; one row per row, also for a null or repeated doc_id."""
-    import sys
-
     def run(batches):
         tok = tokenizer(path)
-        for b in batches:
-            counts, of_ids, of_text = [], [], []
-            for t in texts(b.column("text")):
-                ids = tok.encode(t)
-                raw = array("I", ids)
-                if sys.byteorder == "big":
-                    raw.byteswap()
-                counts.append(len(ids))
-                of_ids.append(hashlib.sha256(raw).hexdigest())
-                of_text.append(hashlib.sha256(tok.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()),
-                 pa.array(of_text, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        for batch in batches:
+            for b in slices(batch, "text"):
+                counts, of_ids, of_text = [], [], []
+                for t in texts(b.column("text")):
+                    ids = tok.encode(t)
+                    raw = array("I", ids)
+                    if sys.byteorder == "big":
+                        raw.byteswap()
+                    counts.append(len(ids))
+                    of_ids.append(hashlib.sha256(raw).hexdigest())
+                    of_text.append(hashlib.sha256(tok.decode(ids).encode()).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id"), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()),
+                     pa.array(of_text, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

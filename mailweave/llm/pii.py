@@ -22,8 +22,11 @@ from .common import slices, texts
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "userinfo", "account")
-#: words that announce an identifier
-CUES = ("account", "acct", "iban", "passport", "ssn", "token", "password", "api_key")
+#: words that announce an identifier, and those that announce a secret (in any case)
+CUES = ("account", "acct", "iban", "passport", "ssn")
+SECRETS = ("token", "password", "passwd", "api_key", "api key", "api-key", "apikey", "secret_key", "secret key")
+#: words that may stand between a cue and its value
+FILLERS = frozenset(("number", "no", "nr", "num", "id", "is", "key", "code", "value", "holder"))
 
 DIGIT = frozenset("0123456789")
 ALNUM = DIGIT | frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
@@ -41,9 +44,9 @@ def anchors() -> ahocorasick.Automaton:
     found.add_word("+", ("plus", 1))
     found.add_word("@", ("at", 1))
     found.add_word("://", ("scheme", 3))
-    for cue in CUES:
-        for form in {cue, cue.capitalize(), cue.upper()}:
-            found.add_word(form, ("cue", len(form)))
+    for kind, words in (("cue", CUES), ("secret", SECRETS)):
+        for word in words:
+            found.add_word(word, (kind, len(word)))
     found.make_automaton()
     return found
 
@@ -135,21 +138,36 @@ def userinfo_from(text: str, scheme_end: int) -> tuple[int, int] | None:
     return (scheme_end, at) if at > scheme_end else None
 
 
-def account_after(text: str, start: int, end: int) -> tuple[int, int] | None:
-    """The identifier that follows the cue ``text[start:end]``: at least six
-    letters, digits, ``-`` or ``_``, four digits or more among them."""
+def account_after(text: str, start: int, end: int, secret: bool = False) -> tuple[int, int] | None:
+    """The value that follows the cue ``text[start:end]``, with separators and
+    at most two filler words between them: at least six letters, digits, ``-``
+    or ``_``.  An identifier has four digits or more; a secret has one or more
+    and follows ``:``, ``=`` or "is"."""
     if start and text[start - 1] in ALNUM:
         return None
-    n, at = len(text), end
-    while at < n and at < end + 6 and text[at] in " \t:=#\"'":
-        at += 1
-    if at == end:
-        return None
-    stop, digits = at, 0
-    while stop < n and (text[stop] in LABEL or text[stop] == "_"):
-        digits += text[stop] in DIGIT
-        stop += 1
-    return (at, stop) if stop - at >= 6 and digits >= 4 else None
+    n, at, fillers, told = len(text), end, 0, False
+    while True:
+        gap = at
+        while at < n and at < gap + 6 and text[at] in " \t:=#\"'.":
+            told |= text[at] in ":="
+            at += 1
+        stop = at
+        while stop < n and (text[stop] in LABEL or text[stop] == "_"):
+            stop += 1
+        word = text[at:stop].lower()
+        if at == gap or word not in FILLERS or fillers == 2:
+            break
+        told |= word == "is"
+        fillers, at = fillers + 1, stop
+    digits = sum(c in DIGIT for c in text[at:stop])
+    enough = told and digits if secret else digits >= 4
+    return (at, stop) if at > gap and stop - at >= 6 and enough else None
+
+
+def folded(text: str) -> str:
+    """``text`` in lower case, every character at its place."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
 def find(text: str) -> list[tuple[int, int, int]]:
@@ -157,7 +175,7 @@ def find(text: str) -> list[tuple[int, int, int]]:
     out: list[tuple[int, int, int]] = []
     # where the next match of each kind may start; a match that fails its check is used up too
     email = ip = card = phone = 0
-    for last, (kind, width) in anchors().iter(text):
+    for last, (kind, width) in anchors().iter(folded(text)):
         at = last - width + 1
         if kind == "digit":
             if at >= card:
@@ -188,7 +206,7 @@ def find(text: str) -> list[tuple[int, int, int]]:
             if span:
                 out.append((span[0], 4, span[1]))
         else:
-            span = account_after(text, at, last + 1)
+            span = account_after(text, at, last + 1, kind == "secret")
             if span:
                 out.append((span[0], 5, span[1]))
     return sorted(set(out))
@@ -220,25 +238,27 @@ def scan(docs: DataFrame) -> DataFrame:
     ``(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans)``.  One row
     per row, also for null or repeated ids; other columns are ignored."""
     def run(batches):
-        for b in batches:
-            rows = []
-            for t in texts(b.column("text")):
-                spans = find(t)
-                base = [x for x in spans if x[1] < len(BASE)]
-                counts = [sum(k == kind for _, k, _ in base) for kind in range(len(BASE))]
-                rows.append((*counts, hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans)))
-            cols = list(zip(*rows)) if rows else [[]] * 6
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), *[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.string()),
-                 pa.array(cols[5], pa.string())],
-                names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
+        for batch in batches:
+            for b in slices(batch, "text"):
+                rows = []
+                for t in texts(b.column("text")):
+                    spans = find(t)
+                    base = [x for x in spans if x[1] < len(BASE)]
+                    counts = [sum(k == kind for _, k, _ in base) for kind in range(len(BASE))]
+                    rows.append((*counts, hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans)))
+                cols = list(zip(*rows)) if rows else [[]] * 6
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id"), *[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.string()),
+                     pa.array(cols[5], pa.string())],
+                    names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string")
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """``docs`` with the personal data of ``text`` replaced; a null text stays
-    null, all other columns stay as they are."""
+    """``docs`` with the personal data of ``text`` replaced; a null or empty text
+    stays as it is, repeated rows and all other columns too; an empty table
+    gives an empty result."""
     def run(batches):
         for batch in batches:
             for b in slices(batch, "text"):

@@ -134,20 +134,45 @@ def _fields(lines: bytes) -> dict[str, str]:
     return out
 
 
+class _Sums:
+    """Digests of a stream of bytes: SHA-1, and those its headers name."""
+
+    def __init__(self, *claims: str):
+        names = {"sha1", *(c.partition(":")[0].lower().replace("-", "") for c in claims)}
+        self.sums = {n: hashlib.new(n) for n in names if n in hashlib.algorithms_available and not n.startswith("shake")}
+
+    def update(self, piece: bytes) -> None:
+        for h in self.sums.values():
+            h.update(piece)
+
+    def fits(self, claim: str) -> bool:
+        """Whether a claim ``algorithm:value``, in base32 or hexadecimal of
+        either case, is true; an algorithm nobody knows here cannot be judged."""
+        name, _, value = claim.partition(":")
+        h = self.sums.get(name.lower().replace("-", ""))
+        return h is None or value.lower() == h.hexdigest() or value.upper().rstrip("=") == base64.b32encode(h.digest()).decode().rstrip("=")
+
+
 def read_records(source: IO[bytes], keep_payload: bool = False) -> Iterator[Record]:
-    """The records of an archive in order; raises ValueError for a broken
-    frame or a digest that does not fit."""
+    """The records of an archive in order, of any type; raises ValueError for a
+    broken frame or a digest that does not fit.
+
+    Digests are optional: those a record has are verified, in any algorithm,
+    base32 or hexadecimal.  ``payload_digest`` of a record is its SHA-1
+    as bare upper-case base32, computed where the record names none."""
     pending = source.read(CHUNK)
     while pending:
         m = _Member(source, pending)
         first = m.until(b"\r\n\r\n")
-        if not first.startswith(b"WARC/1."):
+        if not first.startswith(b"WARC/"):
             raise ValueError("a record does not begin with a WARC version")
         headers = _fields(first)
-        length = int(headers["content-length"])
-        block, payload, kept, seen, http_head = hashlib.sha1(), hashlib.sha1(), [], 0, b""
+        if not headers.get("content-length", "").isdecimal():
+            raise ValueError("a record has no Content-Length")
+        claims = [headers.get(f"warc-{k}-digest", "") for k in ("block", "payload")]
+        block, payload, kept, seen, http_head = _Sums(claims[0]), _Sums(claims[1]), [], 0, b""
         in_http = headers.get("content-type", "").startswith("application/http")
-        for piece in m.take(length):
+        for piece in m.take(int(headers["content-length"])):
             block.update(piece)
             if in_http:
                 http_head += piece
@@ -163,14 +188,20 @@ def read_records(source: IO[bytes], keep_payload: bool = False) -> Iterator[Reco
                 kept.append(piece)
         if m.rest() != b"\r\n\r\n":
             raise ValueError("a record does not end with two line ends")
-        http, digest = _fields(http_head), headers.get("warc-payload-digest", "").removeprefix("sha1:")
-        if headers.get("warc-block-digest", "sha1:" + digest_of(block)) != "sha1:" + digest_of(block):
+        http, revisit = _fields(http_head), headers.get("warc-type") == "revisit"
+        if claims[0] and not block.fits(claims[0]):
             raise ValueError("a block digest does not fit")
-        if headers.get("warc-type") == "revisit":
-            seen = int(http.get("content-length", 0))  # of the payload that the record refers to
-        elif digest_of(payload) != digest or seen != int(http.get("content-length", seen)):
-            raise ValueError("a payload digest or length does not fit")
-        yield Record(headers, http, seen, digest, b"".join(kept) if keep_payload else None)
+        # a revisit's digest is that of the payload it refers to; a truncated one cannot fit
+        if claims[1] and not (revisit or "warc-truncated" in headers) and not payload.fits(claims[1]):
+            raise ValueError("a payload digest does not fit")
+        said = http.get("content-length", "")
+        if revisit:
+            seen = int(said) if said.isdecimal() else 0
+        elif said.isdecimal() and claims[1].startswith("sha1:") and "transfer-encoding" not in http and int(said) != seen:
+            raise ValueError("a payload length does not fit")
+        named = claims[1].lower().startswith("sha1:") and len(claims[1]) == 37
+        yield Record(headers, http, seen, claims[1][5:].upper() if named else digest_of(payload.sums["sha1"]),
+                     b"".join(kept) if keep_payload else None)
         pending = m.inflate.unused_data or m.pending or source.read(CHUNK)
 
 
