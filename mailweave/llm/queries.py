@@ -54,43 +54,60 @@ def _fits(rule: str) -> str:
 
 
 _BY_LENGTH = sorted(urls.RULES, key=lambda r: (-len(r[1]), r[1]))
+_SEGMENTS = "str_split(regexp_replace(regexp_replace(path, '[0-9a-fA-F]{16,}', '*', 'g'), '[0-9]+', '*', 'g'), '/')[2:]"
+
+
+def _children() -> str:
+    """The pieces of a path, as :func:`urls.children` cuts it."""
+    last = urls.DEPTH
+    one = [f"CASE WHEN len(segments) >= {k} THEN '/' || segments[{k}] ELSE '' END AS c{k}" for k in range(1, last)]
+    return ", ".join([*one, f"CASE WHEN len(segments) >= {last} THEN '/' || array_to_string(segments[{last}:], '/') ELSE '' END AS c{last}"])
+
+
+def _level(k: int) -> str:
+    """The common tables that generalise level ``k`` of the tree."""
+    return f"""
+kinds{k} AS (
+  SELECT host, up, c{k}, CASE WHEN count(*) OVER w > {urls.MAX_CHILDREN} AND n < sum(n) OVER w * CAST({urls.MIN_SHARE} AS DOUBLE)
+                              THEN '/*' ELSE c{k} END AS g
+  FROM (SELECT host, up, c{k}, sum(n) AS n FROM nodes{k - 1} GROUP BY ALL) WINDOW w AS (PARTITION BY host, up)),
+nodes{k} AS (
+  SELECT * EXCLUDE (g) REPLACE (up || g AS up, CASE WHEN g = '' THEN parent ELSE up END AS parent)
+  FROM nodes{k - 1} JOIN kinds{k} USING (host, up, c{k})),"""
+
+
+_KEYS = ", ".join(["host", *urls.LEVELS])
 ORACLE["op6_url_templates"] = f"""
 WITH cut AS (
   SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 parsed AS (
   SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{urls.UPPER}', '{urls.LOWER}') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
-base AS (
+cutup AS (
   SELECT *, CASE {" ".join(f"WHEN {_fits(r)} THEN '{r}'" for _, r in _BY_LENGTH)} END AS rule,
-         CASE {" ".join(f"WHEN {_fits(r)} THEN '{v}'" for v, r in _BY_LENGTH)} END AS label,
-         regexp_replace(regexp_replace(regexp_extract(path, '^/?([^/]*)', 1), '[0-9a-fA-F]{{16,}}', '*', 'g'), '[0-9]+', '*', 'g') AS head,
-         regexp_replace(regexp_replace(regexp_extract(path, '^/?[^/]*((?s).*)', 1), '[0-9a-fA-F]{{16,}}', '*', 'g'), '[0-9]+', '*', 'g') AS tail
+         CASE {" ".join(f"WHEN {_fits(r)} THEN '{v}'" for v, r in _BY_LENGTH)} END AS label, {_SEGMENTS} AS segments
   FROM parsed),
-nodes AS (SELECT host, head, tail, count(*) AS n, count(*) FILTER (label = 'block') AS blocked FROM base GROUP BY ALL),
-heads0 AS (
-  SELECT host, head, CASE WHEN count(*) OVER w > {urls.MAX_CHILDREN} AND n < sum(n) OVER w * CAST({urls.MIN_SHARE} AS DOUBLE)
-                          THEN '*' ELSE head END AS head_g
-  FROM (SELECT host, head, sum(n) AS n FROM nodes GROUP BY ALL) WINDOW w AS (PARTITION BY host)),
-nodes1 AS (SELECT * FROM nodes JOIN heads0 USING (host, head)),
-tails0 AS (
-  SELECT host, head_g, tail, CASE WHEN count(*) OVER w > {urls.MAX_CHILDREN} AND n < sum(n) OVER w * CAST({urls.MIN_SHARE} AS DOUBLE)
-                                  THEN '*' ELSE tail END AS tail_g
-  FROM (SELECT host, head_g, tail, sum(n) AS n FROM nodes1 GROUP BY ALL) WINDOW w AS (PARTITION BY host, head_g)),
-nodes2 AS (SELECT * FROM nodes1 JOIN tails0 USING (host, head_g, tail)),
-leaves AS (SELECT host, head_g, tail_g, CAST(sum(n) AS DOUBLE) AS n, CAST(sum(blocked) AS DOUBLE) AS blocked FROM nodes2 GROUP BY ALL),
-pooled AS (SELECT *, sum(blocked) OVER h / sum(n) OVER h AS p FROM leaves WINDOW h AS (PARTITION BY host, head_g)),
-alike AS (SELECT *, abs(blocked / n - p) > {urls.Z} * sqrt(p * (1 - p) / n) + 1 / n AS own FROM pooled),
+base AS (SELECT *, {_children()} FROM cutup),
+nodes0 AS (
+  SELECT {_KEYS}, '' AS up, '' AS parent, count(*) AS n, count(*) FILTER (label = 'block') AS blocked, count(label) AS labelled
+  FROM base GROUP BY ALL),{"".join(_level(k) for k in range(1, urls.DEPTH + 1))}
+leaves AS (
+  SELECT host, parent, up, CAST(sum(blocked) AS DOUBLE) AS blocked, CAST(sum(labelled) AS DOUBLE) AS labelled
+  FROM nodes{urls.DEPTH} WHERE labelled > 0 GROUP BY ALL),
+pooled AS (SELECT *, sum(blocked) OVER s / sum(labelled) OVER s AS p FROM leaves WINDOW s AS (PARTITION BY host, parent)),
+alike AS (
+  SELECT *, CASE WHEN abs(blocked / labelled - p) > {urls.Z} * sqrt(p * (1 - p) / labelled) + 1 / labelled THEN up END AS branch
+  FROM pooled),
 merged AS (
-  SELECT *, sum(blocked) OVER m AS mb, sum(n) OVER m AS mn, sum(blocked) OVER (PARTITION BY host) AS hb,
-         sum(n) OVER (PARTITION BY host) AS hn, sum(blocked) OVER () AS ab, sum(n) OVER () AS an
-  FROM alike WINDOW m AS (PARTITION BY host, head_g, own, CASE WHEN own THEN tail_g ELSE '' END)),
+  SELECT *, sum(blocked) OVER m AS mb, sum(labelled) OVER m AS ml, sum(blocked) OVER (PARTITION BY host) AS hb,
+         sum(labelled) OVER (PARTITION BY host) AS hl
+  FROM alike WINDOW m AS (PARTITION BY host, parent, branch)),
 bad AS (
-  SELECT host, head_g, tail_g FROM merged
-  WHERE (mb + {urls.SMOOTHING} * ((hb + {urls.SMOOTHING} * ((ab + 1) / (an + 2))) / (hn + {urls.SMOOTHING}))) / (mn + {urls.SMOOTHING}) >= {urls.REJECT}),
-branches AS (SELECT DISTINCT host, head, tail FROM nodes2 JOIN bad USING (host, head_g, tail_g))
-SELECT page_id, host, path, rule,
-       coalesce(label, CASE WHEN b.tail IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
-FROM base LEFT JOIN branches b USING (host, head, tail)
+  SELECT host, up FROM merged
+  WHERE (mb + {urls.SMOOTHING} * ((hb + {urls.SMOOTHING} * {urls.PRIOR}) / (hl + {urls.SMOOTHING}))) / (ml + {urls.SMOOTHING}) >= {urls.REJECT}),
+branches AS (SELECT DISTINCT {_KEYS}, true AS hit FROM nodes{urls.DEPTH} JOIN bad USING (host, up))
+SELECT page_id, host, path, rule, coalesce(label, CASE WHEN hit THEN 'block' ELSE 'allow' END) AS verdict
+FROM base LEFT JOIN branches USING ({_KEYS})
 """
 
 

@@ -1,14 +1,18 @@
 """URL filter by a path-template tree, in DataFrame operations only.
 
-Every host has a tree of two levels: the first path segment, and what follows
-it.  Segments are generalised into wildcards, first by form (long hexadecimal
-runs and digits), then by statistics: where a branch has more than
-``MAX_CHILDREN`` children, the children that hold less than ``MIN_SHARE`` of
-its pages become one wildcard.  Sibling branches whose share of block labels
-does not differ from their parent's by more than chance are merged.  A
-template is rejected when its labelled purity - the share of its pages that a
-rule blocks, smoothed towards its host's and the corpus's - reaches
-``REJECT``.  Pages a rule decides keep the rule's verdict.
+Every host has a tree of its path segments, ``DEPTH`` levels deep (the last
+level holds what follows).  Segments are generalised into wildcards, first by
+form (long hexadecimal runs and digits), then by statistics, level by level
+from the root: where a branch has more than ``MAX_CHILDREN`` children, the
+children that hold less than ``MIN_SHARE`` of its pages become one wildcard.
+
+Rules label pages.  Sibling templates with labelled pages whose share of
+blocked ones does not differ from that of all siblings by more than chance are
+merged.  A template is rejected when its purity - blocked pages of its labelled
+ones, smoothed towards its host's purity, and that towards ``PRIOR`` - reaches
+``REJECT``.  A template without a labelled page is never rejected: labels
+elsewhere on the host say nothing about it.  Pages a rule decides keep the
+rule's verdict.
 """
 
 from __future__ import annotations
@@ -22,7 +26,8 @@ from .common import Scratch
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 MAX_CHILDREN = 20
 MIN_SHARE = 0.05
-SMOOTHING = 10.0
+DEPTH = 4
+SMOOTHING, PRIOR = 10.0, 0.1
 Z = 2.0
 REJECT = 0.5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -51,51 +56,64 @@ def by_form(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, "[0-9a-fA-F]{16,}", "*"), "[0-9]+", "*")
 
 
-def _generalise(nodes: DataFrame, parent: list[str], child: str, scratch: Scratch) -> DataFrame:
-    """Column ``child`` with the rare children of crowded branches as ``*``."""
-    children = nodes.groupBy(*parent, child).agg(F.sum("n").alias("n"))
+def _generalise(nodes: DataFrame, parent: list[str], child: str, scratch: Scratch, wildcard: str = "*") -> DataFrame:
+    """Column ``child`` with the rare children of crowded branches as a wildcard."""
+    kinds = nodes.groupBy(*parent, child).agg(F.sum("n").alias("n"))
     # written, so that AQE can split the join where one host has most of the rows
-    parents = scratch.table(children.groupBy(*parent).agg(F.count(F.lit(1)).alias("_kinds"), F.sum("n").alias("_all"))
+    parents = scratch.table(kinds.groupBy(*parent).agg(F.count(F.lit(1)).alias("_kinds"), F.sum("n").alias("_all"))
                             .where(F.col("_kinds") > MAX_CHILDREN), f"crowded-{child}")
-    rare = scratch.table(children.join(parents, parent).where(F.col("n") < F.col("_all") * MIN_SHARE)
+    rare = scratch.table(kinds.join(parents, parent).where(F.col("n") < F.col("_all") * MIN_SHARE)
                          .select(*parent, child, F.lit(True).alias("_rare")), f"rare-{child}")
     return (nodes.join(rare, [*parent, child], "left")
-            .withColumn(f"{child}_g", F.when(F.col("_rare"), F.lit("*")).otherwise(F.col(child))).drop("_rare"))
+            .withColumn(f"{child}_g", F.when(F.col("_rare"), F.lit(wildcard)).otherwise(F.col(child))).drop("_rare"))
+
+
+def children(path: Column) -> list[Column]:
+    """The path by form, cut into ``DEPTH`` pieces: each a slash and a segment
+    (the last one all that follow), empty where the path has ended."""
+    segments = F.slice(F.split(by_form(path), "/", -1), 2, 1 << 30)
+    one = [F.when(F.size(segments) >= k, F.concat(F.lit("/"), F.element_at(segments, k))).otherwise(F.lit("")) for k in range(1, DEPTH)]
+    rest = F.concat(F.lit("/"), F.array_join(F.slice(segments, DEPTH, 1 << 30), "/"))
+    return [*one, F.when(F.size(segments) >= DEPTH, rest).otherwise(F.lit(""))]
+
+
+LEVELS = [f"c{k}" for k in range(1, DEPTH + 1)]
 
 
 def rejected_templates(base: DataFrame, scratch: Scratch) -> DataFrame:
-    """``base(host, head, tail, label)`` -> the distinct ``(host, head, tail)``
-    whose template is rejected."""
-    nodes = scratch.table(base.groupBy("host", "head", "tail").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == "block").alias("blocked")), "nodes")
-    nodes = _generalise(nodes, ["host"], "head", scratch)
-    nodes = scratch.table(_generalise(nodes, ["host", "head_g"], "tail", scratch), "generalised")
-    sums = [F.sum("n").alias("n"), F.sum("blocked").alias("blocked")]
-    leaves = nodes.groupBy("host", "head_g", "tail_g").agg(*sums)
-    heads = scratch.table(leaves.groupBy("host", "head_g").agg(F.sum("n").alias("head_n"),
-                                                              F.sum("blocked").alias("head_blocked")), "heads")
-    hosts = scratch.table(heads.groupBy("host").agg(F.sum("head_n").alias("host_n"),
-                                                    F.sum("head_blocked").alias("host_blocked")), "hosts")
-    all_blocked, all_n = hosts.agg(F.coalesce(F.sum("host_blocked"), F.lit(0)),
-                                   F.coalesce(F.sum("host_n"), F.lit(0))).first()
-    pooled = F.col("head_blocked") / F.col("head_n")
-    spread = Z * F.sqrt(pooled * (1 - pooled) / F.col("n")) + 1 / F.col("n")
-    leaves = scratch.table(
-        leaves.join(heads, ["host", "head_g"])
-        .withColumn("own", F.abs(F.col("blocked") / F.col("n") - pooled) > spread)
-        .select("host", "head_g", "tail_g", "own", F.when(F.col("own"), F.col("tail_g")).otherwise(F.lit("")).alias("branch"),
-                "n", "blocked"), "leaves")
-    merged = leaves.groupBy("host", "head_g", "branch", "own").agg(*sums)
-    prior = F.lit((all_blocked + 1) / (all_n + 2))
-    host_purity = (F.col("host_blocked") + SMOOTHING * prior) / (F.col("host_n") + SMOOTHING)
+    """``base(host, c1.., label)`` -> the distinct ``(host, c1..)`` whose
+    template is rejected.  Tables of the way are deleted as soon as the next
+    one is written; the one that is returned stays."""
+    blocked, labelled = F.count_if(F.col("label") == "block"), F.count("label")
+    nodes = scratch.table(base.groupBy("host", *LEVELS).agg(F.count(F.lit(1)).alias("n"), blocked.alias("blocked"), labelled.alias("labelled"))
+                          .withColumn("up", F.lit("")).withColumn("parent", F.lit("")), "nodes-0")
+    for k, c in enumerate(LEVELS, 1):
+        # the parent of a template is the branch its last segment hangs on
+        grown = _generalise(nodes, ["host", "up"], c, scratch, wildcard="/*")
+        nodes = scratch.table(grown.withColumn("parent", F.when(F.col(f"{c}_g") == "", F.col("parent")).otherwise(F.col("up")))
+                              .withColumn("up", F.concat("up", f"{c}_g")).drop(f"{c}_g"), f"nodes-{k}")
+        scratch.drop(f"nodes-{k - 1}", f"crowded-{c}", f"rare-{c}")
+    sums = [F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled")]
+    leaves = scratch.table(nodes.where("labelled > 0").groupBy("host", "parent", "up").agg(*sums), "leaves")
+    over = [F.sum("blocked").alias("all_blocked"), F.sum("labelled").alias("all_labelled")]
+    parents = scratch.table(leaves.groupBy("host", "parent").agg(*over), "parents")
+    hosts = scratch.table(leaves.groupBy("host").agg(*over), "hosts")
+    pooled = F.col("all_blocked") / F.col("all_labelled")
+    spread = Z * F.sqrt(pooled * (1 - pooled) / F.col("labelled")) + 1 / F.col("labelled")
+    own = F.abs(F.col("blocked") / F.col("labelled") - pooled) > spread
+    branched = leaves.join(parents, ["host", "parent"]).select(
+        "host", "parent", "up", F.when(own, F.col("up")).alias("branch"), "blocked", "labelled")
+    branched = scratch.table(branched, "branched")
+    host_purity = (F.col("all_blocked") + SMOOTHING * PRIOR) / (F.col("all_labelled") + SMOOTHING)
     bad = scratch.table(
-        merged.join(hosts, "host")
-        .where((F.col("blocked") + SMOOTHING * host_purity) / (F.col("n") + SMOOTHING) >= REJECT)
-        .select("host", "head_g", "branch", "own"), "rejected")
-    bad = leaves.join(bad, ["host", "head_g", "branch", "own"], "left_semi").select("host", "head_g", "tail_g")
-    bad = scratch.table(bad, "rejected-templates")
-    return scratch.table(nodes.join(bad, ["host", "head_g", "tail_g"], "left_semi").select("host", "head", "tail"),
-                         "rejected-branches")
+        branched.groupBy("host", "parent", "branch").agg(*sums).join(hosts, "host")
+        .where((F.col("blocked") + SMOOTHING * host_purity) / (F.col("labelled") + SMOOTHING) >= REJECT)
+        .select(F.col("host").alias("_host"), F.col("parent").alias("_parent"), F.col("branch").alias("_branch")), "rejected")
+    same = [F.col("host") == F.col("_host"), F.col("parent") == F.col("_parent"), F.col("branch").eqNullSafe(F.col("_branch"))]
+    bad = scratch.table(branched.join(bad, same, "left_semi").select("host", "up"), "rejected-templates")
+    out = scratch.table(nodes.join(bad, ["host", "up"], "left_semi").select("host", *LEVELS), "rejected-branches")
+    scratch.drop(f"nodes-{DEPTH}", "leaves", "parents", "hosts", "branched", "rejected", "rejected-templates")
+    return out
 
 
 def judge(pages: DataFrame, scratch: Scratch, rules=RULES) -> DataFrame:
@@ -107,9 +125,8 @@ def judge(pages: DataFrame, scratch: Scratch, rules=RULES) -> DataFrame:
         "page_id", host.alias("host"), path.alias("path"))
     rule, label = matching_rule(rules)
     base = base.select("page_id", "host", "path", rule.alias("rule"), label.alias("label"),
-                       by_form(F.regexp_extract("path", r"^/?([^/]*)", 1)).alias("head"),
-                       by_form(F.regexp_extract("path", r"^/?[^/]*((?s).*)", 1)).alias("tail"))
+                       *[c.alias(name) for c, name in zip(children(F.col("path")), LEVELS)])
     bad = rejected_templates(base, scratch).withColumn("_bad", F.lit(True))
-    return base.join(bad, ["host", "head", "tail"], "left").select(
+    return base.join(bad, ["host", *LEVELS], "left").select(
         "page_id", "host", "path", "rule",
         F.coalesce("label", F.when(F.col("_bad"), F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"))

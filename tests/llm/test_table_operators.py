@@ -133,6 +133,24 @@ def test_crowded_branches_become_wildcards(spark, scratch):
     assert got["big"] == "big" and {got[w] for w in words} == {"*"}
 
 
+def test_segments_are_generalised_one_by_one(spark, scratch):
+    """Unlike pages below a variable segment are judged apart, at any depth; a
+    branch without a labelled page stays, whatever the rest of its host is."""
+    values = [f"http://s.test/shop/{chr(97 + k % 26)}{chr(97 + k // 26)}/{leaf}" for k in range(60) for leaf in ("checkout", "info/more")]
+    values += [f"http://s.test/other/{k}" for k in range(30)]
+    rules = tuple(("block", f"s.test/shop/{chr(97 + k % 26)}{chr(97 + k // 26)}/checkout") for k in range(0, 60, 2))
+    rules += tuple(("allow", f"s.test/shop/{chr(97 + k % 26)}{chr(97 + k // 26)}/info") for k in range(0, 60, 3))
+    got = url_rows(spark, scratch, values, rules=rules)
+    verdicts = {leaf: {got[k].verdict for k, v in enumerate(values) if leaf in v} for leaf in ("checkout", "info", "other")}
+    assert verdicts == {"checkout": {"block"}, "info": {"allow"}, "other": {"allow"}}
+
+
+def test_very_long_and_odd_paths(spark, scratch):
+    long = "http://l.test/" + "a/" * 20_000 + "x" * 100_000
+    got = url_rows(spark, scratch, [long, "http://l.test", "http://l.test/", "http://l.test//", "http://l.test/a//b/"] * 3)
+    assert len(got) == 15 and {r.verdict for r in got.values()} == {"allow"} and got[0].path == long[13:]
+
+
 def test_url_frames(spark, scratch):
     df = spark.createDataFrame([(None, "http://a.net/"), (1, "http://a.net/"), (1, "http://a.net/")], "page_id bigint, url string")
     assert sorted(repr(r.page_id) for r in urls.judge(df, scratch()).collect()) == ["1", "1", "None"]
