@@ -135,12 +135,44 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: components by the smallest reachable id, over the pairs that reach the threshold
+ORACLE["op9_embedding_cells"] = f"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, len(v) AS size, list_transform(v, lambda x: x / top) AS v
+  FROM (SELECT vec_id, v, list_max(list_transform(v, lambda x: abs(x))) AS top
+        FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
+        WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+  WHERE top > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.size = b.size AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= {embed.THRESHOLD}),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+smallest AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+counted AS (SELECT a, count(DISTINCT b) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN smallest ON vec_id = smallest.a LEFT JOIN counted ON vec_id = counted.a
+"""
+
+
 @query
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.round_trip(table(spark, sf_dir, "pages"), Scratch(spark, "op1"))
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(h, {5 * k + 1}, 5) AS INTEGER) >> {bits}) & 31), 1)"
+    for k in range(8) for bits in (15, 10, 5, 0))
+ORACLE["op1_warc"] = f"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+last AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS newest FROM payloads)
+SELECT page_id, strlen(payload) AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id < newest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < newest THEN newest END AS refers_to
+FROM last
+"""
+
+
 @query
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.round_trip(table(spark, sf_dir, "documents"), Scratch(spark, "op7"),

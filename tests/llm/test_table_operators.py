@@ -294,19 +294,15 @@ VECTORS = "vec_id bigint, embedding array<float>, label int"
 def brute_vectors(rows, threshold=0.9):
     rows = list({(i, None if v is None else tuple(v)): (i, v) for i, v in rows}.values())
     ok = [(i, v) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
-    sizes = {}
-    for _, v in ok:
-        sizes[len(v)] = sizes.get(len(v), 0) + 1
-    size = min(sizes, key=lambda s: (-sizes[s], s)) if sizes else 0
-    ok = [(i, v) for i, v in ok if len(v) == size]
     out = {}
-    if ok:
-        x = np.array([v for _, v in ok], dtype=np.float32).astype(np.float64)
+    for size in {len(v) for _, v in ok}:                       # vectors of one length are compared with each other
+        same = [(i, v) for i, v in ok if len(v) == size]
+        x = np.array([v for _, v in same], dtype=np.float32).astype(np.float64)
         x /= np.abs(x).max(axis=1, keepdims=True)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         link = x @ x.T >= threshold
         np.fill_diagonal(link, False)
-        ids = [i for i, _ in ok]
+        ids = [i for i, _ in same]
         parent = list(range(len(ids)))
         for a, b in zip(*np.nonzero(link)):
             while parent[a] != a:
@@ -370,3 +366,106 @@ def test_odd_vectors(spark, scratch):
 
 def test_test_table_vectors(spark, scratch):
     check_vectors(spark, scratch, [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()])
+
+
+# --- models against loops -----------------------------------------------------
+
+def loop_tree(g, h, depth):
+    """Greedy tree over ordered bins, every cut tried one by one."""
+    total = sum(g) / (sum(h) + quality.RIDGE)
+    if depth == 0 or len(g) < 2:
+        return [total] * len(g)
+    best = None
+    for cut in range(1, len(g)):
+        gain = sum(g[:cut]) ** 2 / (sum(h[:cut]) + quality.RIDGE) + sum(g[cut:]) ** 2 / (sum(h[cut:]) + quality.RIDGE)
+        if best is None or gain > best[0] + 1e-12:
+            best = (gain, cut)
+    cut = best[1]
+    return loop_tree(g[:cut], h[:cut], depth - 1) + loop_tree(g[cut:], h[cut:], depth - 1)
+
+
+def loop_bin(edges, value):
+    return sum(1 for e in edges if e <= value)
+
+
+def test_gam_tables_against_loops(monkeypatch):
+    """Cyclic boosting of the tables, and scores by table look-up, row by row."""
+    import math
+    monkeypatch.setattr(quality, "ROUNDS", 6)
+    monkeypatch.setattr(quality, "PAIRS", 0)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(80, 3)).round(1)
+    y = (x[:, 0] + 0.5 * rng.normal(size=80) > 0).astype(float)
+    model = quality.Gam().fit(x, y)
+    rate = (y.sum() + 0.5) / 81
+    total, tables = [math.log(rate / (1 - rate))] * 80, [[0.0] * (len(e) + 1) for e in model.edges]
+    bins = [[loop_bin(e, x[r, f]) for r in range(80)] for f, e in enumerate(model.edges)]
+    for _ in range(6):
+        for f in range(3):
+            g, h = [0.0] * len(tables[f]), [0.0] * len(tables[f])
+            for r in range(80):
+                p = 1 / (1 + math.exp(-total[r]))
+                g[bins[f][r]] += y[r] - p
+                h[bins[f][r]] += p * (1 - p)
+            step = [quality.RATE * v for v in loop_tree(g, h, 2)]
+            tables[f] = [t + v for t, v in zip(tables[f], step)]
+            total = [t + step[bins[f][r]] for r, t in enumerate(total)]
+    for f in range(3):
+        assert np.allclose(model.tables[f], tables[f])
+    assert np.allclose(model.score(x), [1 / (1 + math.exp(-t)) for t in total])
+
+
+def test_gam_scores_with_pairs_against_loops():
+    import math
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 3))
+    y = (x[:, 0] * x[:, 1] > 0).astype(float)
+    model = quality.Gam().fit(x, y)
+    assert model.pairs
+    for row, score in zip(x[:50], model.score(x[:50])):
+        total = model.intercept + sum(t[loop_bin(e, v)] for t, e, v in zip(model.tables, model.edges, row))
+        total += sum(t[loop_bin(model.coarse[i], row[i])][loop_bin(model.coarse[j], row[j])] for t, (i, j) in zip(model.pair_tables, model.pairs))
+        assert score == pytest.approx(1 / (1 + math.exp(-total)))
+
+
+def test_network_against_loops():
+    """Embedding, filters of each width, pooling and softmax, number by number."""
+    import math
+
+    from mailweave.llm import langid
+    rng = np.random.default_rng(6)
+    model = langid.ByteConvNet(["a", "b", "c"])
+    p = model.params
+    p["bias"] = rng.normal(0, 0.2, p["bias"].shape).astype(np.float32)
+    p["shift"] = rng.normal(0, 0.2, p["shift"].shape).astype(np.float32)
+    windows = rng.integers(0, 256, (4, langid.WINDOW)).astype(np.uint8)
+    for window, got in zip(windows, model.probabilities(windows)):
+        hidden = []
+        for f in range(len(langid.WIDTHS) * langid.FILTERS):
+            width, best = langid.WIDTHS[f // langid.FILTERS], -math.inf
+            for at in range(langid.WINDOW - max(langid.WIDTHS) + 1):
+                total = 0.0
+                for k in range(width):
+                    for e in range(langid.EMBEDDING):
+                        total += float(p["emb"][window[at + k], e]) * float(p["conv"][k * langid.EMBEDDING + e, f])
+                best = max(best, total)
+            hidden.append(max(best + float(p["bias"][f]), 0.0))
+        z = [sum(h * float(p["out"][f, c]) for f, h in enumerate(hidden)) + float(p["shift"][c]) for c in range(3)]
+        want = [math.exp(v - max(z)) for v in z]
+        assert np.allclose(got, np.array(want) / sum(want), atol=1e-4)
+
+
+@pytest.mark.parametrize("name", ["op1_warc", "op9_embedding_cells"])
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    from mailweave.llm import queries
+    con = duckdb.connect()
+    for t in ("pages", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    got = queries.REGISTRY[name](spark, SF)
+    want = con.execute(queries.ORACLE[name])
+    order = sorted(c[0] for c in want.description)
+    assert sorted(got.columns) == order
+    at = [[c[0] for c in want.description].index(c) for c in order]
+    assert sorted((tuple(r[c] for c in order) for r in got.collect()), key=repr) == sorted((tuple(r[k] for k in at) for r in want.fetchall()), key=repr)

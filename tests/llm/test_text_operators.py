@@ -133,8 +133,10 @@ def test_fingerprints(documents):
 def test_fingerprint_of_many_shingles_in_pieces():
     rng = random.Random(2)
     text = " ".join(rng.choice("abcdefgh") for _ in range(70_000))
-    h = np.array([xxhash.xxh64_intdigest(" ".join(text.split()[i:i + 4]), 42) for i in range(0)], dtype=np.uint64)
-    assert len(h) == 0 and simhash.simhash(text.encode()) == simhash.simhash((" " + text + "\n").encode())
+    words = text.split()
+    h = [xxhash.xxh64_intdigest(" ".join(words[i:i + 4]), 42) for i in range(len(words) - 3)]
+    want = sum(1 << bit for bit in range(64) if 2 * sum(x >> bit & 1 for x in h) > len(h))
+    assert simhash.simhash(text.encode()) == simhash.simhash((" " + text + "\n").encode()) == want
 
 
 def clustered(n, seed, spread):
@@ -299,19 +301,7 @@ def test_leaks_of_edited_items(spark):
         docs.append((k, " ".join(noise() + w + noise())))
     index = decontam.Index(items)
     got = {(docs[d][0], index.ids[k]) for d, k, *_ in index.search([t for _, t in docs])}
-    want = brute_leaks(docs, items)
-    assert got <= want
-    # an edited item lies in one window of twice the longest item, so no leak of contiguous words is missed;
-    # what only whole texts add are shingles that meet by chance far apart
-    longest = max(len(decontam.words(t)) for _, t in items)
-    spread = set()
-    for d, i in want - got:
-        words = decontam.words(docs[d][1])
-        own = decontam.words(items[i][1])
-        if not any(len(set(decontam.shingles(own)) & set(decontam.shingles(words[at:at + longest]))) >= 0.8 * len(set(decontam.shingles(own)))
-                   for at in range(len(words))):
-            spread.add((d, i))
-    assert want - got == spread
+    assert got == brute_leaks(docs, items) | brute_border_leaks(docs, items) and got
 
 
 def test_leaks_do_not_depend_on_the_offset():
