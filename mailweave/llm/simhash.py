@@ -10,8 +10,10 @@ Two fingerprints within the budget agree in one block at least, so for each
 block there is one trie with that block's bits on top, and only subtrees under
 equal top blocks have to be joined with themselves.  Subtrees larger than
 ``SUBTREE`` are cut deeper: their nodes some levels down are joined pair by
-pair, again only pairs within the budget.  Linked leaves leave a task as a
-spanning forest, never as all pairs.
+pair, again only pairs within the budget.  What is still larger then (edited
+copies of one text agree in most bits) is dealt by hash into shares of that
+size, and pairs of shares are joined, so no group is walked by one task alone.
+Linked leaves leave a task as a spanning forest, never as all pairs.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ BUDGET = 4
 SEED = 42
 #: leaves a task joins at once; larger subtrees are cut deeper
 SUBTREE = 20_000
+#: shares that a group is dealt into at most (two of 11 bits fit into a key)
+SHARES = 2048
 #: node pairs held at once, and the leaf product below which a pair is compared directly
 FRONTIER, DIRECT = 400_000, 64
 
@@ -163,6 +167,28 @@ def _links(budget: int):
     return run
 
 
+def _shared_out(dealt: DataFrame, subtree: int) -> DataFrame:
+    """Rows of keys with more than twice ``subtree`` rows, dealt to pairs of
+    shares: each share meets itself and every other one, under keys of their
+    own.  In a cross join of two subtrees the shares of one meet those of the
+    other."""
+    large = (dealt.groupBy("key").count().where(F.col("count") > 2 * subtree)
+             .select("key", F.least(F.lit(SHARES), F.ceil(F.col("count") / subtree)).cast("int").alias("shares")))
+    # at most one such key per 2 * subtree rows; most often there is none, and nothing is joined
+    if large.isEmpty():
+        return dealt
+    rows = dealt.join(large, "key", "left").withColumn("shares", F.coalesce("shares", F.lit(1)))
+    rows = rows.withColumn("h", F.pmod(F.xxhash64("node"), F.col("shares")).cast("int"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("o"))
+    alone = F.col("sides") == 1
+    x = F.when(alone, F.least("h", "o")).when(F.col("cross") == 0, F.col("h")).otherwise(F.col("o"))
+    y = F.when(alone, F.greatest("h", "o")).when(F.col("cross") == 0, F.col("o")).otherwise(F.col("h"))
+    return rows.select(
+        "fp", "node", "block", F.when(alone, (F.col("h") > F.col("o")).cast("int")).otherwise(F.col("cross")).alias("cross"),
+        F.when(alone & (x == y), F.lit(1)).otherwise(F.lit(2)).alias("sides"),
+        F.col("key").bitwiseOR(F.shiftleft(x.cast("bigint"), 37)).bitwiseOR(F.shiftleft(y.cast("bigint"), 51)).alias("key"))
+
+
 def near_links(leaves: DataFrame, budget: int = BUDGET, subtree: int = SUBTREE) -> DataFrame:
     """``leaves(fp, node)``, one row per distinct fingerprint -> ``(a, b)``
     links between nodes that span every component of fingerprints within
@@ -191,6 +217,7 @@ def near_links(leaves: DataFrame, budget: int = BUDGET, subtree: int = SUBTREE)
         F.expr("CASE WHEN own = `with` THEN 1 ELSE 2 END").alias("sides"),
         F.expr("shiftleft(cast(block AS bigint), 48) | shiftleft(top, 24) | shiftleft(least(own, `with`), 12)"
                " | greatest(own, `with`)").alias("key"))
+    dealt = _shared_out(dealt, subtree)
     n = max(1, int(leaves.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return (dealt.repartition(n, "key").sortWithinPartitions("key")
             .mapInArrow(_links(budget), "a bigint, b bigint"))

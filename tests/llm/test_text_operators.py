@@ -170,6 +170,35 @@ def test_links_span_all_components(spark, scratch, subtree):
     assert {n: got.get(n, n) for n in range(len(v))} == want
 
 
+def test_one_group_of_near_copies_is_dealt_to_many_keys(spark, scratch):
+    """Fingerprints that agree in 54 bits: whatever is cut, no key holds the
+    group, and its components are those of all pairs."""
+    from mailweave.llm.components import components
+    rng = np.random.default_rng(11)
+    v = np.unique(rng.choice(1024, 400, replace=False).astype(np.uint64) | np.uint64(0x5A5A << 40))
+    leaves = spark.createDataFrame([(int(x), k) for k, x in enumerate(v)], "fp bigint, node bigint")
+    dealt = leaves.selectExpr("fp", "node", "0 AS block", "CAST(node % 2 AS int) AS cross", "2 AS sides", "7L AS key").unionByName(
+        leaves.selectExpr("fp", "node", "1 AS block", "0 AS cross", "1 AS sides", "8L AS key"))
+    out = simhash._shared_out(dealt, 20).collect()
+    rows, met = {}, {}
+    for r in out:
+        rows[r.key] = rows.get(r.key, 0) + 1
+        met.setdefault((r.key, r.sides), {}).setdefault(r.cross, set()).add(r.node)
+    assert max(rows.values()) < 130 and len(rows) > 200
+    pairs = {"alone": set(), "across": set()}
+    for (key, sides), side in met.items():
+        first, second = side.get(0, set()), side.get(1, set())
+        kind = "alone" if key & 0xF == 8 else "across"
+        found = [(a, b) for a in first for b in first] if sides == 1 else [(a, b) for a in first for b in second]
+        pairs[kind] |= {tuple(sorted(p)) for p in found if p[0] != p[1]}
+    n = len(v)
+    assert pairs["alone"] == {(a, b) for a in range(n) for b in range(a + 1, n)}
+    assert pairs["across"] == {tuple(sorted((a, b))) for a in range(0, n, 2) for b in range(1, n, 2)}
+    got = {r.node: r.component for r in components(simhash.near_links(leaves, 4, 20), scratch()).collect()}
+    links = [(i, j) for i in range(n) for j in range(i + 1, n) if int(v[i] ^ v[j]).bit_count() <= 4]
+    assert {k: got.get(k, k) for k in range(n)} == brute_components(range(n), links)
+
+
 def test_near_duplicates_against_all_pairs(spark, scratch, documents, odd_documents):
     for docs in (documents, odd_documents):
         got = simhash.near_duplicates(docs, scratch()).collect()
