@@ -58,6 +58,14 @@ class Scratch:
             p = jvm.org.apache.hadoop.fs.Path(self.path(n))
             p.getFileSystem(conf).delete(p, True)
 
+    def drop_like(self, prefix: str) -> None:
+        """Delete the tables whose names begin so; nothing may read them any more."""
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.dir)
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        self.drop(*[n for n in names if n.startswith(prefix)])
+
 
 def crc_fold(key: str = "doc_id") -> Column:
     """crc32 of the id written as text, modulo ``HELD_OUT_FOLDS``; 0 is held out.

@@ -69,7 +69,9 @@ def matrix(column) -> np.ndarray:
 def fit_cells(reps: DataFrame, n: int) -> np.ndarray:
     """Centroids fitted on at most about SAMPLE distinct vectors of one length, picked by a hash."""
     few = reps.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / n)))
-    rows = few.select("node", "v").limit(2 * SAMPLE).toArrow()
+    rows = few.select("node", "v").limit(2 * SAMPLE + 1).toArrow()
+    if rows.num_rows > 2 * SAMPLE:
+        raise ValueError(f"more than {2 * SAMPLE} vectors in a sample of {SAMPLE}")
     if not rows.num_rows:
         rows = reps.select("node", "v").limit(1).toArrow()
     x = matrix(rows["v"].combine_chunks())
@@ -252,5 +254,6 @@ def near_duplicates(vectors: DataFrame, scratch: Scratch, threshold: float = THR
     linked = able.join(classes, "v").select(
         "vec_id", (F.col("copies") - 1 + F.col("n")).alias("n_links"), "component_id")
     alone = rows.where("v IS NULL").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
-    scratch.drop("vectors", "groups", "members", "found")
+    scratch.drop("vectors", "groups", "members", "found", "reps")
+    scratch.drop_like("edges-")
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

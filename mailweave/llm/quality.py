@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_fold, utf8
+from .common import crc_fold, slices, utf8
 
 #: bound of the labelled sample the model is fitted on (documents, in expectation)
 MAX_TRAIN = 20_000
@@ -203,21 +203,26 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN
     n = known.count()
     if n > max_train:
         known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * max_train / n))
-    picked = known.limit(2 * max_train).collect()  # the limit is a guard, never reached by an even hash
+    picked = known.limit(2 * max_train + 1).collect()
+    if len(picked) > 2 * max_train:
+        raise ValueError(f"more than {2 * max_train} documents in a sample of {max_train}")
     if not picked:
         return np.zeros((0, len(FEATURES))), np.zeros(0)
     spark = docs.sparkSession
     few = spark.createDataFrame([(r["doc_id"], r["y"]) for r in picked], "doc_id bigint, y int")
 
     def run(batches):
-        for b in batches:
-            x = matrix(b.column("text"))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("y"), pa.array([r.tobytes() for r in x], pa.binary())],
-                names=["doc_id", "y", "x"])
+        for batch in batches:
+            for b in slices(batch, "text"):
+                x = matrix(b.column("text"))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id"), b.column("y"), pa.array([r.tobytes() for r in x], pa.binary())],
+                    names=["doc_id", "y", "x"])
     rows = (docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
             .join(F.broadcast(few), "doc_id").select("doc_id", "text", "y")
-            .mapInArrow(run, "doc_id bigint, y int, x binary").collect())
+            .mapInArrow(run, "doc_id bigint, y int, x binary").limit(4 * max_train + 1).collect())
+    if len(rows) > 4 * max_train:
+        raise ValueError("a labelled doc_id stands at too many documents to learn from")
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["x"])))
     x = np.frombuffer(b"".join(bytes(r["x"]) for r in rows)).reshape(-1, len(FEATURES))
     return x, np.array([r["y"] for r in rows], dtype=float)

@@ -237,6 +237,8 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, shingle: int = SHINGLE, b
     comp = components(near_links(leaves, budget), scratch)
     classes = scratch.table(
         leaves.join(comp, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id")), "classes")
+    scratch.drop("leaves")
+    scratch.drop_like("edges-")
     # both sides are tables, so AQE can split the fingerprint of a large group of copies
     return (fps.join(classes, "fp", "left")
             .select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
