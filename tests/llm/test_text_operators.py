@@ -311,8 +311,8 @@ def brute_leaks(docs, items):
 def test_leaks_against_brute_force(spark, documents):
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     got = {(r.doc_id, r.item_id) for r in decontam.leaks(documents, items).collect()}
-    want = brute_leaks([tuple(r) for r in documents.select("doc_id", "text").collect()], [tuple(r) for r in items.collect()])
-    assert got == want and got
+    docs, items = [tuple(r) for r in documents.select("doc_id", "text").collect()], [tuple(r) for r in items.collect()]
+    assert got == brute_leaks(docs, items) | brute_apart_leaks(docs, items) and got
 
 
 def test_leaks_of_edited_items(spark):
@@ -330,7 +330,7 @@ def test_leaks_of_edited_items(spark):
         docs.append((k, " ".join(noise() + w + noise())))
     index = decontam.Index(items)
     got = {(docs[d][0], index.ids[k]) for d, k, *_ in index.search([t for _, t in docs])}
-    assert got == brute_leaks(docs, items) | brute_border_leaks(docs, items) and got
+    assert got == brute_leaks(docs, items) | brute_apart_leaks(docs, items) and got
 
 
 def test_leaks_do_not_depend_on_the_offset():
@@ -361,20 +361,28 @@ def test_edited_items_all_found():
         docs.append((k, " ".join(pick(rng.randint(0, 300)) + w[:at] + pick(rng.choice([0, 1, 80])) + w[at:] + pick(rng.randint(0, 300)))))
     index = decontam.Index(items)
     got = {(docs[d][0], index.ids[k]) for d, k, *_ in index.search([t for _, t in docs])}
-    assert got == brute_leaks(docs, items) | brute_border_leaks(docs, items) and got
+    assert got == brute_leaks(docs, items) | brute_apart_leaks(docs, items) and got
 
 
-def brute_border_leaks(docs, items):
-    """The rule where question and answer stand apart: the text joined with a copy of
-    the border, if it holds the last five words before and the first ones after it."""
+def brute_apart_leaks(docs, items):
+    """Question and answer judged on the shingles wholly inside each, near each other, by plain loops."""
     out = set()
     for i, item in items:
-        w, q = decontam.split_item(item)
-        if 5 <= q < len(w):
-            for d, text in docs:
-                flat = f" {' '.join(decontam.words(text))} "
-                if f" {' '.join(w[q - 5:q])} " in flat and f" {' '.join(w[q:q + 5])} " in flat:
-                    out |= brute_leaks([(d, f"{text} {' '.join(w[q - 5:q + 5])}")], [(i, item)])
+        w, q = decontam.split_item(item or "")
+        if not 0 < q < len(w) or len(w) < 5:
+            continue
+        parts = [set(decontam.shingles(w[:q])), set(decontam.shingles(w[q:]))]
+        sizes = [min(5, q), min(5, len(w) - q)]
+        for d, text in docs:
+            words = decontam.words(text or "")
+            at = [[k for k in range(len(words) - n + 1) if tuple(words[k:k + n]) in p] for p, n in zip(parts, sizes)]
+            held = [{tuple(words[k:k + n]) for k in places} for places, n in zip(at, sizes)]
+            if sum(map(len, held)) < 0.8 * sum(map(len, parts)) or any(len(h) < 0.5 * len(p) for h, p in zip(held, parts)):
+                continue
+            inside = {k + j for k in at[0] for j in range(sizes[0])}
+            answers = [k for k in at[1] if not all(k + j in inside for j in range(sizes[1]))]
+            if any(a - (k + sizes[0]) <= 2 * len(w) if a >= k else k - (a + sizes[1]) <= 2 * len(w) for a in answers for k in at[0]):
+                out.add((d, i))
     return out
 
 
@@ -391,6 +399,41 @@ def test_words_between_question_and_answer():
             assert [d for d, *_ in index.search(texts)] == [0, 1], (size, between)
 
 
+def test_short_answers_and_questions():
+    """A one-word answer has to stand near the question and outside it; a question under five words is found behind a separator."""
+    rng = random.Random(4)
+    pick = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    q, a = pick(20), pick(9)
+    index = decontam.Index([(1, " ".join(q[:10] + ["b"] + q[10:]) + "?\nB"), (2, "who said this?\n" + " ".join(a))])
+    asked = q[:10] + ["b"] + q[10:]
+    docs = [asked + ["Answer", "B"], asked + pick(200) + ["vitamin", "B"], asked + pick(9), ["b"] + asked,
+            ["Who", "said", "this", "Reply"] + a, ["who", "said", "that", "Reply"] + a, a, ["who", "said", "this"] + pick(100) + a]
+    docs = [" ".join(pick(30) + d) for d in docs]
+    got = {(d, index.ids[k]) for d, k, *_ in index.search(docs)}
+    items = [(1, " ".join(asked) + "?\nB"), (2, "who said this?\n" + " ".join(a))]
+    numbered = list(enumerate(docs))
+    assert got == brute_leaks(numbered, items) | brute_apart_leaks(numbered, items)
+    assert got >= {(0, 1), (3, 1), (4, 2)} and not got & {(1, 1), (2, 1), (5, 2), (6, 2), (7, 2)}
+
+
+def test_random_parts_against_brute_force():
+    """Short vocabularies, so that parts repeat, overlap and stand at every distance."""
+    for seed in range(6):
+        rng = random.Random(seed)
+        vocabulary = [f"w{k}" for k in range(12 + 20 * (seed % 3))]
+        pick = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+        items = [(k, " ".join(pick(rng.randint(1, 14))) + "?\n" + " ".join(pick(rng.randint(1, 9)))) for k in range(40)]
+        docs = []
+        for k in range(250):
+            w, q = decontam.split_item(rng.choice(items)[1])
+            between = pick(rng.choice([0, 1, 3, 20, 60]))
+            parts = [w[:q], between, w[q:]]
+            docs.append((k, " ".join(sum([pick(rng.randint(0, 40))] + (parts[::-1] if k % 5 == 0 else parts) + [pick(rng.randint(0, 40))], []))))
+        index = decontam.Index(items)
+        got = {(docs[d][0], index.ids[k]) for d, k, *_ in index.search([t for _, t in docs])}
+        assert got == brute_leaks(docs, items) | brute_apart_leaks(docs, items) and got
+
+
 def test_decontamination_frames(spark, odd_documents, documents):
     items = spark.createDataFrame([(1, None), (2, ""), (None, "no id"), (3, "b"), (3, "b"), (4, "unlike anything that occurs here")],
                                   "item_id bigint, text string")
