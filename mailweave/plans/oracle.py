@@ -329,6 +329,7 @@ SELECT 'desk' AS account, 'docs' AS mailbox, (doc_id + 1)::BIGINT AS uid, 3::BIG
        'f' || doc_id || '.csv' AS filename FROM documents"""
 
 ORACLE["pending_docs"] = f"WITH {KEYS} SELECT account, mailbox, uid FROM keys WHERE uid % 2 <> 0 AND uid % 5 <> 0"
+ORACLE["pending_key_tables"] = ORACLE["pending_docs"]
 
 _RECON = f"""{KEYS}, {STATE},
 listed AS (SELECT k.account, k.mailbox, k.uid FROM keys k LEFT JOIN state s

@@ -206,6 +206,24 @@ def q_pending_docs(spark, sf):
                            fx.fixture_e_quarantine(spark, sf)).select(*KEYS)
 
 
+@query("pending_key_tables")
+def q_pending_key_tables(spark, sf):
+    """The same set from bucketed key tables, filled by two syncs; the second
+    also meets keys that the first has taken."""
+    from ..session import scratch_path
+    from ..sources.keytables import KeyTables
+    from ..sources.snapshots import Store
+    tables = Store(spark, scratch_path(spark, "pending-keys"))
+    keys, known = fx.message_keys(spark, sf), KeyTables(tables)
+    tables.commit({"documents": [tables.stage("documents", keys.where("uid % 3 = 0"))],
+                   "results": [tables.stage("results", fx.fixture_e_results(spark, sf))]})
+    known.sync("documents", "results")
+    tables.commit({"documents": [tables.stage("documents", keys.where("uid % 3 <> 0 OR uid % 2 <> 0"))],
+                   "quarantine": [tables.stage("quarantine", fx.fixture_e_quarantine(spark, sf))]})
+    known.sync("documents", "quarantine")
+    return known.missing("documents", "results", "quarantine")
+
+
 def reconciled(spark, sf) -> tuple[DataFrame, DataFrame]:
     state = fx.fixture_e_state(spark, sf)
     existing = fx.fixture_e_existing(spark, sf)

@@ -22,7 +22,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import KEYS
@@ -58,8 +58,8 @@ class KeyTables:
     def _stage(self, table: str, keys: DataFrame) -> Entry:
         """Write keys as a data folder of buckets that no manifest names yet."""
         folder = f"c{uuid.uuid4().hex}"
-        (keys.select(*KEYS, F.lit(folder).alias("commit")).write.mode("append").format("parquet").partitionBy("commit")
-         .bucketBy(self.buckets, *KEYS).sortBy(*KEYS).saveAsTable(self._name(table)))
+        self.store.files.write_buckets(keys.select(*KEYS, F.lit(folder).alias("commit")), self._name(table), "commit",
+                                       self.buckets, KEYS)
         return Entry(folder)
 
     def read(self, table: str) -> DataFrame:
@@ -115,7 +115,3 @@ class KeyTables:
             if self.store.manifest().tables.get(f"{t}_keys"):
                 keys = keys.join(self.read(t).hint("merge"), KEYS, "left_anti")
         return keys
-
-
-def key_tables(spark: SparkSession, base: str) -> KeyTables:
-    return KeyTables(Store(spark, base))

@@ -113,6 +113,11 @@ class Files:
         w = df.write.mode("errorifexists")
         (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
+    def write_buckets(self, df: DataFrame, table: str, partition_by: str, buckets: int, keys: list[str]) -> None:
+        """Add partitions to a bucketed catalog table."""
+        (df.write.mode("append").format("parquet").partitionBy(partition_by).bucketBy(buckets, *keys).sortBy(*keys)
+         .saveAsTable(table))
+
 
 def _same(columns, values) -> Column:
     """Whether a row lies in the partition of these values."""

@@ -47,6 +47,7 @@ from ..operators import state as st
 from ..schemas import DOCUMENTS_MD, FAILURES, KEYS, LEDGER, NEWS_ITEMS, QUARANTINE, RAW_MESSAGES, RESULTS, STATE
 from ..session import scratch_path, shared_dir
 from ..sources import tables as tb
+from ..sources.keytables import KeyTables
 from ..sources.snapshots import Entry, Store
 
 DEFAULT_INTERVAL_S = 901
@@ -187,6 +188,15 @@ def _unresolved(spark: SparkSession, lay: Layout) -> DataFrame:
     return read(spark, lay, "documents").select(*KEYS)
 
 
+def pending_keys(spark: SparkSession, lay: Layout) -> DataFrame:
+    """Keys of all stored documents without a result or a quarantine row: the
+    full reconciliation.  The key tables are brought up to date first, which
+    exchanges the keys written since the last time; then bucket meets bucket."""
+    known = KeyTables(store(spark, lay))
+    known.sync("documents", "results", "quarantine")
+    return known.missing("documents", "results", "quarantine")
+
+
 def _attempts(spark: SparkSession, lay: Layout, rnd: str, pending: DataFrame, model, wait_s: float,
               concurrency: int | None, style: str, timeout_s: float | None) -> DataFrame:
     """All attempts of the round; the model is called only for pending
@@ -222,11 +232,13 @@ def extract_round(spark: SparkSession, lay: Layout, rnd: int | str | None = None
     shared_dir(spark)
     tables, rnd = store(spark, lay), uuid.uuid4().hex if rnd is None else str(rnd)
     docs, results, quarantine = (read(spark, lay, t) for t in ("documents", "results", "quarantine"))
-    keys = docs.select(*KEYS)
-    if candidates is not None:
+    if candidates is None:
+        keys = pending_keys(spark, lay)
+    else:
         open_ = _unresolved(spark, lay).unionByName(candidates.select(*KEYS)).distinct()
-        keys = joins.within_ranges(keys, open_).join(open_, KEYS, "left_semi")
-    keys = joins.anti_join_recent(joins.anti_join_recent(keys, results, KEYS), quarantine, KEYS).checkpoint(eager=True)
+        keys = joins.within_ranges(docs.select(*KEYS), open_).join(open_, KEYS, "left_semi")
+        keys = joins.anti_join_recent(joins.anti_join_recent(keys, results, KEYS), quarantine, KEYS)
+    keys = keys.checkpoint(eager=True)
     chosen = nb.newest_n(keys, limit, ["account", "mailbox"]) if limit else keys
     pending = docs.join(joins.bounded_broadcast(chosen), KEYS, "left_semi")
     add: dict[str, list[Entry]] = {}

@@ -133,3 +133,26 @@ def test_empty_tables_and_the_number_of_buckets(spark, tables):
     assert keys(kt.missing("documents", "results")) == [] and keys(kt.missing("results", "documents")) == [("a", "m", 1)]
     spark.conf.set(BUCKETS_CONF, "7")           # a store keeps the number it began with
     assert KeyTables(tables).buckets == 4
+
+
+def test_full_reconciliation_of_rounds(spark, tmp_path):
+    """Rounds in between change what is pending; every call sees the last commit."""
+    from mailweave.operators import ingest as ig
+    from mailweave.sources import fixtures as fx
+    from mailweave.streaming import rounds
+
+    from .conftest import SF_SMALL
+    lay = rounds.Layout(scratch_path(spark, "keytables-rounds"))
+    raw = fx.fixture_a(spark, SF_SMALL)
+    uids = sorted(r.uid for r in ig.valid_records(ig.normalize_records(raw)).select("uid").collect())
+    half = uids[len(uids) // 2]
+    assert keys(rounds.pending_keys(spark, lay)) == []
+    rounds.ingest_round(raw.where(f"uid < {half}"), lay)
+    assert [k[2] for k in keys(rounds.pending_keys(spark, lay))] == [u for u in uids if u < half]
+    rounds.extract_round(spark, lay)
+    assert keys(rounds.pending_keys(spark, lay)) == []
+    rounds.ingest_round(raw, lay)
+    rounds.compact(spark, lay)
+    assert [k[2] for k in keys(rounds.pending_keys(spark, lay))] == [u for u in uids if u >= half]
+    assert rounds.extract_round(spark, lay).rows == sum(u >= half for u in uids)
+    assert keys(rounds.pending_keys(spark, lay)) == []
