@@ -211,15 +211,18 @@ def q_pending_key_tables(spark, sf):
     """The same set from bucketed key tables, filled by two syncs; the second
     also meets keys that the first has taken."""
     from ..session import scratch_path
-    from ..sources.keytables import KeyTables
+    from ..sources.keytables import SCHEMA, KeyTables
     from ..sources.snapshots import Store
     tables = Store(spark, scratch_path(spark, "pending-keys"))
-    keys, known = fx.message_keys(spark, sf), KeyTables(tables)
+    # the landed messages are listed once, into few files however many they lie in
+    landed = tables.stage("landed", fx.message_keys(spark, sf).hint("rebalance"))
+    tables.commit({"landed": [landed]})
+    keys, known = tables.read("landed", SCHEMA), KeyTables(tables)
     tables.commit({"documents": [tables.stage("documents", keys.where("uid % 3 = 0"))],
-                   "results": [tables.stage("results", fx.fixture_e_results(spark, sf))]})
+                   "results": [tables.stage("results", keys.where("uid % 2 = 0"))]})
     known.sync("documents", "results")
     tables.commit({"documents": [tables.stage("documents", keys.where("uid % 3 <> 0 OR uid % 2 <> 0"))],
-                   "quarantine": [tables.stage("quarantine", fx.fixture_e_quarantine(spark, sf))]})
+                   "quarantine": [tables.stage("quarantine", keys.where("uid % 5 = 0"))]})
     known.sync("documents", "quarantine")
     return known.missing("documents", "results", "quarantine")
 
