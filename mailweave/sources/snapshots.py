@@ -119,12 +119,24 @@ class Files:
          .saveAsTable(table))
 
 
-def _same(columns, values) -> Column:
-    """Whether a row lies in the partition of these values."""
-    same = F.lit(True)
-    for column, value in zip(columns, values):
-        same = same & F.col(column).eqNullSafe(F.lit(value))
-    return same
+def _place(values) -> str:
+    """One text for a tuple of partition values; different tuples have different texts."""
+    texts = [str(v).lower() if isinstance(v, bool) else str(v) for v in values]
+    return "".join("-" if v is None else f"{len(t)}:{t}" for v, t in zip(values, texts))
+
+
+def _among(columns, places) -> Column:
+    """Whether a row lies in one of these partitions (tuples of texts, whole
+    numbers or truth values): one set of texts, so that the plan stays flat
+    however many there are, and a scan prunes by it."""
+    texts = [F.col(c).cast("string") for c in columns]
+    place = F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])
+    return place.isin([_place(p) for p in places])
+
+
+def _by_partition(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+    """``df`` laid out so that a partition is written by few tasks."""
+    return df.hint("rebalance", *map(F.col, partition_by)) if partition_by else df
 
 
 class Store:
@@ -162,9 +174,12 @@ class Store:
         root = f"{self.base}/{table}"
         df = (self.spark.read.schema(f"{schema}, commit string").option("basePath", root)
               .parquet(*[f"{root}/commit={e.folder}" for e in entries]))
+        hidden: dict[tuple, list[str]] = {}
         for e in entries:
-            for values in e.without:
-                df = df.where(~((F.col("commit") == e.folder) & _same(partition_by, values)))
+            if e.without:
+                hidden.setdefault(e.without, []).append(e.folder)
+        for places, found in hidden.items():
+            df = df.where(~(F.col("commit").isin(found) & _among(partition_by, places)))
         return df.select(*names)
 
     # -- staging -----------------------------------------------------------
@@ -199,12 +214,10 @@ class Store:
             return [*entries, staged]
         chosen = [tuple(r) for r in hit]
         if len(chosen) + sum(len(e.without) for e in entries) > HIDDEN:
-            return [self.stage(table, old.join(fresh.select(*keys), keys, "left_anti"), partition_by), staged]
-        inside = F.lit(False)
-        for values in chosen:
-            inside = inside | _same(columns, values)
-        kept = old.where(inside).join(fresh.select(*keys), keys, "left_anti")
-        rest = self.stage(table, kept, partition_by)
+            rest = old.join(fresh.select(*keys), keys, "left_anti")
+            return [self.stage(table, _by_partition(rest, partition_by), partition_by), staged]
+        kept = old.where(_among(columns, chosen)).join(fresh.select(*keys), keys, "left_anti")
+        rest = self.stage(table, _by_partition(kept, partition_by), partition_by)
         hidden = [Entry(e.folder, e.tag, tuple(sorted({*e.without, *chosen}, key=repr))) for e in entries]
         return [*hidden, rest, staged]
 

@@ -177,3 +177,31 @@ def test_two_writers_meet(spark):
     with pytest.raises(Exception, match="exists"):
         st.files.create(f"{st.base}/{snapshots.MANIFESTS}/{0:012d}.json", b"x")
     assert content(st) == [(1, "a")]
+
+
+def test_a_thousand_hidden_partitions_make_one_flat_filter(spark):
+    """What a merge hides does not nest: a table with hundreds of hidden
+    partitions is read by one filter, and exactly those are left out."""
+    schema, parts = "k bigint, v string, a string, b bigint", ("a", "b")
+    table = spark.createDataFrame([(0, "x", "1:", 5), (1, "x", None, 5), (2, "x", "1", 5), (3, "x", "-", 15)], schema)
+    st = Store(spark, scratch_path(spark, "flat"))
+    staged = [st.stage("t", table.coalesce(1), parts) for _ in range(2)]
+    places = tuple((a, b) for b in range(6, 500) for a in ("1:", "-"))[:988]
+    hide = (*places, (None, 5), ("1", 5))
+    first = snapshots.Entry(staged[0].folder, None, hide)
+    st.commit({"t": [first, staged[1]]})
+    out = st.read("t", schema, parts)
+    assert out._jdf.queryExecution().logical().toString().count("Filter") == 1
+    # the second folder hides nothing; of the first, ("-", 15) is among the long list
+    assert sorted(r.k for r in out.collect()) == [0, 0, 1, 2, 3]
+    assert [r.k for r in table.where(snapshots._among(parts, hide)).orderBy("k").collect()] == [1, 2, 3]
+
+
+def test_merge_over_two_hundred_partitions(spark):
+    schema, parts = "k bigint, v string, b bigint", ("b",)
+    table = spark.range(200).selectExpr("id AS k", "'old' AS v", "id AS b").coalesce(1)
+    st = Store(spark, scratch_path(spark, "hits"))
+    st.commit({"t": [st.stage("t", table, parts)]})
+    for tag in ("new", "newer"):
+        st.commit(replace={"t": st.stage_merge("t", table.where("k % 2 = 0").withColumn("v", F.lit(tag)), schema, KEYS, parts)})
+        assert sorted((r.k, r.v) for r in st.read("t", schema, parts).collect()) == [(k, "old" if k % 2 else tag) for k in range(200)]
