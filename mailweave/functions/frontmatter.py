@@ -4,12 +4,12 @@ Keys in order: uid, message_id, subject, date, from, size always; to, cc,
 labels, thread_id, attachments only when non-empty.  The JSON form is a
 ``named_struct`` with NULL for absent keys and ``to_json`` (which drops NULL
 fields); the YAML text (``---``, YAML, ``---``, body) is rendered on export
-by an Arrow-batched ``pandas_udf`` with ``yaml.safe_dump``.
+by a row UDF with ``yaml.safe_dump``, whose worker holds a hundred documents
+at a time.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,9 +50,7 @@ def _render(fm_json: str | None, body: str | None) -> str | None:
         + "---\n" + (body or "")
 
 
-@F.pandas_udf(T.StringType())
-def _render_udf(fm: pd.Series, body: pd.Series) -> pd.Series:
-    return pd.Series([_render(a, b) for a, b in zip(fm, body)], dtype=object)
+_render_udf = F.udf(_render, T.StringType(), useArrow=False)
 
 
 def render_markdown() -> Column:
