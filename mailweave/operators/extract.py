@@ -6,7 +6,7 @@ Plan of one round (``streaming.rounds.extract_round``)::
       --anti(results)--anti(quarantine), both cut to the candidates' ranges-->
       pending keys --semi-join--> pending documents
       --prompt_assemble (concat with a literal)-->
-      --batch_extract (mapInPandas; the one non-repeatable step, written
+      --batch_extract (mapInArrow; the one non-repeatable step, written
         to storage before anything reads it)-->
       attempts --attempt_outcome (group by key, partial aggregation)-->
       outcomes --repair (native slice + Arrow json.loads)--> results
@@ -27,11 +27,13 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text
+from ..functions.batches import PIECE_ROWS, pieces
 from ..functions.frontmatter import front_matter_json
 from ..functions.prompt import PROMPT_TEXT
 from ..schemas import ATTEMPTS, KEYS, NEWS_ITEM
@@ -226,22 +228,26 @@ def batch_extract(prompts: DataFrame, model: Callable[..., str], max_attempts: i
         src = src.repartition(max(1, concurrency // calls_per_task))
     pass_attempt = accepts_attempt(model)
 
-    def attempts(rec) -> list[tuple]:
-        k = tuple(getattr(rec, c) for c in keys)
-        return [(*k, n, resp, err) for n, resp, err in
-                _attempt_rows(model, getattr(rec, prompt_col), max_attempts, wait_s, pass_attempt, timeout_s)]
+    def attempts(rec: tuple) -> list[tuple]:
+        return [(*rec[:-1], n, resp, err) for n, resp, err in
+                _attempt_rows(model, rec[-1], max_attempts, wait_s, pass_attempt, timeout_s)]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = max(PIECE_ROWS, 16 * calls_per_task)
         with ThreadPoolExecutor(calls_per_task) as pool:
-            for pdf in batches:
-                recs = pdf.itertuples(index=False)
-                # map keeps the order; a batch's prompts are what is held at once
+            for batch in (piece for whole in batches for piece in pieces(whole, prompt_col, held)):
+                recs = zip(*[batch.column(c).to_pylist() for c in (*keys, prompt_col)])
+                # map keeps the order; a piece's prompts are what is held at once
                 done = pool.map(attempts, recs) if calls_per_task > 1 else map(attempts, recs)
-                yield pd.DataFrame([row for rows in done for row in rows], columns=[*keys, "attempt_no", "response", "error"])
+                rows = [row for rows in done for row in rows]
+                fields = [(k, batch.schema.field(k).type) for k in keys] + [
+                    ("attempt_no", pa.int32()), ("response", pa.string()), ("error", pa.string())]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=t) for i, (_, t) in enumerate(fields)],
+                                                 schema=pa.schema(fields))
 
     schema = ATTEMPTS if keys == KEYS else ", ".join(
         [f"{k} {dict(src.dtypes)[k]}" for k in keys] + ["attempt_no int", "response string", "error string"])
-    return src.mapInPandas(run, schema)
+    return src.mapInArrow(run, schema)
 
 
 class StubModel:
