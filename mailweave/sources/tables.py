@@ -61,6 +61,54 @@ def doc_scan(spark: SparkSession, path: str, glob: str = "*.md") -> DataFrame:
         F.col("_metadata.file_modification_time").alias("mtime"), F.col("_metadata.file_path").alias("path"))
 
 
+def _read_files(base: str, glob: str):
+    """mapInArrow body: the files below ``base`` in each folder of a batch, read
+    a few at a time."""
+    def run(batches):
+        from fnmatch import fnmatchcase
+
+        import pyarrow as pa
+        from pyarrow import fs as pafs
+
+        from mailweave.functions.batches import PIECE_BYTES, PIECE_ROWS
+        filesystem, root = pafs.FileSystem.from_uri(base)
+        fields = pa.schema([("id", pa.string()), ("text", pa.string()), ("mtime", pa.timestamp("us", tz="UTC")), ("path", pa.string())])
+
+        def batch_of(rows):
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t.type) for i, t in enumerate(fields)], schema=fields)
+        for folder in (f for batch in batches for f in batch.column("folder").to_pylist()):
+            rows, held = [], 0
+            for info in filesystem.get_file_info(pafs.FileSelector(f"{root.rstrip('/')}/{folder}")):
+                name = info.base_name
+                if info.type != pafs.FileType.File or name[0] in "._" or not fnmatchcase(name, glob):
+                    continue
+                with filesystem.open_input_stream(info.path) as f:
+                    data = f.read()
+                rows.append((name[:-3] if name.endswith(".md") else "", data.decode("utf-8", "replace"), info.mtime,
+                             f"{base.rstrip('/')}/{folder}/{name}"))
+                held += len(data)
+                if len(rows) >= PIECE_ROWS or held >= PIECE_BYTES:
+                    yield batch_of(rows)
+                    rows, held = [], 0
+            if rows:
+                yield batch_of(rows)
+    return run
+
+
+def doc_scan_folders(spark: SparkSession, path: str, glob: str = "*.md") -> DataFrame:
+    """:func:`doc_scan` of a folder that holds its files in subfolders: only
+    these are listed by the driver, their files by the tasks that read them."""
+    if not path_exists(spark, path):
+        return doc_scan(spark, path, glob)
+    fs, p = hadoop_path(spark, path)
+    names = [(s.getPath().getName(),) for s in fs.listStatus(p) if s.isDirectory()]
+    names = [n for n in names if n[0][0] not in "._"]
+    if not names:
+        return spark.createDataFrame([], "id string, text string, mtime timestamp, path string")
+    found = spark.createDataFrame(names, "folder string").repartition(min(len(names), 4 * spark.sparkContext.defaultParallelism))
+    return found.mapInArrow(_read_files(_uri(spark, path), glob), "id string, text string, mtime timestamp, path string")
+
+
 def pick_doc_dir(spark: SparkSession, candidates: list[str], override: str | None = None) -> str:
     """The document folder: an override wins, else the first that exists."""
     if override:
@@ -133,42 +181,66 @@ def append_state(state: DataFrame, path: str) -> None:
     state.select("account", "mailbox", F.col("last_uid").cast("bigint")).write.mode("append").parquet(path)
 
 
+def _uri(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme, for ``pyarrow.fs`` in the tasks."""
+    _, target = hadoop_path(spark, path)
+    uri = target.toUri()
+    return f"{uri.getScheme()}://{uri.getAuthority() or ''}{uri.getPath()}"
+
+
 def _write_files(base: str):
-    """mapInPandas body: write each (name, text) row as ``base/name`` and
+    """mapInArrow body: write each (name, text) row as ``base/name`` and
     report (name, path, bytes).  Rewriting the same name is harmless, so a
     retried task is idempotent."""
     def run(batches):
-        import pandas as pd
+        import pyarrow as pa
         from pyarrow import fs as pafs
+
+        from mailweave.functions.batches import pieces
         filesystem, root = pafs.FileSystem.from_uri(base)
         filesystem.create_dir(root, recursive=True)
-        for pdf in batches:
+        made = set()
+        for batch in (piece for whole in batches for piece in pieces(whole, "text")):
             out = []
-            for name, txt in zip(pdf["name"], pdf["text"]):
+            for name, txt in zip(batch.column("name").to_pylist(), batch.column("text").to_pylist()):
                 data = (txt or "").encode("utf-8")
                 p = f"{root.rstrip('/')}/{name}"
+                folder = p.rpartition("/")[0]
+                if "/" in name and folder not in made:
+                    filesystem.create_dir(folder, recursive=True)
+                    made.add(folder)
                 with filesystem.open_output_stream(p) as f:
                     f.write(data)
                 out.append((name, p, len(data)))
-            yield pd.DataFrame(out, columns=["name", "path", "bytes"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.string()),
+                                              pa.array([r[2] for r in out], pa.int64())], names=["name", "path", "bytes"])
     return run
 
 
-def export_markdown(docs: DataFrame, path: str) -> DataFrame:
+def export_markdown(docs: DataFrame, path: str, uids_per_folder: int | None = None) -> DataFrame:
     """Write one ``<uid>.md`` file per document (front matter + body) into
     ``path`` - the one-file-per-message layout, for users moving between the
     two stores.  One folder holds one mailbox, since uids are unique only per
     mailbox; documents of several mailboxes are refused.  Runs in the tasks
     through ``pyarrow.fs`` (local, HDFS, S3); returns the written (name, path,
     bytes) rows, already materialised.
+
+    ``uids_per_folder`` lays a large mailbox out in one subfolder per range of
+    uids, which :func:`doc_scan_folders` lists in tasks.  The documents are
+    parsed and rendered once, into a staging folder.
     """
     from ..functions.frontmatter import render_markdown
-    if docs.select("account", "mailbox").distinct().limit(2).count() > 1:
-        raise ValueError("documents of several mailboxes do not fit one folder; export each mailbox by itself")
-    _, target = hadoop_path(docs.sparkSession, path)
-    src = docs.select(F.concat(F.col("uid").cast("string"), F.lit(".md")).alias("name"),
-                      render_markdown().alias("text"))
-    uri = target.toUri()
-    base = f"{uri.getScheme()}://{uri.getAuthority() or ''}{uri.getPath()}"
-    written = src.mapInPandas(_write_files(base), "name string, path string, bytes bigint")
-    return written.checkpoint(eager=True)
+    spark = docs.sparkSession
+    name = F.concat(F.col("uid").cast("string"), F.lit(".md"))
+    if uids_per_folder:
+        name = F.concat(F.floor(F.col("uid") / uids_per_folder).cast("string"), F.lit("/"), name)
+    staging = scratch_path(spark, "md-staging")
+    try:
+        docs.select("account", "mailbox", name.alias("name"), render_markdown().alias("text")).write.parquet(staging)
+        src = spark.read.parquet(staging)
+        if src.select("account", "mailbox").distinct().limit(2).count() > 1:
+            raise ValueError("documents of several mailboxes do not fit one folder; export each mailbox by itself")
+        written = src.select("name", "text").mapInArrow(_write_files(_uri(spark, path)), "name string, path string, bytes bigint")
+        return written.checkpoint(eager=True)
+    finally:
+        delete_path(spark, staging)

@@ -8,7 +8,7 @@ from mailweave.operators import ingest as ig
 from mailweave.session import scratch_path
 from mailweave.sources import tables as tb
 
-from .conftest import local
+from .conftest import SF_SMALL, local
 
 
 def test_doc_scan_stems_text_and_mtime(spark):
@@ -103,3 +103,20 @@ def test_versions_replace_each_other(spark):
     # a version may be made from the one before
     tb.write_version(tb.read_version(spark, path, "x int").selectExpr("x + 7 AS x"), path)
     assert [r.x for r in tb.read_version(spark, path, "x int").collect()] == [7]
+
+
+def test_export_in_subfolders_is_listed_by_tasks(spark, monkeypatch):
+    """A large mailbox exported into subfolders reads back whole, with the same
+    ids and texts as the flat folder, and without a driver's listing of files."""
+    from mailweave.plans.queries import docs_only
+    docs = docs_only(spark, SF_SMALL)
+    flat, deep = scratch_path(spark, "flat"), scratch_path(spark, "deep")
+    names = {r.name for r in tb.export_markdown(docs, deep, uids_per_folder=7).collect()}
+    tb.export_markdown(docs, flat)
+    want = sorted((r.id, r.text) for r in tb.doc_scan(spark, flat).collect())
+    monkeypatch.setattr(tb, "doc_scan", None)
+    got = tb.doc_scan_folders(spark, deep)
+    assert sorted((r.id, r.text) for r in got.collect()) == want and len(want) == len(names) > 7
+    assert all(n == f"{int(n.split('/')[1][:-3]) // 7}/{n.split('/')[1]}" for n in names)
+    assert got.where("mtime IS NULL OR path NOT LIKE '%.md'").count() == 0
+    assert len(got.inputFiles()) == 0
