@@ -547,9 +547,10 @@ def run_poisoned_loop(spark: SparkSession, sf_dir: str, pieces: int = 5) -> dict
     given up; the stored tables."""
     from ..sources import fixtures as fx
     lay = Layout(scratch_path(spark, "poison"))
-    raw = fx.raw_messages(spark, sf_dir)
-    for i in range(pieces):
-        raw.where((F.col("uid") % pieces) == i).coalesce(1).write.parquet(f"{lay.landing}/arrival={i}")
+    # all arrivals in one pass, each in files that follow its size, so that every core writes and later parses
+    arrival = F.col("uid") % pieces
+    (fx.raw_messages(spark, sf_dir).where(arrival >= 0).withColumn("arrival", arrival).hint("rebalance", F.col("arrival"))
+     .write.partitionBy("arrival").parquet(lay.landing))
     store(spark, lay).files.create(f"{lay.landing}/arrival=2/part-unreadable.parquet", b"no Parquet file")
     run_loop(spark, lay.landing + "/*", lay, gap_s=0.0, max_rounds=GIVE_UP + 1, stages=("ingest",))
     return read_outputs(spark, lay)
