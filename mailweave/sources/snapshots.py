@@ -164,13 +164,17 @@ class Store:
         return Manifest()
 
     # -- reading -----------------------------------------------------------
-    def read(self, table: str, schema: str, partition_by: tuple[str, ...] = (), manifest: Manifest | None = None) -> DataFrame:
+    def read(self, table: str, schema: str, partition_by: tuple[str, ...] = (), manifest: Manifest | None = None,
+             folder: str | None = None, only: set[str] | None = None) -> DataFrame:
         """The table of the last whole manifest (or of ``manifest``), as one
-        scan; ``partition_by`` are columns of ``schema``."""
-        entries = (manifest or self.manifest()).tables.get(table, [])
-        names = self.spark.createDataFrame([], schema).columns
+        scan; ``partition_by`` are columns of ``schema``.  ``folder`` names a
+        column for the data folder of each row, ``only`` the folders to read."""
+        entries = [e for e in (manifest or self.manifest()).tables.get(table, []) if only is None or e.folder in only]
+        # no rows and known to have none, so that joins with it fall away
+        empty = self.spark.createDataFrame([], f"{schema}, {folder} string" if folder else schema).limit(0)
+        names = [F.col("commit").alias(folder) if c == folder else F.col(c) for c in empty.columns]
         if not entries:
-            return self.spark.createDataFrame([], schema)
+            return empty
         root = f"{self.base}/{table}"
         df = (self.spark.read.schema(f"{schema}, commit string").option("basePath", root)
               .parquet(*[f"{root}/commit={e.folder}" for e in entries]))

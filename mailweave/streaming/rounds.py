@@ -11,6 +11,10 @@ batch plan, so that column pruning and pushed filters reach them:
    completed attempts are never repeated -> results, items, quarantine;
 3. a row per (round, stage) in ``round_log``.
 
+The keys of a data folder of documents are noted beside it, in
+``document_keys``: what a round compares with is read from there, and of the
+documents only folders that hold an open one.
+
 Tables live in a :class:`~mailweave.sources.snapshots.Store`: everything a
 stage writes becomes visible with one commit, or not at all, so a stage that
 is cut off anywhere is simply run again.
@@ -62,6 +66,8 @@ GIVE_UP = 4
 MAX_TRIES = 200
 #: rounds between two compactions
 COMPACT_EVERY = 50
+#: tasks for each core that messages are parsed and searched in
+TASKS_PER_CORE = 4
 KEY_SCHEMA = "account string, mailbox string, uid bigint"
 DOCS_SCHEMA = DOCUMENTS_MD + ", html string"
 #: stored documents also carry their bucket, a range of uids: what a keyed replacement rewrites
@@ -107,15 +113,45 @@ def store(spark: SparkSession, lay: Layout) -> Store:
 def read(spark: SparkSession, lay: Layout, table: str) -> DataFrame:
     """A stored table, as of its last commit."""
     if table == "documents":
-        return store(spark, lay).read(table, DOCS_STORED, DOCS_PARTITION).drop("bucket")
+        return _documents(store(spark, lay)).drop("bucket")
     return store(spark, lay).read(table, SCHEMAS[table])
 
 
+def _documents(tables: Store, **which) -> DataFrame:
+    return tables.read("documents", DOCS_STORED, DOCS_PARTITION, **which)
+
+
+def _note_keys(spark: SparkSession, tables: Store, keys: DataFrame, folder: str) -> Entry:
+    """The keys of a data folder of documents, staged in a few files, as the
+    folder gives them back: an empty partition value comes back as NULL."""
+    account, mailbox = (F.nullif(F.col(c), F.lit("")).alias(c) for c in ("account", "mailbox"))
+    keys = keys.select(account, mailbox, "uid", F.lit(folder).alias("folder")).coalesce(spark.sparkContext.defaultParallelism)
+    return tables.stage("document_keys", keys, tag=folder)
+
+
+def _document_keys(spark: SparkSession, tables: Store) -> DataFrame:
+    """Keys and data ``folder`` of the stored documents.  A folder whose keys
+    were noted is not opened: its documents lie in a file or more per bucket."""
+    manifest = tables.manifest()
+    noted = {e.tag: e.folder for e in manifest.tables.get("document_keys", [])}
+    others = {e.folder for e in manifest.tables.get("documents", []) if e.without or e.folder not in noted}
+    here = {noted[e.folder] for e in manifest.tables.get("documents", []) if e.folder not in others}
+    read = _documents(tables, manifest=manifest, folder="folder", only=others).select(*KEYS, "folder")
+    return (tables.read("document_keys", KEY_SCHEMA + ", folder string", manifest=manifest, only=here)
+            .unionByName(read.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)))
+
+
 def _bucketed(docs: DataFrame) -> DataFrame:
     """Documents as they are stored: few files of even size, a large mailbox in several of them."""
     return docs.withColumn("bucket", F.shiftright(F.col("uid"), BUCKET_BITS)).hint("rebalance", *map(F.col, DOCS_PARTITION))
 
 
+def _dealt(messages: DataFrame) -> DataFrame:
+    """Messages dealt evenly, by key, to a few tasks for each core: files differ in
+    what a message of theirs costs, and are as many as the writer made."""
+    return messages.repartition(TASKS_PER_CORE * messages.sparkSession.sparkContext.defaultParallelism, *map(F.col, KEYS))
+
+
 def _marks(state: DataFrame):
     """The state for :func:`~mailweave.operators.ingest.high_water_filter`:
     literal marks while they are few, else the table."""
@@ -149,18 +185,18 @@ def ingest_round(batch: DataFrame, lay: Layout, strict_high_water: bool = False,
     if limit:
         # ranks are taken of keys; the wide rows follow by a semi-join
         cand = cand.join(joins.bounded_broadcast(nb.newest_n(chosen, limit, ["account", "mailbox"])), KEYS, "left_semi")
-    existing = read(spark, lay, "documents")
-    # the batch's keys bound the part of the archive to compare with
-    new = cand if redownload else ig.insert_valid_if_absent(cand, existing, keys)
+    # the batch's keys bound the part of the archive to compare with, which is read once
+    before = ig.stored_keys(_document_keys(spark, tables), keys).checkpoint(eager=True)
+    new = cand if redownload else ig.insert_valid_if_absent(cand, before)
     # Invalid records (uid 0, empty message) ride along and come out of the
     # parse stage flagged, so the raw column is read exactly once.  Reliable
     # checkpoint, not persist: a lost executor never re-runs the parse.
-    parsed = ig.parse_messages(new).checkpoint(eager=True)
+    parsed = ig.parse_messages(_dealt(new)).checkpoint(eager=True)
     docs = _bucketed(ig.to_documents(parsed, keep_html=True))
-    failures = ig.parse_failures(parsed)
-    # what became of every listed message
-    before = joins.within_ranges(existing.select(*KEYS), keys)
-    written = parsed.where(F.col("parse_error").isNull()).select(*KEYS)
+    # what became of every listed message: from keys and errors, so that the payloads are not read for each count
+    outcome = parsed.select(*KEYS, "parse_error").checkpoint(eager=True)
+    failures = ig.parse_failures(outcome)
+    written = outcome.where(F.col("parse_error").isNull()).select(*KEYS)
     status = rp.run_reconcile(keys.where(F.col("uid") != 0), before, before.unionByName(written)).checkpoint(eager=True)
     total = rp.ingest_summary(status, failures).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in rp.COUNTS]).first()
     stored = status.where("status <> 'missing'").select(*KEYS)
@@ -170,7 +206,8 @@ def ingest_round(batch: DataFrame, lay: Layout, strict_high_water: bool = False,
     if redownload:
         replace["documents"] = tables.stage_merge("documents", docs, DOCS_STORED, KEYS, DOCS_PARTITION)
     else:
-        add["documents"] = [tables.stage("documents", docs, DOCS_PARTITION)]
+        staged = tables.stage("documents", docs, DOCS_PARTITION)
+        add["documents"], add["document_keys"] = [staged], [_note_keys(spark, tables, written, staged.folder)]
     # every fetched record counts toward the mark, as in the reference
     replace["state_log"] = [tables.stage("state_log", st.advance(old_state, keys.where(F.col("uid") > 0)).coalesce(1))]
     replace["unresolved"] = [tables.stage("unresolved", _unresolved(spark, lay).unionByName(stored).distinct())]
@@ -185,7 +222,7 @@ def _unresolved(spark: SparkSession, lay: Layout) -> DataFrame:
     tables = store(spark, lay)
     if "unresolved" in tables.manifest().tables:
         return tables.read("unresolved", KEY_SCHEMA)
-    return read(spark, lay, "documents").select(*KEYS)
+    return _document_keys(spark, tables).select(*KEYS)
 
 
 def pending_keys(spark: SparkSession, lay: Layout) -> DataFrame:
@@ -231,21 +268,23 @@ def extract_round(spark: SparkSession, lay: Layout, rnd: int | str | None = None
     """
     shared_dir(spark)
     tables, rnd = store(spark, lay), uuid.uuid4().hex if rnd is None else str(rnd)
-    docs, results, quarantine = (read(spark, lay, t) for t in ("documents", "results", "quarantine"))
     if candidates is None:
-        keys = pending_keys(spark, lay)
+        keys, docs = pending_keys(spark, lay).checkpoint(eager=True), _documents(tables)
     else:
         open_ = _unresolved(spark, lay).unionByName(candidates.select(*KEYS)).distinct()
-        keys = joins.within_ranges(docs.select(*KEYS), open_).join(open_, KEYS, "left_semi")
-        keys = joins.anti_join_recent(joins.anti_join_recent(keys, results, KEYS), quarantine, KEYS)
-    keys = keys.checkpoint(eager=True)
+        for table in ("results", "quarantine"):
+            open_ = joins.anti_join(open_, ig.stored_keys(read(spark, lay, table), open_), KEYS)
+        found = ig.stored_keys(_document_keys(spark, tables), open_, "folder").checkpoint(eager=True)
+        # the other folders hold no open document and are not read
+        keys, docs = found.select(*KEYS), _documents(tables, only={r.folder for r in found.select("folder").distinct().collect()})
     chosen = nb.newest_n(keys, limit, ["account", "mailbox"]) if limit else keys
-    pending = docs.join(joins.bounded_broadcast(chosen), KEYS, "left_semi")
+    pending = docs.drop("bucket").join(joins.bounded_broadcast(chosen), KEYS, "left_semi")
     add: dict[str, list[Entry]] = {}
     if model is None:
-        # one item array per pending document, computed once for both sinks
-        per_doc = pending.select(*KEYS, ig.rule_item_array(F.col("html"), F.col("date_iso"), F.col("from_addr"))
-                                 .alias("items")).checkpoint(eager=True)
+        # one item array per pending document, computed once for both sinks; long pages lie in few files
+        pages = _dealt(pending.select(*KEYS, "html", "date_iso", "from_addr"))
+        per_doc = pages.select(*KEYS, ig.rule_item_array(F.col("html"), F.col("date_iso"), F.col("from_addr"))
+                               .alias("items")).checkpoint(eager=True)
         items = per_doc.select(*KEYS, F.posexplode("items").alias("pos", "it")).select(
             *KEYS, (F.col("pos") + 1).cast("int").alias("pos"),
             *[F.col(f"it.{c}").alias(c) for c in ("title", "url", "summary", "date", "sender")])
@@ -425,6 +464,13 @@ def compact(spark: SparkSession, lay: Layout) -> None:
         done[t] = tables.stage_compacted(t, SCHEMAS[t], (), spread)
     done["round_log"] = tables.stage_compacted("round_log", rp.ROUND_LOG)
     found = {t: entries for t, entries in done.items() if entries is not None}
+    if "documents" in found:
+        folders, noted = {e.folder for e in found["documents"]}, tables.manifest().tables.get("document_keys", [])
+        found["document_keys"] = [e for e in noted if e.tag in folders]
+        joined = found["documents"][-1].folder
+        if joined not in {e.tag for e in noted}:
+            keys = spark.read.schema(DOCS_STORED).parquet(f"{lay.documents}/commit={joined}").select(*KEYS)
+            found["document_keys"].append(_note_keys(spark, tables, keys, joined))
     if found:
         tables.commit(replace=found)
     tables.vacuum()
