@@ -1,46 +1,90 @@
 """Embedding near-duplicates: spherical k-means cells, blocked cosine products.
 
 Only vectors of one length can be compared; each length has cells of its own.
-Equal vectors are grouped first; one of each group (the smallest vec_id) goes
-on with the number of its copies.  Spherical k-means gives every vector a home
-cell.  A vector is also a guest of each cell whose border is so close that a
-partner may lie beyond it: with homes a and b, two unit vectors at cosine
-``threshold`` lie at most ``delta = sqrt(2 - 2 threshold)`` apart, so one of
-them lies within ``delta / 2`` of the plane between the centroids of a and b.
-Hence no link is lost.  Within a cell homes meet homes and guests in blocks of
-bounded size; a block returns sums of links and a spanning forest, never
-pairs.
+Equal vectors are grouped first, by a 128-bit digest of their values; one of
+each group (the smallest vec_id) goes on with the number of its copies.
+Spherical k-means gives every vector a home cell.  A vector is also a guest of
+each cell whose border is so close that a partner may lie beyond it: with homes
+a and b, two unit vectors at cosine ``threshold`` lie at most
+``delta = sqrt(2 - 2 threshold)`` apart, so one of them lies within
+``delta / 2`` of the plane between the centroids of a and b.  Hence no link is
+lost.
+
+Every vector is written once, into a file of the block it belongs to (a part of
+its home cell).  Tasks read the files of two rows of blocks and compare block
+with block: of one cell all vectors, of two cells the guests of either in the
+other.  So the disk holds each vector a fixed number of times, however many
+blocks it meets; a task returns sums of links and a spanning forest, never pairs.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
+import pickle
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import files
 from .common import Scratch, forest, min_labels, whole_groups
 from .components import components
 
 THRESHOLD = 0.9
 #: vectors the centroids are fitted on, vectors per cell aimed at, most cells, rounds
 SAMPLE, PER_CELL, MAX_CELLS, ROUNDS = 20_000, 4_000, 1_024, 10
-#: vectors of one side of a block
-BLOCK = 4_096
+#: vectors of a block, and bytes of a block in double precision; smaller tables are cut into so many blocks
+BLOCK, BLOCK_BYTES, BLOCKS = 4_096, 8 << 20, 16
+#: blocks of one side of a task at most, and such sides aimed at; tasks at most
+SIDE, SIDES, TASKS = 16, 12, 20_000
 #: rows of a block compared at once; how far a single-precision product may be off, at least
 SLAB, MARGIN = 256, 1e-4
-
-
-def comparable(vectors: DataFrame) -> DataFrame:
-    """``(vec_id, v)``: v is the vector in double precision, null where it
-    cannot link: without an id, null, zero, or with a null or non-finite
-    component."""
-    v = F.col("embedding").cast("array<double>")
-    fine = (F.col("vec_id").isNotNull() & v.isNotNull()
-            & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0))
-    return vectors.select("vec_id", F.when(fine, v).alias("v"))
+#: part of a slab's pairs that may pass the bound before whole products are taken
+SPARSE = 0.002
+#: vectors converted at once
+PIECE = 2_000
+
+
+def _packed(kind: str, values: bool):
+    """``(vec_id, embedding)`` -> ``(vec_id, size, same[, v])``, row by row.
+
+    ``same`` is a digest of the vector, which equal vectors share (-0 and 0 are
+    equal, and so are any NaNs).  ``size`` is the number of components and v
+    their bytes; both are null where the vector cannot link: without an id, null,
+    zero, or with a null or non-finite component."""
+    def piece(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, vectors = batch.column("vec_id"), batch.column("embedding")
+        size = pa.compute.fill_null(pa.compute.list_value_length(vectors), 0).to_numpy().astype(np.int64)
+        flat = vectors.flatten()
+        known = flat.is_valid().to_numpy(zero_copy_only=False)
+        x = pa.compute.fill_null(flat, 0).to_numpy(zero_copy_only=False).astype(kind) + np.dtype(kind).type(0)
+        x[np.isnan(x)] = np.nan
+        ends = np.cumsum(size)
+        starts = ends - size
+
+        def some(flags: np.ndarray) -> np.ndarray:
+            upto = np.concatenate([[0], np.cumsum(flags)])
+            return upto[ends] > upto[starts]
+        there = vectors.is_valid().to_numpy(zero_copy_only=False)
+        holes = some(~known)
+        fine = ids.is_valid().to_numpy(zero_copy_only=False) & there & ~some(~known | ~np.isfinite(x)) & some(x != 0)
+        data, width = x.tobytes(), np.dtype(kind).itemsize
+        parts = [data[width * a:width * b] if t else None for a, b, t in zip(starts.tolist(), ends.tolist(), there.tolist())]
+        same = [None if p is None else hashlib.blake2b(p + known[a:b].tobytes() if h else p, digest_size=16, person=b"null" * h).digest()
+                for p, a, b, h in zip(parts, starts.tolist(), ends.tolist(), holes.tolist())]
+        out = {"vec_id": ids, "size": pa.array(size.astype(np.int32), mask=~fine), "same": pa.array(same, pa.binary())}
+        if values:
+            out["v"] = pa.array([p if f else None for p, f in zip(parts, fine.tolist())], pa.binary())
+        return pa.RecordBatch.from_pydict(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, PIECE):
+                yield piece(batch.slice(at, PIECE))
+    return run
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -61,160 +105,295 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 11
     return np.unique(centroids, axis=0)
 
 
-def matrix(column) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1)
+def matrix(values, size: int, kind: str) -> np.ndarray:
+    """The vectors of an Arrow column of their bytes, of length 1."""
+    return unit(np.frombuffer(b"".join(values.to_pylist()), dtype=kind).reshape(-1, size).astype(np.float64))
 
 
-def fit_cells(reps: DataFrame, n: int) -> np.ndarray:
+def fit_cells(reps: DataFrame, n: int, size: int, kind: str) -> np.ndarray:
     """Centroids fitted on at most about SAMPLE distinct vectors of one length, picked by a hash."""
-    few = reps.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / n)))
+    few = reps.where(F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / n)))
     rows = few.select("node", "v").limit(2 * SAMPLE + 1).toArrow()
     if rows.num_rows > 2 * SAMPLE:
         raise ValueError(f"more than {2 * SAMPLE} vectors in a sample of {SAMPLE}")
     if not rows.num_rows:
         rows = reps.select("node", "v").limit(1).toArrow()
-    x = matrix(rows["v"].combine_chunks())
-    x = unit(x[np.argsort(rows["node"].to_numpy())])
+    x = matrix(rows["v"], size, kind)[np.argsort(rows["node"].to_numpy())]
     return spherical_kmeans(x, max(1, min(MAX_CELLS, n // PER_CELL, len(x))))
 
 
-def fit_lengths(reps: DataFrame) -> dict[int, tuple[int, np.ndarray | None]]:
-    """Vector length -> its first cell and its centroids, None where one cell
-    is enough.  Cells of different lengths have different numbers."""
+def fit_lengths(reps: DataFrame, kind: str) -> dict[int, tuple[int, np.ndarray]]:
+    """Vector length -> its first cell and its centroids, one of zeros where one
+    cell is enough.  Cells of different lengths have different numbers."""
     out, first = {}, 0
-    for size, n in sorted(tuple(r) for r in reps.groupBy(F.size("v")).count().collect()):
-        centroids = fit_cells(reps.where(F.size("v") == size), n) if n >= 2 * PER_CELL else None
+    for size, n in sorted(tuple(r) for r in reps.groupBy("size").count().collect()):
+        centroids = fit_cells(reps.where(F.col("size") == size), n, size, kind) if n >= 2 * PER_CELL else np.zeros((1, size))
         out[size] = (first, centroids)
-        first += 1 if centroids is None else len(centroids)
+        first += len(centroids)
     return out
 
 
-def distances(centroids: np.ndarray) -> np.ndarray:
-    """Distance of every two centroids."""
-    return np.stack([np.linalg.norm(centroids - c, axis=1) for c in centroids])
+def reach(threshold: float) -> float:
+    """How far from a border a vector may lie that has a partner beyond it."""
+    return math.sqrt(max(0.0, 2 - 2 * threshold)) / 2 + 1e-6
 
 
-def guest_of(x: np.ndarray, home: np.ndarray, centroids: np.ndarray, apart: np.ndarray, threshold: float) -> np.ndarray:
-    """Boolean (vector, cell): whether the border to the cell is within reach."""
-    sims = x @ centroids.T
-    own = sims[np.arange(len(x)), home]
-    reach = math.sqrt(max(0.0, 2 - 2 * threshold)) / 2 + 1e-6
-    out = own[:, None] - sims <= reach * apart[home] + 1e-12
-    out[np.arange(len(x)), home] = False
-    return out
+def guest_of(own: np.ndarray, sims: np.ndarray, apart: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether the border to a cell is within reach: from the products with the
+    centroids of the home and of the cell, and the distance of the two."""
+    return own - sims <= reach(threshold) * apart + 1e-12
 
 
-def assign(reps: DataFrame, lengths: dict[int, tuple[int, np.ndarray | None]], threshold: float) -> DataFrame:
-    """``(cell, home, guests, node, copies, v)`` for the home and every guest
-    cell; visits lists the latter (home rows only), v is of unit length."""
+def _in_cells(lengths: dict[int, tuple[int, np.ndarray]], kind: str, dealt: tuple[np.ndarray, np.ndarray] | None = None):
+    """``(size, node, copies, v)`` -> ``(cell, n)``, the vectors of each cell
+    seen; with ``dealt`` (the first block and the number of blocks of each cell)
+    -> ``(block, node, copies, v)``, the vectors of a cell dealt to its blocks."""
     def run(batches):
-        apart: dict[int, np.ndarray] = {}
         for batch in batches:
-            for at in range(0, batch.num_rows, 2_000):
-                mixed = batch.slice(at, 2_000)
-                sizes = pa.compute.list_value_length(mixed.column("v")).to_numpy()
+            for at in range(0, batch.num_rows, PIECE):
+                mixed = batch.slice(at, PIECE)
+                sizes = mixed.column("size").to_numpy()
+                cell = np.empty(len(sizes), dtype=np.int64)
                 for size in np.unique(sizes).tolist():
-                    b = mixed.take(pa.array(np.flatnonzero(sizes == size)))
                     first, centroids = lengths[size]
-                    if centroids is None:
-                        centroids = np.zeros((1, size))
-                    if size not in apart:
-                        apart[size] = distances(centroids)
-                    x = unit(matrix(b.column("v")))
-                    home = (x @ centroids.T).argmax(axis=1)
-                    row, cell = np.nonzero(guest_of(x, home, centroids, apart[size], threshold))
-                    upto = np.concatenate([np.cumsum(np.bincount(row, minlength=len(x))), np.full(len(row), len(row))])
-                    guests = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], upto]).astype(np.int32)),
-                                                      pa.array((first + cell).astype(np.int32)))
-                    row, cell = np.concatenate([np.arange(len(x)), row]), np.concatenate([home, cell])
-                    values = pa.array(np.ascontiguousarray(x[row]).ravel())
-                    ends = pa.array(np.arange(0, len(row) * x.shape[1] + 1, x.shape[1], dtype=np.int32))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array((first + cell).astype(np.int32)), pa.array((first + home[row]).astype(np.int32)), guests,
-                         b.column("node").take(pa.array(row)), b.column("copies").take(pa.array(row)),
-                         pa.ListArray.from_arrays(ends, values)], names=["cell", "home", "visits", "node", "copies", "v"])
-    return reps.select("node", "copies", "v").mapInArrow(
-        run, "cell int, home int, visits array<int>, node bigint, copies bigint, v array<double>")
-
-
-def _compare(threshold: float):
-    """Blocks -> ``(a, b, n)``: rows with b null add n links to node a, the others
-    are links that span the components.  No list of all pairs is ever made."""
-    def block(t: pa.Table):
-        node, copies, home, side = (t[c].to_numpy() for c in ("node", "copies", "home", "side"))
-        cell = int(t["cell"][0].as_py())
-        x = matrix(t["v"].combine_chunks())
-        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)  # side 2: a block with itself
-        with_itself = bool((side == 2).any())
-        # a pair whose partners are guests in each other's home cells is met twice; it counts in the lower cell
-        # all of them are cells of one length; they are numbered from the lowest met here
-        lists = t["visits"].combine_chunks()
-        visited = lists.flatten().to_numpy()
-        low = min(int(home.min()), int(visited.min(initial=cell)))
-        visits = np.zeros((len(node), max(int(home.max()), int(visited.max(initial=cell))) - low + 1), dtype=bool)
-        visits[np.repeat(np.arange(len(node)), np.diff(lists.offsets.to_numpy())), visited - low] = True
-        elsewhere = np.flatnonzero(home[right] < cell)
-        margin = max(MARGIN, 1.2e-7 * x.shape[1])
-        single, links, label = x.astype(np.float32), np.zeros(len(node), dtype=np.int64), np.arange(len(node))
-        for at in range(0, len(left), SLAB):
-            rows = left[at:at + SLAB]
-            rough = single[rows] @ single[right].T
-            if rough.max() < threshold - margin:
+                    mine = np.flatnonzero(sizes == size)
+                    cell[mine] = first
+                    if len(centroids) > 1:
+                        cell[mine] += (matrix(mixed.column("v").take(pa.array(mine)), size, kind) @ centroids.T).argmax(axis=1)
+                if dealt is None:
+                    found, n = np.unique(cell, return_counts=True)
+                    yield pa.RecordBatch.from_pydict({"cell": pa.array(found, pa.int32()), "n": pa.array(n, pa.int64())})
+                    continue
+                mixed_up = (mixed.column("node").to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+                block = dealt[0][cell] + (mixed_up % dealt[1][cell].astype(np.uint64)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(block.astype(np.int32)), *(mixed.column(c) for c in ("node", "copies", "v"))],
+                                                 names=["block", "node", "copies", "v"])
+    return run
+
+
+class Blocks:
+    """Where the vectors of each block lie and which cells they are near."""
+
+    def __init__(self, lengths: dict[int, tuple[int, np.ndarray]], kind: str, threshold: float):
+        self.lengths, self.kind, self.threshold = lengths, kind, threshold
+        self.size: list[int] = []
+        self.cell: list[int] = []
+        self.path: list[str] = []
+        self.rows: list[int] = []
+        #: of each block a flag for each cell of its length: whether it has guests there
+        self.near: list[np.ndarray] = []
+
+    def home(self, block: int) -> int:
+        """The number of the block's cell among those of its length."""
+        return self.cell[block] - self.lengths[self.size[block]][0]
+
+    def meet(self, a: int, b: int) -> bool:
+        if self.size[a] != self.size[b]:
+            return False
+        return self.cell[a] == self.cell[b] or bool(self.near[a][self.home(b)] or self.near[b][self.home(a)])
+
+
+class Block:
+    """A block's vectors as a task holds them."""
+
+    def __init__(self, blocks: Blocks, number: int):
+        n, size = blocks.rows[number], blocks.size[number]
+        with files.open_stream(blocks.path[number]) as f:
+            data = f.read()
+        self.node, self.copies = np.frombuffer(data, "<i8", 2 * n).reshape(2, n)
+        self.x = unit(np.frombuffer(data, blocks.kind, n * size, 16 * n).reshape(n, size).astype(np.float64))
+        self.single = self.x.astype(np.float32)
+        # the first components and the length of the rest: the product of two of these is not less than that of the vectors
+        lead = size // 2 - 1 if size >= 32 else size
+        rest = np.linalg.norm(self.x[:, lead:], axis=1, keepdims=True)
+        self.short = np.hstack([self.x[:, :lead], rest]).astype(np.float32) if lead < size else self.single
+        centroids = blocks.lengths[size][1]
+        self.cell, self.threshold, self.centroids = blocks.home(number), blocks.threshold, centroids
+        self.own = self.x @ centroids[self.cell]
+        self.guests: tuple[int, np.ndarray] = (-1, np.empty(0, dtype=bool))
+
+    def guest(self, cell: int) -> np.ndarray:
+        """Which vectors are guests of another cell; the last answer is kept."""
+        if self.guests[0] != cell:
+            apart = np.linalg.norm(self.centroids[self.cell] - self.centroids[cell])
+            self.guests = cell, guest_of(self.own, self.x @ self.centroids[cell], apart, self.threshold)
+        return self.guests[1]
+
+
+def _written(blocks: Blocks, cells: np.ndarray, sizes: np.ndarray, folder: str):
+    """``(block, node, copies, v)`` sorted by block -> a row for each block, written as a file."""
+    def write(number: int, t: pa.Table) -> dict:
+        size, cell = int(sizes[number]), int(cells[number])
+        first, centroids = blocks.lengths[size]
+        path = files.new_path(folder, ".block")
+        with files.create(path) as out:
+            for c in ("node", "copies"):
+                out.write(np.ascontiguousarray(t[c].to_numpy(), dtype="<i8").tobytes())
+            out.write(b"".join(t["v"].to_pylist()))
+        near = np.zeros(len(centroids), dtype=bool)
+        apart = np.linalg.norm(centroids - centroids[cell - first], axis=1)
+        for at in range(0, t.num_rows, PIECE) if len(centroids) > 1 else ():
+            sims = matrix(t["v"].slice(at, PIECE), size, blocks.kind) @ centroids.T
+            near |= guest_of(sims[:, [cell - first]], sims, apart, blocks.threshold).any(axis=0)
+        return {"block": number, "rows": t.num_rows, "path": path, "near": np.packbits(near).tobytes()}
+
+    def run(batches):
+        for t in whole_groups(batches, "block", rows=BLOCK):
+            number = t["block"].to_numpy()
+            cuts = [0, *(np.flatnonzero(number[1:] != number[:-1]) + 1).tolist(), len(number)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                yield pa.RecordBatch.from_pylist([write(int(number[lo]), t.slice(lo, hi - lo))], schema=pa.schema(
+                    [("block", pa.int32()), ("rows", pa.int64()), ("path", pa.string()), ("near", pa.binary())]))
+    return run
+
+
+def write_blocks(reps: DataFrame, kind: str, scratch: Scratch, threshold: float) -> Blocks:
+    """The vectors of ``reps(size, node, copies, v)`` in a file for each block;
+    the driver holds a row for each."""
+    spark = reps.sparkSession
+    lengths = fit_lengths(reps, kind)
+    of_cell = np.array([size for size in sorted(lengths) for _ in lengths[size][1]], dtype=np.int64)
+    count = np.zeros(len(of_cell), dtype=np.int64)
+    seen = reps.select("size", "node", "copies", "v").mapInArrow(_in_cells(lengths, kind), "cell int, n bigint")
+    for cell, n in seen.groupBy("cell").agg(F.sum("n")).collect():
+        count[cell] = n
+    most = max(BLOCK // 8, min(BLOCK, int(count.sum()) // BLOCKS))
+    most = np.maximum(1, np.minimum(most, BLOCK_BYTES // (8 * of_cell)))
+    number = np.maximum(1, -(-count // most))
+    first = np.concatenate([[0], np.cumsum(number)[:-1]])
+    cells = np.repeat(np.arange(len(of_cell)), number)
+    blocks = Blocks(lengths, kind, threshold)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(cells) // SIDE)
+    made = (reps.select("size", "node", "copies", "v")
+            .mapInArrow(_in_cells(lengths, kind, (first, number)), "block int, node bigint, copies bigint, v binary")
+            .repartition(parts, "block").sortWithinPartitions("block")
+            .mapInArrow(_written(blocks, cells, of_cell[cells], scratch.path("blocks")), "block int, rows bigint, path string, near binary"))
+    for r in sorted(made.collect(), key=lambda r: r.block):
+        size = int(of_cell[cells[r.block]])
+        blocks.size.append(size)
+        blocks.cell.append(int(cells[r.block]))
+        blocks.path.append(r.path)
+        blocks.rows.append(r.rows)
+        blocks.near.append(np.unpackbits(np.frombuffer(r.near, dtype=np.uint8), count=len(lengths[size][1])).astype(bool))
+    return blocks
+
+
+class Links:
+    """Links found among the vectors of some blocks: how many each vector has,
+    copies counted, and the components."""
+
+    def __init__(self, sides: list[Block], threshold: float):
+        self.at, self.threshold = {}, threshold
+        self.node = np.concatenate([b.node for b in sides])
+        for b, start in zip(sides, np.cumsum([0, *(len(b.node) for b in sides)]).tolist()):
+            self.at[id(b)] = start
+        self.links, self.label = np.zeros(len(self.node), dtype=np.int64), np.arange(len(self.node))
+
+    def compare(self, a: Block, b: Block, rows: np.ndarray, cols: np.ndarray) -> None:
+        """Vectors ``rows`` of one block with ``cols`` of another, or of a block with itself."""
+        if not len(rows) or not len(cols):
+            return
+        here, there = self.at[id(a)], self.at[id(b)]
+        margin = max(MARGIN, 1.2e-7 * a.x.shape[1])
+        low, bounded, met = np.float32(self.threshold - margin), a.short is not a.single, []
+        whole = len(cols) == len(b.node)
+        short, single, copies = (b.short, b.single, b.copies) if whole else (b.short[cols], b.single[cols], b.copies[cols])
+        for at in range(0, len(rows), SLAB):
+            r = rows[at:at + SLAB]
+            if bounded:
+                rough = a.short[r] @ short.T
+                if rough.max() < low:
+                    continue
+                i, j = np.divmod(np.flatnonzero(rough >= low), len(cols))
+                bounded = len(i) <= SPARSE * rough.size
+            if not bounded:
+                rough = a.single[r] @ single.T
+                hit = rough >= self.threshold + margin
+                i, j = np.nonzero((rough >= low) & ~hit)
+            sure = np.concatenate([np.einsum("ij,ij->i", a.x[r[i[k:k + (1 << 14)]]], b.x[cols[j[k:k + (1 << 14)]]]) >= self.threshold
+                                   for k in range(0, len(i), 1 << 14)] or [np.zeros(0, dtype=bool)])
+            if bounded:
+                i, j = r[i[sure]], cols[j[sure]]
+                if a is b:
+                    i, j = i[i < j], j[i < j]
+                np.add.at(self.links, here + i, b.copies[j])
+                np.add.at(self.links, there + j, a.copies[i])
+                met.append((here + i, there + j))
                 continue
-            hit = rough >= threshold + margin
-            i, j = np.nonzero((rough >= threshold - margin) & ~hit)
-            for k in range(0, len(i), 1 << 14):
-                some_i, some_j = i[k:k + (1 << 14)], j[k:k + (1 << 14)]
-                hit[some_i, some_j] = np.einsum("ij,ij->i", x[rows[some_i]], x[right[some_j]]) >= threshold
-            if with_itself:
-                hit &= rows[:, None] < right[None, :]
-            hit[:, elsewhere] &= ~visits[rows][:, home[right[elsewhere]] - low]
+            hit[i[sure], j[sure]] = True
+            if a is b:
+                hit &= r[:, None] < cols[None, :]
             if not hit.any():
                 continue
-            links[rows] += hit @ copies[right]
-            links[right] += copies[rows] @ hit
-            i, j = np.nonzero(hit & (label[rows][:, None] != label[right][None, :]))
-            label = min_labels(label, rows[i], right[j])
-        counted = np.flatnonzero(links)
-        if not len(counted):
-            return None
-        child, root = forest(label, node)
+            self.links[here + r] += hit @ copies
+            self.links[there + cols] += a.copies[r] @ hit
+            i, j = np.nonzero(hit & (self.label[here + r][:, None] != self.label[there + cols][None, :]))
+            self.label = min_labels(self.label, here + r[i], there + cols[j])
+        if met:
+            i, j = (np.concatenate(x) for x in zip(*met))
+            self.label = min_labels(self.label, i, j)
+
+    def meet(self, a: Block, b: Block) -> None:
+        """A block with itself, with one of its cell, or with one of another
+        cell: there a link has a guest at one end at least."""
+        mine, others = np.arange(len(a.node)), np.arange(len(b.node))
+        if a.cell == b.cell:
+            return self.compare(a, b, mine, others)
+        guests, visitors = a.guest(b.cell), b.guest(a.cell)
+        self.compare(a, b, mine[guests], others)
+        self.compare(a, b, mine[~guests], others[visitors])
+
+    def rows(self) -> pa.RecordBatch:
+        """``(a, b, n)``: rows with b null add n links to node a, the others are
+        links that span the components.  No list of all pairs is ever made."""
+        counted = np.flatnonzero(self.links)
+        child, root = forest(self.label, self.node)
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([node[counted], child])), pa.array([None] * len(counted) + root.tolist(), pa.int64()),
-             pa.array(np.concatenate([links[counted], np.zeros(len(child), dtype=np.int64)]))], names=["a", "b", "n"])
+            [pa.array(np.concatenate([self.node[counted], child])),
+             pa.array(np.concatenate([np.zeros(len(counted), dtype=np.int64), root]), mask=np.arange(len(counted) + len(child)) < len(counted)),
+             pa.array(np.concatenate([self.links[counted], np.zeros(len(child), dtype=np.int64)]))], names=["a", "b", "n"])
+
+
+def _compared(path: str, side: int):
+    """Pairs of sides, by number -> their :class:`Links`.  A side is ``side``
+    blocks in a row; a pair of sides has its earlier one first."""
+    def pair(blocks: Blocks, number: int) -> pa.RecordBatch | None:
+        later = (math.isqrt(8 * number + 1) - 1) // 2
+        earlier = number - later * (later + 1) // 2
+        left, right = (range(k * side, min((k + 1) * side, len(blocks.path))) for k in (earlier, later))
+        wanted = [(i, j) for j in right for i in left if i <= j and blocks.meet(i, j)]
+        if not wanted:
+            return None
+        held = {k: Block(blocks, k) for k in sorted({k for w in wanted for k in w})}
+        links = Links(list(held.values()), blocks.threshold)
+        for i, j in wanted:
+            links.meet(held[i], held[j])
+        return links.rows()
 
     def run(batches):
-        for t in whole_groups(batches, "key", rows=4 * BLOCK):
-            key = t["key"].to_numpy()
-            cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
-            for lo, hi in zip(cuts, cuts[1:]):
-                found = block(t.slice(lo, hi - lo))
-                if found is not None:
+        blocks = None
+        for batch in batches:
+            for number in batch.column(0).to_pylist():
+                if blocks is None:
+                    with files.open_stream(path) as f:
+                        blocks = pickle.load(f)
+                found = pair(blocks, number)
+                if found is not None and found.num_rows:
                     yield found
     return run
 
 
-def _blocks(members: DataFrame) -> DataFrame:
-    """Deal the members of each cell out to pairs of blocks: homes with homes
-    (each unordered pair of blocks once), homes with guests."""
-    is_home = F.col("cell") == F.col("home")
-    # one row per cell: at most MAX_CELLS rows of each length
-    sizes = members.groupBy("cell").agg(F.ceil(F.count_if(is_home) / BLOCK).cast("int").alias("homes"),
-                                        F.ceil(F.count_if(~is_home) / BLOCK).cast("int").alias("guests"))
-    m = members.join(F.broadcast(sizes), "cell")
-    own = F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.when(is_home, F.col("homes")).otherwise(F.col("guests")))).cast("int")
-    m = m.withColumn("own", own)
-    pairs = F.when(is_home, F.concat(
-        F.expr("transform(sequence(0, homes - 1), h -> struct(least(own, h) AS a, greatest(own, h) AS b,"
-               " CASE WHEN own = h THEN 2 WHEN own < h THEN 0 ELSE 1 END AS side))"),
-        F.expr("CASE WHEN guests > 0 THEN transform(sequence(0, guests - 1), g -> struct(own AS a, homes + g AS b, 0 AS side)) "
-               "ELSE array() END"))).otherwise(
-        F.expr("CASE WHEN homes > 0 THEN transform(sequence(0, homes - 1), h -> struct(h AS a, homes + own AS b, 1 AS side)) "
-               "ELSE array() END"))
-    m = m.select("cell", "home", "visits", "node", "copies", "v", F.explode(pairs).alias("p"))
-    return m.select("cell", "home", "visits", "node", "copies", "v", F.col("p.side").alias("side"),
-                    F.expr("shiftleft(cast(cell AS bigint), 40) | shiftleft(cast(p.a AS bigint), 20) | p.b").alias("key"))
+def compare_blocks(blocks: Blocks, scratch: Scratch) -> DataFrame:
+    """``(a, b, n)`` of all pairs of blocks, see :meth:`Links.rows`."""
+    n = len(blocks.path)
+    side = max(1, min(SIDE, n // SIDES))
+    path = files.new_path(scratch.path("blocks"), ".list")
+    with files.create(path) as out:
+        pickle.dump(blocks, out)
+    sides = -(-n // side)
+    pairs = sides * (sides + 1) // 2
+    return (scratch.spark.range(0, pairs, 1, max(1, min(pairs, TASKS)))
+            .mapInArrow(_compared(path, side), "a bigint, b bigint, n bigint"))
 
 
 def near_duplicates(vectors: DataFrame, scratch: Scratch, threshold: float = THRESHOLD) -> DataFrame:
@@ -227,33 +406,35 @@ def near_duplicates(vectors: DataFrame, scratch: Scratch, threshold: float = THR
     a null or non-finite component) have no link.  A null vec_id has no link, a null component and is not kept.  Other
     columns are ignored; an empty table gives an empty table.
     """
-    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
-    rows = scratch.table(rows.distinct(), "vectors")
-    rows = scratch.table(comparable(rows), "comparable")
-    able = rows.where("v IS NOT NULL")
-    groups = scratch.table(able.groupBy("v").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")), "groups")
+    as_is = dict(vectors.dtypes)["embedding"] == "array<float>"
+    kind = "<f4" if as_is else "<f8"
+    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"),
+                          F.col("embedding").cast("array<float>" if as_is else "array<double>").alias("embedding"))
+    ids = scratch.table(rows.mapInArrow(_packed(kind, False), "vec_id bigint, size int, same binary").distinct(), "ids")
+    able = ids.where("size IS NOT NULL")
+    groups = able.groupBy("same", "size").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"))
     # an id may stand at several vectors, a node is one vector; nodes are in the order of the ids
-    reps = scratch.table(groups.orderBy("id").withColumn("node", F.monotonically_increasing_id()), "reps")
-    lengths = fit_lengths(reps)
-    if lengths:
-        members = scratch.table(assign(reps, lengths, threshold), "members")
-        parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        found = (_blocks(members).repartition(parts, "key").sortWithinPartitions("key")
-                 .mapInArrow(_compare(threshold), "a bigint, b bigint, n bigint"))
-        found = scratch.table(found, "found")
-    else:
-        found = rows.sparkSession.createDataFrame([], "a bigint, b bigint, n bigint")
+    groups = scratch.table(groups.orderBy("id").withColumn("node", F.monotonically_increasing_id()), "groups")
+    # the vector of each node; the rows that repeat an id and a vector go before the exchange
+    values = (rows.mapInArrow(_packed(kind, True), "vec_id bigint, size int, same binary, v binary").where("v IS NOT NULL")
+              .select("vec_id", "same", "v").dropDuplicates(["vec_id", "same"]))
+    reps = values.join(groups.withColumnRenamed("id", "vec_id"), ["vec_id", "same"]).select("size", "node", "copies", "v")
+    reps = scratch.table(reps, "reps")
+    blocks = write_blocks(reps, kind, scratch, threshold)
+    scratch.drop("reps")
+    found = scratch.table(compare_blocks(blocks, scratch), "found")
+    scratch.drop("blocks")
     comp = components(found.where("b IS NOT NULL").select("a", "b"), scratch)
-    comp = comp.join(reps.select(F.col("node").alias("component"), F.col("id").alias("component_id")), "component").drop("component")
+    comp = comp.join(groups.select(F.col("node").alias("component"), F.col("id").alias("component_id")), "component").drop("component")
     links = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     classes = scratch.table(
-        reps.join(links, "node", "left").join(comp, "node", "left")
-        .select("v", F.col("copies"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("component_id", "id").alias("component_id")),
+        groups.join(links, "node", "left").join(comp, "node", "left")
+        .select("same", F.col("copies"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("component_id", "id").alias("component_id")),
         "classes")
     # both sides are tables, so AQE can split the copies of a common vector
-    linked = able.join(classes, "v").select(
+    linked = able.join(classes, "same").select(
         "vec_id", (F.col("copies") - 1 + F.col("n")).alias("n_links"), "component_id")
-    alone = rows.where("v IS NULL").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
-    scratch.drop("vectors", "groups", "members", "found", "reps")
+    alone = ids.where("size IS NULL").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
+    scratch.drop("groups", "found")
     scratch.drop_like("edges-")
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

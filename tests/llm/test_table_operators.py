@@ -368,6 +368,27 @@ def test_test_table_vectors(spark, scratch):
     check_vectors(spark, scratch, [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()])
 
 
+def shuffle_files(spark):
+    """Sizes of the shuffle files there are now, by name."""
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {found.apply(k).getName(): found.apply(k).length() for k in range(found.length())}
+
+
+def test_vectors_without_clusters_are_dealt_once(spark, scratch, monkeypatch):
+    """Vectors that are near every border are not copied to every cell they meet."""
+    monkeypatch.setattr(embed, "PER_CELL", 20)
+    monkeypatch.setattr(embed, "BLOCK", 16)
+    x = np.random.default_rng(1).normal(size=(1500, 64)).astype(np.float32)
+    x[1000:1010] = x[:10] + np.float32(0.01)
+    rows = [(k, v.tolist()) for k, v in enumerate(x)]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], VECTORS)
+    before = shuffle_files(spark)
+    got = sorted(((r.vec_id, r.n_links, r.component_id) for r in embed.near_duplicates(df, scratch()).collect()), key=repr)
+    written = sum(n for name, n in shuffle_files(spark).items() if name not in before)
+    assert got == brute_vectors(rows) and sum(n for _, n, _ in got) == 20
+    assert written < 6 * x.nbytes
+
+
 # --- models against loops -----------------------------------------------------
 
 def loop_tree(g, h, depth):
