@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -58,6 +59,12 @@ class Scratch:
             p = jvm.org.apache.hadoop.fs.Path(self.path(n))
             p.getFileSystem(conf).delete(p, True)
 
+    def release(self) -> None:
+        """Let go of the shuffle files of jobs that nothing refers to any more;
+        Spark deletes them when the driver's JVM next collects its garbage."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop_like(self, prefix: str) -> None:
         """Delete the tables whose names begin so; nothing may read them any more."""
         jvm = self.spark.sparkContext._jvm

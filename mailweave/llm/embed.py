@@ -10,11 +10,11 @@ a and b, two unit vectors at cosine ``threshold`` lie at most
 ``delta / 2`` of the plane between the centroids of a and b.  Hence no link is
 lost.
 
-Every vector is written once, into a file of the block it belongs to (a part of
-its home cell).  Tasks read the files of two rows of blocks and compare block
-with block: of one cell all vectors, of two cells the guests of either in the
-other.  So the disk holds each vector a fixed number of times, however many
-blocks it meets; a task returns sums of links and a spanning forest, never pairs.
+Every vector is written once, into a file of the block it belongs to: some whole
+cells, or a part of a large one.  Tasks read the files of two rows of blocks and
+compare the vectors of each cell with its guests.  So the disk holds each vector
+a fixed number of times, however many blocks it meets; a task returns sums of
+links and a spanning forest, never pairs.
 """
 
 from __future__ import annotations
@@ -35,17 +35,19 @@ from .components import components
 
 THRESHOLD = 0.9
 #: vectors the centroids are fitted on, vectors per cell aimed at, most cells, rounds
-SAMPLE, PER_CELL, MAX_CELLS, ROUNDS = 20_000, 4_000, 1_024, 10
+SAMPLE, PER_CELL, MAX_CELLS, ROUNDS = 20_000, 300, 4_096, 10
 #: vectors of a block, and bytes of a block in double precision; smaller tables are cut into so many blocks
 BLOCK, BLOCK_BYTES, BLOCKS = 4_096, 8 << 20, 16
 #: blocks of one side of a task at most, and such sides aimed at; tasks at most
 SIDE, SIDES, TASKS = 16, 12, 20_000
-#: rows of a block compared at once; how far a single-precision product may be off, at least
-SLAB, MARGIN = 256, 1e-4
+#: pairs compared at once; how far a single-precision product may be off, at least
+SLAB, MARGIN = 1 << 19, 1e-4
 #: part of a slab's pairs that may pass the bound before whole products are taken
 SPARSE = 0.002
-#: vectors converted at once
-PIECE = 2_000
+#: vectors converted at once; links held until the components are joined
+PIECE, HELD = 2_000, 1 << 20
+#: cells of one coarse cell, which follow each other
+COARSE = 16
 
 
 def _packed(kind: str, values: bool):
@@ -119,7 +121,10 @@ def fit_cells(reps: DataFrame, n: int, size: int, kind: str) -> np.ndarray:
     if not rows.num_rows:
         rows = reps.select("node", "v").limit(1).toArrow()
     x = matrix(rows["v"], size, kind)[np.argsort(rows["node"].to_numpy())]
-    return spherical_kmeans(x, max(1, min(MAX_CELLS, n // PER_CELL, len(x))))
+    centroids = spherical_kmeans(x, max(1, min(MAX_CELLS, n // PER_CELL, len(x))))
+    # near cells follow each other, so that a block is near few others
+    coarse = spherical_kmeans(centroids, -(-len(centroids) // COARSE))
+    return centroids[np.argsort((centroids @ coarse.T).argmax(axis=1), kind="stable")]
 
 
 def fit_lengths(reps: DataFrame, kind: str) -> dict[int, tuple[int, np.ndarray]]:
@@ -138,16 +143,21 @@ def reach(threshold: float) -> float:
     return math.sqrt(max(0.0, 2 - 2 * threshold)) / 2 + 1e-6
 
 
-def guest_of(own: np.ndarray, sims: np.ndarray, apart: np.ndarray, threshold: float) -> np.ndarray:
+def guest_of(own: np.ndarray, sims: np.ndarray, apart: np.ndarray, threshold: float, slack: float = 1e-12) -> np.ndarray:
     """Whether the border to a cell is within reach: from the products with the
-    centroids of the home and of the cell, and the distance of the two."""
-    return own - sims <= reach(threshold) * apart + 1e-12
+    centroids of the home and of the cell, and the distance of the two.  That the
+    home is the nearest cell is not needed."""
+    return own - sims <= reach(threshold) * apart + slack
+
+
+def homes(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    return (x.astype(np.float32) @ centroids.T.astype(np.float32)).argmax(axis=1)
 
 
 def _in_cells(lengths: dict[int, tuple[int, np.ndarray]], kind: str, dealt: tuple[np.ndarray, np.ndarray] | None = None):
     """``(size, node, copies, v)`` -> ``(cell, n)``, the vectors of each cell
     seen; with ``dealt`` (the first block and the number of blocks of each cell)
-    -> ``(block, node, copies, v)``, the vectors of a cell dealt to its blocks."""
+    -> ``(block, cell, node, copies, v)``, the vectors of a cell dealt to its blocks."""
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, PIECE):
@@ -159,83 +169,105 @@ def _in_cells(lengths: dict[int, tuple[int, np.ndarray]], kind: str, dealt: tupl
                     mine = np.flatnonzero(sizes == size)
                     cell[mine] = first
                     if len(centroids) > 1:
-                        cell[mine] += (matrix(mixed.column("v").take(pa.array(mine)), size, kind) @ centroids.T).argmax(axis=1)
+                        cell[mine] += homes(matrix(mixed.column("v").take(pa.array(mine)), size, kind), centroids)
                 if dealt is None:
                     found, n = np.unique(cell, return_counts=True)
                     yield pa.RecordBatch.from_pydict({"cell": pa.array(found, pa.int32()), "n": pa.array(n, pa.int64())})
                     continue
                 mixed_up = (mixed.column("node").to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
                 block = dealt[0][cell] + (mixed_up % dealt[1][cell].astype(np.uint64)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(block.astype(np.int32)), *(mixed.column(c) for c in ("node", "copies", "v"))],
-                                                 names=["block", "node", "copies", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(block.astype(np.int32)), pa.array(cell.astype(np.int32)),
+                                                  *(mixed.column(c) for c in ("node", "copies", "v"))],
+                                                 names=["block", "cell", "node", "copies", "v"])
     return run
 
 
+def plan_blocks(count: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first block and the number of blocks of each cell, from the vectors
+    and the vector length of each: cells that follow each other share a block,
+    a large one has several of its own."""
+    most = max(BLOCK // 8, min(BLOCK, int(count.sum()) // BLOCKS))
+    first, number, block, held = np.zeros(len(count), dtype=np.int64), np.ones(len(count), dtype=np.int64), -1, 0
+    for cell, (n, size) in enumerate(zip(count.tolist(), sizes.tolist())):
+        room = max(1, min(most, BLOCK_BYTES // (8 * size)))
+        if block < 0 or held + n > room or size != sizes[cell - 1]:
+            block, held = block + 1, 0
+        first[cell], number[cell] = block, max(1, -(-n // room))
+        block, held = block + int(number[cell]) - 1, held + n
+    return first, number
+
+
 class Blocks:
     """Where the vectors of each block lie and which cells they are near."""
 
     def __init__(self, lengths: dict[int, tuple[int, np.ndarray]], kind: str, threshold: float):
         self.lengths, self.kind, self.threshold = lengths, kind, threshold
         self.size: list[int] = []
-        self.cell: list[int] = []
         self.path: list[str] = []
         self.rows: list[int] = []
-        #: of each block a flag for each cell of its length: whether it has guests there
-        self.near: list[np.ndarray] = []
+        #: of each block its first and last cell, and a bit for each cell whether it has homes or guests there; cells as numbered in their length
+        self.span: list[tuple[int, int]] = []
+        self.near: list[bytes] = []
 
-    def home(self, block: int) -> int:
-        """The number of the block's cell among those of its length."""
-        return self.cell[block] - self.lengths[self.size[block]][0]
+    def visits(self, a: int, b: int) -> bool:
+        first, last = self.span[b]
+        return bool(np.unpackbits(np.frombuffer(self.near[a], dtype=np.uint8))[first:last + 1].any())
 
     def meet(self, a: int, b: int) -> bool:
-        if self.size[a] != self.size[b]:
-            return False
-        return self.cell[a] == self.cell[b] or bool(self.near[a][self.home(b)] or self.near[b][self.home(a)])
+        return self.size[a] == self.size[b] and (self.visits(a, b) or self.visits(b, a))
 
 
 class Block:
-    """A block's vectors as a task holds them."""
+    """A block's vectors as a task holds them, in the order of their cells."""
 
     def __init__(self, blocks: Blocks, number: int):
         n, size = blocks.rows[number], blocks.size[number]
         with files.open_stream(blocks.path[number]) as f:
             data = f.read()
-        self.node, self.copies = np.frombuffer(data, "<i8", 2 * n).reshape(2, n)
-        self.x = unit(np.frombuffer(data, blocks.kind, n * size, 16 * n).reshape(n, size).astype(np.float64))
+        self.node, self.copies, cell = np.frombuffer(data, "<i8", 3 * n).reshape(3, n)
+        self.x = unit(np.frombuffer(data, blocks.kind, n * size, 24 * n).reshape(n, size).astype(np.float64))
         self.single = self.x.astype(np.float32)
         # the first components and the length of the rest: the product of two of these is not less than that of the vectors
         lead = size // 2 - 1 if size >= 32 else size
         rest = np.linalg.norm(self.x[:, lead:], axis=1, keepdims=True)
         self.short = np.hstack([self.x[:, :lead], rest]).astype(np.float32) if lead < size else self.single
-        centroids = blocks.lengths[size][1]
-        self.cell, self.threshold, self.centroids = blocks.home(number), blocks.threshold, centroids
-        self.own = self.x @ centroids[self.cell]
-        self.guests: tuple[int, np.ndarray] = (-1, np.empty(0, dtype=bool))
-
-    def guest(self, cell: int) -> np.ndarray:
-        """Which vectors are guests of another cell; the last answer is kept."""
-        if self.guests[0] != cell:
-            apart = np.linalg.norm(self.centroids[self.cell] - self.centroids[cell])
-            self.guests = cell, guest_of(self.own, self.x @ self.centroids[cell], apart, self.threshold)
-        return self.guests[1]
-
-
-def _written(blocks: Blocks, cells: np.ndarray, sizes: np.ndarray, folder: str):
-    """``(block, node, copies, v)`` sorted by block -> a row for each block, written as a file."""
+        self.threshold = blocks.threshold
+        #: the cells, the number of its cell for each vector, and where the vectors of each begin and end
+        self.cells, self.part = np.unique(cell, return_inverse=True)
+        self.ends = [0, *np.cumsum(np.bincount(self.part)).tolist()]
+        self.centroids = blocks.lengths[size][1][self.cells]
+        self.own = np.einsum("ij,ij->i", self.x, self.centroids[self.part])
+
+    def guests(self, other: Block) -> np.ndarray:
+        """Boolean (vector, cell of the other block): whether it lives there or is a guest."""
+        apart = np.linalg.norm(self.centroids[:, None] - other.centroids, axis=2)
+        near = guest_of(self.own[:, None], self.x @ other.centroids.T, apart[self.part], self.threshold)
+        return near | (self.cells[self.part][:, None] == other.cells)
+
+
+def _written(blocks: Blocks, sizes: np.ndarray, folder: str):
+    """``(block, cell, node, copies, v)`` sorted by block and cell -> a row for each block, written as a file."""
     def write(number: int, t: pa.Table) -> dict:
-        size, cell = int(sizes[number]), int(cells[number])
+        cell = t["cell"].to_numpy().astype(np.int64)
+        size = int(sizes[cell[0]])
         first, centroids = blocks.lengths[size]
+        cell = cell - first
         path = files.new_path(folder, ".block")
         with files.create(path) as out:
-            for c in ("node", "copies"):
-                out.write(np.ascontiguousarray(t[c].to_numpy(), dtype="<i8").tobytes())
+            for c in (t["node"].to_numpy(), t["copies"].to_numpy(), cell):
+                out.write(np.ascontiguousarray(c, dtype="<i8").tobytes())
             out.write(b"".join(t["v"].to_pylist()))
         near = np.zeros(len(centroids), dtype=bool)
-        apart = np.linalg.norm(centroids - centroids[cell - first], axis=1)
-        for at in range(0, t.num_rows, PIECE) if len(centroids) > 1 else ():
-            sims = matrix(t["v"].slice(at, PIECE), size, blocks.kind) @ centroids.T
-            near |= guest_of(sims[:, [cell - first]], sims, apart, blocks.threshold).any(axis=0)
-        return {"block": number, "rows": t.num_rows, "path": path, "near": np.packbits(near).tobytes()}
+        near[cell] = True
+        for c in np.unique(cell).tolist() if len(centroids) > 1 else ():
+            mine = np.flatnonzero(cell == c)
+            apart = np.linalg.norm(centroids - centroids[c], axis=1).astype(np.float32)
+            for at in range(0, len(mine), PIECE):
+                x = matrix(t["v"].take(pa.array(mine[at:at + PIECE])), size, blocks.kind).astype(np.float32)
+                sims = x @ centroids.T.astype(np.float32)
+                near |= guest_of(sims[:, [c]], sims, apart, blocks.threshold, MARGIN).any(axis=0)
+        return {"block": number, "size": size, "rows": t.num_rows, "path": path, "first": int(cell[0]), "last": int(cell[-1]),
+                "near": np.packbits(near).tobytes()}
 
     def run(batches):
         for t in whole_groups(batches, "block", rows=BLOCK):
@@ -243,7 +275,8 @@ def _written(blocks: Blocks, cells: np.ndarray, sizes: np.ndarray, folder: str):
             cuts = [0, *(np.flatnonzero(number[1:] != number[:-1]) + 1).tolist(), len(number)]
             for lo, hi in zip(cuts, cuts[1:]):
                 yield pa.RecordBatch.from_pylist([write(int(number[lo]), t.slice(lo, hi - lo))], schema=pa.schema(
-                    [("block", pa.int32()), ("rows", pa.int64()), ("path", pa.string()), ("near", pa.binary())]))
+                    [("block", pa.int32()), ("size", pa.int32()), ("rows", pa.int64()), ("path", pa.string()), ("first", pa.int32()),
+                     ("last", pa.int32()), ("near", pa.binary())]))
     return run
 
 
@@ -252,29 +285,25 @@ def write_blocks(reps: DataFrame, kind: str, scratch: Scratch, threshold: float)
     the driver holds a row for each."""
     spark = reps.sparkSession
     lengths = fit_lengths(reps, kind)
-    of_cell = np.array([size for size in sorted(lengths) for _ in lengths[size][1]], dtype=np.int64)
-    count = np.zeros(len(of_cell), dtype=np.int64)
+    sizes = np.array([size for size in sorted(lengths) for _ in lengths[size][1]], dtype=np.int64)
+    count = np.zeros(len(sizes), dtype=np.int64)
     seen = reps.select("size", "node", "copies", "v").mapInArrow(_in_cells(lengths, kind), "cell int, n bigint")
     for cell, n in seen.groupBy("cell").agg(F.sum("n")).collect():
         count[cell] = n
-    most = max(BLOCK // 8, min(BLOCK, int(count.sum()) // BLOCKS))
-    most = np.maximum(1, np.minimum(most, BLOCK_BYTES // (8 * of_cell)))
-    number = np.maximum(1, -(-count // most))
-    first = np.concatenate([[0], np.cumsum(number)[:-1]])
-    cells = np.repeat(np.arange(len(of_cell)), number)
+    first, number = plan_blocks(count, sizes)
     blocks = Blocks(lengths, kind, threshold)
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(cells) // SIDE)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(number.sum()) // SIDE)
     made = (reps.select("size", "node", "copies", "v")
-            .mapInArrow(_in_cells(lengths, kind, (first, number)), "block int, node bigint, copies bigint, v binary")
-            .repartition(parts, "block").sortWithinPartitions("block")
-            .mapInArrow(_written(blocks, cells, of_cell[cells], scratch.path("blocks")), "block int, rows bigint, path string, near binary"))
+            .mapInArrow(_in_cells(lengths, kind, (first, number)), "block int, cell int, node bigint, copies bigint, v binary")
+            .repartition(parts, "block").sortWithinPartitions("block", "cell")
+            .mapInArrow(_written(blocks, sizes, scratch.path("blocks")),
+                        "block int, size int, rows bigint, path string, first int, last int, near binary"))
     for r in sorted(made.collect(), key=lambda r: r.block):
-        size = int(of_cell[cells[r.block]])
-        blocks.size.append(size)
-        blocks.cell.append(int(cells[r.block]))
+        blocks.size.append(r.size)
         blocks.path.append(r.path)
         blocks.rows.append(r.rows)
-        blocks.near.append(np.unpackbits(np.frombuffer(r.near, dtype=np.uint8), count=len(lengths[size][1])).astype(bool))
+        blocks.span.append((r.first, r.last))
+        blocks.near.append(bytes(r.near))
     return blocks
 
 
@@ -288,64 +317,79 @@ class Links:
         for b, start in zip(sides, np.cumsum([0, *(len(b.node) for b in sides)]).tolist()):
             self.at[id(b)] = start
         self.links, self.label = np.zeros(len(self.node), dtype=np.int64), np.arange(len(self.node))
-
-    def compare(self, a: Block, b: Block, rows: np.ndarray, cols: np.ndarray) -> None:
-        """Vectors ``rows`` of one block with ``cols`` of another, or of a block with itself."""
-        if not len(rows) or not len(cols):
-            return
-        here, there = self.at[id(a)], self.at[id(b)]
+        self.met: list[tuple[np.ndarray, np.ndarray]] = []
+        self.held = 0
+
+    def join(self) -> None:
+        """Put the links that are held into the components."""
+        if self.met:
+            i, j = (np.concatenate(x) for x in zip(*self.met))
+            self.label, self.met, self.held = min_labels(self.label, i, j), [], 0
+
+    def compare(self, a: Block, b: Block, rows: np.ndarray, first: int, end: int, met_before) -> None:
+        """Vectors ``rows`` of one block with those from ``first`` to ``end`` of
+        another or the same; ``met_before(i, j)``, if any, says which pairs are met elsewhere."""
+        here, there, cols = self.at[id(a)], self.at[id(b)], np.arange(first, end)
         margin = max(MARGIN, 1.2e-7 * a.x.shape[1])
-        low, bounded, met = np.float32(self.threshold - margin), a.short is not a.single, []
-        whole = len(cols) == len(b.node)
-        short, single, copies = (b.short, b.single, b.copies) if whole else (b.short[cols], b.single[cols], b.copies[cols])
-        for at in range(0, len(rows), SLAB):
-            r = rows[at:at + SLAB]
+        low, bounded = np.float32(self.threshold - margin), a.short is not a.single
+        step = max(1, SLAB // max(1, len(cols)))
+        for at in range(0, len(rows), step):
+            r = rows[at:at + step]
             if bounded:
-                rough = a.short[r] @ short.T
+                rough = a.short[r] @ b.short[first:end].T
                 if rough.max() < low:
                     continue
                 i, j = np.divmod(np.flatnonzero(rough >= low), len(cols))
                 bounded = len(i) <= SPARSE * rough.size
             if not bounded:
-                rough = a.single[r] @ single.T
+                rough = a.single[r] @ b.single[first:end].T
                 hit = rough >= self.threshold + margin
                 i, j = np.nonzero((rough >= low) & ~hit)
-            sure = np.concatenate([np.einsum("ij,ij->i", a.x[r[i[k:k + (1 << 14)]]], b.x[cols[j[k:k + (1 << 14)]]]) >= self.threshold
+            sure = np.concatenate([np.einsum("ij,ij->i", a.x[r[i[k:k + (1 << 14)]]], b.x[first + j[k:k + (1 << 14)]]) >= self.threshold
                                    for k in range(0, len(i), 1 << 14)] or [np.zeros(0, dtype=bool)])
             if bounded:
-                i, j = r[i[sure]], cols[j[sure]]
-                if a is b:
-                    i, j = i[i < j], j[i < j]
+                i, j = r[i[sure]], first + j[sure]
+                if met_before:
+                    new = ~met_before(i, j)
+                    i, j = i[new], j[new]
                 np.add.at(self.links, here + i, b.copies[j])
                 np.add.at(self.links, there + j, a.copies[i])
-                met.append((here + i, there + j))
+                self.met.append((here + i, there + j))
+                self.held += len(i)
+                if self.held > HELD:
+                    self.join()
                 continue
             hit[i[sure], j[sure]] = True
-            if a is b:
-                hit &= r[:, None] < cols[None, :]
             if not hit.any():
                 continue
-            self.links[here + r] += hit @ copies
+            if met_before:
+                hit &= ~met_before(r[:, None], cols[None, :])
+            self.links[here + r] += hit @ b.copies[first:end]
             self.links[there + cols] += a.copies[r] @ hit
             i, j = np.nonzero(hit & (self.label[here + r][:, None] != self.label[there + cols][None, :]))
             self.label = min_labels(self.label, here + r[i], there + cols[j])
-        if met:
-            i, j = (np.concatenate(x) for x in zip(*met))
-            self.label = min_labels(self.label, i, j)
 
     def meet(self, a: Block, b: Block) -> None:
-        """A block with itself, with one of its cell, or with one of another
-        cell: there a link has a guest at one end at least."""
-        mine, others = np.arange(len(a.node)), np.arange(len(b.node))
-        if a.cell == b.cell:
-            return self.compare(a, b, mine, others)
-        guests, visitors = a.guest(b.cell), b.guest(a.cell)
-        self.compare(a, b, mine[guests], others)
-        self.compare(a, b, mine[~guests], others[visitors])
+        """A block with another or itself: the vectors of each cell with those
+        that live there or are guests.  Of two linked vectors of different cells
+        one at least is a guest of the other's cell; if both are, the link counts once."""
+        of_a, of_b = a.guests(b), b.guests(a)
+
+        def met_in_block(i, j):
+            return (i >= j) & of_a[j, a.part[i]]
+
+        def met_there(i, j):
+            return of_a[j, b.part[i]]
+        for k in range(len(b.cells)):
+            self.compare(a, b, np.flatnonzero(of_a[:, k]), b.ends[k], b.ends[k + 1], met_in_block if a is b else None)
+        for k in range(len(a.cells)) if a is not b else ():
+            guests = of_b[:, k] & (b.cells[b.part] != a.cells[k])
+            self.compare(b, a, np.flatnonzero(guests), a.ends[k], a.ends[k + 1], met_there)
 
     def rows(self) -> pa.RecordBatch:
         """``(a, b, n)``: rows with b null add n links to node a, the others are
         links that span the components.  No list of all pairs is ever made."""
+        self.join()
         counted = np.flatnonzero(self.links)
         child, root = forest(self.label, self.node)
         return pa.RecordBatch.from_arrays(
@@ -420,6 +464,8 @@ def near_duplicates(vectors: DataFrame, scratch: Scratch, threshold: float = THR
               .select("vec_id", "same", "v").dropDuplicates(["vec_id", "same"]))
     reps = values.join(groups.withColumnRenamed("id", "vec_id"), ["vec_id", "same"]).select("size", "node", "copies", "v")
     reps = scratch.table(reps, "reps")
+    del values
+    scratch.release()
     blocks = write_blocks(reps, kind, scratch, threshold)
     scratch.drop("reps")
     found = scratch.table(compare_blocks(blocks, scratch), "found")
